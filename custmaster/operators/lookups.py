@@ -1,0 +1,28 @@
+"""Joins to small lookup tables, broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# A lookup side is broadcast only when it has at most this many rows.  Code
+# tables (parameters, countries) have hundreds; the check keeps a mis-bound
+# large table from being shipped to every executor.
+MAX_BROADCAST_ROWS = 200_000
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` as is.
+
+    The check is a bounded count (``limit(max_rows + 1)``): it never reads
+    more than ``max_rows + 1`` rows.  Past the bound the join stays a normal
+    shuffle join (or whatever AQE picks from measured sizes).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def left_lookup(df: DataFrame, lookup: DataFrame, on: Column | list,
+                max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``df LEFT JOIN lookup`` with the size-checked broadcast of the lookup."""
+    return df.join(sized_broadcast(lookup, max_rows), on, "left")

@@ -1,0 +1,123 @@
+"""Compare a Spark query with its DuckDB oracle (row count, column names,
+order-insensitive multiset of values) -- the same kind of check the driver
+runs.  ``python tests/oracle_harness.py [sf_dir] [key ...]`` prints a table.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import math
+import os
+import sys
+import time
+from collections import Counter
+
+import duckdb
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+if ROOT not in sys.path:
+    sys.path.insert(0, ROOT)
+
+TABLES = ("region nation customer supplier part orders lineitem events documents "
+          "embeddings pages benchmark labels conversations").split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    for t in TABLES:
+        path = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(path):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def canon(v):
+    if v is None:
+        return "NULL"
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "NULL"
+        return repr(round(v, 6))
+    if isinstance(v, decimal.Decimal):
+        return repr(round(float(v), 6))
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None).isoformat(sep=" ")
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    if hasattr(v, "isoformat"):
+        return v.isoformat()
+    return str(v)
+
+
+def spark_rows(df):
+    cols = df.columns
+    return cols, [tuple(canon(r[c]) for c in cols) for r in df.collect()]
+
+
+def duck_rows(con, sql):
+    rel = con.sql(sql)
+    cols = [d[0] for d in rel.description]
+    return cols, [tuple(canon(v) for v in row) for row in rel.fetchall()]
+
+
+def _by_name(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return [cols[i] for i in order], Counter(tuple(r[i] for i in order) for r in rows)
+
+
+def compare(spark, con, sf_dir, key, query_fn, sql):
+    t0 = time.time()
+    s_cols, s_rows = spark_rows(query_fn(spark, sf_dir))
+    t1 = time.time()
+    d_cols, d_rows = duck_rows(con, sql)
+    sc, sm = _by_name(s_cols, s_rows)
+    dc, dm = _by_name(d_cols, d_rows)
+    res = {
+        "key": key, "spark_rows": len(s_rows), "oracle_rows": len(d_rows),
+        "cols_match": sc == dc, "values_match": sc == dc and sm == dm,
+        "spark_sec": round(t1 - t0, 2),
+    }
+    if not res["values_match"]:
+        res["spark_cols"], res["oracle_cols"] = sc, dc
+        if sc == dc:
+            res["only_spark"] = list((sm - dm).elements())[:3]
+            res["only_oracle"] = list((dm - sm).elements())[:3]
+    return res
+
+
+def main(argv):
+    sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
+    keys = [a for a in argv[1:] if not a.startswith("/")]
+    import __spark_entry__ as entry
+    from custmaster.session import build_session
+
+    spark = build_session("local[8]", 8)
+    con = duck(sf_dir)
+    qs, oracles = entry.queries(), entry.oracle_sql()
+    bad = 0
+    for k in keys or list(qs):
+        if k not in oracles:
+            df = qs[k](spark, sf_dir)
+            print(f"{k:34s} rows={df.count():>8}  (no oracle)")
+            continue
+        try:
+            r = compare(spark, con, sf_dir, k, qs[k], oracles[k])
+        except Exception as e:  # noqa: BLE001
+            bad += 1
+            print(f"{k:34s} ERROR {type(e).__name__}: {str(e)[:300]}")
+            continue
+        ok = "OK " if r["values_match"] else "BAD"
+        bad += not r["values_match"]
+        print(f"{k:34s} {ok} rows={r['spark_rows']:>8}/{r['oracle_rows']:<8} {r['spark_sec']}s")
+        if not r["values_match"]:
+            for f in ("spark_cols", "oracle_cols", "only_spark", "only_oracle"):
+                if f in r:
+                    print(f"    {f}: {r[f]}")
+    print("mismatches:", bad)
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(1 if main(sys.argv) else 0)
