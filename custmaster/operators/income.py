@@ -26,16 +26,20 @@ from custmaster.functions.columns import usable_income
 
 
 def contract_customer_bridge(party: DataFrame, ids: DataFrame | None = None,
-                             carry: DataFrame | None = None) -> DataFrame:
+                             carry: DataFrame | None = None, keep_null: bool = False
+                             ) -> DataFrame:
     """Distinct (contract_no, customer_id) pairs of the party history.
 
     ``ids`` restricts the customers with a left-semi join; ``carry`` is a
     one-row-per-customer frame (``customer_id`` + columns) joined in instead,
     so that later stages need no second join to the population.
+    ``keep_null`` keeps party rows without a customer id (the source's left
+    joins then yield a NULL id for them, as for an unknown contract).
     """
-    b = (party.select("contract_no", "customer_id")
-         .filter(F.col("customer_id").isNotNull())
-         .distinct())
+    b = party.select("contract_no", "customer_id")
+    if not keep_null:
+        b = b.filter(F.col("customer_id").isNotNull())
+    b = b.distinct()
     if ids is not None:
         b = b.join(ids.select("customer_id"), "customer_id", "left_semi")
     if carry is not None:

@@ -32,9 +32,9 @@ POP_SQL = """
 )"""
 
 
-def pop_cte(name: str, natural: bool) -> str:
+def pop_cte(name: str, natural: bool, as_of: str = AS_OF) -> str:
     types = "'1', '2', '3'" if natural else "'4'"
-    return POP_SQL.format(name=name, types=types, as_of=AS_OF)
+    return POP_SQL.format(name=name, types=types, as_of=as_of)
 
 
 JOB_TITLE = """CASE {c}
@@ -313,5 +313,302 @@ DATASETS = {
     "natural_risk": NATURAL_RISK,
 }
 
+# ---------------------------------------------------------------------------
+# operators one by one
+# ---------------------------------------------------------------------------
+
+OPS: dict[str, str] = {}
+
+OPS["scan_party"] = q("SELECT * FROM party")
+
+OPS["project_basic"] = q("""
+SELECT CAST(customer_id AS VARCHAR) AS ID_NO, 'INS' AS SOURCE,
+       CAST(customer_name AS VARCHAR) AS C_FULLNAME, '' AS E_FULLNAME,
+       CAST(entity_settime AS VARCHAR) AS BUILD_DATE,
+       CAST(entity_reg_ctycode AS VARCHAR) AS COUNTRY,
+       CAST(occu_type1_code AS VARCHAR) AS INDUSTRY_TYPE1,
+       CAST(occu_type3_code AS VARCHAR) AS INDUSTRY_TYPE2,
+       CAST(bearer_shares_status AS VARCHAR) AS IS_BEARER_SHARES
+FROM party""")
+
+OPS["audit_stamp"] = q(f"""
+SELECT CAST(customer_id AS VARCHAR) AS ID_NO, {LMD} AS LAST_MODIFIED_DATE, {CD} AS CREATE_DATE
+FROM pop_c""", pop_cte("pop_c", False))
+
+OPS["filter_policy_status"] = q("SELECT * FROM policy WHERE policy_status = '7'")
+
+OPS["filter_id_type"] = q("""
+SELECT contract_no, customer_id, idntfctn_type FROM party
+WHERE idntfctn_type IN ('1', '2', '3')""")
+
+OPS["policies_in_force"] = q(f"""
+SELECT contract_no FROM policy
+WHERE policy_status = '7' AND (CAST(end_datetime AS DATE) >= {AS_OF} OR end_datetime IS NULL)""")
+
+OPS["filter_non_blank"] = q("""
+SELECT contract_no, customer_id, cellular_phone FROM party
+WHERE cellular_phone <> '' AND cellular_phone IS NOT NULL""")
+
+OPS["filter_income_usable"] = q("""
+SELECT dp707.contract_no, da501.customer_id, dp707.pay_source, dp707.min_year_income,
+       dp707.change_date_time
+FROM income dp707 LEFT JOIN party da501 ON dp707.contract_no = da501.contract_no
+WHERE ((dp707.pay_source <> '' AND dp707.pay_source IS NOT NULL)
+       OR dp707.min_year_income IS NOT NULL)
+  AND da501.customer_id IS NOT NULL""")
+
+OPS["address_on_date"] = q("""
+SELECT * FROM party_address WHERE strftime(dbc_business_date, '%Y-%m-%d') = '2001-06-01'""")
+
+OPS["join_policy_insured"] = q(f"""
+SELECT dp004.contract_no, dp004.customer_id
+FROM policy dp001 JOIN insured dp004 ON dp001.contract_no = dp004.contract_no
+WHERE dp001.policy_status = '7'
+  AND (CAST(dp001.end_datetime AS DATE) >= {AS_OF} OR dp001.end_datetime IS NULL)""")
+
+ACTIVE_IDS = f"""
+SELECT DISTINCT dp004.customer_id
+FROM policy dp001 JOIN insured dp004 ON dp001.contract_no = dp004.contract_no
+WHERE dp001.policy_status = '7'
+  AND (CAST(dp001.end_datetime AS DATE) >= {AS_OF} OR dp001.end_datetime IS NULL)"""
+
+OPS["semi_active_customers"] = q(f"""
+SELECT contract_no, customer_id, idntfctn_type FROM party
+WHERE customer_id IN ({ACTIVE_IDS})""")
+
+OPS["active_customer_ids"] = q(f"""
+SELECT customer_id FROM ({ACTIVE_IDS}) t WHERE customer_id IS NOT NULL""")
+
+OPS["left_join_income"] = q("""
+SELECT da501.customer_id, inc.pay_source, inc.min_year_income
+FROM pop_n da501 LEFT JOIN inc_profile inc ON da501.customer_id = inc.customer_id
+""", pop_cte("pop_n", True), INCOME_ROWS)
+
+OPS["left_join_contract_party"] = q("""
+SELECT dp002.contract_no, dp002.agent_id, da501.customer_id
+FROM policy_agent dp002 LEFT JOIN party da501 ON dp002.contract_no = da501.contract_no""")
+
+OPS["left_join_party_role"] = q("""
+SELECT dp004.contract_no, dp004.customer_id, nat.national_country_code
+FROM insured dp004 LEFT JOIN party nat ON dp004.customer_id = nat.customer_id""")
+
+OPS["left_join_manager"] = q("""
+SELECT da501.contract_no, da501.customer_id, da501.idntfctn_type,
+       da525.manager_name AS em_manager_name, da525.birthday AS em_birthday,
+       da525.national_country_code AS em_country
+FROM party da501 LEFT JOIN entity_manager da525
+  ON da501.idntfctn_type = da525.idntfctn_type AND da501.customer_id = da525.customer_id""")
+
+OPS["lookup_industry_risk"] = q("""
+SELECT da501.customer_id, da501.risk_industry_code, dg011.data1
+FROM pop_n da501
+LEFT JOIN (SELECT param_id, display_value, data1 FROM param_lookup
+           WHERE param_id = 'RISK_INDUSTRY_TYPE') dg011
+  ON da501.risk_industry_code = dg011.display_value""", pop_cte("pop_n", True))
+
+OPS["lookup_country_risk"] = q("""
+SELECT da501.customer_id, da501.ocr_country_code, dg012.risk_level
+FROM pop_n da501 LEFT JOIN country_risk dg012 ON da501.ocr_country_code = dg012.country_code
+""", pop_cte("pop_n", True))
+
+OPS["income_profile"] = q("SELECT customer_id, pay_source, min_year_income FROM inc_profile",
+                          INCOME_ROWS)
+OPS["agg_pay_source_set"] = q("SELECT customer_id, pay_source FROM inc_set", INCOME_ROWS)
+OPS["agg_latest_income"] = q("SELECT customer_id, min_year_income FROM inc_latest", INCOME_ROWS)
+
+OPS["distinct_contacts"] = q("""
+SELECT id AS ID, contact_type AS CONTACT_TYPE, content AS CONTENT FROM comm""", CONTACT_ROWS)
+
+OPS["latest_party"] = q("""
+SELECT customer_id, contract_no, change_date_time, idntfctn_type FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id
+                               ORDER BY change_date_time DESC NULLS LAST,
+                                        contract_no DESC NULLS LAST) AS rn
+  FROM party WHERE idntfctn_type IN ('1', '2', '3')) t
+WHERE rn = 1""")
+
+OPS["population_natural"] = q("""
+SELECT customer_id, contract_no, idntfctn_type, change_date_time FROM pop_n
+""", pop_cte("pop_n", True))
+
+OPS["population_corporate"] = q("""
+SELECT customer_id, contract_no, idntfctn_type, change_date_time FROM pop_c
+""", pop_cte("pop_c", False))
+
+REG_ADDR = """
+reg_addr AS (
+  SELECT customer_id, address FROM (
+    SELECT customer_id, address,
+           ROW_NUMBER() OVER (PARTITION BY customer_id
+                              ORDER BY create_date DESC NULLS LAST, address DESC) AS rn
+    FROM party_address
+    WHERE address_kind = '1' AND address <> '' AND address IS NOT NULL) t
+  WHERE rn = 1
+)"""
+
+OPS["latest_registered_address"] = q("SELECT customer_id, address FROM reg_addr", REG_ADDR)
+
+ADDRESS_ARMS_NATURAL = """
+    SELECT customer_id AS id, '1' AS contact_type, address AS content FROM party_address
+    WHERE address_kind = '3' AND address <> '' AND address IS NOT NULL
+      AND strftime(dbc_business_date, '%Y-%m-%d') = '2001-06-01'
+    UNION ALL
+    SELECT customer_id, '2', address FROM party_address
+    WHERE address_kind = '2' AND address <> '' AND address IS NOT NULL
+    UNION ALL
+    SELECT customer_id, '3', phone1 FROM party_address WHERE phone1 <> '' AND phone1 IS NOT NULL
+    UNION ALL
+    SELECT customer_id, '4', phone2 FROM party_address WHERE phone2 <> '' AND phone2 IS NOT NULL"""
+
+ADDRESS_ARMS_CORPORATE = """
+    SELECT customer_id AS id, '1' AS contact_type, address AS content FROM party_address
+    WHERE address_kind = '3' AND address <> '' AND address IS NOT NULL
+    UNION ALL
+    SELECT customer_id, '2', address FROM party_address
+    WHERE address_kind = '2' AND address <> '' AND address IS NOT NULL
+    UNION ALL
+    SELECT customer_id, '3', phone1 FROM party_address WHERE phone1 <> '' AND phone1 IS NOT NULL"""
+
+OPS["contact_address_arms"] = q(f"""
+SELECT DISTINCT id AS ID, contact_type AS CONTACT_TYPE, content AS CONTENT
+FROM ({ADDRESS_ARMS_NATURAL}) t""")
+
+PARTY_CONTACT_ARMS = """
+    SELECT customer_id AS id, '5' AS contact_type, cellular_phone AS content
+    FROM party WHERE cellular_phone <> '' AND cellular_phone IS NOT NULL
+    UNION ALL
+    SELECT customer_id AS id, '6' AS contact_type, email AS content
+    FROM party WHERE email <> '' AND email IS NOT NULL"""
+
+OPS["corporate_contact_with_address"] = q(f"""
+SELECT CAST(da501.customer_id AS VARCHAR) AS ID_NO, 'INS' AS SOURCE,
+       CAST(da501.entity_head_ctycode AS VARCHAR) AS COUNTRY,
+       CAST(comm.contact_type AS VARCHAR) AS CONTACT_TYPE,
+       CAST(comm.content AS VARCHAR) AS CONTENT, '1' AS STATUS,
+       {LMD} AS LAST_MODIFIED_DATE, {CD} AS CREATE_DATE
+FROM pop_c da501
+JOIN (SELECT DISTINCT id, contact_type, content FROM (
+        {ADDRESS_ARMS_CORPORATE} UNION ALL {PARTY_CONTACT_ARMS}) t) comm
+  ON da501.customer_id = comm.id
+""", pop_cte("pop_c", False))
+
+OPS["natural_contact_with_address"] = q(f"""
+SELECT {ID_TYPE.format(c='da501.idntfctn_type')} AS ID_TYPE,
+       CAST(da501.customer_id AS VARCHAR) AS ID_NO, 'INS' AS SOURCE,
+       CAST(da501.ocr_country_code AS VARCHAR) AS COUNTRY,
+       CAST(comm.contact_type AS VARCHAR) AS CONTACT_TYPE,
+       CAST(comm.content AS VARCHAR) AS CONTENT, '1' AS STATUS,
+       {LMD} AS LAST_MODIFIED_DATE, {CD} AS CREATE_DATE,
+       {PTN.format(c='da501.birthday')} AS PTN
+FROM pop_n da501
+JOIN (SELECT DISTINCT id, contact_type, content FROM (
+        {ADDRESS_ARMS_NATURAL} UNION ALL {PARTY_CONTACT_ARMS}) t) comm
+  ON da501.customer_id = comm.id
+""", pop_cte("pop_n", True))
+
+OPS["corporate_basic_with_address"] = q(f"""
+SELECT
+  CAST(da501.customer_id AS VARCHAR) AS ID_NO, 'INS' AS SOURCE,
+  CAST(da501.customer_name AS VARCHAR) AS C_FULLNAME, '' AS E_FULLNAME,
+  CAST(da501.entity_settime AS VARCHAR) AS BUILD_DATE,
+  CAST(da501.entity_reg_ctycode AS VARCHAR) AS COUNTRY,
+  CAST(reg_addr.address AS VARCHAR) AS REGISTERED_ADDR,
+  CAST(da501.occu_type1_code AS VARCHAR) AS INDUSTRY_TYPE1,
+  CAST(da501.occu_type3_code AS VARCHAR) AS INDUSTRY_TYPE2, '' AS ESTATE_SOURCE,
+  TRY_CAST(inc.pay_source AS VARCHAR) AS INVEST_SOURCE, '' AS YEAR_PROFIT,
+  TRY_CAST(inc.min_year_income AS VARCHAR) AS PAID_UP_CAPITAL, '' AS PRODUCT_CUB,
+  '' AS OWNER_STRUCT, CAST(da501.bearer_shares_status AS VARCHAR) AS IS_BEARER_SHARES,
+  '' AS IS_HIDE_OWNER, {LMD} AS LAST_MODIFIED_DATE, {CD} AS CREATE_DATE
+FROM pop_c da501
+LEFT JOIN reg_addr ON da501.customer_id = reg_addr.customer_id
+LEFT JOIN inc_profile inc ON da501.customer_id = inc.customer_id
+""", pop_cte("pop_c", False), INCOME_ROWS, REG_ADDR)
+
+OPS["natural_basic_with_address"] = q(f"""
+SELECT {NATURAL_BASIC_COLS.format(addr=' CAST(reg_addr.address AS VARCHAR) AS REGISTERED_ADDR,')}
+FROM pop_n da501
+LEFT JOIN reg_addr ON da501.customer_id = reg_addr.customer_id
+LEFT JOIN inc_profile inc ON da501.customer_id = inc.customer_id
+""", pop_cte("pop_n", True), INCOME_ROWS, REG_ADDR)
+
+OPS["try_cast_income"] = q("""
+SELECT contract_no, change_date_time, TRY_CAST(pay_source AS VARCHAR) AS INVEST_SOURCE,
+       TRY_CAST(min_year_income AS VARCHAR) AS ANNUAL_INCOME
+FROM income""")
+
+OPS["map_job_title"] = q(f"""
+SELECT contract_no, risk_jobtitle_code, {JOB_TITLE.format(c='risk_jobtitle_code')} AS INDUSTRY_TITLE
+FROM party""")
+
+OPS["map_pay_source"] = q(f"""
+SELECT contract_no, change_date_time, pay_source,
+       {PAY_SOURCE.format(c='pay_source')} AS PAY_SOURCE_TEXT
+FROM income""")
+
+OPS["map_risk_level"] = q(f"""
+SELECT da501.contract_no, {CUST_RISK.format(c='da501.risk_level')} AS RISK_LEVEL,
+       {CTY_RISK.format(c='dg012.risk_level')} AS COUNTRY_RISK
+FROM party da501 LEFT JOIN country_risk dg012 ON da501.ocr_country_code = dg012.country_code""")
+
+OPS["map_id_type_gender"] = q(f"""
+SELECT contract_no, {ID_TYPE.format(c='idntfctn_type')} AS ID_TYPE,
+       {GENDER.format(c='sex')} AS GENDER
+FROM party""")
+
+OPS["bucket_birth_digit"] = q(f"""
+SELECT contract_no, birthday, {PTN.format(c='birthday')} AS PTN FROM party""")
+
+OPS["flags_default_zero"] = q("""
+SELECT contract_no, COALESCE(san, '0') AS IS_SAN, COALESCE(mny_err, '0') AS IS_PROHIBITEDLIST,
+       COALESCE(sip, '0') AS IS_SIP, COALESCE(am, '0') AS IS_AME, COALESCE(pep, '0') AS IS_PEP,
+       COALESCE(rca, '0') AS IS_RCA
+FROM party""")
+
+OPS["manager_name_fallback"] = q("""
+SELECT da501.contract_no, COALESCE(da525.manager_name, da501.manager_name) AS C_FULLNAME
+FROM party da501 LEFT JOIN entity_manager da525
+  ON da501.idntfctn_type = da525.idntfctn_type AND da501.customer_id = da525.customer_id""")
+
+OPS["arm_agent"] = q(ARM_AGENT)
+OPS["arm_insured"] = q(ARM_INSURED)
+OPS["arm_insured_natural"] = q(ARM_INSURED_NATURAL)
+OPS["arm_benef_health"] = q(ARM_HEALTH.format(code=9))
+OPS["arm_benef_travel"] = q(ARM_TRAVEL.format(code=9))
+OPS["arm_manager"] = q(ARM_MANAGER.format(code=2) + "\nUNION ALL\n" + ARM_MANAGER.format(code=3))
+OPS["union_relation_arms"] = q(CORPORATE_REL_UNION)
+
+
+def _count_sql(name: str) -> str:
+    body = DATASETS[name]
+    return (f"SELECT '{name}' AS dataset, COUNT(*) AS records, "
+            f"COUNT(DISTINCT ID_NO) AS distinct_ids FROM ({body}) d")
+
+
+OPS["audit_counts"] = "\nUNION ALL\n".join(f"({_count_sql(n)})" for n in DATASETS)
+
+OPS["audit_relation_types"] = (
+    "SELECT 'corporate_relations' AS dataset, RELATION_TYPE, COUNT(*) AS records, "
+    f"COUNT(DISTINCT ID_NO) AS distinct_ids FROM ({CORPORATE_RELATIONS}) d GROUP BY RELATION_TYPE")
+
+OPS["publish_roundtrip"] = NATURAL_CONTACT
+
+
+def _risk_at(pop: str, as_of: str, stamp: str) -> str:
+    cols = (RISK_COLS.replace(LMD, f"CAST({as_of} AS TIMESTAMP)")
+            .replace(CD, f"CAST({stamp} AS TIMESTAMP)"))
+    return f"SELECT {ID_TYPE.format(c='da501.idntfctn_type')} AS ID_TYPE, {cols} " \
+           f"{RISK_FROM.format(pop=pop)}"
+
+
+OPS["snapshot_merge"] = q(f"""
+SELECT cur.* REPLACE (LEAST(cur.CREATE_DATE, prev.prev_create) AS CREATE_DATE)
+FROM ({_risk_at('pop_now', "DATE '2001-06-01'", "DATE '2001-06-01'")}) cur
+LEFT JOIN (SELECT ID_NO, MIN(CREATE_DATE) AS prev_create
+           FROM ({_risk_at('pop_before', "DATE '2001-03-01'", "DATE '2001-03-01'")}) p
+           GROUP BY ID_NO) prev
+  ON cur.ID_NO = prev.ID_NO
+""", pop_cte("pop_now", True), pop_cte("pop_before", True, "DATE '2001-03-01'"))
+
 ORACLES: dict[str, str] = dict(DATASETS)
 ORACLES["natural_relations_with_insured"] = NATURAL_RELATIONS_WITH_INSURED
+ORACLES.update(OPS)
