@@ -16,8 +16,16 @@ from custmaster.operators.income import contract_customer_bridge, income_profile
 from custmaster.params import DEFAULT_PARAMS, RunParams
 
 
-def with_income(pop: DataFrame, party: DataFrame, income: DataFrame) -> DataFrame:
-    ids = pop.select("customer_id")
+def with_income(pop: DataFrame, party: DataFrame, income: DataFrame,
+                restrict_ids: DataFrame | None = None) -> DataFrame:
+    """Population ⟕ income profile.
+
+    The profile is computed only for ``restrict_ids`` (default: the
+    population's ids).  Any superset of the population gives the same rows;
+    passing the active-customer ids avoids ranking the party history a second
+    time when the population is not materialised.
+    """
+    ids = restrict_ids if restrict_ids is not None else pop.select("customer_id")
     prof = income_profile(income, contract_customer_bridge(party, ids=ids))
     prof = prof.select("customer_id", F.col("pay_source").alias("_inc_source"),
                        F.col("min_year_income").alias("_inc_amount"))
@@ -33,10 +41,11 @@ def _with_address(df: DataFrame, address: DataFrame | None) -> DataFrame:
 
 def corporate_basic(pop: DataFrame, party: DataFrame, income: DataFrame,
                     params: RunParams = DEFAULT_PARAMS,
-                    registered_address: DataFrame | None = None) -> DataFrame:
+                    registered_address: DataFrame | None = None,
+                    restrict_ids: DataFrame | None = None) -> DataFrame:
     """Corporate basic profile.  ``registered_address`` (customer_id, address)
     fills REGISTERED_ADDR; without it the column is ``''`` as in the source."""
-    df = with_income(pop, party, income)
+    df = with_income(pop, party, income, restrict_ids)
     reg = blank()
     if registered_address is not None:
         df = _with_address(df, registered_address)
@@ -66,10 +75,11 @@ def corporate_basic(pop: DataFrame, party: DataFrame, income: DataFrame,
 
 def natural_basic(pop: DataFrame, party: DataFrame, income: DataFrame,
                   params: RunParams = DEFAULT_PARAMS,
-                  registered_address: DataFrame | None = None) -> DataFrame:
+                  registered_address: DataFrame | None = None,
+                  restrict_ids: DataFrame | None = None) -> DataFrame:
     """Natural-person basic profile.  With ``registered_address`` a
     REGISTERED_ADDR column follows COUNTRY (it is commented out in the source)."""
-    df = with_income(pop, party, income)
+    df = with_income(pop, party, income, restrict_ids)
     addr = []
     if registered_address is not None:
         df = _with_address(df, registered_address)

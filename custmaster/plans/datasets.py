@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 
 from custmaster.operators import contacts, profiles, relations, risk
 from custmaster.operators.address import latest_registered_address
-from custmaster.operators.population import population
+from custmaster.operators.population import active_customer_ids, population
 from custmaster.params import CORPORATE_ID_TYPES, DEFAULT_PARAMS, NATURAL_ID_TYPES, RunParams
 from custmaster.sources import Sources
 
@@ -24,16 +24,22 @@ def class_population(src: Sources, cls: str, params: RunParams = DEFAULT_PARAMS)
 
 def corporate_basic(src: Sources, params: RunParams = DEFAULT_PARAMS,
                     pop: DataFrame | None = None, with_address: bool = False) -> DataFrame:
-    pop = pop if pop is not None else class_population(src, "corporate", params)
+    ids = None
+    if pop is None:
+        pop = class_population(src, "corporate", params)
+        ids = active_customer_ids(src.policy, src.insured, params)
     addr = latest_registered_address(src.party_address) if with_address else None
-    return profiles.corporate_basic(pop, src.party, src.income, params, addr)
+    return profiles.corporate_basic(pop, src.party, src.income, params, addr, ids)
 
 
 def natural_basic(src: Sources, params: RunParams = DEFAULT_PARAMS,
                   pop: DataFrame | None = None, with_address: bool = False) -> DataFrame:
-    pop = pop if pop is not None else class_population(src, "natural", params)
+    ids = None
+    if pop is None:
+        pop = class_population(src, "natural", params)
+        ids = active_customer_ids(src.policy, src.insured, params)
     addr = latest_registered_address(src.party_address) if with_address else None
-    return profiles.natural_basic(pop, src.party, src.income, params, addr)
+    return profiles.natural_basic(pop, src.party, src.income, params, addr, ids)
 
 
 def corporate_contact(src: Sources, params: RunParams = DEFAULT_PARAMS,
