@@ -1 +1,7 @@
-"""."""
+"""Streaming: intentionally empty.
+
+The source batch is a full daily rebuild of current-state datasets; it has
+no stream, watermark, trigger or state.  Incremental behaviour that does
+exist -- keeping the first-creation date across daily runs -- is a batch
+merge (``custmaster.operators.audit.snapshot_merge``).
+"""
