@@ -46,7 +46,7 @@ def publish(df: DataFrame, path: str | None = None, table: str | None = None,
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder of the cluster."""
     base = checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/published/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def publish_roundtrip(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:

@@ -1,37 +1,48 @@
 """The daily batch: all eight datasets for one business date.
 
-Per class the population is computed once and materialised with a reliable
-``checkpoint()`` in the cluster's shared checkpoint folder
-(``spark.checkpoint.dir``): four datasets read it, and a lost executor then
-costs a re-read of the checkpoint, not a re-run of the ranking over the whole
-party history.  Each dataset is then written (``publish``) and counted.
+Per class the population is computed once and written as a parquet table
+into the cluster's shared checkpoint folder (``spark.checkpoint.dir``); four
+datasets read it back.  That cuts the lineage (a lost executor costs a
+re-read of those files, not a re-run of the ranking over the whole party
+history), keeps file statistics for the planner, and lets each dataset read
+only the population columns it uses -- measured faster than an RDD
+``checkpoint()``, whose rows carry no statistics.  Each dataset is then
+written (``publish``) and counted.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custmaster.operators.audit import audit_counts, publish
+from custmaster.operators.audit import audit_counts, publish, shared_path
 from custmaster.params import DEFAULT_PARAMS, RunParams
 from custmaster.plans.datasets import DATASETS, class_population
 from custmaster.session import checkpoint_dir
 from custmaster.sources import Sources
 
 
+def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder, read it back."""
+    path = shared_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def populations(spark: SparkSession, src: Sources, params: RunParams = DEFAULT_PARAMS,
-                materialise: bool = True) -> dict[str, DataFrame]:
+                materialise_tables: bool = True) -> dict[str, DataFrame]:
     pops = {}
-    if materialise:
+    if materialise_tables:
         checkpoint_dir(spark)
     for cls in ("corporate", "natural"):
         pop = class_population(src, cls, params)
-        pops[cls] = pop.checkpoint(eager=True) if materialise else pop
+        pops[cls] = (materialise(spark, pop, f"population_{cls}_{params.as_of:%Y%m%d}")
+                     if materialise_tables else pop)
     return pops
 
 
 def build_all(spark: SparkSession, src: Sources, params: RunParams = DEFAULT_PARAMS,
-              materialise: bool = True) -> dict[str, DataFrame]:
-    pops = populations(spark, src, params, materialise)
+              materialise_tables: bool = True) -> dict[str, DataFrame]:
+    pops = populations(spark, src, params, materialise_tables)
     return {name: fn(src, params, pop=pops[cls]) for name, (cls, fn) in DATASETS.items()}
 
 

@@ -55,6 +55,6 @@ def test_populations_checkpointed(spark, src_small):
     pops = batch.populations(spark, src_small)
     for cls, pop in pops.items():
         txt = pop._jdf.queryExecution().analyzed().toString()
-        assert "LogicalRDD" in txt, cls          # lineage cut at the checkpoint
+        assert "Relation" in txt and "parquet" in txt.lower(), cls   # lineage cut: a written table
         assert pop.count() == datasets.class_population(src_small, cls).count()
     assert pops["natural"].filter(F.col("customer_id").isNull()).count() == 0
