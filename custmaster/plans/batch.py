@@ -12,6 +12,8 @@ written (``publish``) and counted.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from custmaster.operators.audit import audit_counts, publish, shared_path
@@ -47,13 +49,23 @@ def build_all(spark: SparkSession, src: Sources, params: RunParams = DEFAULT_PAR
 
 
 def run_daily(spark: SparkSession, src: Sources, out_dir: str,
-              params: RunParams = DEFAULT_PARAMS) -> DataFrame:
+              params: RunParams = DEFAULT_PARAMS, concurrent_writes: int = 4) -> DataFrame:
     """Write every dataset under ``out_dir/<name>`` and return the audit counts
-    (read back from the written tables, so the counts are of what was published)."""
+    (read back from the written tables, so the counts are of what was published).
+
+    The eight writes are independent Spark jobs; up to ``concurrent_writes``
+    are submitted at once so that the tail stages of one dataset do not leave
+    the cluster idle.  Each write overwrites its own folder, so a failed run
+    is re-run as a whole.
+    """
+    built = build_all(spark, src, params)
+    paths = {name: f"{out_dir.rstrip('/')}/{name}" for name in built}
+    with ThreadPoolExecutor(max_workers=max(1, concurrent_writes)) as pool:
+        futures = [pool.submit(publish, df, paths[name]) for name, df in built.items()]
+        for f in futures:
+            f.result()
     counts = None
-    for name, df in build_all(spark, src, params).items():
-        path = f"{out_dir.rstrip('/')}/{name}"
-        publish(df, path=path)
+    for name, path in paths.items():
         c = audit_counts(spark.read.parquet(path), name)
         counts = c if counts is None else counts.unionByName(c)
     return counts

@@ -29,7 +29,7 @@ def corporate_basic(src: Sources, params: RunParams = DEFAULT_PARAMS,
         pop = class_population(src, "corporate", params)
         ids = active_customer_ids(src.policy, src.insured, params)
     addr = latest_registered_address(src.party_address) if with_address else None
-    return profiles.corporate_basic(pop, src.party, src.income, params, addr, ids)
+    return profiles.corporate_basic(pop, src.party, src.declarations(), params, addr, ids)
 
 
 def natural_basic(src: Sources, params: RunParams = DEFAULT_PARAMS,
@@ -39,7 +39,7 @@ def natural_basic(src: Sources, params: RunParams = DEFAULT_PARAMS,
         pop = class_population(src, "natural", params)
         ids = active_customer_ids(src.policy, src.insured, params)
     addr = latest_registered_address(src.party_address) if with_address else None
-    return profiles.natural_basic(pop, src.party, src.income, params, addr, ids)
+    return profiles.natural_basic(pop, src.party, src.declarations(), params, addr, ids)
 
 
 def corporate_contact(src: Sources, params: RunParams = DEFAULT_PARAMS,

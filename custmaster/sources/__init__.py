@@ -23,7 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 from custmaster.sources import fixtures
 
 ROLES = ("party", "policy", "policy_agent", "insured", "benef_health", "benef_travel",
-         "income", "entity_manager", "param_lookup", "country_risk", "party_address")
+         "income", "entity_manager", "param_lookup", "country_risk", "party_address",
+         "income_extra")
+# income_extra: optional second source of income declarations (same columns as
+# income); unioned into the declarations when bound.
 
 
 class Sources:
@@ -44,6 +47,14 @@ class Sources:
     def has(self, role: str) -> bool:
         return role in self._loaders
 
+    def declarations(self) -> DataFrame:
+        """Income declarations of all bound income sources."""
+        cols = ["contract_no", "pay_source", "min_year_income", "change_date_time"]
+        inc = self.income.select(*cols)
+        if self.has("income_extra"):
+            inc = inc.unionByName(self.income_extra.select(*cols))
+        return inc
+
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str) -> "Sources":
         t = fixtures.DriverTables(spark, sf_dir)

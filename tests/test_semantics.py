@@ -148,3 +148,16 @@ def test_relations_arms(spark):
         assert (tag, "fallback", "T999", None, "1950-01-01", "MX", "44") in got
     assert len(got) == 9
     assert {r["ID_NO"] for r in df.collect()} == {"1"}
+
+
+def test_second_income_source_is_unioned(spark):
+    from builders import SCHEMAS
+    from custmaster.sources import Sources
+    base = make_sources(spark, party=[party_row(10, 1)], policy=ACTIVE, insured=_ins(1),
+                        income=[(10, "1", 100, ts("2000-01-01"))])
+    extra = spark.createDataFrame([(10, "3", 900, ts("2000-06-01"))], SCHEMAS["income"])
+    loaders = {r: (lambda r=r: getattr(base, r)) for r in SCHEMAS}
+    loaders["income_extra"] = lambda: extra
+    src = Sources(spark, loaders)
+    [(s, a)] = collect(datasets.natural_basic(src, AS_OF), "INVEST_SOURCE", "ANNUAL_INCOME")
+    assert s == "工作/營業收入,退休收入" and a == "900"

@@ -3,7 +3,8 @@
 import pytest
 
 from conftest import SF_SMALL, same_rows
-from custmaster.sources import ROLES, Sources
+from custmaster.sources import Sources
+from custmaster.sources.fixtures import ADAPTER_FUNCS
 from custmaster.sources.fixture_sql import ADAPTERS
 
 
@@ -14,7 +15,7 @@ def views(spark):
     return True
 
 
-@pytest.mark.parametrize("role", ROLES)
+@pytest.mark.parametrize("role", list(ADAPTER_FUNCS))
 def test_adapter_matches_sql(spark, views, role):
     df = getattr(Sources.from_fixtures(spark, SF_SMALL), role)
     sql = spark.sql(ADAPTERS[role])
