@@ -58,3 +58,18 @@ def test_populations_checkpointed(spark, src_small):
         assert "Relation" in txt and "parquet" in txt.lower(), cls   # lineage cut: a written table
         assert pop.count() == datasets.class_population(src_small, cls).count()
     assert pops["natural"].filter(F.col("customer_id").isNull()).count() == 0
+
+
+def test_views_answer_to_target_names(spark, src_small):
+    from custmaster.plans.views import register_views
+    names = register_views(spark, src_small)
+    assert "ins_nprisk_tmp" in names and "party" in names
+    a = spark.sql("SELECT COUNT(*) AS n, COUNT(DISTINCT ID_NO) AS d FROM ins_nprisk_tmp").first()
+    assert a["n"] == a["d"] == datasets.natural_risk(src_small).count()
+
+
+def test_cli_runs_the_batch(tmp_path, capsys):
+    from custmaster.__main__ import main
+    main(["--fixtures", "/root/testdata/sf0.001", "--out", str(tmp_path / "o")])
+    out = capsys.readouterr().out
+    assert out.count("records=") == 8
