@@ -6,7 +6,7 @@ rows are produced, nothing is collected to the driver) on
 then the whole daily batch (populations computed once and checkpointed,
 eight datasets written as parquet).  One untimed warm-up pass runs all eight
 datasets first; each number is then the best of ``$BENCH_REPEAT`` runs
-(default 2).  ``value`` is the sum over the eight datasets.  Prints one JSON
+(default 3).  ``value`` is the sum over the eight datasets.  Prints one JSON
 line.
 """
 
@@ -39,7 +39,7 @@ def timed(fn, repeat: int) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     scratch = tempfile.mkdtemp(prefix="run-")
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus,
                           extra={"spark.driver.memory": "16g",

@@ -33,10 +33,18 @@ def party_contact_rows(party: DataFrame) -> DataFrame:
 
 
 def distinct_contacts(party: DataFrame, party_address: DataFrame | None = None,
-                      natural: bool = False, business_date: dt.date | None = None
-                      ) -> DataFrame:
-    """``SELECT DISTINCT ID, CONTACT_TYPE, CONTENT`` over all contact arms."""
-    rows = party_contact_rows(party)
+                      natural: bool = False, business_date: dt.date | None = None,
+                      party_contacts: DataFrame | None = None) -> DataFrame:
+    """``SELECT DISTINCT ID, CONTACT_TYPE, CONTENT`` over all contact arms.
+
+    ``party_contacts`` is an already computed distinct of the party arms (the
+    daily batch materialises it once for both classes)."""
+    if party_contacts is not None:
+        if party_address is None:
+            return party_contacts
+        rows = party_contacts
+    else:
+        rows = party_contact_rows(party)
     if party_address is not None:
         rows = address_contact_rows(party_address, natural, business_date).unionByName(rows)
     return rows.distinct()
@@ -47,8 +55,10 @@ def _joined(pop: DataFrame, contacts: DataFrame) -> DataFrame:
 
 
 def corporate_contact(pop: DataFrame, party: DataFrame, params: RunParams = DEFAULT_PARAMS,
-                      party_address: DataFrame | None = None) -> DataFrame:
-    j = _joined(pop, distinct_contacts(party, party_address, natural=False))
+                      party_address: DataFrame | None = None,
+                      party_contacts: DataFrame | None = None) -> DataFrame:
+    j = _joined(pop, distinct_contacts(party, party_address, natural=False,
+                                       party_contacts=party_contacts))
     return j.select(
         text("customer_id").alias("ID_NO"),
         F.lit(params.source_tag).alias("SOURCE"),
@@ -62,9 +72,11 @@ def corporate_contact(pop: DataFrame, party: DataFrame, params: RunParams = DEFA
 
 
 def natural_contact(pop: DataFrame, party: DataFrame, params: RunParams = DEFAULT_PARAMS,
-                    party_address: DataFrame | None = None) -> DataFrame:
+                    party_address: DataFrame | None = None,
+                    party_contacts: DataFrame | None = None) -> DataFrame:
     j = _joined(pop, distinct_contacts(party, party_address, natural=True,
-                                       business_date=params.as_of))
+                                       business_date=params.as_of,
+                                       party_contacts=party_contacts))
     return j.select(
         text(codes.id_type(F.col("idntfctn_type"))).alias("ID_TYPE"),
         text("customer_id").alias("ID_NO"),

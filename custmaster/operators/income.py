@@ -25,9 +25,17 @@ from custmaster.functions.codes import pay_source_text
 from custmaster.functions.columns import usable_income
 
 
+def contract_pairs(party: DataFrame, keep_null: bool = False) -> DataFrame:
+    """Distinct (contract_no, customer_id) of the party history."""
+    b = party.select("contract_no", "customer_id")
+    if not keep_null:
+        b = b.filter(F.col("customer_id").isNotNull())
+    return b.distinct()
+
+
 def contract_customer_bridge(party: DataFrame, ids: DataFrame | None = None,
-                             carry: DataFrame | None = None, keep_null: bool = False
-                             ) -> DataFrame:
+                             carry: DataFrame | None = None, keep_null: bool = False,
+                             pairs: DataFrame | None = None) -> DataFrame:
     """Distinct (contract_no, customer_id) pairs of the party history.
 
     ``ids`` restricts the customers with a left-semi join; ``carry`` is a
@@ -35,11 +43,10 @@ def contract_customer_bridge(party: DataFrame, ids: DataFrame | None = None,
     so that later stages need no second join to the population.
     ``keep_null`` keeps party rows without a customer id (the source's left
     joins then yield a NULL id for them, as for an unknown contract).
+    ``pairs`` is an already computed ``contract_pairs`` (the daily batch
+    materialises it once for four datasets).
     """
-    b = party.select("contract_no", "customer_id")
-    if not keep_null:
-        b = b.filter(F.col("customer_id").isNotNull())
-    b = b.distinct()
+    b = pairs if pairs is not None else contract_pairs(party, keep_null)
     if ids is not None:
         b = b.join(ids.select("customer_id"), "customer_id", "left_semi")
     if carry is not None:

@@ -17,7 +17,8 @@ from custmaster.params import DEFAULT_PARAMS, RunParams
 
 
 def with_income(pop: DataFrame, party: DataFrame, income: DataFrame,
-                restrict_ids: DataFrame | None = None) -> DataFrame:
+                restrict_ids: DataFrame | None = None, pairs: DataFrame | None = None
+                ) -> DataFrame:
     """Population ⟕ income profile.
 
     The profile is computed only for ``restrict_ids`` (default: the
@@ -26,7 +27,7 @@ def with_income(pop: DataFrame, party: DataFrame, income: DataFrame,
     time when the population is not materialised.
     """
     ids = restrict_ids if restrict_ids is not None else pop.select("customer_id")
-    prof = income_profile(income, contract_customer_bridge(party, ids=ids))
+    prof = income_profile(income, contract_customer_bridge(party, ids=ids, pairs=pairs))
     prof = prof.select("customer_id", F.col("pay_source").alias("_inc_source"),
                        F.col("min_year_income").alias("_inc_amount"))
     return pop.join(prof, "customer_id", "left")
@@ -42,10 +43,11 @@ def _with_address(df: DataFrame, address: DataFrame | None) -> DataFrame:
 def corporate_basic(pop: DataFrame, party: DataFrame, income: DataFrame,
                     params: RunParams = DEFAULT_PARAMS,
                     registered_address: DataFrame | None = None,
-                    restrict_ids: DataFrame | None = None) -> DataFrame:
+                    restrict_ids: DataFrame | None = None,
+                    pairs: DataFrame | None = None) -> DataFrame:
     """Corporate basic profile.  ``registered_address`` (customer_id, address)
     fills REGISTERED_ADDR; without it the column is ``''`` as in the source."""
-    df = with_income(pop, party, income, restrict_ids)
+    df = with_income(pop, party, income, restrict_ids, pairs)
     reg = blank()
     if registered_address is not None:
         df = _with_address(df, registered_address)
@@ -76,10 +78,11 @@ def corporate_basic(pop: DataFrame, party: DataFrame, income: DataFrame,
 def natural_basic(pop: DataFrame, party: DataFrame, income: DataFrame,
                   params: RunParams = DEFAULT_PARAMS,
                   registered_address: DataFrame | None = None,
-                  restrict_ids: DataFrame | None = None) -> DataFrame:
+                  restrict_ids: DataFrame | None = None,
+                  pairs: DataFrame | None = None) -> DataFrame:
     """Natural-person basic profile.  With ``registered_address`` a
     REGISTERED_ADDR column follows COUNTRY (it is commented out in the source)."""
-    df = with_income(pop, party, income, restrict_ids)
+    df = with_income(pop, party, income, restrict_ids, pairs)
     addr = []
     if registered_address is not None:
         df = _with_address(df, registered_address)

@@ -142,15 +142,21 @@ def as_arm(df: DataFrame) -> DataFrame:
     return df.select(text("customer_id").alias("ID"), *REL_COLS)
 
 
+def person_lookup(party: DataFrame) -> DataFrame:
+    """The person lookup of the insured and health-beneficiary arms."""
+    return person_bridge(party, ["birthday", "national_country_code"])
+
+
 def corporate_arms(pop: DataFrame, party: DataFrame, policy_agent: DataFrame,
                    insured: DataFrame, benef_health: DataFrame, benef_travel: DataFrame,
-                   entity_manager: DataFrame) -> DataFrame:
+                   entity_manager: DataFrame, pairs: DataFrame | None = None,
+                   persons: DataFrame | None = None) -> DataFrame:
     carry = pop.select("customer_id")
-    bridge = contract_customer_bridge(party, carry=carry)
+    bridge = contract_customer_bridge(party, carry=carry, pairs=pairs)
     # one person lookup serves both arms: the insured arm is DISTINCT without
     # the birthday, so the wider tuple changes nothing but saves a full pass
     # (scan + aggregate) over the party history
-    person = person_bridge(party, ["birthday", "national_country_code"])
+    person = persons if persons is not None else person_lookup(party)
     arms = [
         agent_rows(policy_agent, bridge),
         insured_rows(insured, bridge, person),
@@ -166,10 +172,11 @@ def corporate_arms(pop: DataFrame, party: DataFrame, policy_agent: DataFrame,
 
 def corporate_relations(pop: DataFrame, party: DataFrame, policy_agent: DataFrame,
                         insured: DataFrame, benef_health: DataFrame, benef_travel: DataFrame,
-                        entity_manager: DataFrame, params: RunParams = DEFAULT_PARAMS
+                        entity_manager: DataFrame, params: RunParams = DEFAULT_PARAMS,
+                        pairs: DataFrame | None = None, persons: DataFrame | None = None
                         ) -> DataFrame:
     u = corporate_arms(pop, party, policy_agent, insured, benef_health, benef_travel,
-                       entity_manager)
+                       entity_manager, pairs, persons)
     return u.select(
         text("customer_id").alias("ID_NO"),
         F.lit(params.source_tag).alias("SOURCE"),
@@ -189,17 +196,18 @@ def natural_insured_rows(insured: DataFrame, bridge: DataFrame) -> DataFrame:
 
 def natural_arms(pop: DataFrame, party: DataFrame, policy_agent: DataFrame,
                  insured: DataFrame, benef_health: DataFrame, benef_travel: DataFrame,
-                 with_insured: bool = False) -> DataFrame:
+                 with_insured: bool = False, pairs: DataFrame | None = None,
+                 persons: DataFrame | None = None) -> DataFrame:
     carry = pop.select("customer_id",
                        text(codes.id_type(F.col("idntfctn_type"))).alias("ID_TYPE"),
                        birth_digit(F.col("birthday")).alias("PTN"))
-    bridge = contract_customer_bridge(party, carry=carry)
+    bridge = contract_customer_bridge(party, carry=carry, pairs=pairs)
     arms = [agent_rows(policy_agent, bridge)]
     if with_insured:
         arms.append(natural_insured_rows(insured, bridge))
     arms += [
         health_beneficiary_rows(benef_health, bridge,
-                                person_bridge(party, ["birthday", "national_country_code"]),
+                                persons if persons is not None else person_lookup(party),
                                 code=codes.REL_BENEFICIARY_NATURAL),
         travel_beneficiary_rows(benef_travel, bridge, code=codes.REL_BENEFICIARY_NATURAL),
     ]
@@ -211,10 +219,11 @@ def natural_arms(pop: DataFrame, party: DataFrame, policy_agent: DataFrame,
 
 def natural_relations(pop: DataFrame, party: DataFrame, policy_agent: DataFrame,
                       insured: DataFrame, benef_health: DataFrame, benef_travel: DataFrame,
-                      params: RunParams = DEFAULT_PARAMS, with_insured: bool = False
+                      params: RunParams = DEFAULT_PARAMS, with_insured: bool = False,
+                      pairs: DataFrame | None = None, persons: DataFrame | None = None
                       ) -> DataFrame:
     u = natural_arms(pop, party, policy_agent, insured, benef_health, benef_travel,
-                     with_insured)
+                     with_insured, pairs, persons)
     return u.select(
         "ID_TYPE",
         text("customer_id").alias("ID_NO"),

@@ -29,7 +29,8 @@ def corporate_basic(src: Sources, params: RunParams = DEFAULT_PARAMS,
         pop = class_population(src, "corporate", params)
         ids = active_customer_ids(src.policy, src.insured, params)
     addr = latest_registered_address(src.party_address) if with_address else None
-    return profiles.corporate_basic(pop, src.party, src.declarations(), params, addr, ids)
+    return profiles.corporate_basic(pop, src.party, src.declarations(), params, addr, ids,
+                                    src.derived("pairs"))
 
 
 def natural_basic(src: Sources, params: RunParams = DEFAULT_PARAMS,
@@ -39,21 +40,24 @@ def natural_basic(src: Sources, params: RunParams = DEFAULT_PARAMS,
         pop = class_population(src, "natural", params)
         ids = active_customer_ids(src.policy, src.insured, params)
     addr = latest_registered_address(src.party_address) if with_address else None
-    return profiles.natural_basic(pop, src.party, src.declarations(), params, addr, ids)
+    return profiles.natural_basic(pop, src.party, src.declarations(), params, addr, ids,
+                                  src.derived("pairs"))
 
 
 def corporate_contact(src: Sources, params: RunParams = DEFAULT_PARAMS,
                       pop: DataFrame | None = None, with_address: bool = False) -> DataFrame:
     pop = pop if pop is not None else class_population(src, "corporate", params)
     return contacts.corporate_contact(pop, src.party, params,
-                                      src.party_address if with_address else None)
+                                      src.party_address if with_address else None,
+                                      src.derived("contacts"))
 
 
 def natural_contact(src: Sources, params: RunParams = DEFAULT_PARAMS,
                     pop: DataFrame | None = None, with_address: bool = False) -> DataFrame:
     pop = pop if pop is not None else class_population(src, "natural", params)
     return contacts.natural_contact(pop, src.party, params,
-                                    src.party_address if with_address else None)
+                                    src.party_address if with_address else None,
+                                    src.derived("contacts"))
 
 
 def corporate_relations(src: Sources, params: RunParams = DEFAULT_PARAMS,
@@ -61,7 +65,8 @@ def corporate_relations(src: Sources, params: RunParams = DEFAULT_PARAMS,
     pop = pop if pop is not None else class_population(src, "corporate", params)
     return relations.corporate_relations(pop, src.party, src.policy_agent, src.insured,
                                          src.benef_health, src.benef_travel,
-                                         src.entity_manager, params)
+                                         src.entity_manager, params,
+                                         src.derived("pairs"), src.derived("persons"))
 
 
 def natural_relations(src: Sources, params: RunParams = DEFAULT_PARAMS,
@@ -69,7 +74,8 @@ def natural_relations(src: Sources, params: RunParams = DEFAULT_PARAMS,
     pop = pop if pop is not None else class_population(src, "natural", params)
     return relations.natural_relations(pop, src.party, src.policy_agent, src.insured,
                                        src.benef_health, src.benef_travel, params,
-                                       with_insured)
+                                       with_insured, src.derived("pairs"),
+                                       src.derived("persons"))
 
 
 def corporate_risk(src: Sources, params: RunParams = DEFAULT_PARAMS,

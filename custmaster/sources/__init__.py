@@ -29,11 +29,32 @@ ROLES = ("party", "policy", "policy_agent", "insured", "benef_health", "benef_tr
 # income); unioned into the declarations when bound.
 
 
+# Small tables derived from the party history that several datasets share:
+# distinct (contract, customer) pairs, the person lookup, the distinct contact
+# rows.  Unbound, every dataset derives them itself; the daily batch
+# materialises them once and binds them (``with_derived``).
+DERIVED = ("pairs", "persons", "contacts")
+
+
 class Sources:
-    def __init__(self, spark: SparkSession, loaders: dict[str, Callable[[], DataFrame]]):
+    def __init__(self, spark: SparkSession, loaders: dict[str, Callable[[], DataFrame]],
+                 derived: dict[str, DataFrame] | None = None):
         self.spark = spark
         self._loaders = loaders
         self._cache: dict[str, DataFrame] = {}
+        self._derived = dict(derived or {})
+
+    def derived(self, name: str) -> DataFrame | None:
+        """A bound derived table (see ``DERIVED``), or None."""
+        if name not in DERIVED:
+            raise KeyError(name)
+        return self._derived.get(name)
+
+    def with_derived(self, tables: dict[str, DataFrame]) -> "Sources":
+        """A bundle over the same inputs with derived tables bound."""
+        out = Sources(self.spark, self._loaders, {**self._derived, **tables})
+        out._cache = self._cache
+        return out
 
     def __getattr__(self, role: str) -> DataFrame:
         if role.startswith("_") or role not in ROLES:
