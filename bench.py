@@ -23,7 +23,7 @@ sys.path.insert(0, ROOT)
 
 from custmaster.params import DEFAULT_PARAMS  # noqa: E402
 from custmaster.plans import batch, datasets  # noqa: E402
-from custmaster.session import build_session  # noqa: E402
+from custmaster.session import build_session, checkpoint_dir  # noqa: E402
 from custmaster.sources import Sources  # noqa: E402
 
 
@@ -43,8 +43,9 @@ def main() -> None:
     scratch = tempfile.mkdtemp(prefix="run-")
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus,
                           extra={"spark.driver.memory": "16g",
-                                 "spark.checkpoint.dir": f"{scratch}/checkpoints",
                                  "spark.local.dir": f"{scratch}/local"})
+    # the configured spark.checkpoint.dir if any, else a fresh scratch folder
+    checkpoint_dir(spark)
     src = Sources.from_fixtures(spark, sf_dir)
 
     # warm-up pass (untimed): JIT, parquet footers, codegen caches

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -14,11 +13,11 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from custmaster.session import build_session
+    from custmaster.session import build_session, checkpoint_dir
 
-    scratch = tempfile.mkdtemp(prefix="run-")
-    s = build_session("local[8]", 8, app_name="custmaster-tests",
-                      extra={"spark.checkpoint.dir": f"{scratch}/checkpoints"})
+    s = build_session("local[8]", 8, app_name="custmaster-tests")
+    # the cluster's spark.checkpoint.dir if configured, else a fresh scratch folder
+    checkpoint_dir(s)
     yield s
     s.stop()
 
