@@ -34,6 +34,11 @@ def publish(df: DataFrame, path: str | None = None, table: str | None = None,
     """Overwrite the dataset at ``path`` (parquet) or as catalog ``table``."""
     if partition_by is None:
         partition_by = ["PTN"] if "PTN" in df.columns else []
+    if partition_by:
+        # one shuffle so that each task writes few partition folders; AQE
+        # splits a hot value (PTN '0' holds every masked or missing birthday)
+        # over several tasks and coalesces small ones
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

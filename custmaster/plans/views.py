@@ -37,7 +37,7 @@ def register_views(spark: SparkSession, src: Sources, params: RunParams = DEFAUL
             df.createOrReplaceTempView(view)
             names.append(view)
     if with_sources:
-        for role in src._loaders:
+        for role in src.roles():
             getattr(src, role).createOrReplaceTempView(role)
             names.append(role)
     return names

@@ -68,6 +68,10 @@ class Sources:
     def has(self, role: str) -> bool:
         return role in self._loaders
 
+    def roles(self) -> list[str]:
+        """The roles bound to a table."""
+        return list(self._loaders)
+
     def declarations(self) -> DataFrame:
         """Income declarations of all bound income sources."""
         cols = ["contract_no", "pay_source", "min_year_income", "change_date_time"]
