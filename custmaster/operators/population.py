@@ -86,3 +86,17 @@ def population(party: DataFrame, policy: DataFrame, insured: DataFrame,
 
 def population_ids(pop: DataFrame) -> DataFrame:
     return pop.select("customer_id")
+
+
+def member_ids(party: DataFrame, policy: DataFrame, insured: DataFrame,
+               id_types: Sequence[str], params: RunParams = DEFAULT_PARAMS) -> DataFrame:
+    """The ids of ``population`` without computing the latest rows.
+
+    Membership does not depend on the ranking (the class filter comes first
+    and every customer keeps exactly one row), so a distinct over the class's
+    ids -- a map-side combined hash aggregate -- replaces the window when a
+    dataset needs nothing but the ids.
+    """
+    cls = (party.filter(F.col("idntfctn_type").isin(*id_types))
+           .select("customer_id").filter(F.col("customer_id").isNotNull()).distinct())
+    return cls.join(active_customer_ids(policy, insured, params), "customer_id", "inner")

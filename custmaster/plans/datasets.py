@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 
 from custmaster.operators import contacts, profiles, relations, risk
 from custmaster.operators.address import latest_registered_address
-from custmaster.operators.population import active_customer_ids, population
+from custmaster.operators.population import active_customer_ids, member_ids, population
 from custmaster.params import CORPORATE_ID_TYPES, DEFAULT_PARAMS, NATURAL_ID_TYPES, RunParams
 from custmaster.sources import Sources
 
@@ -62,7 +62,9 @@ def natural_contact(src: Sources, params: RunParams = DEFAULT_PARAMS,
 
 def corporate_relations(src: Sources, params: RunParams = DEFAULT_PARAMS,
                         pop: DataFrame | None = None) -> DataFrame:
-    pop = pop if pop is not None else class_population(src, "corporate", params)
+    # only the population's ids are used here: no ranking needed
+    pop = pop if pop is not None else member_ids(src.party, src.policy, src.insured,
+                                                 CORPORATE_ID_TYPES, params)
     return relations.corporate_relations(pop, src.party, src.policy_agent, src.insured,
                                          src.benef_health, src.benef_travel,
                                          src.entity_manager, params,

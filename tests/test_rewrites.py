@@ -88,3 +88,11 @@ def test_stable_under_partitioning(spark, src_small, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert sorted(map(tuple, one), key=repr) == sorted(map(tuple, many), key=repr)
+
+
+@pytest.mark.parametrize("cls", ["corporate", "natural"])
+def test_member_ids_equal_population_ids(src_small, cls):
+    from custmaster.operators.population import member_ids
+    src = src_small
+    ids = member_ids(src.party, src.policy, src.insured, datasets.CLASSES[cls])
+    same_rows(ids, datasets.class_population(src, cls).select("customer_id"))
