@@ -86,3 +86,31 @@ def test_forced_skew_split_keeps_results(spark, hot):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_aqe_splits_the_hot_contract(spark, hot):
+    """With the contract-keyed joins planned as sort-merge joins (as on large
+    inputs), AQE marks the joins over the hot contract as skew joins."""
+    src, _ = hot
+    keys = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        df = datasets.corporate_relations(src)
+        df.collect()
+        txt = df._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in txt
+        assert "SortMergeJoin(skew=true)" in txt
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
