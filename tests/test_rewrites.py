@@ -96,3 +96,12 @@ def test_member_ids_equal_population_ids(src_small, cls):
     src = src_small
     ids = member_ids(src.party, src.policy, src.insured, datasets.CLASSES[cls])
     same_rows(ids, datasets.class_population(src, cls).select("customer_id"))
+
+
+def test_one_pass_populations_equal_per_class(src_small):
+    from custmaster.operators.population import populations_by_class
+    src = src_small
+    both = populations_by_class(src.party, src.policy, src.insured, datasets.CLASSES)
+    for cls in datasets.CLASSES:
+        one = both.filter(F.col("_class") == cls).drop("_class")
+        same_rows(one, datasets.class_population(src, cls))
