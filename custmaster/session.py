@@ -8,6 +8,7 @@ executes them:
 * Adaptive query execution with skew-join splitting: contract and customer
   keys are skewed (one group policy can carry a third of all insured rows),
   and AQE splits such partitions at run time instead of one task doing them.
+* Broadcast joins only behind a measured or checked size (see BASE_CONF).
 * No Spark UI (no server is opened).
 
 ``shuffle_partitions_for`` sizes ``spark.sql.shuffle.partitions`` from the
@@ -40,6 +41,12 @@ BASE_CONF: dict[str, str] = {
     # prune the big side of contract joins with a runtime Bloom filter built
     # from the (filtered) small side, before it is shuffled
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # broadcasts only from measured sizes: the static choice trusts a file-size
+    # estimate (compressed parquet bytes), so it is off; AQE converts a join
+    # to broadcast from the shuffle output it has actually measured, and the
+    # lookups are broadcast behind an explicit row-count check
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

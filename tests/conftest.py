@@ -44,3 +44,15 @@ def same_rows(a, b):
     b = b.select(*a.columns)
     assert a.exceptAll(b).count() == 0
     assert b.exceptAll(a).count() == 0
+
+
+@pytest.fixture(scope="session")
+def src_tables(spark, src_small):
+    """The sf0.001 adapters written as plain parquet tables (deployment shape:
+    one table per role, no adapter joins in the plans)."""
+    from custmaster.plans.batch import materialise
+    from custmaster.sources import Sources
+    from custmaster.sources.fixtures import ADAPTER_FUNCS
+    tables = {r: materialise(spark, getattr(src_small, r), f"fixture_{r}")
+              for r in ADAPTER_FUNCS}
+    return Sources(spark, {r: (lambda d=d: d) for r, d in tables.items()})

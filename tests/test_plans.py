@@ -12,8 +12,8 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_ranking_is_limited_before_the_shuffle(src_small):
-    txt = plan(datasets.class_population(src_small, "natural"))
+def test_ranking_is_limited_before_the_shuffle(src_tables):
+    txt = plan(datasets.class_population(src_tables, "natural"))
     lines = txt.splitlines()
     partial = [i for i, l in enumerate(lines) if "WindowGroupLimit" in l and "Partial" in l]
     final = [i for i, l in enumerate(lines) if "WindowGroupLimit" in l and "Final" in l]
@@ -22,32 +22,44 @@ def test_ranking_is_limited_before_the_shuffle(src_small):
     assert any("Exchange hashpartitioning(customer_id" in l for l in between)
 
 
-def test_membership_join_does_not_undo_the_limit(src_small):
+def test_membership_join_does_not_undo_the_limit(src_tables):
     # a semi-join would be pushed below the window; the inner join with distinct ids is not
-    txt = plan(datasets.class_population(src_small, "corporate"))
+    txt = plan(datasets.class_population(src_tables, "corporate"))
     assert "LeftSemi" not in txt
 
 
-def test_income_profile_combines_map_side(src_small):
-    txt = plan(datasets.natural_basic(src_small))
+def test_income_profile_combines_map_side(src_tables):
+    txt = plan(datasets.natural_basic(src_tables))
     assert "partial_collect_set" in txt
     assert "partial_max_by" in txt
 
 
 @pytest.mark.parametrize("name", list(datasets.DATASETS))
-def test_no_python_in_plans(src_small, name):
-    txt = plan(datasets.DATASETS[name][1](src_small))
+def test_no_python_in_plans(src_tables, name):
+    txt = plan(datasets.DATASETS[name][1](src_tables))
     for marker in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
                    "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert marker not in txt, (name, marker)
 
 
-def test_scans_are_pruned(src_small):
+def test_scans_are_pruned(src_small, src_tables):
     txt = plan(datasets.natural_risk(src_small))
     scans = [l for l in txt.splitlines() if "FileScan parquet" in l and "orders" in l]
     assert scans
     for s in scans:
         assert "o_totalprice" not in s and "o_orderpriority" not in s
+    # on role tables: the party scan of the risk dataset reads only what it uses
+    txt = plan(datasets.natural_risk(src_tables))
+    party_scans = [l for l in txt.splitlines() if "ReadSchema: struct<contract_no:bigint,customer_id:bigint,idntfctn_type" in l]
+    assert party_scans
+    for s in party_scans:
+        assert "customer_name" not in s and "email" not in s and "cellular_phone" not in s
+
+
+def test_no_static_broadcast_of_estimated_sizes(spark, src_small):
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+    txt = plan(datasets.natural_basic(src_small))
+    assert "BroadcastHashJoin" not in txt          # before AQE: only checked lookups broadcast
 
 
 def test_lookup_broadcast_is_size_checked(spark, src_small):
