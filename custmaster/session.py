@@ -30,6 +30,9 @@ BASE_CONF: dict[str, str] = {
     "spark.ui.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # coalesce to the advisory size rather than keeping many tiny tasks (the
+    # setting Spark recommends for busy clusters; no difference at sf0.1)
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # a partition is skewed when it is 4x the median and above 128 MB
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
