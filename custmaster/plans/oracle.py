@@ -590,6 +590,10 @@ OPS["audit_relation_types"] = (
     "SELECT 'corporate_relations' AS dataset, RELATION_TYPE, COUNT(*) AS records, "
     f"COUNT(DISTINCT ID_NO) AS distinct_ids FROM ({CORPORATE_RELATIONS}) d GROUP BY RELATION_TYPE")
 
+OPS["audit_relation_types_natural"] = (
+    "SELECT 'natural_relations' AS dataset, RELATION_TYPE, COUNT(*) AS records, "
+    f"COUNT(DISTINCT ID_NO) AS distinct_ids FROM ({NATURAL_RELATIONS}) d GROUP BY RELATION_TYPE")
+
 OPS["publish_roundtrip"] = NATURAL_CONTACT
 
 

@@ -427,3 +427,9 @@ def snapshot_merge(spark, sf_dir):
     prev = datasets.natural_risk(src, SNAPSHOT_PREV)
     curr = datasets.natural_risk(src, SNAPSHOT_CURR)
     return audit.snapshot_merge(prev, curr, ["ID_NO"])
+
+
+@register("audit_relation_types_natural")
+def audit_relation_types_natural(spark, sf_dir):
+    df = datasets.natural_relations(_src(spark, sf_dir))
+    return audit.audit_counts(df, "natural_relations", by=["RELATION_TYPE"])
