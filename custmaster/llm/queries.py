@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from custmaster.llm import licenses
+from custmaster.llm import fingerprints, licenses, packing, quality
 from custmaster.llm.common import table
 
 
@@ -14,8 +15,25 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(table(spark, sf_dir, "documents"))
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.digest(table(spark, sf_dir, "documents"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_quality_rules": op5_quality_rules,
+    "op8_fingerprints": op8_fingerprints,
     "op9_licenses": op9_licenses,
+    "op10_packing": op10_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_quality_rules": quality.ORACLE_SQL,
+}
