@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from custmaster.llm import fingerprints, licenses, packing, quality
+from custmaster.llm import bpe, fingerprints, licenses, packing, quality, toxicity, warc
 from custmaster.llm.common import table
 
 
@@ -15,6 +15,19 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(table(spark, sf_dir, "documents"))
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(table(spark, sf_dir, "documents"),
+                      public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(table(spark, sf_dir, "pages"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(table(spark, sf_dir, "documents"))
 
@@ -28,7 +41,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_byte_bpe": op1_byte_bpe,
+    "op2_toxicity": op2_toxicity,
     "op5_quality_rules": op5_quality_rules,
+    "op6_warc": op6_warc,
     "op8_fingerprints": op8_fingerprints,
     "op9_licenses": op9_licenses,
     "op10_packing": op10_packing,
@@ -36,4 +52,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op5_quality_rules": quality.ORACLE_SQL,
+    "op6_warc": warc.ORACLE_SQL,
 }
