@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import zstandard
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,3 +51,21 @@ def free_name(df: DataFrame, stem: str) -> str:
     while stem.lower() in taken:
         stem += "_"
     return stem
+
+
+def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path below the shared folder, and the path there."""
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
+    return (pafs.LocalFileSystem(), uri) if uri.startswith("/") else pafs.FileSystem.from_uri(uri)
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers, compressed byte plane by byte plane."""
+    planes = np.ascontiguousarray(values.astype("<u4").view("u1").reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "u1").reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()

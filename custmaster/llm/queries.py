@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from custmaster.llm import bpe, fingerprints, licenses, ngram_join, packing, quality, toxicity, warc
+from custmaster.llm import bpe, fingerprints, kneser_ney, licenses, ngram_join, packing, quality, toxicity, warc
 from custmaster.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.digest(table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.digest(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
+    "op3_kneser_ney": op3_kneser_ney,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_quality_rules": op5_quality_rules,
     "op6_warc": op6_warc,
