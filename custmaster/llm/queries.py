@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from custmaster.llm import bpe, fingerprints, kneser_ney, licenses, ngram_join, packing, quality, toxicity, warc
+from custmaster.llm import bpe, chat, fingerprints, kneser_ney, licenses, ngram_join, packing, quality, toxicity, warc
 from custmaster.llm.common import table
 
 
@@ -40,6 +40,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.run(spark, sf_dir)
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.digest(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_quality_rules": op5_quality_rules,
     "op6_warc": op6_warc,
+    "op7_chat_format": op7_chat_format,
     "op8_fingerprints": op8_fingerprints,
     "op9_licenses": op9_licenses,
     "op10_packing": op10_packing,
