@@ -9,8 +9,8 @@ Encoding: the documents of a task are taken in blocks of bounded text.  A block
 turns into its distinct units, exploded with their position in the block's
 list, and into one row of unit positions for each document.  The units of all
 blocks meet, sorted, in the partition of their hash, where each distinct one
-is encoded once; its ids go back to the blocks that hold it, and each block's
-documents are reassembled by position.  A word that every document uses makes
+is encoded once; its ids go back, packed, to the blocks that hold it, and each
+block's documents are reassembled by position.  A word that every document uses makes
 one row a block, not one a document, so no key holds more than a sliver of the
 rows.  Decoding looks every id up in the token-byte table, whose size the
 vocabulary fixes.
@@ -38,8 +38,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: bytes of text after which a block is closed
-BLOCK_BYTES = 16 << 20
+#: characters of text after which a block is closed; documents of a packed row; units
+#: whose ids are gathered before they are sent back
+BLOCK_CHARS = 40 << 20
+ROW_DOCS = 100
+GATHER = 400_000
 _ROWS = 50_000
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
@@ -98,95 +101,144 @@ def positions(text: str, number: _Units) -> np.ndarray:
     return np.fromiter(map(number.exact, exact), "<u4", len(exact))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, _Units, list]]:
-    """(key, distinct units, [(doc_id, packed positions)]) of each block of a task."""
+def pack(values: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers, compressed byte plane by byte plane."""
+    planes = np.ascontiguousarray(values.astype("<u4").view("u1").reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "u1").reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, _Units, np.ndarray, list, list]]:
+    """(key, distinct units, their places by frequency, doc ids, packed positions) of the
+    blocks of a task. The key holds the task, the block's number there and a checksum."""
     task = TaskContext.get().partitionId() if TaskContext.get() else 0
-    pack = zstandard.ZstdCompressor(level=1).compress
-    number, rows, size, check, done = _Units(), [], 0, 0, 0
+    ids, rows, number, seen, size, check, done = [], [], _Units(), np.zeros(0, np.int64), 0, 0, 0
+
+    def closed() -> tuple:
+        place = np.empty(len(seen), "<u4")
+        place[np.argsort(-seen, kind="stable")] = np.arange(len(seen))
+        return (task << 39 | (done & 0x7F) << 32 | check, number, place, ids, rows)
+
     for batch in batches:
         for i in range(batch.num_rows):
             text = batch.column(1)[i].as_py() or ""
-            rows.append((batch.column(0)[i].as_py(), pack(positions(text, number).tobytes())))
+            at = positions(text, number)
+            if len(number) > len(seen):
+                seen = np.concatenate([seen, np.zeros(max(len(number), 1 << 16), np.int64)])
+            np.add.at(seen, at, 1)
+            ids.append(batch.column(0)[i].as_py())
+            rows.append(pack(at))
             size += len(text)
             check = zlib.crc32(text.encode(), check)
-            if size >= BLOCK_BYTES:
-                yield f"{task}.{done}.{check}", number, rows
-                number, rows, size, check, done = _Units(), [], 0, 0, done + 1
-    if rows:
-        yield f"{task}.{done}.{check}", number, rows
+            if size >= BLOCK_CHARS:
+                seen = seen[:len(number)]
+                yield closed()
+                ids, rows, number, seen, size, check, done = [], [], _Units(), np.zeros(0, np.int64), 0, 0, done + 1
+    if ids:
+        seen = seen[:len(number)]
+        yield closed()
 
 
 def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for key, number, _ in _blocks(batches):
+    for key, number, place, _, _ in _blocks(batches):
         names = list(number)
         for at in range(0, len(names), _ROWS):
             part = names[at:at + _ROWS]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([key] * len(part)), pa.array(range(at, at + len(part)), pa.int32()),
+                [pa.array([key] * len(part), pa.int64()), pa.array(place[at:at + _ROWS].astype(np.int32)),
                  pa.array(part, pa.string())], names=["block", "position", "unit"])
 
 
 def _doc_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for key, _, rows in _blocks(batches):
-        for at in range(0, len(rows), 2000):
-            ids, packed = zip(*rows[at:at + 2000])
+    for key, _, place, ids, rows in _blocks(batches):
+        for at in range(0, len(ids), ROW_DOCS):
+            each = [place[unpack(r)] for r in rows[at:at + ROW_DOCS]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([key] * len(ids)), pa.array(ids, pa.int64()), pa.array(packed, pa.binary())],
-                names=["block", "doc_id", "positions"])
+                [pa.array([key], pa.int64()), pa.array([ids[at:at + ROW_DOCS]], pa.list_(pa.int64())),
+                 pa.array([pack(np.array([len(x) for x in each]))], pa.binary()),
+                 pa.array([pack(np.concatenate(each))], pa.binary())],
+                names=["block", "doc_ids", "counts", "positions"])
 
 
 def _encode_units(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
-    """Ids of sorted units: each distinct one is encoded once."""
+    """Ids of sorted units: each distinct one is encoded once; packed by block."""
     encode = _encoder(path, pattern).encode_ordinary
-    last, ids = None, b""
+    last, ids = None, np.zeros(0, "<u4")
+    blocks, places, coded = [], [], []
+
+    def packed() -> pa.RecordBatch:
+        block, place = np.concatenate(blocks), np.concatenate(places)
+        order = np.argsort(block, kind="stable")
+        keys, begins = np.unique(block[order], return_index=True)
+        ends = np.append(begins[1:], len(order))
+        cols = [[], [], []]
+        for b, e in zip(begins, ends):
+            own = [coded[i] for i in order[b:e]]
+            cols[0].append(pack(place[order[b:e]]))
+            cols[1].append(pack(np.array([len(x) for x in own])))
+            cols[2].append(pack(np.concatenate(own)))
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *(pa.array(c, pa.binary()) for c in cols)],
+                                          names=["block", "places", "counts", "ids"])
+
     for batch in batches:
-        out = []
+        blocks.append(batch.column(0).to_numpy())
+        places.append(batch.column(1).to_numpy())
         for unit in batch.column(2).to_pylist():
             if unit != last:
-                last, ids = unit, np.asarray(encode(unit), "<u4").tobytes()
-            out.append(ids)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())],
-                                         names=["block", "position", "ids"])
-
-
-def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of a binary column in a row, and how many each entry has."""
-    values = column.to_pylist()
-    return (np.frombuffer(b"".join(values), "<u4"),
-            np.fromiter((len(v) // 4 for v in values), np.int64, len(values)))
-
-
-def _reassemble(units: pa.Table, docs: pa.Table) -> pa.Table:
-    """Ids of a block's documents from its units' ids."""
-    flat, counts = _flat(units.column("ids"))
-    place = units.column("position").to_numpy()
-    begins = np.concatenate([[0], np.cumsum(counts)[:-1]]) if len(counts) else counts
-    begin, count = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
-    begin[place], count[place] = begins, counts
-    unpack = zstandard.ZstdDecompressor().decompress
-    ids = []
-    for packed in docs.column("positions").to_pylist():
-        at = np.frombuffer(unpack(packed), "<u4")
-        if len(at) and at.max() >= len(count):
-            raise ValueError("a block's units do not match its documents: the input changed between reads")
-        n = count[at]
-        ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        ids.append(flat[np.repeat(begin[at] - (ends - n), n) + np.arange(total)].tobytes())
-    return pa.table({"doc_id": docs.column("doc_id"), "ids": pa.array(ids, pa.binary())})
-
-
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+                last, ids = unit, np.array(encode(unit), "<u4")
+            coded.append(ids)
+        if len(coded) >= GATHER:
+            yield packed()
+            blocks, places, coded = [], [], []
+    if coded:
+        yield packed()
+
+
+def _reassembler(path: str, decoded: bool):
+    def reassemble(units: pa.Table, docs: pa.Table) -> pa.Table:
+        """Ids of a block's documents from its units' ids."""
+        parts = [[unpack(x) for x in units.column(c).to_pylist()] for c in ("places", "counts", "ids")]
+        place, counts, flat = (np.concatenate(p) if p else np.zeros(0, "<u4") for p in parts)
+        counts = counts.astype(np.int64)
+        begin, count = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+        begin[place], count[place] = np.cumsum(counts) - counts, counts
+        doc_ids, ids = [], []
+        for row in docs.select(["doc_ids", "counts", "positions"]).to_pylist():
+            at = unpack(row["positions"])
+            if len(at) and at.max() >= len(count):
+                raise ValueError("a block's units do not match its documents: the input changed between reads")
+            doc_ids += row["doc_ids"]
+            for own in np.split(at, np.cumsum(unpack(row["counts"]))[:-1]):
+                n = count[own]
+                ends = np.cumsum(n)
+                total = int(ends[-1]) if len(ends) else 0
+                ids.append(flat[np.repeat(begin[own] - (ends - n), n) + np.arange(total)].tobytes())
+        out = {"doc_id": pa.array(doc_ids, pa.int64()), "ids": pa.array(ids, pa.binary())}
+        if decoded:
+            out["decoded"] = pa.array([decode_ids(x, path) for x in ids], pa.binary())
+        return pa.table(out)
+
+    return reassemble
+
+
+def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = False) -> DataFrame:
     """(doc_id, ids) of documents (doc_id, text): ids little-endian unsigned 32-bit, without
-    special tokens. ``path``: the ranks, a file that every worker can open."""
+    special tokens; ``decoded`` adds their bytes, looked up anew from the ids. ``path``: the
+    ranks, a file that every worker can open."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    units = docs.mapInArrow(_unit_rows, "block string, position int, unit string")
+    units = docs.mapInArrow(_unit_rows, "block bigint, position int, unit string")
     encoded = (units.repartition(parts, "unit").sortWithinPartitions("unit")
-               .mapInArrow(lambda it: _encode_units(it, path, pattern), "block string, position int, ids binary"))
-    rows = docs.mapInArrow(_doc_rows, "block string, doc_id bigint, positions binary")
+               .mapInArrow(lambda it: _encode_units(it, path, pattern),
+                           "block bigint, places binary, counts binary, ids binary"))
+    rows = docs.mapInArrow(_doc_rows, "block bigint, doc_ids array<bigint>, counts binary, positions binary")
     return (encoded.groupBy("block").cogroup(rows.groupBy("block"))
-            .applyInArrow(_reassemble, "doc_id bigint, ids binary"))
+            .applyInArrow(_reassembler(path, decoded),
+                          "doc_id bigint, ids binary" + ", decoded binary" * decoded))
 
 
 _TOKENS: dict[str, list[bytes]] = {}
@@ -202,18 +254,21 @@ def _tokens(path: str) -> list[bytes]:
     return _TOKENS[path]
 
 
+def decode_ids(ids: bytes, path: str) -> bytes:
+    """The bytes of a text's ids, each looked up in the token-byte table."""
+    return b"".join(map(_tokens(path).__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
 def decode(ids: Column, path: str) -> Column:
     """The bytes of a column of ids (as ``encode`` gives them)."""
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        look = _tokens(path).__getitem__
         for batch in batches:
-            yield pa.array([None if x is None else b"".join(map(look, np.frombuffer(x, "<u4").tolist()))
-                            for x in batch.to_pylist()], pa.binary())
+            yield pa.array([None if x is None else decode_ids(x, path) for x in batch.to_pylist()], pa.binary())
 
     return F.arrow_udf(decoded, "binary")(ids)
 
 
 def digest(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    coded = encode(docs, path, pattern).withColumn("decoded", decode(F.col("ids"), path))
+    coded = encode(docs, path, pattern, decoded=True)
     return coded.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
