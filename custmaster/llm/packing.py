@@ -19,7 +19,9 @@ the separate documents they are; other columns are not read.
 
 from __future__ import annotations
 
+import json
 import re
+import struct
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
@@ -35,44 +37,84 @@ END_ID = 2
 STEP_TOKENS = 8 * LONGEST
 #: tokens that a task holds back before it packs them, and words of a worker's id cache
 BUFFER_TOKENS = 1 << 20
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint, context bigint, step_group bigint")
 
 #: white space of Python's split that the tokenizer's pattern may see differently
-_ODD = re.compile("[\x1c-\x1f\x85]")
+_ODD = re.compile("[\x1c-\x1f]")
+#: words whose normal form is their lower case: letters and signs up to U+024F, which have no
+#: decomposition to compose, without the one whose lower case has two characters
+_PLAIN = re.compile("[\x21-\x7e\xa1-\u012f\u0131-\u024f]+")
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it prints,
+    else the next free one from U+0100."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    spare = iter(range(0x100, 0x200))
+    return [chr(b) if b in prints else chr(next(spare)) for b in range(256)]
+
+
+class _Words(dict):
+    """Ids of words as they come; starts anew when it is full."""
+
+    def __init__(self, encoder: WordIds):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, word: str) -> bytes:
+        e = self.encoder
+        if len(self) >= e.size:
+            self.clear()
+        if _PLAIN.fullmatch(word):
+            low = word.lower()
+            if low.isalpha():  # the pattern takes a run of letters whole
+                ids = e.part(low)
+            elif low[-1] in ".," and low[:-1].isalpha():
+                ids = e.part(low[:-1]) + e.part(low[-1])
+            else:
+                ids = b"".join(map(e.part, e.cut(low)))
+        else:
+            ids = e.whole(word)
+        self[word] = ids
+        return ids
 
 
 class WordIds:
-    """Ids of texts by a tokenizer that never merges across white space: each distinct
-    word is encoded once while it is in the cache."""
+    """Ids of texts by a tokenizer that never merges across white space: each distinct word is
+    encoded once while it is in the cache. Plain words are cut by the tokenizer's own pattern
+    and go to its merges directly; any other goes through the whole tokenizer."""
 
     def __init__(self, path: str, size: int = CACHE_WORDS):
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.size, self.known = size, {}
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in encoded]
-
-    def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > self.size:
-            self.known = {}
-            new = list(words)
-        self.known.update(zip(new, self._encode(new)))
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [None if _ODD.search(t) else t.split() for t in texts]
-        self.learn(set().union(*(w for w in split if w)))
-        known = self.known
-        return [self._encode([t])[0] if w is None else b"".join([known[x] for x in w])
-                for t, w in zip(texts, split)]
+        self.model = self.tokenizer.model
+        spec = json.loads(self.tokenizer.to_str())
+        self.cut = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        self.letters = _byte_letters()
+        self.size, self.known, self.parts = size, _Words(self), {}
+
+    def part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            if len(self.parts) >= self.size:
+                self.parts.clear()
+            name = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
+            found = [t.id for t in self.model.tokenize(name)]
+            ids = self.parts[part] = struct.pack(f"<{len(found)}I", *found)
+        return ids
+
+    def whole(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def ids(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit ids of a text."""
+        return self.whole(text) if _ODD.search(text) else b"".join(map(self.known.__getitem__, text.split()))
 
 
 _BY_PATH: dict[str, WordIds] = {}
@@ -190,14 +232,11 @@ def pack_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Re
     docs: dict[int, tuple] = {}
     number = held = 0
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            texts = [t or "" for t in part.column(1).to_pylist()]
-            for doc_id, ids in zip(part.column(0).to_pylist(), encoder.ids(texts)):
-                data = ids + end
-                docs[number] = (doc_id, data, len(data) // 4)
-                packer.add(number, len(data) // 4)
-                number, held = number + 1, held + len(data) // 4
+        for i in range(batch.num_rows):
+            data = encoder.ids(batch.column(1)[i].as_py() or "") + end
+            docs[number] = (batch.column(0)[i].as_py(), data, len(data) // 4)
+            packer.add(number, len(data) // 4)
+            number, held = number + 1, held + len(data) // 4
             if held >= BUFFER_TOKENS:
                 packer.pack()
                 yield _batches_of(packer.closed, docs)
