@@ -20,8 +20,8 @@ ADDRESS_KIND_MAIN = "3"
 
 
 def on_business_date(df: DataFrame, col: str, day: dt.date) -> DataFrame:
-    """``DATE_FORMAT(col, 'yyyy-MM-dd') = '<business date>'``."""
-    return df.filter(F.date_format(F.col(col), "yyyy-MM-dd") == F.lit(day.isoformat()))
+    """Rows of one day; as a range of the date-time column it reaches the Parquet scan."""
+    return df.filter(F.to_date(col) == F.lit(day))
 
 
 def latest_registered_address(party_address: DataFrame) -> DataFrame:
@@ -49,8 +49,7 @@ def address_contact_rows(party_address: DataFrame, natural: bool,
     kind = F.col("address_kind")
     first_ok = kind == ADDRESS_KIND_MAIN
     if natural and business_date is not None:
-        first_ok = first_ok & (F.date_format(F.col("dbc_business_date"), "yyyy-MM-dd")
-                               == F.lit(business_date.isoformat()))
+        first_ok = first_ok & (F.to_date("dbc_business_date") == F.lit(business_date))
     arms = [
         F.struct(F.lit(codes.CONTACT_ADDRESS_MAIN).alias("t"), F.col("address").alias("c"),
                  first_ok.alias("ok")),

@@ -4,9 +4,9 @@
   relation type): the numbers the source notes at the top of every file.
 * ``publish`` -- overwrite a dataset as a table (the commented
   ``CREATE OR REPLACE TABLE ... AS``), partitioned by ``PTN`` when present.
-* ``snapshot_merge`` -- keep the first-creation date across daily runs
-  (the source stamps a constant and notes that it should be the date the
-  row was first created).
+* ``first_created`` / ``with_first_created`` -- keep the first-creation date
+  across daily runs, absences included (the source stamps a constant and notes
+  that it should be the date the row was first created).
 """
 
 from __future__ import annotations
@@ -29,9 +29,25 @@ def audit_counts(df: DataFrame, dataset: str, key: str = "ID_NO",
         F.lit(dataset).alias("dataset"), *by, "records", "distinct_ids")
 
 
+def _files(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package wrote, if it is there."""
+    fs, p = _files(spark, path)
+    fs.delete(p, True)
+
+
 def publish(df: DataFrame, path: str | None = None, table: str | None = None,
             partition_by: Sequence[str] | None = None) -> None:
-    """Overwrite the dataset at ``path`` (parquet) or as catalog ``table``."""
+    """Replace the dataset at ``path`` (parquet) or as catalog ``table``.
+
+    A path is written beside itself and swapped in by renaming, so a failed
+    write leaves the old dataset as it was.
+    """
     if partition_by is None:
         partition_by = ["PTN"] if "PTN" in df.columns else []
     if partition_by:
@@ -44,8 +60,16 @@ def publish(df: DataFrame, path: str | None = None, table: str | None = None,
         w = w.partitionBy(*partition_by)
     if table:
         w.format("parquet").saveAsTable(table)
-    else:
-        w.parquet(path)
+        return
+    fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:12]}"
+    w.parquet(fresh)
+    spark = df.sparkSession
+    fs, new = _files(spark, fresh)
+    old = _files(spark, path)[1]
+    fs.mkdirs(old.getParent())
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"cannot move {fresh} to {path}")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -65,17 +89,25 @@ def publish_roundtrip(spark: SparkSession, df: DataFrame, name: str) -> DataFram
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def snapshot_merge(previous: DataFrame, current: DataFrame, keys: Sequence[str],
-                   create_col: str = "CREATE_DATE") -> DataFrame:
-    """Current rows, with ``create_col`` taken from the previous snapshot when
-    the key was already there (the earlier of the two dates).
+def first_created(history: DataFrame | None, current: DataFrame, keys: Sequence[str],
+                  create_col: str = "CREATE_DATE") -> DataFrame:
+    """(keys, create_col): when each key was first seen, after one more run.
 
-    Rows that left the population are not carried over: the datasets are
-    current-state snapshots.  One shuffle on the key (a left join against
-    the previous snapshot's key + date only).
+    A full outer join of the history with the run's keys: a customer who is
+    absent today stays in it, so one who returns keeps the first date.
+    ``history`` is the result of the run before (None for the first run).
     """
-    prev = (previous.groupBy(*keys).agg(F.min(create_col).alias("_prev_create")))
-    j = current.join(prev, list(keys), "left")
-    merged = F.least(F.col(create_col), F.col("_prev_create"))
-    return j.select(*[merged.alias(c) if c == create_col else F.col(c)
+    seen = current.groupBy(*keys).agg(F.min(create_col).alias("_now"))
+    if history is None:
+        return seen.withColumnRenamed("_now", create_col)
+    return (history.select(*keys, F.col(create_col).alias("_before")).join(seen, list(keys), "full")
+            .select(*keys, F.least("_before", "_now").alias(create_col)))
+
+
+def with_first_created(current: DataFrame, history: DataFrame, keys: Sequence[str],
+                       create_col: str = "CREATE_DATE") -> DataFrame:
+    """Current rows with the first-creation date of their key."""
+    first = history.select(*keys, F.col(create_col).alias("_first"))
+    j = current.join(first, list(keys), "left")
+    return j.select(*[F.coalesce("_first", create_col).alias(c) if c == create_col else F.col(c)
                       for c in current.columns])

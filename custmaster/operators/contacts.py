@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from custmaster.functions import codes
 from custmaster.functions.columns import birth_digit, non_blank, stamp, text
 from custmaster.operators.address import address_contact_rows
-from custmaster.params import DEFAULT_PARAMS, RunParams
+from custmaster.params import RunParams
 
 
 def party_contact_rows(party: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def _joined(pop: DataFrame, contacts: DataFrame) -> DataFrame:
     return pop.join(contacts, pop["customer_id"] == contacts["ID"], "inner")
 
 
-def corporate_contact(pop: DataFrame, party: DataFrame, params: RunParams = DEFAULT_PARAMS,
+def corporate_contact(pop: DataFrame, party: DataFrame, params: RunParams,
                       party_address: DataFrame | None = None,
                       party_contacts: DataFrame | None = None) -> DataFrame:
     j = _joined(pop, distinct_contacts(party, party_address, natural=False,
@@ -71,7 +71,7 @@ def corporate_contact(pop: DataFrame, party: DataFrame, params: RunParams = DEFA
     )
 
 
-def natural_contact(pop: DataFrame, party: DataFrame, params: RunParams = DEFAULT_PARAMS,
+def natural_contact(pop: DataFrame, party: DataFrame, params: RunParams,
                     party_address: DataFrame | None = None,
                     party_contacts: DataFrame | None = None) -> DataFrame:
     j = _joined(pop, distinct_contacts(party, party_address, natural=True,

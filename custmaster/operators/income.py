@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from custmaster.functions.codes import pay_source_text
 from custmaster.functions.columns import usable_income
+from custmaster.operators.population import for_customers
 
 
 def contract_pairs(party: DataFrame, keep_null: bool = False) -> DataFrame:
@@ -33,25 +34,23 @@ def contract_pairs(party: DataFrame, keep_null: bool = False) -> DataFrame:
     return b.distinct()
 
 
-def contract_customer_bridge(party: DataFrame, ids: DataFrame | None = None,
-                             carry: DataFrame | None = None, keep_null: bool = False,
-                             pairs: DataFrame | None = None) -> DataFrame:
+def contract_customer_bridge(party: DataFrame, customers: DataFrame | None = None,
+                             keep_null: bool = False, pairs: DataFrame | None = None) -> DataFrame:
     """Distinct (contract_no, customer_id) pairs of the party history.
 
-    ``ids`` restricts the customers with a left-semi join; ``carry`` is a
-    one-row-per-customer frame (``customer_id`` + columns) joined in instead,
-    so that later stages need no second join to the population.
+    ``customers`` (one row per customer: ``customer_id`` + columns) restricts
+    the history *before* the pairs are made distinct, so only rows of these
+    customers are shuffled for it, and its columns are carried along.
     ``keep_null`` keeps party rows without a customer id (the source's left
     joins then yield a NULL id for them, as for an unknown contract).
     ``pairs`` is an already computed ``contract_pairs`` (the daily batch
     materialises it once for four datasets).
     """
-    b = pairs if pairs is not None else contract_pairs(party, keep_null)
-    if ids is not None:
-        b = b.join(ids.select("customer_id"), "customer_id", "left_semi")
-    if carry is not None:
-        b = b.join(carry, "customer_id", "inner")
-    return b
+    if customers is None:
+        return pairs if pairs is not None else contract_pairs(party, keep_null)
+    if pairs is not None:
+        return for_customers(pairs, customers)
+    return for_customers(party.select("contract_no", "customer_id"), customers).distinct()
 
 
 def usable_declarations(income: DataFrame) -> DataFrame:
@@ -71,11 +70,3 @@ def income_profile(income: DataFrame, bridge: DataFrame) -> DataFrame:
          .alias("pay_source"),
         F.max_by(F.col("min_year_income"), latest_key).alias("min_year_income"),
     )
-
-
-def pay_source_set(income: DataFrame, bridge: DataFrame) -> DataFrame:
-    return income_profile(income, bridge).select("customer_id", "pay_source")
-
-
-def latest_income(income: DataFrame, bridge: DataFrame) -> DataFrame:
-    return income_profile(income, bridge).select("customer_id", "min_year_income")

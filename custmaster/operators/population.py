@@ -23,14 +23,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from custmaster.functions.columns import in_force
-from custmaster.params import DEFAULT_PARAMS, RunParams
+from custmaster.params import RunParams
 
 # Tie-breaker after the change time: equal change times would otherwise make
 # the pick arbitrary.
 PARTY_ORDER = ("change_date_time", "contract_no")
 
 
-def policies_in_force(policy: DataFrame, params: RunParams = DEFAULT_PARAMS) -> DataFrame:
+def policies_in_force(policy: DataFrame, params: RunParams) -> DataFrame:
     """Contracts with the in-force status whose end is on/after ``as_of`` or open."""
     return (policy
             .filter((F.col("policy_status") == params.policy_status)
@@ -39,14 +39,14 @@ def policies_in_force(policy: DataFrame, params: RunParams = DEFAULT_PARAMS) ->
 
 
 def insured_on_policies(policy: DataFrame, insured: DataFrame,
-                        params: RunParams = DEFAULT_PARAMS) -> DataFrame:
+                        params: RunParams) -> DataFrame:
     """policy ⋈ insured on contract, in-force policies only (one row per match)."""
     return (insured.select("contract_no", "customer_id")
             .join(policies_in_force(policy, params), "contract_no", "inner"))
 
 
 def active_customer_ids(policy: DataFrame, insured: DataFrame,
-                        params: RunParams = DEFAULT_PARAMS) -> DataFrame:
+                        params: RunParams) -> DataFrame:
     """Distinct ids insured on an in-force policy."""
     return (insured_on_policies(policy, insured, params)
             .select("customer_id")
@@ -78,7 +78,7 @@ def latest_party(party: DataFrame, id_types: Sequence[str]) -> DataFrame:
 
 
 def population(party: DataFrame, policy: DataFrame, insured: DataFrame,
-               id_types: Sequence[str], params: RunParams = DEFAULT_PARAMS) -> DataFrame:
+               id_types: Sequence[str], params: RunParams) -> DataFrame:
     """Latest party row of each active customer of the class (one row per id)."""
     ids = active_customer_ids(policy, insured, params)
     return latest_party(party, id_types).join(ids, "customer_id", "inner")
@@ -86,7 +86,7 @@ def population(party: DataFrame, policy: DataFrame, insured: DataFrame,
 
 def populations_by_class(party: DataFrame, policy: DataFrame, insured: DataFrame,
                          classes: dict[str, Sequence[str]],
-                         params: RunParams = DEFAULT_PARAMS, class_col: str = "_class"
+                         params: RunParams, class_col: str = "_class"
                          ) -> DataFrame:
     """All classes' populations from one pass over the party history.
 
@@ -104,12 +104,27 @@ def populations_by_class(party: DataFrame, policy: DataFrame, insured: DataFrame
     return latest.join(active_customer_ids(policy, insured, params), "customer_id", "inner")
 
 
-def population_ids(pop: DataFrame) -> DataFrame:
-    return pop.select("customer_id")
+# A customer's rows meet the customer's one row in this many places.
+CUSTOMER_SALTS = 8
+
+
+def for_customers(rows: DataFrame, customers: DataFrame, salt_by: str = "contract_no",
+                  salts: int = CUSTOMER_SALTS) -> DataFrame:
+    """``rows`` of the given customers, with the customers' columns (one row a customer).
+
+    The join is on (customer, salt), the salt a hash of ``salt_by``: rows of a
+    customer who holds a large part of them go to ``salts`` partitions instead
+    of one, and since both sides are dealt out for this join alone, AQE can
+    split such partitions further.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)))
+    each = customers.withColumn("_salt", F.explode(
+        F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
+    return salted.join(each, ["customer_id", "_salt"], "inner").drop("_salt")
 
 
 def member_ids(party: DataFrame, policy: DataFrame, insured: DataFrame,
-               id_types: Sequence[str], params: RunParams = DEFAULT_PARAMS) -> DataFrame:
+               id_types: Sequence[str], params: RunParams) -> DataFrame:
     """The ids of ``population`` without computing the latest rows.
 
     Membership does not depend on the ranking (the class filter comes first

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from custmaster.functions import codes
 from custmaster.functions.columns import blank, stamp, text
 from custmaster.operators.income import contract_customer_bridge, income_profile
-from custmaster.params import DEFAULT_PARAMS, RunParams
+from custmaster.params import RunParams
 
 
 def with_income(pop: DataFrame, party: DataFrame, income: DataFrame,
@@ -27,21 +27,19 @@ def with_income(pop: DataFrame, party: DataFrame, income: DataFrame,
     time when the population is not materialised.
     """
     ids = restrict_ids if restrict_ids is not None else pop.select("customer_id")
-    prof = income_profile(income, contract_customer_bridge(party, ids=ids, pairs=pairs))
+    prof = income_profile(income, contract_customer_bridge(party, ids, pairs=pairs))
     prof = prof.select("customer_id", F.col("pay_source").alias("_inc_source"),
                        F.col("min_year_income").alias("_inc_amount"))
     return pop.join(prof, "customer_id", "left")
 
 
-def _with_address(df: DataFrame, address: DataFrame | None) -> DataFrame:
-    if address is None:
-        return df.withColumn("_reg_addr", F.lit(None).cast("string"))
+def _with_address(df: DataFrame, address: DataFrame) -> DataFrame:
     return df.join(address.select("customer_id", F.col("address").alias("_reg_addr")),
                    "customer_id", "left")
 
 
 def corporate_basic(pop: DataFrame, party: DataFrame, income: DataFrame,
-                    params: RunParams = DEFAULT_PARAMS,
+                    params: RunParams,
                     registered_address: DataFrame | None = None,
                     restrict_ids: DataFrame | None = None,
                     pairs: DataFrame | None = None) -> DataFrame:
@@ -76,7 +74,7 @@ def corporate_basic(pop: DataFrame, party: DataFrame, income: DataFrame,
 
 
 def natural_basic(pop: DataFrame, party: DataFrame, income: DataFrame,
-                  params: RunParams = DEFAULT_PARAMS,
+                  params: RunParams,
                   registered_address: DataFrame | None = None,
                   restrict_ids: DataFrame | None = None,
                   pairs: DataFrame | None = None) -> DataFrame:

@@ -10,16 +10,17 @@ keep this affordable at scale, all result-preserving:
   (customer, nationality[, birthday]) tuples.  The arms are ``DISTINCT`` on
   these columns, so history duplicates only inflated the join (the source
   notes a 20M x 20 = 400M blow-up for one arm).
-* **population first** -- the bridge is inner-joined to the population
-  (one row per customer) *before* the fan-out joins, carrying the few
-  population columns the output needs (``ID_TYPE``, ``PTN``); rows of other
-  customers are dropped early and no final join of the wide union to the
-  population is needed.
+* **population first** -- the party history is restricted to the population
+  (one row per customer) before it is made distinct and before the fan-out
+  joins, carrying the few population columns the output needs (``ID_TYPE``,
+  ``PTN``).  This join is salted (``population.for_customers``): a customer
+  with a large part of the history is spread over partitions.
 * **twin arms once** -- representative (type 2) and responsible person
   (type 3) read the same rows; they are computed once and exploded into the
   two tags.
 * every ``DISTINCT`` is a partial + final aggregate (map-side combine), and
-  skewed contracts / persons in the joins are split by AQE's skew join.
+  skewed contracts / persons in the joins are split by AQE's skew join where
+  both sides are dealt out for the join.
 
 ``arm_*`` functions with ``how="left"`` give the arm exactly as the source
 writes it, NULL ids of unknown contracts included.
@@ -35,7 +36,8 @@ from pyspark.sql import functions as F
 from custmaster.functions import codes
 from custmaster.functions.columns import birth_digit, null_text, stamp, text
 from custmaster.operators.income import contract_customer_bridge
-from custmaster.params import DEFAULT_PARAMS, RunParams
+from custmaster.operators.population import for_customers
+from custmaster.params import RunParams
 
 REL_COLS = ["RELATION_TYPE", "C_FULLNAME", "REPRESNT_POS", "RELATION_CODE",
             "BIRTHDAY_DATE", "RELATION_ID_NO", "COUNTRY"]
@@ -77,9 +79,10 @@ def insured_rows(insured: DataFrame, bridge: DataFrame, nationality: DataFrame |
                  code: int = codes.REL_INSURED_CORPORATE, how: str = "inner") -> DataFrame:
     """Insured persons of the customer's contracts; COUNTRY from the insured
     person's own party rows when ``nationality`` is given (corporate form)."""
+    # the arm is DISTINCT on exactly these columns, so duplicates go before the fan-out
     ins = insured.select("contract_no", F.col("customer_id").alias("_rel_id"),
                          F.col("customer_name").alias("_rel_name"),
-                         F.col("birthday").alias("_rel_birthday"))
+                         F.col("birthday").alias("_rel_birthday")).distinct()
     j = ins.join(bridge, "contract_no", how)
     country = None
     if nationality is not None:
@@ -109,26 +112,24 @@ def travel_beneficiary_rows(benef_travel: DataFrame, bridge: DataFrame,
                 relation_code=F.col("relative_to_insured"))
 
 
-def manager_rows(party: DataFrame, entity_manager: DataFrame, carry: DataFrame | None = None,
+MANAGER_COLS = ("idntfctn_type", "customer_id", "manager_name", "risk_jobtitle_code", "manager_id")
+
+
+def manager_rows(party: DataFrame, entity_manager: DataFrame,
                  tags: Sequence[int] = (codes.REL_REPRESENTATIVE, codes.REL_RESPONSIBLE)
                  ) -> DataFrame:
-    """Representative / responsible person of every party row (all classes).
+    """Representative / responsible person of every given party row (all classes).
 
     Name from the entity-manager detail, else from the party row; title from
     the job-title map.  One distinct set, exploded into the ``tags``.
     """
-    p = party.select("idntfctn_type", "customer_id", "manager_name", "risk_jobtitle_code",
-                     "manager_id").distinct()
-    cols = []
-    if carry is not None:
-        p = p.join(carry, "customer_id", "inner")
-        cols = [c for c in carry.columns if c != "customer_id"]
+    p = party.select(*MANAGER_COLS).distinct()
     em = entity_manager.select("idntfctn_type", "customer_id",
                                F.col("manager_name").alias("_em_name"),
                                F.col("birthday").alias("_em_birthday"),
                                F.col("national_country_code").alias("_em_country"))
     j = p.join(em, ["idntfctn_type", "customer_id"], "left")
-    once = _arm(j, cols, 0,
+    once = _arm(j, [], 0,
                 c_fullname=F.coalesce(F.col("_em_name"), F.col("manager_name")),
                 represnt_pos=codes.job_title(F.col("risk_jobtitle_code")),
                 birthday=F.col("_em_birthday"), relation_id=F.col("manager_id"),
@@ -152,7 +153,10 @@ def corporate_arms(pop: DataFrame, party: DataFrame, policy_agent: DataFrame,
                    entity_manager: DataFrame, pairs: DataFrame | None = None,
                    persons: DataFrame | None = None) -> DataFrame:
     carry = pop.select("customer_id")
-    bridge = contract_customer_bridge(party, carry=carry, pairs=pairs)
+    # the history of the population's customers only, for the pairs and the managers
+    own = for_customers(party.select("contract_no", *MANAGER_COLS), carry).distinct()
+    bridge = (for_customers(pairs, carry) if pairs is not None
+              else own.select("contract_no", "customer_id").distinct())
     # one person lookup serves both arms: the insured arm is DISTINCT without
     # the birthday, so the wider tuple changes nothing but saves a full pass
     # (scan + aggregate) over the party history
@@ -162,7 +166,7 @@ def corporate_arms(pop: DataFrame, party: DataFrame, policy_agent: DataFrame,
         insured_rows(insured, bridge, person),
         health_beneficiary_rows(benef_health, bridge, person),
         travel_beneficiary_rows(benef_travel, bridge),
-        manager_rows(party, entity_manager, carry),
+        manager_rows(own, entity_manager),
     ]
     out = arms[0]
     for a in arms[1:]:
@@ -172,7 +176,7 @@ def corporate_arms(pop: DataFrame, party: DataFrame, policy_agent: DataFrame,
 
 def corporate_relations(pop: DataFrame, party: DataFrame, policy_agent: DataFrame,
                         insured: DataFrame, benef_health: DataFrame, benef_travel: DataFrame,
-                        entity_manager: DataFrame, params: RunParams = DEFAULT_PARAMS,
+                        entity_manager: DataFrame, params: RunParams,
                         pairs: DataFrame | None = None, persons: DataFrame | None = None
                         ) -> DataFrame:
     u = corporate_arms(pop, party, policy_agent, insured, benef_health, benef_travel,
@@ -201,7 +205,7 @@ def natural_arms(pop: DataFrame, party: DataFrame, policy_agent: DataFrame,
     carry = pop.select("customer_id",
                        text(codes.id_type(F.col("idntfctn_type"))).alias("ID_TYPE"),
                        birth_digit(F.col("birthday")).alias("PTN"))
-    bridge = contract_customer_bridge(party, carry=carry, pairs=pairs)
+    bridge = contract_customer_bridge(party, carry, pairs=pairs)
     arms = [agent_rows(policy_agent, bridge)]
     if with_insured:
         arms.append(natural_insured_rows(insured, bridge))
@@ -219,7 +223,7 @@ def natural_arms(pop: DataFrame, party: DataFrame, policy_agent: DataFrame,
 
 def natural_relations(pop: DataFrame, party: DataFrame, policy_agent: DataFrame,
                       insured: DataFrame, benef_health: DataFrame, benef_travel: DataFrame,
-                      params: RunParams = DEFAULT_PARAMS, with_insured: bool = False,
+                      params: RunParams, with_insured: bool = False,
                       pairs: DataFrame | None = None, persons: DataFrame | None = None
                       ) -> DataFrame:
     u = natural_arms(pop, party, policy_agent, insured, benef_health, benef_travel,

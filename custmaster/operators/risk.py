@@ -1,8 +1,9 @@
 """Risk-rating datasets (corporate and natural persons).
 
-Population ⟕ industry-risk parameters ⟕ country-risk table; both lookups are
-small code tables and are broadcast after a size check, so the population is
-never shuffled for them.
+Population ⟕ industry-risk parameters ⟕ country-risk table.  The lookups are
+joined without a hint: Spark broadcasts one whose size in bytes is below
+``spark.sql.autoBroadcastJoinThreshold`` (or turns out to be, at run time) and
+shuffles a larger one.
 """
 
 from __future__ import annotations
@@ -12,11 +13,10 @@ from pyspark.sql import functions as F
 
 from custmaster.functions import codes
 from custmaster.functions.columns import blank, flag_or_zero, stamp, text
-from custmaster.operators.lookups import left_lookup
-from custmaster.params import DEFAULT_PARAMS, RunParams
+from custmaster.params import RunParams
 
 
-def industry_risk_lookup(param_lookup: DataFrame, params: RunParams = DEFAULT_PARAMS
+def industry_risk_lookup(param_lookup: DataFrame, params: RunParams
                          ) -> DataFrame:
     return (param_lookup.filter(F.col("param_id") == params.industry_param)
             .select(F.col("display_value").alias("_ind_value"), F.col("data1").alias("_ind_data1")))
@@ -28,15 +28,15 @@ def country_risk_lookup(country_risk: DataFrame) -> DataFrame:
 
 
 def with_risk_lookups(pop: DataFrame, param_lookup: DataFrame, country_risk: DataFrame,
-                      params: RunParams = DEFAULT_PARAMS) -> DataFrame:
+                      params: RunParams) -> DataFrame:
     """Population plus ``_ind_data1`` (industry) and ``_cty_level`` (country of OCR code)."""
     ind = industry_risk_lookup(param_lookup, params)
     cty = country_risk_lookup(country_risk)
-    j = left_lookup(pop, ind, pop["risk_industry_code"] == ind["_ind_value"])
-    return left_lookup(j, cty, j["ocr_country_code"] == cty["_cty_code"])
+    j = pop.join(ind, pop["risk_industry_code"] == ind["_ind_value"], "left")
+    return j.join(cty, j["ocr_country_code"] == cty["_cty_code"], "left")
 
 
-def risk_columns(params: RunParams = DEFAULT_PARAMS) -> list:
+def risk_columns(params: RunParams) -> list:
     return [
         text("customer_id").alias("ID_NO"),
         F.lit(params.source_tag).alias("SOURCE"),
@@ -60,11 +60,11 @@ def risk_columns(params: RunParams = DEFAULT_PARAMS) -> list:
 
 
 def corporate_risk(pop: DataFrame, param_lookup: DataFrame, country_risk: DataFrame,
-                   params: RunParams = DEFAULT_PARAMS) -> DataFrame:
+                   params: RunParams) -> DataFrame:
     return with_risk_lookups(pop, param_lookup, country_risk, params).select(*risk_columns(params))
 
 
 def natural_risk(pop: DataFrame, param_lookup: DataFrame, country_risk: DataFrame,
-                 params: RunParams = DEFAULT_PARAMS) -> DataFrame:
+                 params: RunParams) -> DataFrame:
     return with_risk_lookups(pop, param_lookup, country_risk, params).select(
         text(codes.id_type(F.col("idntfctn_type"))).alias("ID_TYPE"), *risk_columns(params))

@@ -9,7 +9,7 @@ parameter; ``RunParams.as_of`` is it.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # Fixed values of the published datasets (must equal the source statements):
 #   source tag of the subsidiary          : INS
@@ -33,20 +33,12 @@ FIXTURE_AS_OF = dt.date(2001, 6, 1)
 class RunParams:
     """Business date and constants of one run."""
 
-    as_of: dt.date = FIXTURE_AS_OF
+    as_of: dt.date  # no default: a run without a business date is a mistake
     create_date: dt.date = CREATE_DATE
     source_tag: str = SOURCE_TAG
     policy_status: str = POLICY_IN_FORCE
     industry_param: str = INDUSTRY_RISK_PARAM
-    extra: dict = field(default_factory=dict)
 
-    @property
-    def as_of_sql(self) -> str:
-        return f"DATE '{self.as_of.isoformat()}'"
 
-    @property
-    def create_date_sql(self) -> str:
-        return f"TIMESTAMP '{self.create_date.isoformat()} 00:00:00'"
-
-
-DEFAULT_PARAMS = RunParams()
+# Only for the fixture tables (registered queries, bench, tests).
+FIXTURE_PARAMS = RunParams(as_of=FIXTURE_AS_OF)

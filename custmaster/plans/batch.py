@@ -10,85 +10,104 @@ only the population columns it uses -- measured faster than an RDD
 ``checkpoint()``, whose rows carry no statistics.  Each dataset is then
 written (``publish``) and counted.  The small tables derived from the party
 history that several datasets share (contract-customer pairs, person lookup,
-contact rows) are materialised the same way, once.
+contact rows) are materialised the same way, once.  All of these tables live
+in one folder of the run, which is removed when the run ends, failed or not.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custmaster.operators.audit import audit_counts, publish, shared_path
+from custmaster.operators.audit import (audit_counts, first_created, publish, remove, shared_path,
+                                        with_first_created)
 from custmaster.operators.contacts import party_contact_rows
 from custmaster.operators.income import contract_pairs
 from custmaster.operators.relations import person_lookup
-from custmaster.params import DEFAULT_PARAMS, RunParams
+from custmaster.params import RunParams
 from custmaster.operators.population import populations_by_class
-from custmaster.plans.datasets import CLASSES, DATASETS, class_population
-from custmaster.session import checkpoint_dir
-from custmaster.sources import Sources
+from custmaster.plans.datasets import CLASSES, DATASETS
+from custmaster.sources import PARTY_COLUMNS, Sources
 
 
-def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder, read it back."""
-    path = shared_path(spark, name)
+def materialise(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as parquet at ``path`` and read it back."""
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-def populations(spark: SparkSession, src: Sources, params: RunParams = DEFAULT_PARAMS,
-                materialise_tables: bool = True) -> dict[str, DataFrame]:
-    """Both classes' populations.  Materialised: ranked in one pass over the
-    party history, written once partitioned by class, and read back per class
-    (partition pruning)."""
-    if not materialise_tables:
-        return {cls: class_population(src, cls, params) for cls in CLASSES}
-    checkpoint_dir(spark)
-    both = populations_by_class(src.party, src.policy, src.insured, CLASSES, params)
-    path = shared_path(spark, f"population_{params.as_of:%Y%m%d}")
+def populations(spark: SparkSession, src: Sources, params: RunParams, folder: str) -> dict[str, DataFrame]:
+    """Both classes' populations, ranked in one pass over the party history, written once
+    partitioned by class below ``folder``, and read back per class (partition pruning)."""
+    party = src.party.select(*PARTY_COLUMNS)
+    both = populations_by_class(party, src.policy, src.insured, CLASSES, params)
+    path = f"{folder}/population"
     both.write.mode("overwrite").partitionBy("_class").parquet(path)
     return {cls: spark.read.parquet(path).filter(F.col("_class") == cls).drop("_class")
             for cls in CLASSES}
 
 
-def shared_party_tables(spark: SparkSession, src: Sources) -> Sources:
+def shared_party_tables(spark: SparkSession, src: Sources, folder: str) -> Sources:
     """Materialise the small tables derived from the party history that
-    several datasets use (pairs: 4 datasets, persons: 2, contacts: 2), so the
-    history is scanned and aggregated once for each instead of per dataset."""
+    several datasets use (pairs: 4 datasets, persons: 2, contacts: 2): each is
+    one scan of the history instead of one per dataset."""
     tables = {
         "pairs": contract_pairs(src.party),
         "persons": person_lookup(src.party),
         "contacts": party_contact_rows(src.party).distinct(),
     }
-    return src.with_derived({k: materialise(spark, v, f"party_{k}") for k, v in tables.items()})
+    return src.with_derived({k: materialise(spark, v, f"{folder}/party_{k}") for k, v in tables.items()})
 
 
-def build_all(spark: SparkSession, src: Sources, params: RunParams = DEFAULT_PARAMS,
-              materialise_tables: bool = True) -> dict[str, DataFrame]:
-    pops = populations(spark, src, params, materialise_tables)
-    if materialise_tables:
-        src = shared_party_tables(spark, src)
-    return {name: fn(src, params, pop=pops[cls]) for name, (cls, fn) in DATASETS.items()}
+def builders(with_address: bool = False, with_insured: bool = False) -> dict[str, tuple[str, Callable]]:
+    """The datasets' builders: registered addresses and address contacts, and the
+    natural persons' insured arm, are on request as in the source."""
+    out = dict(DATASETS)
+    if with_address:
+        for name in ("corporate_basic", "natural_basic", "corporate_contact", "natural_contact"):
+            out[name] = (out[name][0], partial(out[name][1], with_address=True))
+    if with_insured:
+        cls, fn = out["natural_relations"]
+        out["natural_relations"] = (cls, partial(fn, with_insured=True))
+    return out
 
 
-def run_daily(spark: SparkSession, src: Sources, out_dir: str,
-              params: RunParams = DEFAULT_PARAMS, concurrent_writes: int = 4) -> DataFrame:
+def run_daily(spark: SparkSession, src: Sources, out_dir: str, params: RunParams,
+              concurrent_writes: int = 4, with_address: bool = False, with_insured: bool = False,
+              history_in: str | None = None, history_out: str | None = None) -> DataFrame:
     """Write every dataset under ``out_dir/<name>`` and return the audit counts
     (read back from the written tables, so the counts are of what was published).
 
     The eight writes are independent Spark jobs; up to ``concurrent_writes``
     are submitted at once so that the tail stages of one dataset do not leave
-    the cluster idle.  Each write overwrites its own folder, so a failed run
-    is re-run as a whole.
+    the cluster idle.  Each dataset is written beside its folder and swapped in,
+    so a failed run leaves yesterday's in place.
+
+    ``history_out`` keeps when each id was first published, per dataset; with
+    the last run's ``history_in``, CREATE_DATE is that date, also for ids that
+    were absent in between.
     """
-    built = build_all(spark, src, params)
-    paths = {name: f"{out_dir.rstrip('/')}/{name}" for name in built}
-    with ThreadPoolExecutor(max_workers=max(1, concurrent_writes)) as pool:
-        futures = [pool.submit(publish, df, paths[name]) for name, df in built.items()]
-        for f in futures:
-            f.result()
+    folder = shared_path(spark, f"run_{params.as_of:%Y%m%d}")
+    try:
+        pops = populations(spark, src, params, folder)
+        shared = shared_party_tables(spark, src, folder)
+        built = {name: fn(shared, params, pop=pops[cls])
+                 for name, (cls, fn) in builders(with_address, with_insured).items()}
+        if history_out:
+            for name, df in built.items():
+                before = spark.read.parquet(f"{history_in}/{name}") if history_in else None
+                history = materialise(spark, first_created(before, df, ["ID_NO"]), f"{history_out}/{name}")
+                built[name] = with_first_created(df, history, ["ID_NO"])
+        paths = {name: f"{out_dir.rstrip('/')}/{name}" for name in built}
+        with ThreadPoolExecutor(max_workers=max(1, concurrent_writes)) as pool:
+            for f in [pool.submit(publish, df, paths[name]) for name, df in built.items()]:
+                f.result()
+    finally:
+        remove(spark, folder)
     counts = None
     for name, path in paths.items():
         c = audit_counts(spark.read.parquet(path), name)

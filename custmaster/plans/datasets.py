@@ -12,17 +12,17 @@ from pyspark.sql import DataFrame
 from custmaster.operators import contacts, profiles, relations, risk
 from custmaster.operators.address import latest_registered_address
 from custmaster.operators.population import active_customer_ids, member_ids, population
-from custmaster.params import CORPORATE_ID_TYPES, DEFAULT_PARAMS, NATURAL_ID_TYPES, RunParams
+from custmaster.params import CORPORATE_ID_TYPES, NATURAL_ID_TYPES, RunParams
 from custmaster.sources import Sources
 
 CLASSES = {"corporate": CORPORATE_ID_TYPES, "natural": NATURAL_ID_TYPES}
 
 
-def class_population(src: Sources, cls: str, params: RunParams = DEFAULT_PARAMS) -> DataFrame:
+def class_population(src: Sources, cls: str, params: RunParams) -> DataFrame:
     return population(src.party, src.policy, src.insured, CLASSES[cls], params)
 
 
-def corporate_basic(src: Sources, params: RunParams = DEFAULT_PARAMS,
+def corporate_basic(src: Sources, params: RunParams,
                     pop: DataFrame | None = None, with_address: bool = False) -> DataFrame:
     ids = None
     if pop is None:
@@ -33,7 +33,7 @@ def corporate_basic(src: Sources, params: RunParams = DEFAULT_PARAMS,
                                     src.derived("pairs"))
 
 
-def natural_basic(src: Sources, params: RunParams = DEFAULT_PARAMS,
+def natural_basic(src: Sources, params: RunParams,
                   pop: DataFrame | None = None, with_address: bool = False) -> DataFrame:
     ids = None
     if pop is None:
@@ -44,7 +44,7 @@ def natural_basic(src: Sources, params: RunParams = DEFAULT_PARAMS,
                                   src.derived("pairs"))
 
 
-def corporate_contact(src: Sources, params: RunParams = DEFAULT_PARAMS,
+def corporate_contact(src: Sources, params: RunParams,
                       pop: DataFrame | None = None, with_address: bool = False) -> DataFrame:
     pop = pop if pop is not None else class_population(src, "corporate", params)
     return contacts.corporate_contact(pop, src.party, params,
@@ -52,7 +52,7 @@ def corporate_contact(src: Sources, params: RunParams = DEFAULT_PARAMS,
                                       src.derived("contacts"))
 
 
-def natural_contact(src: Sources, params: RunParams = DEFAULT_PARAMS,
+def natural_contact(src: Sources, params: RunParams,
                     pop: DataFrame | None = None, with_address: bool = False) -> DataFrame:
     pop = pop if pop is not None else class_population(src, "natural", params)
     return contacts.natural_contact(pop, src.party, params,
@@ -60,7 +60,7 @@ def natural_contact(src: Sources, params: RunParams = DEFAULT_PARAMS,
                                     src.derived("contacts"))
 
 
-def corporate_relations(src: Sources, params: RunParams = DEFAULT_PARAMS,
+def corporate_relations(src: Sources, params: RunParams,
                         pop: DataFrame | None = None) -> DataFrame:
     # only the population's ids are used here: no ranking needed
     pop = pop if pop is not None else member_ids(src.party, src.policy, src.insured,
@@ -71,7 +71,7 @@ def corporate_relations(src: Sources, params: RunParams = DEFAULT_PARAMS,
                                          src.derived("pairs"), src.derived("persons"))
 
 
-def natural_relations(src: Sources, params: RunParams = DEFAULT_PARAMS,
+def natural_relations(src: Sources, params: RunParams,
                       pop: DataFrame | None = None, with_insured: bool = False) -> DataFrame:
     pop = pop if pop is not None else class_population(src, "natural", params)
     return relations.natural_relations(pop, src.party, src.policy_agent, src.insured,
@@ -80,13 +80,13 @@ def natural_relations(src: Sources, params: RunParams = DEFAULT_PARAMS,
                                        src.derived("persons"))
 
 
-def corporate_risk(src: Sources, params: RunParams = DEFAULT_PARAMS,
+def corporate_risk(src: Sources, params: RunParams,
                    pop: DataFrame | None = None) -> DataFrame:
     pop = pop if pop is not None else class_population(src, "corporate", params)
     return risk.corporate_risk(pop, src.param_lookup, src.country_risk, params)
 
 
-def natural_risk(src: Sources, params: RunParams = DEFAULT_PARAMS,
+def natural_risk(src: Sources, params: RunParams,
                  pop: DataFrame | None = None) -> DataFrame:
     pop = pop if pop is not None else class_population(src, "natural", params)
     return risk.natural_risk(pop, src.param_lookup, src.country_risk, params)

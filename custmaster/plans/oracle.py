@@ -1,618 +1,387 @@
-"""Oracle SQL (DuckDB) for every registered query.
+"""DuckDB SQL for every registered query, from the inventory's wording.
 
-Written from the semantics of the source statements, in their naive form
-(full party history in every join, ``IN`` subqueries, ``UNION ALL`` of
-separate arms), over the fixture adapters of ``sources.fixture_sql``.
-Deterministic choices the source leaves open are fixed the same way as in
-the Spark code (SURVEY S2, S3, S8).  Only the driver's tables are used.
+The statements are put together from a few relations and from tables of
+output columns, over the fixture adapters of ``sources.fixture_sql``:
+
+* ``holder``: who a contract belongs to, each (contract, customer) once;
+* ``person``: what is known of a person, each combination once;
+* ``active``: customers insured on a contract that is live on a day;
+* ``member``: a class's customers, the newest history row of each
+  (``DISTINCT ON``);
+* one statement per kind of related person, all built by ``related``.
+
+Code tables are the fixed values of ``functions.codes``, read as a relation.
 """
 
 from __future__ import annotations
 
-from custmaster.sources.fixture_sql import with_adapters
-
-AS_OF = "DATE '2001-06-01'"
-LMD = "CAST(DATE '2001-06-01' AS TIMESTAMP)"
-CD = "CAST('2024-08-16' AS TIMESTAMP)"
-
-POP_SQL = """
-{name} AS (
-  SELECT * EXCLUDE (rn) FROM (
-    SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id
-                                 ORDER BY change_date_time DESC NULLS LAST,
-                                          contract_no DESC NULLS LAST) AS rn
-    FROM party
-    WHERE idntfctn_type IN ({types})
-      AND customer_id IN (
-        SELECT DISTINCT dp004.customer_id
-        FROM policy dp001 JOIN insured dp004 ON dp001.contract_no = dp004.contract_no
-        WHERE dp001.policy_status = '7'
-          AND (CAST(dp001.end_datetime AS DATE) >= {as_of} OR dp001.end_datetime IS NULL))
-  ) t WHERE rn = 1
-)"""
-
-
-def pop_cte(name: str, natural: bool, as_of: str = AS_OF) -> str:
-    types = "'1', '2', '3'" if natural else "'4'"
-    return POP_SQL.format(name=name, types=types, as_of=as_of)
-
-
-JOB_TITLE = """CASE {c}
-    WHEN 'T010' THEN '一般職員'
-    WHEN 'T020' THEN '單位主管(不含財務單位)'
-    WHEN 'T030' THEN '協理'
-    WHEN 'T040' THEN '副總經理'
-    WHEN 'T050' THEN '企業負責人'
-    WHEN 'T060' THEN '董事、監察人'
-    WHEN 'T070' THEN '財務主管(含外國企業在本地所設分公司之財務主管)'
-    WHEN 'T080' THEN '總經理/執行長(含外國企業在本地所設分公司之General Manager)'
-    WHEN 'T090' THEN '有權代表公司簽章人員'
-    WHEN 'T100' THEN '院長'
-    WHEN 'T110' THEN '校長'
-    ELSE {c} END"""
-
-PAY_SOURCE = """CASE {c}
-    WHEN '1' THEN '工作/營業收入'
-    WHEN '2' THEN '投資/業外收入'
-    WHEN '3' THEN '退休收入'
-    WHEN '4' THEN '貸款'
-    WHEN '5' THEN '解除或終止契約'
-    WHEN '6' THEN '保單借款'
-    WHEN '7' THEN '存款'
-    ELSE {c} END"""
-
-ID_TYPE = ("CASE WHEN {c} = '1' THEN '1' WHEN {c} = '2' THEN '2' ELSE '3' END")
-GENDER = "CASE WHEN {c} = 'M' THEN '1' WHEN {c} = 'F' THEN '2' ELSE '3' END"
-CUST_RISK = "CASE WHEN {c} = '00' THEN '1' WHEN {c} = '30' THEN '3' ELSE {c} END"
-CTY_RISK = ("CASE WHEN {c} = '10' THEN '1' WHEN {c} = '20' THEN '2' WHEN {c} = '25' THEN '2' "
-            "WHEN {c} = '30' THEN '3' WHEN {c} = '90' THEN '4' ELSE {c} END")
-PTN = ("CASE WHEN regexp_matches(substring({c}, 4, 1), '[0-9]') "
-       "THEN substring({c}, 4, 1) ELSE '0' END")
-
-# income rows of the source: income LEFT JOIN party on contract, usable rows
-INCOME_ROWS = """
-inc_rows AS (
-  SELECT da501.customer_id, dp707.contract_no, dp707.pay_source, dp707.min_year_income,
-         dp707.change_date_time
-  FROM income dp707 LEFT JOIN party da501 ON dp707.contract_no = da501.contract_no
-  WHERE ((dp707.pay_source <> '' AND dp707.pay_source IS NOT NULL)
-         OR dp707.min_year_income IS NOT NULL)
-    AND da501.customer_id IS NOT NULL
-),
-inc_set AS (
-  SELECT customer_id,
-         array_to_string(list_sort(list_distinct(list(""" + PAY_SOURCE.format(c="pay_source") + """))), ',')
-           AS pay_source
-  FROM inc_rows GROUP BY customer_id
-),
-inc_latest AS (
-  SELECT customer_id, min_year_income FROM (
-    SELECT customer_id, min_year_income,
-           ROW_NUMBER() OVER (PARTITION BY customer_id
-                              ORDER BY change_date_time DESC NULLS LAST, contract_no DESC,
-                                       min_year_income DESC NULLS LAST) AS rn
-    FROM inc_rows) t WHERE rn = 1
-),
-inc_profile AS (
-  SELECT s.customer_id, s.pay_source, l.min_year_income
-  FROM inc_set s JOIN inc_latest l ON s.customer_id = l.customer_id
-)"""
-
-
-def q(body: str, *ctes: str) -> str:
-    """Adapters + extra CTEs + body."""
-    sql = with_adapters("SELECT 1")
-    head = sql[: sql.rindex("\nSELECT 1")]
-    extra = "".join(",\n" + c.strip() for c in ctes)
-    return f"{head}{extra}\n{body.strip()}"
-
-
-# ---------------------------------------------------------------------------
-# the eight datasets
-# ---------------------------------------------------------------------------
-
-RISK_COLS = f"""
-    CAST(da501.customer_id AS VARCHAR) AS ID_NO,
-    'INS' AS SOURCE,
-    {CUST_RISK.format(c="da501.risk_level")} AS RISK_LEVEL,
-    CAST(da501.risk_level_update AS VARCHAR) AS RISK_MODIFY_DATE,
-    '0' AS IS_CFH_PROHIBITEDLIST,
-    '0' AS IS_CFH_SIP,
-    COALESCE(da501.san, '0') AS IS_SAN,
-    COALESCE(da501.mny_err, '0') AS IS_PROHIBITEDLIST,
-    COALESCE(da501.sip, '0') AS IS_SIP,
-    COALESCE(da501.am, '0') AS IS_AME,
-    COALESCE(da501.pep, '0') AS IS_PEP,
-    COALESCE(da501.rca, '0') AS IS_RCA,
-    {CUST_RISK.format(c="dg011.data1")} AS INDUSTRY_RISK,
-    '' AS PROD_CXL_APC,
-    '' AS PROD_RISK_CXL_APC,
-    {CTY_RISK.format(c="dg012.risk_level")} AS COUNTRY_RISK,
-    {LMD} AS LAST_MODIFIED_DATE,
-    {CD} AS CREATE_DATE"""
-
-RISK_FROM = """
-FROM {pop} da501
-LEFT JOIN (SELECT param_id, display_value, data1 FROM param_lookup
-           WHERE param_id = 'RISK_INDUSTRY_TYPE') dg011
-  ON da501.risk_industry_code = dg011.display_value
-LEFT JOIN country_risk dg012 ON da501.ocr_country_code = dg012.country_code"""
-
-CORPORATE_RISK = q(f"SELECT {RISK_COLS} {RISK_FROM.format(pop='pop_c')}", pop_cte("pop_c", False))
-NATURAL_RISK = q(f"SELECT {ID_TYPE.format(c='da501.idntfctn_type')} AS ID_TYPE, {RISK_COLS} "
-                 f"{RISK_FROM.format(pop='pop_n')}", pop_cte("pop_n", True))
-
-CORPORATE_BASIC = q(f"""
-SELECT
-  CAST(da501.customer_id AS VARCHAR) AS ID_NO, 'INS' AS SOURCE,
-  CAST(da501.customer_name AS VARCHAR) AS C_FULLNAME, '' AS E_FULLNAME,
-  CAST(da501.entity_settime AS VARCHAR) AS BUILD_DATE,
-  CAST(da501.entity_reg_ctycode AS VARCHAR) AS COUNTRY, '' AS REGISTERED_ADDR,
-  CAST(da501.occu_type1_code AS VARCHAR) AS INDUSTRY_TYPE1,
-  CAST(da501.occu_type3_code AS VARCHAR) AS INDUSTRY_TYPE2, '' AS ESTATE_SOURCE,
-  TRY_CAST(inc.pay_source AS VARCHAR) AS INVEST_SOURCE, '' AS YEAR_PROFIT,
-  TRY_CAST(inc.min_year_income AS VARCHAR) AS PAID_UP_CAPITAL, '' AS PRODUCT_CUB,
-  '' AS OWNER_STRUCT, CAST(da501.bearer_shares_status AS VARCHAR) AS IS_BEARER_SHARES,
-  '' AS IS_HIDE_OWNER, {LMD} AS LAST_MODIFIED_DATE, {CD} AS CREATE_DATE
-FROM pop_c da501 LEFT JOIN inc_profile inc ON da501.customer_id = inc.customer_id
-""", pop_cte("pop_c", False), INCOME_ROWS)
-
-NATURAL_BASIC_COLS = f"""
-  {ID_TYPE.format(c='da501.idntfctn_type')} AS ID_TYPE,
-  CAST(da501.customer_id AS VARCHAR) AS ID_NO, 'INS' AS SOURCE,
-  CAST(da501.customer_name AS VARCHAR) AS C_FULLNAME, '' AS E_FULLNAME,
-  {GENDER.format(c='da501.sex')} AS GENDER,
-  CAST(da501.birthday AS VARCHAR) AS BIRTHDAY_DATE, '' AS EXPIRED_DATE,
-  '' AS PASSPORT_NUMBER, '' AS PASSPORT_VALIDITY,
-  CAST(da501.national_country_code AS VARCHAR) AS COUNTRY,{{addr}}
-  '' AS O_NAME, '' AS EDUCATION_CODE,
-  CAST(da501.occu_type1_code AS VARCHAR) AS INDUSTRY_TYPE1,
-  CAST(da501.occu_type2_code AS VARCHAR) AS INDUSTRY_TYPE2, '' AS SERVICES,
-  {JOB_TITLE.format(c='da501.risk_jobtitle_code')} AS INDUSTRY_TITLE,
-  TRY_CAST(inc.pay_source AS VARCHAR) AS INVEST_SOURCE, '' AS ESTATE_SOURCE,
-  TRY_CAST(inc.min_year_income AS VARCHAR) AS ANNUAL_INCOME, '' AS PRODUCT_CUB,
-  {LMD} AS LAST_MODIFIED_DATE, {CD} AS CREATE_DATE"""
-
-NATURAL_BASIC = q(f"""
-SELECT {NATURAL_BASIC_COLS.format(addr='')}
-FROM pop_n da501 LEFT JOIN inc_profile inc ON da501.customer_id = inc.customer_id
-""", pop_cte("pop_n", True), INCOME_ROWS)
-
-CONTACT_ROWS = """
-comm AS (
-  SELECT DISTINCT id, contact_type, content FROM (
-    SELECT customer_id AS id, '5' AS contact_type, cellular_phone AS content
-    FROM party WHERE cellular_phone <> '' AND cellular_phone IS NOT NULL
-    UNION ALL
-    SELECT customer_id AS id, '6' AS contact_type, email AS content
-    FROM party WHERE email <> '' AND email IS NOT NULL
-  ) t
-)"""
-
-CORPORATE_CONTACT = q(f"""
-SELECT CAST(da501.customer_id AS VARCHAR) AS ID_NO, 'INS' AS SOURCE,
-       CAST(da501.entity_head_ctycode AS VARCHAR) AS COUNTRY,
-       CAST(comm.contact_type AS VARCHAR) AS CONTACT_TYPE,
-       CAST(comm.content AS VARCHAR) AS CONTENT, '1' AS STATUS,
-       {LMD} AS LAST_MODIFIED_DATE, {CD} AS CREATE_DATE
-FROM pop_c da501 JOIN comm ON da501.customer_id = comm.id
-""", pop_cte("pop_c", False), CONTACT_ROWS)
-
-NATURAL_CONTACT = q(f"""
-SELECT {ID_TYPE.format(c='da501.idntfctn_type')} AS ID_TYPE,
-       CAST(da501.customer_id AS VARCHAR) AS ID_NO, 'INS' AS SOURCE,
-       CAST(da501.ocr_country_code AS VARCHAR) AS COUNTRY,
-       CAST(comm.contact_type AS VARCHAR) AS CONTACT_TYPE,
-       CAST(comm.content AS VARCHAR) AS CONTENT, '1' AS STATUS,
-       {LMD} AS LAST_MODIFIED_DATE, {CD} AS CREATE_DATE,
-       {PTN.format(c='da501.birthday')} AS PTN
-FROM pop_n da501 JOIN comm ON da501.customer_id = comm.id
-""", pop_cte("pop_n", True), CONTACT_ROWS)
-
-ARM_AGENT = """
-SELECT DISTINCT CAST(da501.customer_id AS VARCHAR) AS ID, CAST(1 AS INTEGER) AS RELATION_TYPE,
-  CAST(NULL AS VARCHAR) AS C_FULLNAME, CAST(NULL AS VARCHAR) AS REPRESNT_POS,
-  CAST(NULL AS VARCHAR) AS RELATION_CODE, CAST(NULL AS VARCHAR) AS BIRTHDAY_DATE,
-  CAST(dp002.agent_id AS VARCHAR) AS RELATION_ID_NO, CAST(NULL AS VARCHAR) AS COUNTRY
-FROM policy_agent dp002 LEFT JOIN party da501 ON dp002.contract_no = da501.contract_no"""
-
-ARM_INSURED = """
-SELECT DISTINCT CAST(da501.customer_id AS VARCHAR) AS ID, CAST(8 AS INTEGER) AS RELATION_TYPE,
-  CAST(dp004.customer_name AS VARCHAR) AS C_FULLNAME, CAST(NULL AS VARCHAR) AS REPRESNT_POS,
-  CAST(NULL AS VARCHAR) AS RELATION_CODE, CAST(dp004.birthday AS VARCHAR) AS BIRTHDAY_DATE,
-  CAST(dp004.customer_id AS VARCHAR) AS RELATION_ID_NO,
-  CAST(nat.national_country_code AS VARCHAR) AS COUNTRY
-FROM insured dp004
-LEFT JOIN party da501 ON dp004.contract_no = da501.contract_no
-LEFT JOIN party nat ON dp004.customer_id = nat.customer_id"""
-
-ARM_INSURED_NATURAL = """
-SELECT DISTINCT CAST(da501.customer_id AS VARCHAR) AS ID, CAST(4 AS INTEGER) AS RELATION_TYPE,
-  CAST(dp004.customer_name AS VARCHAR) AS C_FULLNAME, CAST(NULL AS VARCHAR) AS REPRESNT_POS,
-  CAST(NULL AS VARCHAR) AS RELATION_CODE, CAST(dp004.birthday AS VARCHAR) AS BIRTHDAY_DATE,
-  CAST(dp004.customer_id AS VARCHAR) AS RELATION_ID_NO, CAST(NULL AS VARCHAR) AS COUNTRY
-FROM insured dp004 LEFT JOIN party da501 ON dp004.contract_no = da501.contract_no
-WHERE da501.customer_id IS NOT NULL"""
-
-ARM_HEALTH = """
-SELECT DISTINCT CAST(da501.customer_id AS VARCHAR) AS ID, CAST({code} AS INTEGER) AS RELATION_TYPE,
-  CAST(dp606.assured_name AS VARCHAR) AS C_FULLNAME, CAST(NULL AS VARCHAR) AS REPRESNT_POS,
-  CAST(dp606.relative_to_insured AS VARCHAR) AS RELATION_CODE,
-  CAST(bn.birthday AS VARCHAR) AS BIRTHDAY_DATE,
-  CAST(dp606.assured_id AS VARCHAR) AS RELATION_ID_NO,
-  CAST(bn.national_country_code AS VARCHAR) AS COUNTRY
-FROM benef_health dp606
-LEFT JOIN party da501 ON dp606.contract_no = da501.contract_no
-LEFT JOIN party bn ON dp606.assured_id = bn.customer_id"""
-
-ARM_TRAVEL = """
-SELECT DISTINCT CAST(da501.customer_id AS VARCHAR) AS ID, CAST({code} AS INTEGER) AS RELATION_TYPE,
-  CAST(dp703.assured_name AS VARCHAR) AS C_FULLNAME, CAST(NULL AS VARCHAR) AS REPRESNT_POS,
-  CAST(dp703.relative_to_insured AS VARCHAR) AS RELATION_CODE,
-  CAST(NULL AS VARCHAR) AS BIRTHDAY_DATE, CAST(NULL AS VARCHAR) AS RELATION_ID_NO,
-  CAST(NULL AS VARCHAR) AS COUNTRY
-FROM benef_travel dp703 LEFT JOIN party da501 ON dp703.contract_no = da501.contract_no"""
-
-ARM_MANAGER = """
-SELECT DISTINCT CAST(da501.customer_id AS VARCHAR) AS ID, CAST({code} AS INTEGER) AS RELATION_TYPE,
-  CAST(COALESCE(da525.manager_name, da501.manager_name) AS VARCHAR) AS C_FULLNAME,
-  CAST(""" + JOB_TITLE.format(c="da501.risk_jobtitle_code") + """ AS VARCHAR) AS REPRESNT_POS,
-  CAST(NULL AS VARCHAR) AS RELATION_CODE, CAST(da525.birthday AS VARCHAR) AS BIRTHDAY_DATE,
-  CAST(da501.manager_id AS VARCHAR) AS RELATION_ID_NO,
-  CAST(da525.national_country_code AS VARCHAR) AS COUNTRY
-FROM party da501 LEFT JOIN entity_manager da525
-  ON da501.idntfctn_type = da525.idntfctn_type AND da501.customer_id = da525.customer_id"""
-
-CORPORATE_REL_UNION = "\nUNION ALL\n".join([
-    ARM_AGENT, ARM_INSURED, ARM_HEALTH.format(code=9), ARM_TRAVEL.format(code=9),
-    ARM_MANAGER.format(code=2), ARM_MANAGER.format(code=3)])
-
-NATURAL_REL_UNION = "\nUNION ALL\n".join([
-    ARM_AGENT, ARM_HEALTH.format(code=5), ARM_TRAVEL.format(code=5)])
-
-CORPORATE_RELATIONS = q(f"""
-SELECT CAST(da501.customer_id AS VARCHAR) AS ID_NO, 'INS' AS SOURCE,
-  CAST(rel.RELATION_TYPE AS VARCHAR) AS RELATION_TYPE, rel.C_FULLNAME, rel.REPRESNT_POS,
-  rel.RELATION_CODE, rel.BIRTHDAY_DATE, rel.RELATION_ID_NO, rel.COUNTRY,
-  {LMD} AS LAST_MODIFIED_DATE, {CD} AS CREATE_DATE
-FROM pop_c da501 JOIN ({CORPORATE_REL_UNION}) rel
-  ON CAST(da501.customer_id AS VARCHAR) = rel.ID
-""", pop_cte("pop_c", False))
-
-NATURAL_RELATIONS = q(f"""
-SELECT {ID_TYPE.format(c='da501.idntfctn_type')} AS ID_TYPE,
-  CAST(da501.customer_id AS VARCHAR) AS ID_NO, 'INS' AS SOURCE,
-  CAST(rel.RELATION_TYPE AS VARCHAR) AS RELATION_TYPE, rel.C_FULLNAME,
-  rel.RELATION_CODE, rel.BIRTHDAY_DATE, rel.RELATION_ID_NO, rel.COUNTRY,
-  {LMD} AS LAST_MODIFIED_DATE, {CD} AS CREATE_DATE,
-  {PTN.format(c='da501.birthday')} AS PTN
-FROM pop_n da501 JOIN ({NATURAL_REL_UNION}) rel
-  ON CAST(da501.customer_id AS VARCHAR) = rel.ID
-""", pop_cte("pop_n", True))
-
-NATURAL_RELATIONS_WITH_INSURED = q(f"""
-SELECT {ID_TYPE.format(c='da501.idntfctn_type')} AS ID_TYPE,
-  CAST(da501.customer_id AS VARCHAR) AS ID_NO, 'INS' AS SOURCE,
-  CAST(rel.RELATION_TYPE AS VARCHAR) AS RELATION_TYPE, rel.C_FULLNAME,
-  rel.RELATION_CODE, rel.BIRTHDAY_DATE, rel.RELATION_ID_NO, rel.COUNTRY,
-  {LMD} AS LAST_MODIFIED_DATE, {CD} AS CREATE_DATE,
-  {PTN.format(c='da501.birthday')} AS PTN
-FROM pop_n da501 JOIN ({ARM_AGENT} UNION ALL {ARM_INSURED_NATURAL} UNION ALL
-                       {ARM_HEALTH.format(code=5)} UNION ALL {ARM_TRAVEL.format(code=5)}) rel
-  ON CAST(da501.customer_id AS VARCHAR) = rel.ID
-""", pop_cte("pop_n", True))
+from collections.abc import Mapping
+
+from custmaster.functions import codes
+from custmaster.params import CREATE_DATE, FIXTURE_AS_OF
+from custmaster.sources.fixture_sql import ADAPTERS
+
+DAY = FIXTURE_AS_OF.isoformat()
+FIRST_DAY = CREATE_DATE.isoformat()
+TYPES = {"corporate": ("4",), "natural": ("1", "2", "3")}
+EMPTY = "''"
+
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def recode(col: str, table: Mapping[str, str], other: str | None = None) -> str:
+    """The table's text for a code; else ``other``, or the code itself."""
+    pairs = ", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in table.items())
+    return f"coalesce((SELECT v FROM (VALUES {pairs}) code(k, v) WHERE k = {col}), {other or col})"
+
+
+def txt(col: str) -> str:
+    return f"({col})::VARCHAR"
+
+
+def at(day: str) -> str:
+    return f"{quoted(day)}::TIMESTAMP"
+
+
+def columns(spec: Mapping[str, str]) -> str:
+    return ",\n       ".join(f"{expr} AS {name}" for name, expr in spec.items())
+
+
+def filled(col: str) -> str:
+    return f"length({col}) > 0"
+
+
+def statement(body: str, *relations: str) -> str:
+    """``body`` over the adapters and, in order, further relations ``name AS (...)``."""
+    parts = [f"{name} AS ({sql.strip()})" for name, sql in ADAPTERS.items()] + list(relations)
+    return "WITH " + ",\n".join(parts) + "\n" + body
+
+
+# -- relations ---------------------------------------------------------------------------
+
+HOLDER = "holder AS (SELECT contract_no, customer_id FROM party GROUP BY ALL)"
+PERSON = "person AS (SELECT customer_id, birthday, national_country_code FROM party GROUP BY ALL)"
+
+
+def live(day: str, name: str = "live") -> str:
+    return (f"{name} AS (FROM policy SELECT contract_no WHERE policy_status = '7' "
+            f"AND coalesce(end_datetime::DATE, 'infinity'::DATE) >= {quoted(day)}::DATE)")
+
+
+def active(name: str = "active", of: str = "live") -> str:
+    return (f"{name} AS (SELECT customer_id FROM insured SEMI JOIN {of} USING (contract_no) "
+            "WHERE customer_id IS NOT NULL GROUP BY customer_id)")
+
+
+def newest(cls: str) -> str:
+    wanted = ", ".join(map(quoted, TYPES[cls]))
+    return (f"SELECT DISTINCT ON (customer_id) * FROM party WHERE idntfctn_type IN ({wanted}) "
+            "ORDER BY customer_id, change_date_time DESC NULLS LAST, contract_no DESC NULLS LAST")
+
+
+def members(cls: str, day: str = DAY, suffix: str = "") -> tuple[str, ...]:
+    """The relation ``member`` of a class on a day, and those it needs."""
+    return (live(day, f"live{suffix}"), active(f"active{suffix}", f"live{suffix}"),
+            f"member{suffix} AS (FROM ({newest(cls)}) SEMI JOIN active{suffix} USING (customer_id))")
+
+
+def declared(source: str = "income") -> tuple[str, ...]:
+    """``declared``: usable declarations by customer; ``funds``: one row a customer."""
+    return (
+        HOLDER,
+        f"declared AS (SELECT h.customer_id, d.* FROM {source} d JOIN holder h USING (contract_no) "
+        f"WHERE h.customer_id IS NOT NULL AND ({filled('d.pay_source')} OR d.min_year_income IS NOT NULL))",
+        "kinds AS (SELECT customer_id, coalesce(string_agg(DISTINCT kind, ',' ORDER BY kind), '') AS pay_source "
+        f"FROM (SELECT customer_id, {recode('pay_source', codes.PAY_SOURCES)} AS kind FROM declared) GROUP BY customer_id)",
+        "newest_amount AS (SELECT DISTINCT ON (customer_id) customer_id, min_year_income FROM declared "
+        "ORDER BY customer_id, change_date_time DESC NULLS LAST, contract_no DESC, min_year_income DESC NULLS LAST)",
+        "funds AS (FROM kinds JOIN newest_amount USING (customer_id))",
+    )
+
+
+REGISTERED = (
+    f"registered AS (SELECT DISTINCT ON (customer_id) customer_id, address FROM party_address "
+    f"WHERE address_kind = '1' AND {filled('address')} "
+    "ORDER BY customer_id, create_date DESC NULLS LAST, address DESC)")
+
+
+def reachable(*kinds: tuple[str, str, str]) -> str:
+    """Contact rows: (table, contact type, column[, condition]) of each kind, once each."""
+    each = [f"SELECT customer_id AS id, {quoted(kind)} AS contact_type, {col} AS content FROM {table} "
+            f"WHERE {filled(col)}{''.join(' AND ' + c for c in more)}" for table, kind, col, *more in kinds]
+    return "reachable AS (" + " UNION ".join(each) + ")"
+
+
+PARTY_CONTACTS = (("party", "5", "cellular_phone"), ("party", "6", "email"))
+ADDRESS_CONTACTS = {
+    "corporate": (("party_address", "1", "address", "address_kind = '3'"),
+                  ("party_address", "2", "address", "address_kind = '2'"),
+                  ("party_address", "3", "phone1")),
+    "natural": (("party_address", "1", "address", "address_kind = '3'", f"dbc_business_date::DATE = '{DAY}'"),
+                ("party_address", "2", "address", "address_kind = '2'"),
+                ("party_address", "3", "phone1"), ("party_address", "4", "phone2")),
+}
+
+# -- columns of the published datasets -----------------------------------------------------
+
+ID_TYPE = recode("m.idntfctn_type", codes.ID_TYPES, quoted(codes.ID_TYPE_DEFAULT))
+GENDER = recode("m.sex", codes.GENDERS, quoted(codes.GENDER_DEFAULT))
+
+
+def digit(col: str) -> str:
+    return f"coalesce(nullif(regexp_extract(substring({col}, 4, 1), '[0-9]'), ''), '0')"
+
+
+def stamps(day: str = DAY, first: str = FIRST_DAY) -> dict[str, str]:
+    return {"LAST_MODIFIED_DATE": at(day), "CREATE_DATE": at(first)}
+
+
+def blanks(*names: str) -> dict[str, str]:
+    return dict.fromkeys(names, EMPTY)
+
+
+WHO = {"ID_NO": txt("m.customer_id"), "SOURCE": "'INS'"}
+
+
+def basic(cls: str, address: bool = False, source: str = "income") -> str:
+    money = {"INVEST_SOURCE": txt("f.pay_source")}
+    home = {"REGISTERED_ADDR": txt("r.address")} if address else {}
+    name = {"C_FULLNAME": txt("m.customer_name")} | blanks("E_FULLNAME")
+    trade = {"INDUSTRY_TYPE1": txt("m.occu_type1_code")}
+    if cls == "corporate":
+        spec = (WHO | name | {"BUILD_DATE": txt("m.entity_settime"), "COUNTRY": txt("m.entity_reg_ctycode")}
+                | (home or blanks("REGISTERED_ADDR")) | trade | {"INDUSTRY_TYPE2": txt("m.occu_type3_code")}
+                | blanks("ESTATE_SOURCE", "YEAR_PROFIT", "PRODUCT_CUB", "OWNER_STRUCT", "IS_HIDE_OWNER") | money
+                | {"PAID_UP_CAPITAL": txt("f.min_year_income"), "IS_BEARER_SHARES": txt("m.bearer_shares_status")})
+    else:
+        spec = ({"ID_TYPE": ID_TYPE} | WHO | name | {"GENDER": GENDER, "BIRTHDAY_DATE": txt("m.birthday")}
+                | blanks("EXPIRED_DATE", "PASSPORT_NUMBER", "PASSPORT_VALIDITY")
+                | {"COUNTRY": txt("m.national_country_code")} | home
+                | blanks("O_NAME", "EDUCATION_CODE", "SERVICES", "ESTATE_SOURCE", "PRODUCT_CUB") | trade
+                | {"INDUSTRY_TYPE2": txt("m.occu_type2_code"),
+                   "INDUSTRY_TITLE": recode("m.risk_jobtitle_code", codes.JOB_TITLES)}
+                | money | {"ANNUAL_INCOME": txt("f.min_year_income")})
+    body = f"SELECT {columns(spec | stamps())}\nFROM member m LEFT JOIN funds f USING (customer_id)"
+    if address:
+        body += " LEFT JOIN registered r USING (customer_id)"
+    return statement(body, *members(cls), *declared(source), *([REGISTERED] if address else []))
+
+
+def contact(cls: str, *kinds) -> str:
+    country = {"corporate": "entity_head_ctycode", "natural": "ocr_country_code"}[cls]
+    spec = (WHO | {"COUNTRY": txt(f"m.{country}"), "CONTACT_TYPE": "c.contact_type", "CONTENT": "c.content",
+                   "STATUS": "'1'"} | stamps())
+    if cls == "natural":
+        spec = {"ID_TYPE": ID_TYPE} | spec | {"PTN": digit("m.birthday")}
+    return statement(f"SELECT {columns(spec)}\nFROM reachable c JOIN member m ON m.customer_id = c.id",
+                     *members(cls), reachable(*kinds))
+
+
+def risk_columns(cls: str, day: str = DAY, first: str = FIRST_DAY) -> dict[str, str]:
+    listed = {"IS_SAN": "san", "IS_PROHIBITEDLIST": "mny_err", "IS_SIP": "sip", "IS_AME": "am", "IS_PEP": "pep",
+              "IS_RCA": "rca"}
+    spec = (WHO | {"RISK_LEVEL": recode("m.risk_level", codes.CUSTOMER_RISK),
+                   "RISK_MODIFY_DATE": txt("m.risk_level_update"),
+                   "IS_CFH_PROHIBITEDLIST": "'0'", "IS_CFH_SIP": "'0'"}
+            | {name: f"ifnull(m.{col}, '0')" for name, col in listed.items()}
+            | {"INDUSTRY_RISK": recode("i.data1", codes.INDUSTRY_RISK)} | blanks("PROD_CXL_APC", "PROD_RISK_CXL_APC")
+            | {"COUNTRY_RISK": recode("k.risk_level", codes.COUNTRY_RISK)} | stamps(day, first))
+    return ({"ID_TYPE": ID_TYPE} if cls == "natural" else {}) | spec
+
+
+INDUSTRY = ("industry AS (FROM param_lookup SELECT display_value, data1 "
+            "WHERE param_id = 'RISK_INDUSTRY_TYPE')")
+
+
+def rated(member: str = "member") -> str:
+    return (f"{member} m LEFT JOIN industry i ON i.display_value = m.risk_industry_code "
+            "LEFT JOIN country_risk k ON k.country_code = m.ocr_country_code")
+
+
+def risk(cls: str) -> str:
+    return statement(f"SELECT {columns(risk_columns(cls))}\nFROM {rated()}", *members(cls), INDUSTRY)
+
+
+# -- related persons -----------------------------------------------------------------------
+
+FACTS = ("C_FULLNAME", "REPRESNT_POS", "RELATION_CODE", "BIRTHDAY_DATE", "RELATION_ID_NO", "COUNTRY")
+
+
+def related(kind: int, frm: str, holder: str = "h.customer_id", where: str = "", **facts: str) -> str:
+    """One kind of related person: the holder's id, the kind, and the facts, each row once."""
+    spec = {"ID": txt(holder), "RELATION_TYPE": f"{kind}::INTEGER"}
+    spec |= {f: txt(facts[f]) if f in facts else "NULL::VARCHAR" for f in FACTS}
+    return f"SELECT DISTINCT {columns(spec)}\nFROM {frm}{' WHERE ' + where if where else ''}"
+
+
+def agents(kind: int = 1) -> str:
+    return related(kind, "policy_agent l LEFT JOIN holder h USING (contract_no)", RELATION_ID_NO="l.agent_id")
+
+
+def insured_persons(kind: int) -> str:
+    facts = {"C_FULLNAME": "l.customer_name", "BIRTHDAY_DATE": "l.birthday", "RELATION_ID_NO": "l.customer_id"}
+    frm = "insured l LEFT JOIN holder h USING (contract_no)"
+    if kind == codes.REL_INSURED_NATURAL:
+        return related(kind, frm, where="h.customer_id IS NOT NULL", **facts)
+    return related(kind, frm + " LEFT JOIN person p ON p.customer_id = l.customer_id",
+                   COUNTRY="p.national_country_code", **facts)
+
+
+def health(kind: int) -> str:
+    return related(kind, "benef_health l LEFT JOIN holder h USING (contract_no) "
+                         "LEFT JOIN person p ON p.customer_id = l.assured_id",
+                   C_FULLNAME="l.assured_name", RELATION_CODE="l.relative_to_insured", BIRTHDAY_DATE="p.birthday",
+                   RELATION_ID_NO="l.assured_id", COUNTRY="p.national_country_code")
+
+
+def travel(kind: int) -> str:
+    return related(kind, "benef_travel l LEFT JOIN holder h USING (contract_no)",
+                   C_FULLNAME="l.assured_name", RELATION_CODE="l.relative_to_insured")
+
+
+MANAGED = "party m LEFT JOIN entity_manager e USING (idntfctn_type, customer_id)"
+
+
+def managers(kind: int) -> str:
+    return related(kind, MANAGED, holder="m.customer_id", C_FULLNAME="ifnull(e.manager_name, m.manager_name)",
+                   REPRESNT_POS=recode("m.risk_jobtitle_code", codes.JOB_TITLES), BIRTHDAY_DATE="e.birthday",
+                   RELATION_ID_NO="m.manager_id", COUNTRY="e.national_country_code")
+
+
+def union(*arms: str) -> str:
+    return " UNION ALL ".join(f"({a})" for a in arms)
+
+
+CORPORATE_ARMS = (agents(), insured_persons(8), health(9), travel(9), managers(2), managers(3))
+NATURAL_ARMS = (agents(), health(5), travel(5))
+
+
+def relations(cls: str, arms: tuple[str, ...]) -> str:
+    kept = FACTS if cls == "corporate" else [f for f in FACTS if f != "REPRESNT_POS"]
+    spec = WHO | {"RELATION_TYPE": txt("r.RELATION_TYPE")} | {f: f"r.{f}" for f in kept} | stamps()
+    if cls == "natural":
+        spec = {"ID_TYPE": ID_TYPE} | spec | {"PTN": digit("m.birthday")}
+    return statement(f"SELECT {columns(spec)}\nFROM related r JOIN member m ON m.customer_id::VARCHAR = r.ID",
+                     *members(cls), HOLDER, PERSON, f"related AS ({union(*arms)})")
+
+
+def arm(*arms: str) -> str:
+    return statement(f"FROM ({union(*arms)})", HOLDER, PERSON)
+
 
 DATASETS = {
-    "corporate_basic": CORPORATE_BASIC,
-    "corporate_contact": CORPORATE_CONTACT,
-    "corporate_relations": CORPORATE_RELATIONS,
-    "corporate_risk": CORPORATE_RISK,
-    "natural_basic": NATURAL_BASIC,
-    "natural_contact": NATURAL_CONTACT,
-    "natural_relations": NATURAL_RELATIONS,
-    "natural_risk": NATURAL_RISK,
+    "corporate_basic": basic("corporate"),
+    "corporate_contact": contact("corporate", *PARTY_CONTACTS),
+    "corporate_relations": relations("corporate", CORPORATE_ARMS),
+    "corporate_risk": risk("corporate"),
+    "natural_basic": basic("natural"),
+    "natural_contact": contact("natural", *PARTY_CONTACTS),
+    "natural_relations": relations("natural", NATURAL_ARMS),
+    "natural_risk": risk("natural"),
 }
 
-# ---------------------------------------------------------------------------
-# operators one by one
-# ---------------------------------------------------------------------------
-
-OPS: dict[str, str] = {}
-
-OPS["scan_party"] = q("SELECT * FROM party")
-
-OPS["project_basic"] = q("""
-SELECT CAST(customer_id AS VARCHAR) AS ID_NO, 'INS' AS SOURCE,
-       CAST(customer_name AS VARCHAR) AS C_FULLNAME, '' AS E_FULLNAME,
-       CAST(entity_settime AS VARCHAR) AS BUILD_DATE,
-       CAST(entity_reg_ctycode AS VARCHAR) AS COUNTRY,
-       CAST(occu_type1_code AS VARCHAR) AS INDUSTRY_TYPE1,
-       CAST(occu_type3_code AS VARCHAR) AS INDUSTRY_TYPE2,
-       CAST(bearer_shares_status AS VARCHAR) AS IS_BEARER_SHARES
-FROM party""")
-
-OPS["audit_stamp"] = q(f"""
-SELECT CAST(customer_id AS VARCHAR) AS ID_NO, {LMD} AS LAST_MODIFIED_DATE, {CD} AS CREATE_DATE
-FROM pop_c""", pop_cte("pop_c", False))
-
-OPS["filter_policy_status"] = q("SELECT * FROM policy WHERE policy_status = '7'")
-
-OPS["filter_id_type"] = q("""
-SELECT contract_no, customer_id, idntfctn_type FROM party
-WHERE idntfctn_type IN ('1', '2', '3')""")
-
-OPS["policies_in_force"] = q(f"""
-SELECT contract_no FROM policy
-WHERE policy_status = '7' AND (CAST(end_datetime AS DATE) >= {AS_OF} OR end_datetime IS NULL)""")
-
-OPS["filter_non_blank"] = q("""
-SELECT contract_no, customer_id, cellular_phone FROM party
-WHERE cellular_phone <> '' AND cellular_phone IS NOT NULL""")
-
-OPS["filter_income_usable"] = q("""
-SELECT dp707.contract_no, da501.customer_id, dp707.pay_source, dp707.min_year_income,
-       dp707.change_date_time
-FROM income dp707 LEFT JOIN party da501 ON dp707.contract_no = da501.contract_no
-WHERE ((dp707.pay_source <> '' AND dp707.pay_source IS NOT NULL)
-       OR dp707.min_year_income IS NOT NULL)
-  AND da501.customer_id IS NOT NULL""")
-
-OPS["address_on_date"] = q("""
-SELECT * FROM party_address WHERE strftime(dbc_business_date, '%Y-%m-%d') = '2001-06-01'""")
-
-OPS["join_policy_insured"] = q(f"""
-SELECT dp004.contract_no, dp004.customer_id
-FROM policy dp001 JOIN insured dp004 ON dp001.contract_no = dp004.contract_no
-WHERE dp001.policy_status = '7'
-  AND (CAST(dp001.end_datetime AS DATE) >= {AS_OF} OR dp001.end_datetime IS NULL)""")
-
-ACTIVE_IDS = f"""
-SELECT DISTINCT dp004.customer_id
-FROM policy dp001 JOIN insured dp004 ON dp001.contract_no = dp004.contract_no
-WHERE dp001.policy_status = '7'
-  AND (CAST(dp001.end_datetime AS DATE) >= {AS_OF} OR dp001.end_datetime IS NULL)"""
-
-OPS["semi_active_customers"] = q(f"""
-SELECT contract_no, customer_id, idntfctn_type FROM party
-WHERE customer_id IN ({ACTIVE_IDS})""")
-
-OPS["active_customer_ids"] = q(f"""
-SELECT customer_id FROM ({ACTIVE_IDS}) t WHERE customer_id IS NOT NULL""")
-
-OPS["left_join_income"] = q("""
-SELECT da501.customer_id, inc.pay_source, inc.min_year_income
-FROM pop_n da501 LEFT JOIN inc_profile inc ON da501.customer_id = inc.customer_id
-""", pop_cte("pop_n", True), INCOME_ROWS)
-
-OPS["left_join_contract_party"] = q("""
-SELECT dp002.contract_no, dp002.agent_id, da501.customer_id
-FROM policy_agent dp002 LEFT JOIN party da501 ON dp002.contract_no = da501.contract_no""")
-
-OPS["left_join_party_role"] = q("""
-SELECT dp004.contract_no, dp004.customer_id, nat.national_country_code
-FROM insured dp004 LEFT JOIN party nat ON dp004.customer_id = nat.customer_id""")
-
-OPS["left_join_manager"] = q("""
-SELECT da501.contract_no, da501.customer_id, da501.idntfctn_type,
-       da525.manager_name AS em_manager_name, da525.birthday AS em_birthday,
-       da525.national_country_code AS em_country
-FROM party da501 LEFT JOIN entity_manager da525
-  ON da501.idntfctn_type = da525.idntfctn_type AND da501.customer_id = da525.customer_id""")
-
-OPS["lookup_industry_risk"] = q("""
-SELECT da501.customer_id, da501.risk_industry_code, dg011.data1
-FROM pop_n da501
-LEFT JOIN (SELECT param_id, display_value, data1 FROM param_lookup
-           WHERE param_id = 'RISK_INDUSTRY_TYPE') dg011
-  ON da501.risk_industry_code = dg011.display_value""", pop_cte("pop_n", True))
-
-OPS["lookup_country_risk"] = q("""
-SELECT da501.customer_id, da501.ocr_country_code, dg012.risk_level
-FROM pop_n da501 LEFT JOIN country_risk dg012 ON da501.ocr_country_code = dg012.country_code
-""", pop_cte("pop_n", True))
-
-OPS["income_profile"] = q("SELECT customer_id, pay_source, min_year_income FROM inc_profile",
-                          INCOME_ROWS)
-OPS["agg_pay_source_set"] = q("SELECT customer_id, pay_source FROM inc_set", INCOME_ROWS)
-OPS["agg_latest_income"] = q("SELECT customer_id, min_year_income FROM inc_latest", INCOME_ROWS)
-
-OPS["distinct_contacts"] = q("""
-SELECT id AS ID, contact_type AS CONTACT_TYPE, content AS CONTENT FROM comm""", CONTACT_ROWS)
-
-OPS["latest_party"] = q("""
-SELECT customer_id, contract_no, change_date_time, idntfctn_type FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id
-                               ORDER BY change_date_time DESC NULLS LAST,
-                                        contract_no DESC NULLS LAST) AS rn
-  FROM party WHERE idntfctn_type IN ('1', '2', '3')) t
-WHERE rn = 1""")
-
-OPS["population_natural"] = q("""
-SELECT customer_id, contract_no, idntfctn_type, change_date_time FROM pop_n
-""", pop_cte("pop_n", True))
-
-OPS["population_corporate"] = q("""
-SELECT customer_id, contract_no, idntfctn_type, change_date_time FROM pop_c
-""", pop_cte("pop_c", False))
-
-REG_ADDR = """
-reg_addr AS (
-  SELECT customer_id, address FROM (
-    SELECT customer_id, address,
-           ROW_NUMBER() OVER (PARTITION BY customer_id
-                              ORDER BY create_date DESC NULLS LAST, address DESC) AS rn
-    FROM party_address
-    WHERE address_kind = '1' AND address <> '' AND address IS NOT NULL) t
-  WHERE rn = 1
-)"""
-
-OPS["latest_registered_address"] = q("SELECT customer_id, address FROM reg_addr", REG_ADDR)
-
-ADDRESS_ARMS_NATURAL = """
-    SELECT customer_id AS id, '1' AS contact_type, address AS content FROM party_address
-    WHERE address_kind = '3' AND address <> '' AND address IS NOT NULL
-      AND strftime(dbc_business_date, '%Y-%m-%d') = '2001-06-01'
-    UNION ALL
-    SELECT customer_id, '2', address FROM party_address
-    WHERE address_kind = '2' AND address <> '' AND address IS NOT NULL
-    UNION ALL
-    SELECT customer_id, '3', phone1 FROM party_address WHERE phone1 <> '' AND phone1 IS NOT NULL
-    UNION ALL
-    SELECT customer_id, '4', phone2 FROM party_address WHERE phone2 <> '' AND phone2 IS NOT NULL"""
-
-ADDRESS_ARMS_CORPORATE = """
-    SELECT customer_id AS id, '1' AS contact_type, address AS content FROM party_address
-    WHERE address_kind = '3' AND address <> '' AND address IS NOT NULL
-    UNION ALL
-    SELECT customer_id, '2', address FROM party_address
-    WHERE address_kind = '2' AND address <> '' AND address IS NOT NULL
-    UNION ALL
-    SELECT customer_id, '3', phone1 FROM party_address WHERE phone1 <> '' AND phone1 IS NOT NULL"""
-
-OPS["contact_address_arms"] = q(f"""
-SELECT DISTINCT id AS ID, contact_type AS CONTACT_TYPE, content AS CONTENT
-FROM ({ADDRESS_ARMS_NATURAL}) t""")
-
-PARTY_CONTACT_ARMS = """
-    SELECT customer_id AS id, '5' AS contact_type, cellular_phone AS content
-    FROM party WHERE cellular_phone <> '' AND cellular_phone IS NOT NULL
-    UNION ALL
-    SELECT customer_id AS id, '6' AS contact_type, email AS content
-    FROM party WHERE email <> '' AND email IS NOT NULL"""
-
-OPS["corporate_contact_with_address"] = q(f"""
-SELECT CAST(da501.customer_id AS VARCHAR) AS ID_NO, 'INS' AS SOURCE,
-       CAST(da501.entity_head_ctycode AS VARCHAR) AS COUNTRY,
-       CAST(comm.contact_type AS VARCHAR) AS CONTACT_TYPE,
-       CAST(comm.content AS VARCHAR) AS CONTENT, '1' AS STATUS,
-       {LMD} AS LAST_MODIFIED_DATE, {CD} AS CREATE_DATE
-FROM pop_c da501
-JOIN (SELECT DISTINCT id, contact_type, content FROM (
-        {ADDRESS_ARMS_CORPORATE} UNION ALL {PARTY_CONTACT_ARMS}) t) comm
-  ON da501.customer_id = comm.id
-""", pop_cte("pop_c", False))
-
-OPS["natural_contact_with_address"] = q(f"""
-SELECT {ID_TYPE.format(c='da501.idntfctn_type')} AS ID_TYPE,
-       CAST(da501.customer_id AS VARCHAR) AS ID_NO, 'INS' AS SOURCE,
-       CAST(da501.ocr_country_code AS VARCHAR) AS COUNTRY,
-       CAST(comm.contact_type AS VARCHAR) AS CONTACT_TYPE,
-       CAST(comm.content AS VARCHAR) AS CONTENT, '1' AS STATUS,
-       {LMD} AS LAST_MODIFIED_DATE, {CD} AS CREATE_DATE,
-       {PTN.format(c='da501.birthday')} AS PTN
-FROM pop_n da501
-JOIN (SELECT DISTINCT id, contact_type, content FROM (
-        {ADDRESS_ARMS_NATURAL} UNION ALL {PARTY_CONTACT_ARMS}) t) comm
-  ON da501.customer_id = comm.id
-""", pop_cte("pop_n", True))
-
-OPS["corporate_basic_with_address"] = q(f"""
-SELECT
-  CAST(da501.customer_id AS VARCHAR) AS ID_NO, 'INS' AS SOURCE,
-  CAST(da501.customer_name AS VARCHAR) AS C_FULLNAME, '' AS E_FULLNAME,
-  CAST(da501.entity_settime AS VARCHAR) AS BUILD_DATE,
-  CAST(da501.entity_reg_ctycode AS VARCHAR) AS COUNTRY,
-  CAST(reg_addr.address AS VARCHAR) AS REGISTERED_ADDR,
-  CAST(da501.occu_type1_code AS VARCHAR) AS INDUSTRY_TYPE1,
-  CAST(da501.occu_type3_code AS VARCHAR) AS INDUSTRY_TYPE2, '' AS ESTATE_SOURCE,
-  TRY_CAST(inc.pay_source AS VARCHAR) AS INVEST_SOURCE, '' AS YEAR_PROFIT,
-  TRY_CAST(inc.min_year_income AS VARCHAR) AS PAID_UP_CAPITAL, '' AS PRODUCT_CUB,
-  '' AS OWNER_STRUCT, CAST(da501.bearer_shares_status AS VARCHAR) AS IS_BEARER_SHARES,
-  '' AS IS_HIDE_OWNER, {LMD} AS LAST_MODIFIED_DATE, {CD} AS CREATE_DATE
-FROM pop_c da501
-LEFT JOIN reg_addr ON da501.customer_id = reg_addr.customer_id
-LEFT JOIN inc_profile inc ON da501.customer_id = inc.customer_id
-""", pop_cte("pop_c", False), INCOME_ROWS, REG_ADDR)
-
-OPS["natural_basic_with_address"] = q(f"""
-SELECT {NATURAL_BASIC_COLS.format(addr=' CAST(reg_addr.address AS VARCHAR) AS REGISTERED_ADDR,')}
-FROM pop_n da501
-LEFT JOIN reg_addr ON da501.customer_id = reg_addr.customer_id
-LEFT JOIN inc_profile inc ON da501.customer_id = inc.customer_id
-""", pop_cte("pop_n", True), INCOME_ROWS, REG_ADDR)
-
-OPS["try_cast_income"] = q("""
-SELECT contract_no, change_date_time, TRY_CAST(pay_source AS VARCHAR) AS INVEST_SOURCE,
-       TRY_CAST(min_year_income AS VARCHAR) AS ANNUAL_INCOME
-FROM income""")
-
-OPS["map_job_title"] = q(f"""
-SELECT contract_no, risk_jobtitle_code, {JOB_TITLE.format(c='risk_jobtitle_code')} AS INDUSTRY_TITLE
-FROM party""")
-
-OPS["map_pay_source"] = q(f"""
-SELECT contract_no, change_date_time, pay_source,
-       {PAY_SOURCE.format(c='pay_source')} AS PAY_SOURCE_TEXT
-FROM income""")
-
-OPS["map_risk_level"] = q(f"""
-SELECT da501.contract_no, {CUST_RISK.format(c='da501.risk_level')} AS RISK_LEVEL,
-       {CTY_RISK.format(c='dg012.risk_level')} AS COUNTRY_RISK
-FROM party da501 LEFT JOIN country_risk dg012 ON da501.ocr_country_code = dg012.country_code""")
-
-OPS["map_id_type_gender"] = q(f"""
-SELECT contract_no, {ID_TYPE.format(c='idntfctn_type')} AS ID_TYPE,
-       {GENDER.format(c='sex')} AS GENDER
-FROM party""")
-
-OPS["bucket_birth_digit"] = q(f"""
-SELECT contract_no, birthday, {PTN.format(c='birthday')} AS PTN FROM party""")
-
-OPS["flags_default_zero"] = q("""
-SELECT contract_no, COALESCE(san, '0') AS IS_SAN, COALESCE(mny_err, '0') AS IS_PROHIBITEDLIST,
-       COALESCE(sip, '0') AS IS_SIP, COALESCE(am, '0') AS IS_AME, COALESCE(pep, '0') AS IS_PEP,
-       COALESCE(rca, '0') AS IS_RCA
-FROM party""")
-
-OPS["manager_name_fallback"] = q("""
-SELECT da501.contract_no, COALESCE(da525.manager_name, da501.manager_name) AS C_FULLNAME
-FROM party da501 LEFT JOIN entity_manager da525
-  ON da501.idntfctn_type = da525.idntfctn_type AND da501.customer_id = da525.customer_id""")
-
-OPS["arm_agent"] = q(ARM_AGENT)
-OPS["arm_insured"] = q(ARM_INSURED)
-OPS["arm_insured_natural"] = q(ARM_INSURED_NATURAL)
-OPS["arm_benef_health"] = q(ARM_HEALTH.format(code=9))
-OPS["arm_benef_travel"] = q(ARM_TRAVEL.format(code=9))
-OPS["arm_manager"] = q(ARM_MANAGER.format(code=2) + "\nUNION ALL\n" + ARM_MANAGER.format(code=3))
-OPS["union_relation_arms"] = q(CORPORATE_REL_UNION)
-
-
-def _count_sql(name: str) -> str:
-    body = DATASETS[name]
-    return (f"SELECT '{name}' AS dataset, COUNT(*) AS records, "
-            f"COUNT(DISTINCT ID_NO) AS distinct_ids FROM ({body}) d")
-
-
-OPS["audit_counts"] = "\nUNION ALL\n".join(f"({_count_sql(n)})" for n in DATASETS)
-
-OPS["audit_relation_types"] = (
-    "SELECT 'corporate_relations' AS dataset, RELATION_TYPE, COUNT(*) AS records, "
-    f"COUNT(DISTINCT ID_NO) AS distinct_ids FROM ({CORPORATE_RELATIONS}) d GROUP BY RELATION_TYPE")
-
-OPS["audit_relation_types_natural"] = (
-    "SELECT 'natural_relations' AS dataset, RELATION_TYPE, COUNT(*) AS records, "
-    f"COUNT(DISTINCT ID_NO) AS distinct_ids FROM ({NATURAL_RELATIONS}) d GROUP BY RELATION_TYPE")
-
-OPS["publish_roundtrip"] = NATURAL_CONTACT
-
-
-def _risk_at(pop: str, as_of: str, stamp: str) -> str:
-    cols = (RISK_COLS.replace(LMD, f"CAST({as_of} AS TIMESTAMP)")
-            .replace(CD, f"CAST({stamp} AS TIMESTAMP)"))
-    return f"SELECT {ID_TYPE.format(c='da501.idntfctn_type')} AS ID_TYPE, {cols} " \
-           f"{RISK_FROM.format(pop=pop)}"
-
-
-OPS["snapshot_merge"] = q(f"""
-SELECT cur.* REPLACE (LEAST(cur.CREATE_DATE, prev.prev_create) AS CREATE_DATE)
-FROM ({_risk_at('pop_now', "DATE '2001-06-01'", "DATE '2001-06-01'")}) cur
-LEFT JOIN (SELECT ID_NO, MIN(CREATE_DATE) AS prev_create
-           FROM ({_risk_at('pop_before', "DATE '2001-03-01'", "DATE '2001-03-01'")}) p
-           GROUP BY ID_NO) prev
-  ON cur.ID_NO = prev.ID_NO
-""", pop_cte("pop_now", True), pop_cte("pop_before", True, "DATE '2001-03-01'"))
-
-ORACLES: dict[str, str] = dict(DATASETS)
-ORACLES["natural_relations_with_insured"] = NATURAL_RELATIONS_WITH_INSURED
-ORACLES.update(OPS)
+
+# -- operators one by one ------------------------------------------------------------------
+
+def counted(name: str, *by: str) -> str:
+    group = "".join(f"{b}, " for b in by)
+    return (f"SELECT {quoted(name)} AS dataset, {group}count(*) AS records, count(DISTINCT ID_NO) AS distinct_ids "
+            f"FROM ({DATASETS[name]}) GROUP BY ALL")
+
+
+def first_created(days: tuple[tuple[str, str], ...]) -> str:
+    """Risk rows of the last (day, stamp), each created when its id was first seen on any of the days."""
+    parts, seen = [INDUSTRY], []
+    for n, (day, first) in enumerate(days):
+        parts += members("natural", day, str(n))
+        seen.append(f"SELECT customer_id, {at(first)} AS stamp FROM member{n}")
+    last = len(days) - 1
+    spec = risk_columns("natural", *days[last]) | {"CREATE_DATE": "b.born"}
+    return statement(
+        f"SELECT {columns(spec)}\nFROM {rated(f'member{last}')} JOIN born b USING (customer_id)",
+        *parts, f"born AS (SELECT customer_id, min(stamp) AS born FROM ({' UNION ALL '.join(seen)}) GROUP BY ALL)")
+
+
+SNAPSHOTS = (("2001-03-01", "2001-01-01"), ("2001-07-15", "2001-02-01"), ("2001-06-01", "2001-03-01"))
+
+PROJECTED = WHO | {"C_FULLNAME": txt("m.customer_name"), "E_FULLNAME": EMPTY, "BUILD_DATE": txt("m.entity_settime"),
+                   "COUNTRY": txt("m.entity_reg_ctycode"), "INDUSTRY_TYPE1": txt("m.occu_type1_code"),
+                   "INDUSTRY_TYPE2": txt("m.occu_type3_code"), "IS_BEARER_SHARES": txt("m.bearer_shares_status")}
+IDENTITY = "customer_id, contract_no, idntfctn_type, change_date_time"
+
+ORACLES: dict[str, str] = DATASETS | {
+    "natural_relations_with_insured": relations("natural", (*NATURAL_ARMS, insured_persons(4))),
+    "corporate_basic_with_address": basic("corporate", address=True),
+    "natural_basic_with_address": basic("natural", address=True),
+    "corporate_contact_with_address": contact("corporate", *ADDRESS_CONTACTS["corporate"], *PARTY_CONTACTS),
+    "natural_contact_with_address": contact("natural", *ADDRESS_CONTACTS["natural"], *PARTY_CONTACTS),
+    "natural_basic_two_sources": basic("natural", source="(FROM income UNION ALL FROM income_extra)"),
+    "scan_party": statement("FROM party"),
+    "project_basic": statement(f"SELECT {columns(PROJECTED)} FROM party m"),
+    "audit_stamp": statement(f"SELECT {columns({'ID_NO': WHO['ID_NO']} | stamps())} FROM member m", *members("corporate")),
+    "filter_policy_status": statement("FROM policy WHERE policy_status = '7'"),
+    "filter_id_type": statement("FROM party SELECT contract_no, customer_id, idntfctn_type WHERE idntfctn_type <> '4'"),
+    "policies_in_force": statement("FROM live", live(DAY)),
+    "filter_non_blank": statement(f"FROM party SELECT contract_no, customer_id, cellular_phone WHERE {filled('cellular_phone')}"),
+    "filter_income_usable": statement(
+        "SELECT d.contract_no, p.customer_id, d.pay_source, d.min_year_income, d.change_date_time "
+        "FROM income d JOIN party p USING (contract_no) WHERE p.customer_id IS NOT NULL "
+        f"AND ({filled('d.pay_source')} OR d.min_year_income IS NOT NULL)"),
+    "address_on_date": statement(f"FROM party_address WHERE dbc_business_date::DATE = {quoted(DAY)}::DATE"),
+    "join_policy_insured": statement("FROM insured SEMI JOIN live USING (contract_no) SELECT contract_no, customer_id",
+                                     live(DAY)),
+    "semi_active_customers": statement("FROM party SEMI JOIN active USING (customer_id) "
+                                       "SELECT contract_no, customer_id, idntfctn_type", live(DAY), active()),
+    "active_customer_ids": statement("FROM active", live(DAY), active()),
+    "left_join_income": statement("SELECT customer_id, f.pay_source, f.min_year_income "
+                                  "FROM member LEFT JOIN funds f USING (customer_id)", *members("natural"), *declared()),
+    "left_join_contract_party": statement("SELECT contract_no, l.agent_id, p.customer_id "
+                                          "FROM policy_agent l LEFT JOIN party p USING (contract_no)"),
+    "left_join_party_role": statement("SELECT l.contract_no, l.customer_id, p.national_country_code "
+                                      "FROM insured l LEFT JOIN party p ON p.customer_id = l.customer_id"),
+    "left_join_manager": statement("SELECT m.contract_no, customer_id, idntfctn_type, e.manager_name AS em_manager_name, "
+                                   f"e.birthday AS em_birthday, e.national_country_code AS em_country FROM {MANAGED}"),
+    "lookup_industry_risk": statement(f"SELECT m.customer_id, m.risk_industry_code, i.data1 FROM {rated()}",
+                                      *members("natural"), INDUSTRY),
+    "lookup_country_risk": statement(f"SELECT m.customer_id, m.ocr_country_code, k.risk_level FROM {rated()}",
+                                     *members("natural"), INDUSTRY),
+    "income_profile": statement("FROM funds SELECT customer_id, pay_source, min_year_income", *declared()),
+    "agg_pay_source_set": statement("FROM kinds", *declared()),
+    "agg_latest_income": statement("FROM newest_amount", *declared()),
+    "distinct_contacts": statement("FROM reachable SELECT id AS ID, contact_type AS CONTACT_TYPE, content AS CONTENT",
+                                   reachable(*PARTY_CONTACTS)),
+    "latest_party": statement(f"SELECT {IDENTITY} FROM ({newest('natural')})"),
+    "population_natural": statement(f"SELECT {IDENTITY} FROM member", *members("natural")),
+    "population_corporate": statement(f"SELECT {IDENTITY} FROM member", *members("corporate")),
+    "latest_registered_address": statement("FROM registered", REGISTERED),
+    "contact_address_arms": statement("FROM reachable SELECT id AS ID, contact_type AS CONTACT_TYPE, content AS CONTENT",
+                                      reachable(*ADDRESS_CONTACTS["natural"])),
+    "try_cast_income": statement(f"SELECT contract_no, change_date_time, {txt('pay_source')} AS INVEST_SOURCE, "
+                                 f"{txt('min_year_income')} AS ANNUAL_INCOME FROM income"),
+    "map_job_title": statement("SELECT contract_no, risk_jobtitle_code, "
+                               f"{recode('risk_jobtitle_code', codes.JOB_TITLES)} AS INDUSTRY_TITLE FROM party"),
+    "map_pay_source": statement("SELECT contract_no, change_date_time, pay_source, "
+                                f"{recode('pay_source', codes.PAY_SOURCES)} AS PAY_SOURCE_TEXT FROM income"),
+    "map_risk_level": statement(f"SELECT m.contract_no, {recode('m.risk_level', codes.CUSTOMER_RISK)} AS RISK_LEVEL, "
+                                f"{recode('k.risk_level', codes.COUNTRY_RISK)} AS COUNTRY_RISK FROM {rated('party')}", INDUSTRY),
+    "map_id_type_gender": statement(f"SELECT m.contract_no, {ID_TYPE} AS ID_TYPE, {GENDER} AS GENDER FROM party m"),
+    "bucket_birth_digit": statement(f"SELECT contract_no, birthday, {digit('birthday')} AS PTN FROM party"),
+    "flags_default_zero": statement(
+        "SELECT m.contract_no, " + ", ".join(f"{e} AS {n}" for n, e in risk_columns("corporate").items()
+                                             if e.startswith("ifnull")) + " FROM party m"),
+    "manager_name_fallback": statement(f"SELECT m.contract_no, ifnull(e.manager_name, m.manager_name) AS C_FULLNAME FROM {MANAGED}"),
+    "arm_agent": arm(agents()),
+    "arm_insured": arm(insured_persons(8)),
+    "arm_insured_natural": arm(insured_persons(4)),
+    "arm_benef_health": arm(health(9)),
+    "arm_benef_travel": arm(travel(9)),
+    "arm_manager": arm(managers(2), managers(3)),
+    "union_relation_arms": arm(*CORPORATE_ARMS),
+    "audit_counts": " UNION ALL ".join(f"({counted(n)})" for n in DATASETS),
+    "audit_relation_types": counted("corporate_relations", "RELATION_TYPE"),
+    "audit_relation_types_natural": counted("natural_relations", "RELATION_TYPE"),
+    "publish_roundtrip": DATASETS["natural_contact"],
+    "snapshot_merge": first_created(SNAPSHOTS),
+}

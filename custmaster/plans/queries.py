@@ -18,7 +18,7 @@ from custmaster.functions.columns import (birth_digit, flag_or_zero, non_blank,
                                           usable_income)
 from custmaster.operators import address, audit, income, population, relations, risk
 from custmaster.operators.contacts import distinct_contacts
-from custmaster.params import CORPORATE_ID_TYPES, DEFAULT_PARAMS, NATURAL_ID_TYPES, RunParams
+from custmaster.params import CORPORATE_ID_TYPES, FIXTURE_PARAMS, NATURAL_ID_TYPES, RunParams
 from custmaster.plans import datasets
 from custmaster.sources import Sources
 
@@ -41,7 +41,7 @@ def _src(spark: SparkSession, sf_dir: str) -> Sources:
 
 def _dataset(name: str, **kw) -> Query:
     _, fn = datasets.DATASETS[name]
-    return lambda spark, sf_dir: fn(_src(spark, sf_dir), DEFAULT_PARAMS, **kw)
+    return lambda spark, sf_dir: fn(_src(spark, sf_dir), FIXTURE_PARAMS, **kw)
 
 
 for _name in datasets.DATASETS:
@@ -50,6 +50,8 @@ for _name in datasets.DATASETS:
 REGISTRY["natural_relations_with_insured"] = _dataset("natural_relations", with_insured=True)
 
 
+REGISTRY["natural_basic_two_sources"] = lambda spark, sf_dir: datasets.natural_basic(
+    Sources.from_fixtures(spark, sf_dir, income_extra=True), FIXTURE_PARAMS)
 REGISTRY["corporate_basic_with_address"] = _dataset("corporate_basic", with_address=True)
 REGISTRY["natural_basic_with_address"] = _dataset("natural_basic", with_address=True)
 REGISTRY["corporate_contact_with_address"] = _dataset("corporate_contact", with_address=True)
@@ -68,7 +70,7 @@ def project_basic(spark, sf_dir):
     p = _src(spark, sf_dir).party
     return p.select(
         text("customer_id").alias("ID_NO"),
-        F.lit(DEFAULT_PARAMS.source_tag).alias("SOURCE"),
+        F.lit(FIXTURE_PARAMS.source_tag).alias("SOURCE"),
         text("customer_name").alias("C_FULLNAME"),
         F.lit("").alias("E_FULLNAME"),
         text("entity_settime").alias("BUILD_DATE"),
@@ -81,16 +83,16 @@ def project_basic(spark, sf_dir):
 
 @register("audit_stamp")
 def audit_stamp(spark, sf_dir):
-    pop = datasets.class_population(_src(spark, sf_dir), "corporate")
+    pop = datasets.class_population(_src(spark, sf_dir), "corporate", FIXTURE_PARAMS)
     return pop.select(text("customer_id").alias("ID_NO"),
-                      stamp(DEFAULT_PARAMS.as_of).alias("LAST_MODIFIED_DATE"),
-                      stamp(DEFAULT_PARAMS.create_date).alias("CREATE_DATE"))
+                      stamp(FIXTURE_PARAMS.as_of).alias("LAST_MODIFIED_DATE"),
+                      stamp(FIXTURE_PARAMS.create_date).alias("CREATE_DATE"))
 
 
 @register("filter_policy_status")
 def filter_policy_status(spark, sf_dir):
     pol = _src(spark, sf_dir).policy
-    return pol.filter(F.col("policy_status") == DEFAULT_PARAMS.policy_status)
+    return pol.filter(F.col("policy_status") == FIXTURE_PARAMS.policy_status)
 
 
 @register("filter_id_type")
@@ -102,7 +104,7 @@ def filter_id_type(spark, sf_dir):
 
 @register("policies_in_force")
 def policies_in_force(spark, sf_dir):
-    return population.policies_in_force(_src(spark, sf_dir).policy)
+    return population.policies_in_force(_src(spark, sf_dir).policy, FIXTURE_PARAMS)
 
 
 @register("filter_non_blank")
@@ -125,7 +127,7 @@ def filter_income_usable(spark, sf_dir):
 @register("address_on_date")
 def address_on_date(spark, sf_dir):
     a = _src(spark, sf_dir).party_address
-    return address.on_business_date(a, "dbc_business_date", DEFAULT_PARAMS.as_of)
+    return address.on_business_date(a, "dbc_business_date", FIXTURE_PARAMS.as_of)
 
 
 # --- joins -------------------------------------------------------------------
@@ -133,13 +135,13 @@ def address_on_date(spark, sf_dir):
 @register("join_policy_insured")
 def join_policy_insured(spark, sf_dir):
     src = _src(spark, sf_dir)
-    return population.insured_on_policies(src.policy, src.insured)
+    return population.insured_on_policies(src.policy, src.insured, FIXTURE_PARAMS)
 
 
 @register("semi_active_customers")
 def semi_active_customers(spark, sf_dir):
     src = _src(spark, sf_dir)
-    ids = population.active_customer_ids(src.policy, src.insured)
+    ids = population.active_customer_ids(src.policy, src.insured, FIXTURE_PARAMS)
     return (src.party.join(ids, "customer_id", "left_semi")
             .select("contract_no", "customer_id", "idntfctn_type"))
 
@@ -148,7 +150,7 @@ def semi_active_customers(spark, sf_dir):
 def left_join_income(spark, sf_dir):
     from custmaster.operators.profiles import with_income
     src = _src(spark, sf_dir)
-    pop = datasets.class_population(src, "natural")
+    pop = datasets.class_population(src, "natural", FIXTURE_PARAMS)
     return with_income(pop, src.party, src.income).select(
         "customer_id", F.col("_inc_source").alias("pay_source"),
         F.col("_inc_amount").alias("min_year_income"))
@@ -187,16 +189,16 @@ def left_join_manager(spark, sf_dir):
 @register("lookup_industry_risk")
 def lookup_industry_risk(spark, sf_dir):
     src = _src(spark, sf_dir)
-    pop = datasets.class_population(src, "natural")
-    j = risk.with_risk_lookups(pop, src.param_lookup, src.country_risk)
+    pop = datasets.class_population(src, "natural", FIXTURE_PARAMS)
+    j = risk.with_risk_lookups(pop, src.param_lookup, src.country_risk, FIXTURE_PARAMS)
     return j.select("customer_id", "risk_industry_code", F.col("_ind_data1").alias("data1"))
 
 
 @register("lookup_country_risk")
 def lookup_country_risk(spark, sf_dir):
     src = _src(spark, sf_dir)
-    pop = datasets.class_population(src, "natural")
-    j = risk.with_risk_lookups(pop, src.param_lookup, src.country_risk)
+    pop = datasets.class_population(src, "natural", FIXTURE_PARAMS)
+    j = risk.with_risk_lookups(pop, src.param_lookup, src.country_risk, FIXTURE_PARAMS)
     return j.select("customer_id", "ocr_country_code", F.col("_cty_level").alias("risk_level"))
 
 
@@ -230,7 +232,7 @@ def distinct_contacts_q(spark, sf_dir):
 @register("active_customer_ids")
 def active_customer_ids(spark, sf_dir):
     src = _src(spark, sf_dir)
-    return population.active_customer_ids(src.policy, src.insured)
+    return population.active_customer_ids(src.policy, src.insured, FIXTURE_PARAMS)
 
 
 @register("latest_party")
@@ -241,13 +243,13 @@ def latest_party(spark, sf_dir):
 
 @register("population_natural")
 def population_natural(spark, sf_dir):
-    pop = datasets.class_population(_src(spark, sf_dir), "natural")
+    pop = datasets.class_population(_src(spark, sf_dir), "natural", FIXTURE_PARAMS)
     return pop.select("customer_id", "contract_no", "idntfctn_type", "change_date_time")
 
 
 @register("population_corporate")
 def population_corporate(spark, sf_dir):
-    pop = datasets.class_population(_src(spark, sf_dir), "corporate")
+    pop = datasets.class_population(_src(spark, sf_dir), "corporate", FIXTURE_PARAMS)
     return pop.select("customer_id", "contract_no", "idntfctn_type", "change_date_time")
 
 
@@ -260,7 +262,7 @@ def latest_registered_address(spark, sf_dir):
 def contact_address_arms(spark, sf_dir):
     a = _src(spark, sf_dir).party_address
     return address.address_contact_rows(a, natural=True,
-                                        business_date=DEFAULT_PARAMS.as_of).distinct()
+                                        business_date=FIXTURE_PARAMS.as_of).distinct()
 
 
 # --- scalar maps ---------------------------------------------------------------
@@ -289,11 +291,10 @@ def map_pay_source(spark, sf_dir):
 
 @register("map_risk_level")
 def map_risk_level(spark, sf_dir):
-    from custmaster.operators.lookups import left_lookup
     src = _src(spark, sf_dir)
     cty = risk.country_risk_lookup(src.country_risk)
     p = src.party.select("contract_no", "risk_level", "ocr_country_code")
-    j = left_lookup(p, cty, p["ocr_country_code"] == cty["_cty_code"])
+    j = p.join(cty, p["ocr_country_code"] == cty["_cty_code"], "left")
     return j.select("contract_no",
                     codes.customer_risk(F.col("risk_level")).alias("RISK_LEVEL"),
                     codes.country_risk(F.col("_cty_level")).alias("COUNTRY_RISK"))
@@ -358,7 +359,8 @@ def arm_insured(spark, sf_dir):
 @register("arm_insured_natural")
 def arm_insured_natural(spark, sf_dir):
     src = _src(spark, sf_dir)
-    return relations.as_arm(relations.natural_insured_rows(src.insured, _raw_bridge(src)))
+    return relations.as_arm(relations.natural_insured_rows(
+        src.insured, income.contract_customer_bridge(src.party)))
 
 
 @register("arm_benef_health")
@@ -397,39 +399,44 @@ def union_relation_arms(spark, sf_dir):
 @register("audit_counts")
 def audit_counts(spark, sf_dir):
     src = _src(spark, sf_dir)
-    pops = {c: datasets.class_population(src, c) for c in ("corporate", "natural")}
+    pops = {c: datasets.class_population(src, c, FIXTURE_PARAMS) for c in ("corporate", "natural")}
     out = None
     for name, (cls, fn) in datasets.DATASETS.items():
-        c = audit.audit_counts(fn(src, DEFAULT_PARAMS, pop=pops[cls]), name)
+        c = audit.audit_counts(fn(src, FIXTURE_PARAMS, pop=pops[cls]), name)
         out = c if out is None else out.unionByName(c)
     return out
 
 
 @register("audit_relation_types")
 def audit_relation_types(spark, sf_dir):
-    df = datasets.corporate_relations(_src(spark, sf_dir))
+    df = datasets.corporate_relations(_src(spark, sf_dir), FIXTURE_PARAMS)
     return audit.audit_counts(df, "corporate_relations", by=["RELATION_TYPE"])
 
 
 @register("publish_roundtrip")
 def publish_roundtrip(spark, sf_dir):
-    df = datasets.natural_contact(_src(spark, sf_dir))
+    df = datasets.natural_contact(_src(spark, sf_dir), FIXTURE_PARAMS)
     return audit.publish_roundtrip(spark, df, "natural_contact")
 
 
-SNAPSHOT_PREV = RunParams(as_of=dt.date(2001, 3, 1), create_date=dt.date(2001, 3, 1))
-SNAPSHOT_CURR = RunParams(as_of=dt.date(2001, 6, 1), create_date=dt.date(2001, 6, 1))
+# three runs: customers whose policies end between the second day and the third
+# leave and come back
+SNAPSHOT_RUNS = tuple(RunParams(as_of=dt.date.fromisoformat(day), create_date=dt.date.fromisoformat(first))
+                      for day, first in (("2001-03-01", "2001-01-01"), ("2001-07-15", "2001-02-01"),
+                                         ("2001-06-01", "2001-03-01")))
 
 
 @register("snapshot_merge")
 def snapshot_merge(spark, sf_dir):
     src = _src(spark, sf_dir)
-    prev = datasets.natural_risk(src, SNAPSHOT_PREV)
-    curr = datasets.natural_risk(src, SNAPSHOT_CURR)
-    return audit.snapshot_merge(prev, curr, ["ID_NO"])
+    history = None
+    for params in SNAPSHOT_RUNS:
+        rows = datasets.natural_risk(src, params)
+        history = audit.first_created(history, rows, ["ID_NO"])
+    return audit.with_first_created(rows, history, ["ID_NO"])
 
 
 @register("audit_relation_types_natural")
 def audit_relation_types_natural(spark, sf_dir):
-    df = datasets.natural_relations(_src(spark, sf_dir))
+    df = datasets.natural_relations(_src(spark, sf_dir), FIXTURE_PARAMS)
     return audit.audit_counts(df, "natural_relations", by=["RELATION_TYPE"])

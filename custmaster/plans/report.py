@@ -4,10 +4,10 @@
 
 The fixture adapters are first written as plain parquet tables (the shape of
 a real deployment: one table per source role), and automatic broadcasting is
-switched off (as for inputs far above the threshold; the two lookups still
-broadcast after their own size check).  For every dataset the report counts
-join strategies and classifies every shuffle by what feeds it: a partial
-aggregate or partial window limit (rows combined map-side) or raw rows.
+switched off (as for inputs far above the threshold).  For every dataset the
+report counts join strategies and classifies every shuffle by what feeds it: a
+partial aggregate or partial window limit (rows combined map-side) or raw
+rows.  A join or shuffle that several union arms share is counted once.
 """
 
 from __future__ import annotations
@@ -16,10 +16,11 @@ import re
 import sys
 
 from custmaster.plans import datasets
+from custmaster.operators.audit import shared_path
 from custmaster.plans.batch import materialise
+from custmaster.params import FIXTURE_PARAMS
 from custmaster.session import build_session, checkpoint_dir
 from custmaster.sources import Sources
-from custmaster.sources.fixtures import ADAPTER_FUNCS
 
 
 def _node(line: str) -> str:
@@ -59,13 +60,15 @@ def summarize(df) -> dict:
             raw += 1
             keys = re.search(r"hashpartitioning\(([^)]*)\)", line).group(1)
             raw_inputs.append(re.sub(r"#\d+L?", "", keys).rsplit(",", 1)[0])
+    joins = {kind: len({_subtree(lines, i) for i, line in enumerate(lines) if kind in line})
+             for kind in ("SortMergeJoin", "BroadcastHashJoin")}
     scans = sorted(set(re.findall(r"ReadSchema: (struct<[^>\n]*>?)", txt)))
     return {
         "shuffles": combined + raw,
         "fed by partial aggregate / limit": combined,
         "of raw rows": raw,
-        "sort-merge joins": txt.count("SortMergeJoin"),
-        "broadcast joins": txt.count("BroadcastHashJoin"),
+        "sort-merge joins": joins["SortMergeJoin"],
+        "broadcast joins": joins["BroadcastHashJoin"],
         "python": len(re.findall("EvalPython|InPandas", txt)),
         "cartesian": len(re.findall("CartesianProduct|BroadcastNestedLoopJoin", txt)),
         "raw_keys": raw_inputs,
@@ -78,19 +81,18 @@ def main(argv: list[str]) -> None:
     spark = build_session("local[8]", 8)
     checkpoint_dir(spark)
     fixtures = Sources.from_fixtures(spark, sf_dir)
-    tables = {r: materialise(spark, getattr(fixtures, r), r) for r in ADAPTER_FUNCS}
+    tables = {r: materialise(spark, getattr(fixtures, r), shared_path(spark, r)) for r in fixtures.roles()}
     src = Sources(spark, {r: (lambda d=d: d) for r, d in tables.items()})
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
 
-    rows = {n: summarize(fn(src)) for n, (_, fn) in datasets.DATASETS.items()}
+    rows = {n: summarize(fn(src, FIXTURE_PARAMS)) for n, (_, fn) in datasets.DATASETS.items()}
     cols = ["shuffles", "fed by partial aggregate / limit", "of raw rows",
             "sort-merge joins", "broadcast joins", "python", "cartesian"]
     print("# Physical plans of the eight datasets\n")
     print("Sources: the fixture adapters of", f"`{sf_dir}`", "written as one parquet table per")
     print("role (the shape of a deployment).  Automatic broadcast off, as for inputs far")
-    print("above the threshold; the two lookups broadcast after their size check.  Plans")
-    print("before adaptive re-planning; an exchange that appears in several union arms")
-    print("with the same input is counted once (it runs once: AQE reuses it).")
+    print("above the threshold.  Plans before adaptive re-planning; a join or an exchange that")
+    print("appears in several union arms with the same input is counted once.")
     print("Generated by `python -m custmaster.plans.report`.\n")
     print("| dataset | " + " | ".join(cols) + " |")
     print("| --- | " + " | ".join("---" for _ in cols) + " |")

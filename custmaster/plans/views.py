@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from custmaster.params import DEFAULT_PARAMS, RunParams
+from custmaster.params import RunParams
 from custmaster.plans.datasets import DATASETS
 from custmaster.sources import Sources
 
@@ -27,7 +27,7 @@ TARGET_TABLES = {
 }
 
 
-def register_views(spark: SparkSession, src: Sources, params: RunParams = DEFAULT_PARAMS,
+def register_views(spark: SparkSession, src: Sources, params: RunParams,
                    with_sources: bool = True) -> list[str]:
     """Create (or replace) temporary views; returns the view names."""
     names = []

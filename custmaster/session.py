@@ -8,16 +8,17 @@ executes them:
 * Adaptive query execution with skew-join splitting: contract and customer
   keys are skewed (one group policy can carry a third of all insured rows),
   and AQE splits such partitions at run time instead of one task doing them.
-* Broadcast joins only behind a measured or checked size (see BASE_CONF).
+* Broadcast joins only below a size in bytes that Spark checks itself.
 * No Spark UI (no server is opened).
 
-``shuffle_partitions_for`` sizes ``spark.sql.shuffle.partitions`` from the
-input volume so that one shuffle partition stays around the target size.
+``spark.sql.shuffle.partitions`` is the launcher's choice: a few times the
+cluster's cores, and enough that the largest shuffle's bytes divided by it fit
+a task's memory.  AQE merges partitions that turn out small; it does not make
+more of them.
 """
 
 from __future__ import annotations
 
-import math
 import os
 import tempfile
 
@@ -31,41 +32,30 @@ BASE_CONF: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # coalesce to the advisory size rather than keeping many tiny tasks (the
-    # setting Spark recommends for busy clusters; no difference at sf0.1)
+    # setting Spark recommends for busy clusters; it costs parallelism on inputs
+    # as small as the bench's)
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # a partition is skewed when it is 4x the median and above 128 MB
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128m",
-    # forceOptimizeSkewedJoin stays off: in these plans no join with a hot key
-    # has its output partitioning reused by the next operator, so the plain
-    # skew join applies; forcing it measured ~50% slower at sf0.1 (no skew)
+    # it applies to joins whose two sides are dealt out for the join alone; where
+    # one side arrives already hashed by the key (distinct ids), the join is
+    # salted instead (operators.population.for_customers)
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # prune the big side of contract joins with a runtime Bloom filter built
-    # from the (filtered) small side, before it is shuffled
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    # broadcasts only from measured sizes: the static choice trusts a file-size
-    # estimate (compressed parquet bytes), so it is off; AQE converts a join
-    # to broadcast from the shuffle output it has actually measured, and the
-    # lookups are broadcast behind an explicit row-count check
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # Spark broadcasts a side whose estimated (files) or measured (AQE) size is
+    # below this; code tables are, everything else is shuffled
+    "spark.sql.autoBroadcastJoinThreshold": "10m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
+    # the income profile keeps a few codes a customer: let its hash aggregate
+    # hold this many customers before it falls back to sorting (default 128)
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
-def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 << 20,
-                           minimum: int = 8) -> int:
-    """Shuffle partitions so that one partition holds about ``target_bytes``.
-
-    At 100 TB of input and 128 MB per partition this gives ~800k; AQE then
-    coalesces the small ones, so over-estimating is the safe side.
-    """
-    return max(minimum, int(math.ceil(input_bytes / target_bytes)))
-
-
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "custmaster", extra: dict[str, str] | None = None
                   ) -> SparkSession:
@@ -93,7 +83,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, local_fallback: bool = True) -> str | None:
+def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and published intermediate tables.
 
     Read from the running context (``spark.checkpoint.dir`` or an earlier
@@ -109,8 +99,6 @@ def checkpoint_dir(spark: SparkSession, local_fallback: bool = True) -> str | No
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
-    if not local_fallback:
-        return None
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder")
     path = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))

@@ -6,7 +6,7 @@ to fill it:
 
 * ``Sources.from_fixtures(spark, sf_dir)`` -- the driver's synthetic tables
   through the adapters of ``custmaster.sources.fixtures``;
-* ``Sources.from_tables(spark, {"party": "raw.ins.DTATA501", ...})`` -- catalog
+* ``Sources.from_tables(spark, {"party": "warehouse.party_history", ...})`` -- catalog
   tables or parquet paths of a real deployment (Spark resolves column names
   case-insensitively, so upper-case source columns work unchanged).
 
@@ -29,6 +29,13 @@ ROLES = ("party", "policy", "policy_agent", "insured", "benef_health", "benef_tr
 # income); unioned into the declarations when bound.
 
 
+# The columns of the party history that the datasets use; a real table has more.
+PARTY_COLUMNS = (
+    "contract_no", "customer_id", "idntfctn_type", "customer_name", "change_date_time", "sex", "birthday",
+    "national_country_code", "ocr_country_code", "entity_reg_ctycode", "entity_head_ctycode", "entity_settime",
+    "occu_type1_code", "occu_type2_code", "occu_type3_code", "bearer_shares_status", "risk_jobtitle_code",
+    "risk_level", "risk_level_update", "san", "mny_err", "sip", "am", "pep", "rca", "risk_industry_code")
+
 # Small tables derived from the party history that several datasets share:
 # distinct (contract, customer) pairs, the person lookup, the distinct contact
 # rows.  Unbound, every dataset derives them itself; the daily batch
@@ -81,9 +88,11 @@ class Sources:
         return inc
 
     @classmethod
-    def from_fixtures(cls, spark: SparkSession, sf_dir: str) -> "Sources":
+    def from_fixtures(cls, spark: SparkSession, sf_dir: str, income_extra: bool = False) -> "Sources":
+        """The driver's tables; ``income_extra`` binds the second income source as well."""
         t = fixtures.DriverTables(spark, sf_dir)
-        return cls(spark, {r: (lambda f=f: f(t)) for r, f in fixtures.ADAPTER_FUNCS.items()})
+        return cls(spark, {r: (lambda f=f: f(t)) for r, f in fixtures.ADAPTER_FUNCS.items()
+                           if income_extra or r != "income_extra"})
 
     @classmethod
     def from_tables(cls, spark: SparkSession, names: dict[str, str]) -> "Sources":

@@ -12,37 +12,42 @@ from __future__ import annotations
 ADAPTERS: dict[str, str] = {}
 
 ADAPTERS["party"] = """
-SELECT o_orderkey AS contract_no, o_custkey AS customer_id,
+SELECT o_orderkey AS contract_no, CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE o_custkey END AS customer_id,
   CASE WHEN c_custkey % 11 = 0 AND o_orderkey % 2 = 0 THEN '4'
        ELSE CAST(1 + c_custkey % 4 AS STRING) END AS idntfctn_type,
-  c_name AS customer_name, o_orderdate AS change_date_time,
-  CASE c_custkey % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'F' ELSE NULL END AS sex,
-  CASE WHEN c_custkey % 9 = 0 THEN '****-**-**' WHEN c_custkey % 9 = 1 THEN NULL
-       ELSE '19' || CAST(20 + c_custkey % 80 AS STRING) || '-01-15' END AS birthday,
-  CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_nationkey END AS national_country_code,
-  CASE WHEN c_custkey % 8 = 0 THEN NULL ELSE (c_nationkey + c_custkey) % 27 END AS ocr_country_code,
-  c_nationkey AS entity_reg_ctycode, (c_nationkey + 1) % 25 AS entity_head_ctycode,
-  CAST(1950 + c_custkey % 70 AS STRING) AS entity_settime,
-  c_mktsegment AS occu_type1_code,
-  c_mktsegment || '-' || CAST(c_custkey % 10 AS STRING) AS occu_type2_code,
-  c_mktsegment || '-' || CAST(c_custkey % 30 AS STRING) AS occu_type3_code,
-  CAST(c_custkey % 2 AS STRING) AS bearer_shares_status,
-  CASE WHEN c_custkey % 13 = 0 THEN NULL
-       ELSE 'T' || lpad(CAST((c_custkey % 13) * 10 AS STRING), 3, '0') END AS risk_jobtitle_code,
-  CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 'M' || CAST(o_custkey % 97 AS STRING) END AS manager_id,
-  CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 'Mgr ' || CAST(o_custkey % 97 AS STRING) END AS manager_name,
-  CASE WHEN c_custkey % 7 = 0 THEN '' WHEN c_custkey % 7 = 1 THEN NULL
-       ELSE '09' || CAST(c_custkey AS STRING) END AS cellular_phone,
-  CASE WHEN c_custkey % 6 = 0 THEN NULL WHEN c_custkey % 6 = 1 THEN ''
+  c_name || ' ' || CAST(o_orderkey % 3 AS STRING) AS customer_name, o_orderdate AS change_date_time,
+  CASE (c_custkey + o_orderkey) % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'F' ELSE NULL END AS sex,
+  CASE WHEN (c_custkey + o_orderkey) % 9 = 0 THEN '****-**-**' WHEN (c_custkey + o_orderkey) % 9 = 1 THEN NULL
+       ELSE '19' || CAST(20 + (c_custkey + o_orderkey % 3) % 80 AS STRING) || '-01-15' END AS birthday,
+  CASE WHEN (c_custkey + o_orderkey) % 5 = 0 THEN NULL
+       ELSE CAST((c_nationkey + o_orderkey % 2) % 25 AS INTEGER) END AS national_country_code,
+  CASE WHEN (c_custkey + o_orderkey) % 8 = 0 THEN NULL
+       ELSE (c_nationkey + c_custkey + o_orderkey) % 27 END AS ocr_country_code,
+  (c_nationkey + o_orderkey) % 25 AS entity_reg_ctycode, (c_nationkey + o_orderkey + 1) % 25 AS entity_head_ctycode,
+  CAST(1950 + (c_custkey + o_orderkey) % 70 AS STRING) AS entity_settime,
+  CASE WHEN o_orderkey % 6 = 0 THEN 'BUILDING' ELSE c_mktsegment END AS occu_type1_code,
+  c_mktsegment || '-' || CAST((c_custkey + o_orderkey) % 10 AS STRING) AS occu_type2_code,
+  c_mktsegment || '-' || CAST((c_custkey + o_orderkey) % 30 AS STRING) AS occu_type3_code,
+  CAST(o_orderkey % 2 AS STRING) AS bearer_shares_status,
+  CASE WHEN (c_custkey + o_orderkey) % 13 = 0 THEN NULL
+       ELSE 'T' || lpad(CAST(((c_custkey + o_orderkey) % 13) * 10 AS STRING), 3, '0') END AS risk_jobtitle_code,
+  CASE WHEN o_orderkey % 4 = 0 THEN NULL
+       ELSE 'M' || CAST((c_custkey + o_orderkey) % 97 AS STRING) END AS manager_id,
+  CASE WHEN o_orderkey % 4 = 0 THEN NULL
+       ELSE 'Mgr ' || CAST((c_custkey + o_orderkey) % 97 AS STRING) END AS manager_name,
+  CASE WHEN (c_custkey + o_orderkey) % 7 = 0 THEN '' WHEN (c_custkey + o_orderkey) % 7 = 1 THEN NULL
+       ELSE '09' || CAST(c_custkey AS STRING) || '-' || CAST(o_orderkey % 3 AS STRING) END AS cellular_phone,
+  CASE WHEN (c_custkey + o_orderkey) % 6 = 0 THEN NULL WHEN (c_custkey + o_orderkey) % 6 = 1 THEN ''
        ELSE 'u' || CAST(o_orderkey % 2 AS STRING) || '@' || CAST(c_custkey AS STRING) END AS email,
-  CASE c_custkey % 4 WHEN 0 THEN '00' WHEN 1 THEN '30' WHEN 2 THEN '10' ELSE NULL END AS risk_level,
-  o_orderdate AS risk_level_update, CAST(NULL AS STRING) AS san,
-  CASE WHEN c_custkey % 10 = 0 THEN '1' ELSE NULL END AS mny_err,
-  CASE WHEN c_custkey % 12 = 0 THEN '1' ELSE NULL END AS sip,
-  CASE WHEN c_custkey % 14 = 0 THEN '1' ELSE NULL END AS am,
-  CASE WHEN c_custkey % 15 = 0 THEN '1' ELSE NULL END AS pep,
-  CASE WHEN c_custkey % 16 = 0 THEN '1' ELSE NULL END AS rca,
-  c_mktsegment AS risk_industry_code
+  CASE (c_custkey + o_orderkey) % 4 WHEN 0 THEN '00' WHEN 1 THEN '30' WHEN 2 THEN '10' ELSE NULL END AS risk_level,
+  o_orderdate AS risk_level_update,
+  CASE WHEN (c_custkey + o_orderkey) % 18 = 0 THEN '1' ELSE NULL END AS san,
+  CASE WHEN (c_custkey + o_orderkey) % 10 = 0 THEN '1' ELSE NULL END AS mny_err,
+  CASE WHEN (c_custkey + o_orderkey) % 12 = 0 THEN '1' ELSE NULL END AS sip,
+  CASE WHEN (c_custkey + o_orderkey) % 14 = 0 THEN '1' ELSE NULL END AS am,
+  CASE WHEN (c_custkey + o_orderkey) % 15 = 0 THEN '1' ELSE NULL END AS pep,
+  CASE WHEN (c_custkey + o_orderkey) % 16 = 0 THEN '1' ELSE NULL END AS rca,
+  CASE WHEN o_orderkey % 6 = 0 THEN 'BUILDING' ELSE c_mktsegment END AS risk_industry_code
 FROM orders JOIN customer ON o_custkey = c_custkey
 """
 
@@ -82,27 +87,37 @@ FROM lineitem WHERE l_returnflag = 'A' AND l_linenumber <= 2
 """
 
 ADAPTERS["income"] = """
-SELECT CASE WHEN l_orderkey % 20 = 4 THEN -1 - l_orderkey ELSE l_orderkey END AS contract_no,
+SELECT CASE WHEN o_custkey % 17 = 0 OR l_orderkey % 20 = 4 THEN -1 - l_orderkey ELSE l_orderkey END AS contract_no,
   CASE WHEN o_custkey % 17 = 1 OR (l_partkey + l_linenumber) % 10 = 0 THEN NULL
        WHEN (l_partkey + l_linenumber) % 10 = 9 THEN ''
        ELSE CAST((l_partkey + l_linenumber) % 10 AS STRING) END AS pay_source,
   CASE WHEN l_quantity < 10 THEN NULL ELSE CAST(l_quantity AS BIGINT) * 10000 END AS min_year_income,
   l_shipdate AS change_date_time
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_custkey % 17 <> 0
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+"""
+
+ADAPTERS["income_extra"] = """
+SELECT CASE WHEN o_orderkey % 20 = 5 THEN -1 - o_orderkey ELSE o_orderkey END AS contract_no,
+  CASE WHEN o_orderkey % 8 = 0 THEN '' ELSE CAST(o_orderkey % 8 AS STRING) END AS pay_source,
+  CAST(floor(o_totalprice) AS BIGINT) AS min_year_income, o_orderdate AS change_date_time
+FROM orders
 """
 
 ADAPTERS["entity_manager"] = """
-SELECT CAST(1 + c_custkey % 4 AS STRING) AS idntfctn_type, c_custkey AS customer_id,
-  CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE 'Boss ' || CAST(c_custkey AS STRING) END AS manager_name,
-  '19' || CAST(20 + c_custkey % 80 AS STRING) || '-03-01' AS birthday,
-  c_nationkey AS national_country_code
-FROM customer WHERE c_custkey % 3 <> 1
+SELECT CAST(1 + c_custkey % 4 AS STRING) AS idntfctn_type,
+  CASE WHEN c_custkey % 3 = 1 THEN -c_custkey ELSE c_custkey END AS customer_id,
+  CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE title || CAST(c_custkey AS STRING) END AS manager_name,
+  '19' || CAST(20 + c_custkey % 80 AS STRING) || born AS birthday, c_nationkey AS national_country_code
+FROM customer
+JOIN (SELECT 'Boss ' AS title, '-03-01' AS born UNION ALL SELECT 'Deputy ' AS title, '-04-01' AS born) post
+  ON title = 'Boss ' OR c_custkey % 4 = 0
 """
 
 ADAPTERS["param_lookup"] = """
-SELECT 'RISK_INDUSTRY_TYPE' AS param_id, c_mktsegment AS display_value,
+SELECT 'RISK_INDUSTRY_TYPE' AS param_id,
+  CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'NO SUCH TRADE' ELSE c_mktsegment END AS display_value,
   CASE c_mktsegment WHEN 'AUTOMOBILE' THEN '00' WHEN 'BUILDING' THEN '30' ELSE '10' END AS data1
-FROM customer WHERE c_mktsegment <> 'HOUSEHOLD' GROUP BY c_mktsegment
+FROM customer GROUP BY c_mktsegment
 UNION ALL
 SELECT 'OTHER_PARAM' AS param_id, c_mktsegment AS display_value, '99' AS data1
 FROM customer GROUP BY c_mktsegment

@@ -41,57 +41,56 @@ class DriverTables:
 
 
 def party(t: DriverTables) -> DataFrame:
+    """Every attribute varies between a customer's history rows; some rows have no customer."""
     o = t.read("orders", "o_orderkey", "o_custkey", "o_orderdate")
     c = t.read("customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     ck, ok = F.col("c_custkey"), F.col("o_orderkey")
     nk, seg = F.col("c_nationkey"), F.col("c_mktsegment")
-    cust_txt = _s(ck)
+    mix = ck + ok
+    none = F.lit(None).cast(S)
 
     def flag(m: int) -> Column:
-        return F.when(ck % m == 0, F.lit("1")).otherwise(F.lit(None).cast(S))
+        return F.when(mix % m == 0, F.lit("1")).otherwise(none)
 
+    trade = F.when(ok % 6 == 0, F.lit("BUILDING")).otherwise(seg)
     return o.join(c, F.col("o_custkey") == ck).select(
         ok.alias("contract_no"),
-        F.col("o_custkey").alias("customer_id"),
+        F.when(ok % 23 == 0, F.lit(None).cast("bigint")).otherwise(F.col("o_custkey")).alias("customer_id"),
         F.when((ck % 11 == 0) & (ok % 2 == 0), F.lit("4"))
          .otherwise(_s(F.lit(1) + ck % 4)).alias("idntfctn_type"),
-        F.col("c_name").alias("customer_name"),
+        F.concat(F.col("c_name"), F.lit(" "), _s(ok % 3)).alias("customer_name"),
         F.col("o_orderdate").alias("change_date_time"),
-        F.when(ck % 3 == 0, F.lit("M")).when(ck % 3 == 1, F.lit("F"))
-         .otherwise(F.lit(None).cast(S)).alias("sex"),
-        F.when(ck % 9 == 0, F.lit("****-**-**")).when(ck % 9 == 1, F.lit(None).cast(S))
-         .otherwise(_year_text(ck, "-01-15")).alias("birthday"),
-        F.when(ck % 5 == 0, F.lit(None).cast("int")).otherwise(nk).alias("national_country_code"),
-        F.when(ck % 8 == 0, F.lit(None).cast("bigint"))
-         .otherwise((nk + ck) % 27).alias("ocr_country_code"),
-        nk.alias("entity_reg_ctycode"),
-        ((nk + 1) % 25).alias("entity_head_ctycode"),
-        _s(F.lit(1950) + ck % 70).alias("entity_settime"),
-        seg.alias("occu_type1_code"),
-        F.concat(seg, F.lit("-"), _s(ck % 10)).alias("occu_type2_code"),
-        F.concat(seg, F.lit("-"), _s(ck % 30)).alias("occu_type3_code"),
-        _s(ck % 2).alias("bearer_shares_status"),
-        F.when(ck % 13 == 0, F.lit(None).cast(S))
-         .otherwise(F.concat(F.lit("T"), F.lpad(_s((ck % 13) * 10), 3, "0")))
-         .alias("risk_jobtitle_code"),
-        F.when(ok % 4 == 0, F.lit(None).cast(S))
-         .otherwise(F.concat(F.lit("M"), _s(F.col("o_custkey") % 97))).alias("manager_id"),
-        F.when(ok % 4 == 0, F.lit(None).cast(S))
-         .otherwise(F.concat(F.lit("Mgr "), _s(F.col("o_custkey") % 97))).alias("manager_name"),
-        F.when(ck % 7 == 0, F.lit("")).when(ck % 7 == 1, F.lit(None).cast(S))
-         .otherwise(F.concat(F.lit("09"), cust_txt)).alias("cellular_phone"),
-        F.when(ck % 6 == 0, F.lit(None).cast(S)).when(ck % 6 == 1, F.lit(""))
-         .otherwise(F.concat(F.lit("u"), _s(ok % 2), F.lit("@"), cust_txt)).alias("email"),
-        F.when(ck % 4 == 0, F.lit("00")).when(ck % 4 == 1, F.lit("30"))
-         .when(ck % 4 == 2, F.lit("10")).otherwise(F.lit(None).cast(S)).alias("risk_level"),
+        F.when(mix % 3 == 0, F.lit("M")).when(mix % 3 == 1, F.lit("F")).otherwise(none).alias("sex"),
+        F.when(mix % 9 == 0, F.lit("****-**-**")).when(mix % 9 == 1, none)
+         .otherwise(_year_text(ck + ok % 3, "-01-15")).alias("birthday"),
+        F.when(mix % 5 == 0, F.lit(None).cast("int")).otherwise((nk + ok % 2) % 25).cast("int")
+         .alias("national_country_code"),
+        F.when(mix % 8 == 0, F.lit(None).cast("bigint")).otherwise((nk + mix) % 27).alias("ocr_country_code"),
+        ((nk + ok) % 25).alias("entity_reg_ctycode"),
+        ((nk + ok + 1) % 25).alias("entity_head_ctycode"),
+        _s(F.lit(1950) + mix % 70).alias("entity_settime"),
+        trade.alias("occu_type1_code"),
+        F.concat(seg, F.lit("-"), _s(mix % 10)).alias("occu_type2_code"),
+        F.concat(seg, F.lit("-"), _s(mix % 30)).alias("occu_type3_code"),
+        _s(ok % 2).alias("bearer_shares_status"),
+        F.when(mix % 13 == 0, none)
+         .otherwise(F.concat(F.lit("T"), F.lpad(_s((mix % 13) * 10), 3, "0"))).alias("risk_jobtitle_code"),
+        F.when(ok % 4 == 0, none).otherwise(F.concat(F.lit("M"), _s(mix % 97))).alias("manager_id"),
+        F.when(ok % 4 == 0, none).otherwise(F.concat(F.lit("Mgr "), _s(mix % 97))).alias("manager_name"),
+        F.when(mix % 7 == 0, F.lit("")).when(mix % 7 == 1, none)
+         .otherwise(F.concat(F.lit("09"), _s(ck), F.lit("-"), _s(ok % 3))).alias("cellular_phone"),
+        F.when(mix % 6 == 0, none).when(mix % 6 == 1, F.lit(""))
+         .otherwise(F.concat(F.lit("u"), _s(ok % 2), F.lit("@"), _s(ck))).alias("email"),
+        F.when(mix % 4 == 0, F.lit("00")).when(mix % 4 == 1, F.lit("30"))
+         .when(mix % 4 == 2, F.lit("10")).otherwise(none).alias("risk_level"),
         F.col("o_orderdate").alias("risk_level_update"),
-        F.lit(None).cast(S).alias("san"),
+        flag(18).alias("san"),
         flag(10).alias("mny_err"),
         flag(12).alias("sip"),
         flag(14).alias("am"),
         flag(15).alias("pep"),
         flag(16).alias("rca"),
-        seg.alias("risk_industry_code"),
+        trade.alias("risk_industry_code"),
     )
 
 
@@ -145,39 +144,56 @@ def benef_travel(t: DriverTables) -> DataFrame:
 
 
 def income(t: DriverTables) -> DataFrame:
+    """Declarations; those of every 17th customer are of contracts that do not exist."""
     li = t.read("lineitem", "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
     o = t.read("orders", "o_orderkey", "o_custkey")
     code = (F.col("l_partkey") + F.col("l_linenumber")) % 10
-    return (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-            .filter(F.col("o_custkey") % 17 != 0)
-            .select(
-                _orphan(F.col("l_orderkey"), 4).alias("contract_no"),
-                F.when((F.col("o_custkey") % 17 == 1) | (code == 0), F.lit(None).cast(S))
-                 .when(code == 9, F.lit("")).otherwise(_s(code)).alias("pay_source"),
-                F.when(F.col("l_quantity") < 10, F.lit(None).cast("bigint"))
-                 .otherwise(F.col("l_quantity").cast("bigint") * 10000).alias("min_year_income"),
-                F.col("l_shipdate").alias("change_date_time"),
-            ))
+    return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.when(F.col("o_custkey") % 17 == 0, F.lit(-1) - F.col("l_orderkey"))
+         .otherwise(_orphan(F.col("l_orderkey"), 4)).alias("contract_no"),
+        F.when((F.col("o_custkey") % 17 == 1) | (code == 0), F.lit(None).cast(S))
+         .when(code == 9, F.lit("")).otherwise(_s(code)).alias("pay_source"),
+        F.when(F.col("l_quantity") < 10, F.lit(None).cast("bigint"))
+         .otherwise(F.col("l_quantity").cast("bigint") * 10000).alias("min_year_income"),
+        F.col("l_shipdate").alias("change_date_time"),
+    )
+
+
+def income_extra(t: DriverTables) -> DataFrame:
+    """A second source of declarations, one per contract (used where it is asked for)."""
+    o = t.read("orders", "o_orderkey", "o_totalprice", "o_orderdate")
+    ok = F.col("o_orderkey")
+    return o.select(
+        _orphan(ok, 5).alias("contract_no"),
+        F.when(ok % 8 == 0, F.lit("")).otherwise(_s(ok % 8)).alias("pay_source"),
+        F.floor("o_totalprice").cast("bigint").alias("min_year_income"),
+        F.col("o_orderdate").alias("change_date_time"),
+    )
 
 
 def entity_manager(t: DriverTables) -> DataFrame:
+    """Managers of customers, two for every 4th; every 3rd one's customer does not exist."""
     c = t.read("customer", "c_custkey", "c_nationkey")
     ck = F.col("c_custkey")
-    return c.filter(ck % 3 != 1).select(
-        _s(F.lit(1) + ck % 4).alias("idntfctn_type"),
-        ck.alias("customer_id"),
-        F.when(ck % 5 == 0, F.lit(None).cast(S))
-         .otherwise(F.concat(F.lit("Boss "), _s(ck))).alias("manager_name"),
-        _year_text(ck, "-03-01").alias("birthday"),
-        F.col("c_nationkey").alias("national_country_code"),
-    )
+
+    def rows(title: str, month: str) -> DataFrame:
+        return c.select(
+            _s(F.lit(1) + ck % 4).alias("idntfctn_type"),
+            F.when(ck % 3 == 1, -ck).otherwise(ck).alias("customer_id"),
+            F.when(ck % 5 == 0, F.lit(None).cast(S))
+             .otherwise(F.concat(F.lit(title), _s(ck))).alias("manager_name"),
+            _year_text(ck, f"-{month}-01").alias("birthday"),
+            F.col("c_nationkey").alias("national_country_code"))
+
+    return rows("Boss ", "03").unionByName(rows("Deputy ", "04").filter(F.col("customer_id") % 4 == 0))
 
 
 def param_lookup(t: DriverTables) -> DataFrame:
     seg = t.read("customer", "c_mktsegment").distinct()
-    industry = seg.filter(F.col("c_mktsegment") != "HOUSEHOLD").select(
+    industry = seg.select(
         F.lit("RISK_INDUSTRY_TYPE").alias("param_id"),
-        F.col("c_mktsegment").alias("display_value"),
+        F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit("NO SUCH TRADE"))
+         .otherwise(F.col("c_mktsegment")).alias("display_value"),
         F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit("00"))
          .when(F.col("c_mktsegment") == "BUILDING", F.lit("30"))
          .otherwise(F.lit("10")).alias("data1"))
@@ -222,6 +238,7 @@ ADAPTER_FUNCS = {
     "benef_health": benef_health,
     "benef_travel": benef_travel,
     "income": income,
+    "income_extra": income_extra,
     "entity_manager": entity_manager,
     "param_lookup": param_lookup,
     "country_risk": country_risk,

@@ -50,9 +50,9 @@ def same_rows(a, b):
 def src_tables(spark, src_small):
     """The sf0.001 adapters written as plain parquet tables (deployment shape:
     one table per role, no adapter joins in the plans)."""
+    from custmaster.operators.audit import shared_path
     from custmaster.plans.batch import materialise
     from custmaster.sources import Sources
-    from custmaster.sources.fixtures import ADAPTER_FUNCS
-    tables = {r: materialise(spark, getattr(src_small, r), f"fixture_{r}")
-              for r in ADAPTER_FUNCS}
+    tables = {r: materialise(spark, getattr(src_small, r), shared_path(spark, f"fixture_{r}"))
+              for r in src_small.roles()}
     return Sources(spark, {r: (lambda d=d: d) for r, d in tables.items()})

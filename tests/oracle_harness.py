@@ -93,7 +93,7 @@ def main(argv):
     import __spark_entry__ as entry
     from custmaster.session import build_session
 
-    spark = build_session("local[8]", 8)
+    spark = build_session(f"local[{os.environ.get('BENCH_CPUS', '8')}]", 8)
     con = duck(sf_dir)
     qs, oracles = entry.queries(), entry.oracle_sql()
     bad = 0

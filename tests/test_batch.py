@@ -5,7 +5,9 @@ import os
 
 from pyspark.sql import functions as F
 
-from custmaster.operators.audit import audit_counts, publish_roundtrip, snapshot_merge
+from custmaster.params import FIXTURE_PARAMS, RunParams
+from custmaster.operators.audit import (audit_counts, first_created, publish, publish_roundtrip, shared_path,
+                                        with_first_created)
 from custmaster.plans import batch, datasets
 from custmaster.session import checkpoint_dir
 
@@ -21,47 +23,78 @@ def test_checkpoint_dir_comes_from_session(spark):
 def test_run_daily_writes_all_datasets(spark, src_small, tmp_path):
     out = str(tmp_path / "out")
     counts = {r["dataset"]: (r["records"], r["distinct_ids"])
-              for r in batch.run_daily(spark, src_small, out).collect()}
+              for r in batch.run_daily(spark, src_small, out, FIXTURE_PARAMS).collect()}
     assert set(counts) == set(datasets.DATASETS)
     for name, (_, fn) in datasets.DATASETS.items():
-        df = fn(src_small)
+        df = fn(src_small, FIXTURE_PARAMS)
         assert counts[name] == (df.count(), df.select("ID_NO").distinct().count()), name
     assert any(p.startswith("PTN=") for p in os.listdir(f"{out}/natural_contact"))
 
 
 def test_publish_roundtrip_keeps_text_partition(spark, src_small):
-    df = datasets.natural_contact(src_small)
+    df = datasets.natural_contact(src_small, FIXTURE_PARAMS)
     back = publish_roundtrip(spark, df, "nc")
     assert dict(back.dtypes)["PTN"] == "string"
     assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
 
 
 def test_audit_counts_by_type(src_small):
-    rel = datasets.corporate_relations(src_small)
+    rel = datasets.corporate_relations(src_small, FIXTURE_PARAMS)
     c = audit_counts(rel, "corporate_relations", by=["RELATION_TYPE"])
     total = sum(r["records"] for r in c.collect())
     assert total == rel.count()
 
 
-def test_snapshot_merge_keeps_first_creation(spark):
-    prev = spark.createDataFrame(
-        [("1", "a", dt.datetime(2024, 1, 1)), ("2", "b", dt.datetime(2024, 2, 1))],
-        "ID_NO string, V string, CREATE_DATE timestamp_ntz")
-    curr = spark.createDataFrame(
-        [("1", "a2", dt.datetime(2024, 3, 1)), ("3", "c", dt.datetime(2024, 3, 1))],
-        "ID_NO string, V string, CREATE_DATE timestamp_ntz")
-    got = sorted(tuple(r) for r in snapshot_merge(prev, curr, ["ID_NO"]).collect())
-    assert got == [("1", "a2", dt.datetime(2024, 1, 1)), ("3", "c", dt.datetime(2024, 3, 1))]
+def test_first_creation_survives_absence(spark):
+    def day(rows):
+        return spark.createDataFrame([(i, v, dt.datetime.fromisoformat(d)) for i, v, d in rows],
+                                     "ID_NO string, V string, CREATE_DATE timestamp_ntz")
+    runs = [day([("1", "a", "2024-01-01"), ("2", "b", "2024-01-01")]),
+            day([("2", "b2", "2024-02-01"), ("3", "c", "2024-02-01")]),       # 1 is away
+            day([("1", "a3", "2024-03-01"), ("3", "c3", "2024-03-01")])]      # and comes back
+    history = None
+    for run in runs:
+        history = first_created(history, run, ["ID_NO"])
+    got = sorted(tuple(r) for r in with_first_created(runs[-1], history, ["ID_NO"]).collect())
+    assert got == [("1", "a3", dt.datetime(2024, 1, 1)), ("3", "c3", dt.datetime(2024, 2, 1))]
+    assert history.count() == 3
+
+
+def test_run_daily_keeps_history_and_cleans_up(spark, src_small, tmp_path):
+    out, h1, h2 = (str(tmp_path / x) for x in ("out", "h1", "h2"))
+    first = RunParams(as_of=FIXTURE_PARAMS.as_of, create_date=dt.date(2024, 1, 1))
+    second = RunParams(as_of=FIXTURE_PARAMS.as_of, create_date=dt.date(2024, 2, 1))
+    batch.run_daily(spark, src_small, out, first, history_out=h1)
+    batch.run_daily(spark, src_small, out, second, history_in=h1, history_out=h2,
+                    with_address=True, with_insured=True)
+    risk = spark.read.parquet(f"{out}/natural_risk")
+    assert [r[0] for r in risk.select("CREATE_DATE").distinct().collect()] == [dt.datetime(2024, 1, 1)]
+    assert "REGISTERED_ADDR" in spark.read.parquet(f"{out}/natural_basic").columns
+    kinds = {r[0] for r in spark.read.parquet(f"{out}/natural_relations").select("RELATION_TYPE").distinct().collect()}
+    assert "4" in kinds
+    base = checkpoint_dir(spark).replace("file:", "")
+    assert not [x for x in os.listdir(f"{base}/tables") if x.startswith("run_")]
+    assert not [x for x in os.listdir(out) if ".new-" in x]
+
+
+def test_failed_publish_keeps_the_old_dataset(spark, tmp_path):
+    import pytest
+    path = str(tmp_path / "d")
+    publish(spark.range(3).toDF("v"), path)
+    bad = spark.range(3).select(F.raise_error(F.lit("no")).cast("bigint").alias("v"))
+    with pytest.raises(Exception):
+        publish(bad, path)
+    assert spark.read.parquet(path).count() == 3
 
 
 def test_populations_checkpointed(spark, src_small):
-    pops = batch.populations(spark, src_small)
+    pops = batch.populations(spark, src_small, FIXTURE_PARAMS, shared_path(spark, "pops"))
     for cls, pop in pops.items():
         txt = pop._jdf.queryExecution().analyzed().toString()
         assert "Relation" in txt and "parquet" in txt.lower(), cls   # lineage cut: a written table
         plan = pop._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: [isnotnull(_class" in plan, cls    # reads its class only
-        same = datasets.class_population(src_small, cls)
+        same = datasets.class_population(src_small, cls, FIXTURE_PARAMS)
         assert pop.exceptAll(same.select(*pop.columns)).count() == 0
         assert same.select(*pop.columns).exceptAll(pop).count() == 0
     assert pops["natural"].filter(F.col("customer_id").isNull()).count() == 0
@@ -69,10 +102,10 @@ def test_populations_checkpointed(spark, src_small):
 
 def test_views_answer_to_target_names(spark, src_small):
     from custmaster.plans.views import register_views
-    names = register_views(spark, src_small)
+    names = register_views(spark, src_small, FIXTURE_PARAMS)
     assert "ins_nprisk_tmp" in names and "party" in names
     a = spark.sql("SELECT COUNT(*) AS n, COUNT(DISTINCT ID_NO) AS d FROM ins_nprisk_tmp").first()
-    assert a["n"] == a["d"] == datasets.natural_risk(src_small).count()
+    assert a["n"] == a["d"] == datasets.natural_risk(src_small, FIXTURE_PARAMS).count()
 
 
 def test_cli_runs_the_batch(tmp_path, capsys):
@@ -80,3 +113,10 @@ def test_cli_runs_the_batch(tmp_path, capsys):
     main(["--fixtures", "/root/testdata/sf0.001", "--out", str(tmp_path / "o")])
     out = capsys.readouterr().out
     assert out.count("records=") == 8
+
+
+def test_cli_needs_a_business_date_for_tables(tmp_path):
+    import pytest
+    from custmaster.__main__ import main
+    with pytest.raises(SystemExit):
+        main(["--tables", str(tmp_path / "t.json"), "--out", str(tmp_path / "o")])

@@ -69,10 +69,3 @@ def test_flags_and_stamp(spark):
     assert r["t"] == dt.datetime(2024, 8, 16)
     assert dict(spark.range(1).select(stamp(dt.date(2024, 8, 16)).alias("t")).dtypes)["t"] \
         == "timestamp_ntz"
-
-
-def test_shuffle_partitions_for():
-    from custmaster.session import shuffle_partitions_for
-    assert shuffle_partitions_for(0) == 8
-    assert shuffle_partitions_for(128 << 20) == 8
-    assert shuffle_partitions_for(100 * (1 << 40)) == 819200     # 100 TB / 128 MB

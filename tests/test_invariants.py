@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from custmaster.params import FIXTURE_PARAMS
 from custmaster.plans import datasets
 from custmaster.plans.queries import REGISTRY
 from conftest import SF_ORACLE
@@ -10,7 +11,7 @@ from conftest import SF_ORACLE
 
 @pytest.fixture(scope="module")
 def ds(src_oracle):
-    return {n: fn(src_oracle) for n, (_, fn) in datasets.DATASETS.items()}
+    return {n: fn(src_oracle, FIXTURE_PARAMS) for n, (_, fn) in datasets.DATASETS.items()}
 
 
 def _ids(df):

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import same_rows
+from custmaster.params import FIXTURE_PARAMS
 from custmaster.functions import codes
 from custmaster.functions.columns import null_text, text
 from custmaster.operators import income, relations
@@ -15,7 +16,7 @@ from custmaster.plans import datasets
 def test_bridge_rewrite_insured_arm(src_small):
     """R1 + R2: insured arm over bridge + population == naive history joins + final join."""
     src = src_small
-    pop = datasets.class_population(src, "corporate")
+    pop = datasets.class_population(src, "corporate", FIXTURE_PARAMS)
     # naive: insured ⟕ party(contract) ⟕ party(person), distinct, ⋈ population
     p1 = src.party.select("contract_no", F.col("customer_id").alias("cid"))
     p2 = src.party.select(F.col("customer_id").alias("nid"), "national_country_code")
@@ -27,7 +28,7 @@ def test_bridge_rewrite_insured_arm(src_small):
                      text(F.col("customer_id")).alias("RELATION_ID_NO"),
                      text("national_country_code").alias("COUNTRY")).distinct()
              .join(pop.select("customer_id"), "customer_id"))
-    bridge = income.contract_customer_bridge(src.party, carry=pop.select("customer_id"))
+    bridge = income.contract_customer_bridge(src.party, pop.select("customer_id"))
     nat = relations.person_bridge(src.party, ["national_country_code"])
     fast = relations.insured_rows(src.insured, bridge, nat).select(*naive.columns)
     assert naive.count() > 0
@@ -70,7 +71,7 @@ def test_contacts_one_scan_rewrite(src_small):
 def test_income_bridge_rewrite(src_small):
     """R1 for the income profile: bridge == full history join."""
     src = src_small
-    hist = src.party.select("contract_no", "customer_id")
+    hist = src.party.select("contract_no", "customer_id").filter("customer_id IS NOT NULL")
     a = income.income_profile(src.income, hist)
     b = income.income_profile(src.income, income.contract_customer_bridge(src.party))
     same_rows(a, b)
@@ -82,9 +83,9 @@ def test_stable_under_partitioning(spark, src_small, name):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "1")
-        one = fn(src_small).collect()
+        one = fn(src_small, FIXTURE_PARAMS).collect()
         spark.conf.set("spark.sql.shuffle.partitions", "13")
-        many = fn(src_small).collect()
+        many = fn(src_small, FIXTURE_PARAMS).collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert sorted(map(tuple, one), key=repr) == sorted(map(tuple, many), key=repr)
@@ -94,14 +95,14 @@ def test_stable_under_partitioning(spark, src_small, name):
 def test_member_ids_equal_population_ids(src_small, cls):
     from custmaster.operators.population import member_ids
     src = src_small
-    ids = member_ids(src.party, src.policy, src.insured, datasets.CLASSES[cls])
-    same_rows(ids, datasets.class_population(src, cls).select("customer_id"))
+    ids = member_ids(src.party, src.policy, src.insured, datasets.CLASSES[cls], FIXTURE_PARAMS)
+    same_rows(ids, datasets.class_population(src, cls, FIXTURE_PARAMS).select("customer_id"))
 
 
 def test_one_pass_populations_equal_per_class(src_small):
     from custmaster.operators.population import populations_by_class
     src = src_small
-    both = populations_by_class(src.party, src.policy, src.insured, datasets.CLASSES)
+    both = populations_by_class(src.party, src.policy, src.insured, datasets.CLASSES, FIXTURE_PARAMS)
     for cls in datasets.CLASSES:
         one = both.filter(F.col("_class") == cls).drop("_class")
-        same_rows(one, datasets.class_population(src, cls))
+        same_rows(one, datasets.class_population(src, cls, FIXTURE_PARAMS))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import same_rows
+from custmaster.params import FIXTURE_PARAMS
 from custmaster.plans import datasets
 from custmaster.sources import Sources
 
@@ -16,7 +17,7 @@ def hot(spark, src_small):
     party = base.party.cache()
     n = party.count()
     # hottest real customer, copied until it holds about a third of all rows
-    cust = party.groupBy("customer_id").count().orderBy(F.desc("count"), "customer_id").first()
+    cust = party.filter("customer_id IS NOT NULL").groupBy("customer_id").count().orderBy(F.desc("count"), "customer_id").first()
     copies = max(1, (n // 2) // cust["count"])
     hot_rows = (party.filter(F.col("customer_id") == cust["customer_id"])
                 .withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(copies))))
@@ -62,14 +63,14 @@ def brute_force_population(spark, src, types):
 def test_population_with_hot_customer(spark, hot):
     src, hot_id = hot
     for cls, types in (("natural", "'1','2','3'"), ("corporate", "'4'")):
-        fast = datasets.class_population(src, cls)
+        fast = datasets.class_population(src, cls, FIXTURE_PARAMS)
         same_rows(fast, brute_force_population(spark, src, types))
         assert fast.filter(F.col("customer_id") == hot_id).count() <= 1
 
 
 def test_forced_skew_split_keeps_results(spark, hot):
     src, _ = hot
-    base = {n: fn(src).collect() for n, (_, fn) in datasets.DATASETS.items()
+    base = {n: fn(src, FIXTURE_PARAMS).collect() for n, (_, fn) in datasets.DATASETS.items()
             if n in ("corporate_relations", "natural_relations", "natural_basic")}
     keys = {
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
@@ -81,7 +82,7 @@ def test_forced_skew_split_keeps_results(spark, hot):
         for k, v in keys.items():
             spark.conf.set(k, v)
         for n, rows in base.items():
-            again = datasets.DATASETS[n][1](src).collect()
+            again = datasets.DATASETS[n][1](src, FIXTURE_PARAMS).collect()
             assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, rows), key=repr), n
     finally:
         for k, v in old.items():
@@ -103,7 +104,7 @@ def test_aqe_splits_the_hot_contract(spark, hot):
     try:
         for k, v in keys.items():
             spark.conf.set(k, v)
-        df = datasets.corporate_relations(src)
+        df = datasets.corporate_relations(src, FIXTURE_PARAMS)
         df.collect()
         txt = df._jdf.queryExecution().executedPlan().toString()
         assert "isFinalPlan=true" in txt
@@ -114,3 +115,25 @@ def test_aqe_splits_the_hot_contract(spark, hot):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_a_hot_customer_is_spread_over_tasks(spark, hot):
+    """The join of the history with the population deals a customer's rows to several
+    partitions: none holds the customer alone, also without AQE."""
+    from custmaster.operators.population import for_customers
+    src, hot_id = hot
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.shuffle.partitions": "64"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        rows = src.party.select("contract_no", "customer_id")
+        ids = rows.filter("customer_id IS NOT NULL").select("customer_id").distinct()
+        own = for_customers(rows, ids).filter(F.col("customer_id") == hot_id)
+        per_task = [r["count"] for r in own.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(per_task) == rows.filter(F.col("customer_id") == hot_id).count()
+        assert len(per_task) >= 4 and max(per_task) < 0.4 * sum(per_task)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -17,7 +17,7 @@ def views(spark):
 
 @pytest.mark.parametrize("role", list(ADAPTER_FUNCS))
 def test_adapter_matches_sql(spark, views, role):
-    df = getattr(Sources.from_fixtures(spark, SF_SMALL), role)
+    df = getattr(Sources.from_fixtures(spark, SF_SMALL, income_extra=True), role)
     sql = spark.sql(ADAPTERS[role])
     assert df.columns == sql.columns
     assert df.count() == sql.count()
