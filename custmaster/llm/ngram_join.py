@@ -348,7 +348,8 @@ def near_classes(docs: DataFrame) -> DataFrame:
         k, F.substring(F.col("signature"), k * (2 * BAND) + 1, F.lit(2 * BAND))))
     bands = reps.where("size > 0").select("rep", F.explode(keys).alias("bucket"))
     shared = materialise(bands.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1"), "buckets")
-    hits = bands.join(shared, "bucket").join(reps.select("rep", "signature"), "rep")
+    # all three grow with the documents: shuffled at every size, never broadcast
+    hits = bands.join(shared.hint("merge"), "bucket").join(reps.select("rep", "signature").hint("merge"), "rep")
     edges = _by_unit(_in_units(hits.select("rep", "signature", "bucket", "members"), "bucket", "members"),
                      _bucket_edges, "a bigint, b bigint")
 
@@ -357,7 +358,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
     groups = materialise(groups.join(sizes, "component").join(
         reps.select(F.col("rep").alias("node"), "set_key", "copies"), "node"), "groups")
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
-    members = texts.join(groups, "node").select(
+    members = texts.join(groups.hint("merge"), "node").select(
         "text", "set_key", F.col("node").alias("rep"), "copies", "component", "members").mapInArrow(
         _member_sets, "rep bigint, copies bigint, component bigint, members bigint, signature binary, shingles binary")
     verified = materialise(_by_unit(_in_units(members, "component", "members"), _verified,
