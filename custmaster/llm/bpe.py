@@ -1,9 +1,10 @@
 """Byte-level BPE encoding and decoding by a global shuffle of distinct words.
 
 A text is cut before every single space that stands between two characters
-other than white space.  No match of the tokenizer's pattern reaches across
-such a cut, so the pieces, *units*, encode independently of each other, and a
-unit's ids are the ids of its pattern matches one after the other.
+other than white space, and before a comma or full stop after a letter or
+digit.  No match of the tokenizer's pattern reaches across such a cut, so the
+pieces, *units*, encode independently of each other, and a unit's ids are the
+ids of its pattern matches one after the other.
 
 Encoding: the documents of a task are taken in blocks of bounded text.  A block
 turns into its distinct units, exploded with their position in the block's
@@ -33,18 +34,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from custmaster.llm.common import pack, unpack
+
 #: characters of text after which a block is closed; documents of a packed row; units
 #: whose ids are gathered before they are sent back
 BLOCK_CHARS = 40 << 20
 ROW_DOCS = 100
 GATHER = 400_000
 _ROWS = 50_000
-_CUT = re.compile(r"(?<=\S)(?= \S)")
+_CUT = re.compile(r"(?<=\S)(?= \S)|(?<=[^\W_])(?=[.,])")
+#: a comma or full stop that no letter or digit precedes, where a plain cut would be wrong
+_ODD_STOP = re.compile(r"(?<![^\W_])[.,]")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -91,8 +95,8 @@ def positions(text: str, number: _Units) -> np.ndarray:
     """The numbers of a text's units, in order."""
     if not text:
         return np.empty(0, "<u4")
-    if "\0" not in text:
-        plain = text.replace(" ", "\0 ").split("\0")
+    if "\0" not in text and not _ODD_STOP.search(text):
+        plain = text.replace(" ", "\0 ").replace(",", "\0,").replace(".", "\0.").split("\0")
         try:
             return np.fromiter(map(number.__getitem__, plain), "<u4", len(plain))
         except _Irregular:
@@ -101,17 +105,6 @@ def positions(text: str, number: _Units) -> np.ndarray:
     return np.fromiter(map(number.exact, exact), "<u4", len(exact))
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Unsigned 32-bit numbers, compressed byte plane by byte plane."""
-    planes = np.ascontiguousarray(values.astype("<u4").view("u1").reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "u1").reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
-
-
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, _Units, np.ndarray, list, list]]:
     """(key, distinct units, their places by frequency, doc ids, packed positions) of the
     blocks of a task. The key holds the task, the block's number there and a checksum."""
