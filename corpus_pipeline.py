@@ -21,16 +21,15 @@ from custmaster.llm.common import materialise, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.apply_policy(quality.ledger(docs)).select(*docs.columns)
+    return quality.filter_docs(docs)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    models = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, models).where(~toxicity.is_toxic(models)).select(*docs.columns)
+    return toxicity.filter_docs(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.keep_one(docs).select(*docs.columns)
+    return ngram_join.keep_one(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

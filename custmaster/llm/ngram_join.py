@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custmaster.llm.common import materialise
+from custmaster.llm.common import free_name, materialise
 
 SHINGLE = 5
 THRESHOLD = Fraction(4, 5)
@@ -377,11 +377,11 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stand for their class: the one with the least id. A row
-    without id stays unless a document with one is in its class."""
-    dropped = near_classes(docs).where("class_id IS NOT NULL AND NOT (doc_id <=> class_id)")
-    ids = dropped.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("dropped_id")).distinct()
-    kept = docs.join(ids, docs["doc_id"] == F.col("dropped_id"), "left_anti")
+    """The rows of ``docs`` that stand for their class: the one with the least id, once. Rows
+    without id stay, one of each text."""
+    name = free_name(docs, "dropped_id")
+    ids = near_classes(docs).where("doc_id <> class_id").select(F.col("doc_id").alias(name)).distinct()
+    kept = docs.join(ids, docs["doc_id"] == F.col(name), "left_anti")
     return kept.dropDuplicates(["doc_id", "text"])
 
 

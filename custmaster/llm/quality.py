@@ -4,8 +4,7 @@ Every rule is evaluated once for every document: ``ledger`` measures the whole
 text in one Arrow pass (bytes in, a struct of counts out), and the rules are
 column expressions over the measurements whose failures are the bits of
 ``rule_bits``.  A policy is a version name for a mask of rules; applying one,
-or comparing several, reads only the ledger (``apply_policy``), and
-``ablation`` tells for each rule of a policy what it alone rejects, by bitwise
+or comparing several, reads only the ledger (``passes``), and ``ablation`` tells for each rule of a policy what it alone rejects, by bitwise
 aggregation over the distinct bit patterns.
 
 Words are runs of characters other than ASCII white space.  Null text reads
@@ -22,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from custmaster.llm.common import free_name
+
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 _MEASURE_TYPE = "struct<" + ",".join(f"{m}:bigint" for m in MEASURES) + ">"
 _BLANK_OR_TAIL = b" \t\n\x0b\x0c\r" + bytes(range(0x80, 0xC0))
@@ -96,22 +97,25 @@ def _measure_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in cols], names=list(MEASURES))
 
 
-def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``rule_measures`` (struct) and ``rule_bits`` (long, a bit per failed rule)."""
+def ledger(docs: DataFrame, text: str = "text", measures: str = "rule_measures",
+           bits: str = "rule_bits") -> DataFrame:
+    """``docs`` with the columns ``measures`` (struct) and ``bits`` (long, a bit per failed rule)."""
     take = F.arrow_udf(_measure_batches, _MEASURE_TYPE)
-    df = docs.withColumn("rule_measures", take(F.col(text).cast("binary")))
-    bits = sum((F.when(cond(F.col("rule_measures")), F.lit(1 << i)).otherwise(F.lit(0)).cast("long")
-                for i, (_, cond) in enumerate(RULES)), F.lit(0).cast("long"))
-    return df.withColumn("rule_bits", bits)
+    df = docs.withColumn(measures, take(F.col(text).cast("binary")))
+    failed = sum((F.when(cond(F.col(measures)), F.lit(1 << i)).otherwise(F.lit(0)).cast("long")
+                  for i, (_, cond) in enumerate(RULES)), F.lit(0).cast("long"))
+    return df.withColumn(bits, failed)
 
 
-def passes(policy: str = CURRENT) -> Column:
+def passes(policy: str = CURRENT, bits: str = "rule_bits") -> Column:
     """True for ledger rows that fail no rule of the policy."""
-    return F.col("rule_bits").bitwiseAND(F.lit(mask(policy))) == 0
+    return F.col(bits).bitwiseAND(F.lit(mask(policy))) == 0
 
 
-def apply_policy(rows: DataFrame, policy: str = CURRENT) -> DataFrame:
-    return rows.where(passes(policy))
+def filter_docs(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
+    """The documents that pass the policy, with their own columns."""
+    measures, bits = free_name(docs, "rule_measures"), free_name(docs, "rule_bits")
+    return ledger(docs, measures=measures, bits=bits).where(passes(policy, bits)).select(*docs.columns)
 
 
 def ablation(rows: DataFrame, policy: str = CURRENT) -> DataFrame:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custmaster.llm.common import table
+from custmaster.llm.common import free_name, table
 
 #: category and its label from the labels' columns (quality 0/1, toxic 0/1)
 CATEGORIES = (
@@ -227,8 +227,8 @@ def train(docs: DataFrame, labels: DataFrame) -> list[Linear]:
 
 # -- scoring ---------------------------------------------------------------------------
 
-def score(docs: DataFrame, models: list[Linear], text: str = "text") -> DataFrame:
-    """``docs`` with ``toxicity``: a struct of a probability for each category."""
+def score(docs: DataFrame, models: list[Linear], text: str = "text", out: str = "toxicity") -> DataFrame:
+    """``docs`` with a column ``out``: a struct of a probability for each category."""
     chosen = {int(f): i for i, f in enumerate(np.unique(np.concatenate([m.features for m in models])))}
     tables = []
     for m in models:
@@ -250,12 +250,18 @@ def score(docs: DataFrame, models: list[Linear], text: str = "text") -> DataFram
             yield pa.StructArray.from_arrays([pa.array(p, pa.float64()) for p in out], names=list(NAMES))
 
     kind = "struct<" + ",".join(f"{c}:double" for c in NAMES) + ">"
-    return docs.withColumn("toxicity", F.arrow_udf(scored, kind)(F.col(text)))
+    return docs.withColumn(out, F.arrow_udf(scored, kind)(F.col(text)))
 
 
-def is_toxic(models: list[Linear]):
+def filter_docs(docs: DataFrame, models: list[Linear]) -> DataFrame:
+    """The documents below the threshold for ``toxic``, with their own columns."""
+    out = free_name(docs, "toxicity")
+    return score(docs, models, out=out).where(~is_toxic(models, out)).select(*docs.columns)
+
+
+def is_toxic(models: list[Linear], out: str = "toxicity"):
     """True for scored rows at or above the threshold of the category ``toxic``."""
-    return F.col("toxicity")["toxic"] >= models[NAMES.index("toxic")].threshold
+    return F.col(out)["toxic"] >= models[NAMES.index("toxic")].threshold
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

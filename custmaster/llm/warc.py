@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In,
                                     InputPartition, IsNotNull, WriterCommitMessage)
 
-from custmaster.llm.common import shared_path, table
+from custmaster.llm.common import filesystem, shared_path, table
 
 MIN_SHARED = 100
 SALTS = 8
@@ -57,12 +57,6 @@ READ_SCHEMA = ("record_type string, record_id string, target_uri string, payload
 WRITE_COLUMNS = ("page_id", "url", "record_type", "refers_to", "payload_digest", "payload")
 
 
-def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    if uri.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
-    return (pafs.LocalFileSystem(), uri) if uri.startswith("/") else pafs.FileSystem.from_uri(uri)
-
-
 # -- records ---------------------------------------------------------------------------
 
 def member(data: bytes, level: int = 6) -> bytes:
@@ -209,21 +203,23 @@ class WarcReader(DataSourceReader):
         return all(k in headers and (not v or headers[k] in v) for k, v in self.tests)
 
     def partitions(self) -> list[FilePartition]:
-        filesystem, root = _filesystem(self.uri)
-        manifests = [f.path for f in filesystem.get_file_info(pafs.FileSelector(root))
+        store, root = filesystem(self.uri)
+        manifests = [f.path for f in store.get_file_info(pafs.FileSelector(root))
                      if f.base_name.endswith(MANIFEST)]
         if manifests:
             names = []
             for m in manifests:
-                with filesystem.open_input_file(m) as f:
+                with store.open_input_file(m) as f:
                     names += json.loads(f.read())
         else:
-            names = [f.base_name for f in filesystem.get_file_info(pafs.FileSelector(root))
+            names = [f.base_name for f in store.get_file_info(pafs.FileSelector(root))
                      if f.base_name.endswith((".warc", ".warc.gz"))]
         return [FilePartition(f"{root}/{n}") for n in sorted(names)]
 
-    def read(self, partition: FilePartition) -> Iterator[pa.RecordBatch]:
-        filesystem, _ = _filesystem(self.uri)
+    def read(self, partition: FilePartition | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # no files at all
+            return
+        store, _ = filesystem(self.uri)
         schema = pa.schema([(c, pa.string()) for c in HEADER_COLUMNS]
                            + [("headers", pa.map_(pa.string(), pa.string())), ("payload", pa.binary())])
         rows, size = [], 0
@@ -232,7 +228,7 @@ class WarcReader(DataSourceReader):
             cols = list(zip(*rows))
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
-        with filesystem.open_input_file(partition.path) as stream:
+        with store.open_input_file(partition.path) as stream:
             for headers, block in read_records(stream, self.wanted, self.payloads):
                 payload = http_payload(block) if headers.get("WARC-Type") == "response" else None
                 rows.append((*(headers.get(h) for h in HEADER_COLUMNS.values()), list(headers.items()), payload))
@@ -249,15 +245,15 @@ class WarcWriter(DataSourceArrowWriter):
         self.uri = options["path"]
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WrittenFiles:
-        filesystem, root = _filesystem(self.uri)
-        filesystem.create_dir(root, recursive=True)
+        store, root = filesystem(self.uri)
+        store.create_dir(root, recursive=True)
         names, stream, size = [], None, 0
         for batch in iterator:
             columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in WRITE_COLUMNS]
             for row in zip(*columns):
                 if stream is None:
                     names.append(f"part-{uuid.uuid4().hex}.warc.gz")
-                    stream, size = filesystem.open_output_stream(f"{root}/{names[-1]}", compression=None), 0
+                    stream, size = store.open_output_stream(f"{root}/{names[-1]}", compression=None), 0
                 data = member(page_record(*row))
                 stream.write(data)
                 size += len(data)
@@ -269,9 +265,9 @@ class WarcWriter(DataSourceArrowWriter):
         return WrittenFiles(names)
 
     def commit(self, messages: list) -> None:
-        filesystem, root = _filesystem(self.uri)
-        filesystem.create_dir(root, recursive=True)
-        with filesystem.open_output_stream(f"{root}/{uuid.uuid4().hex}{MANIFEST}") as f:
+        store, root = filesystem(self.uri)
+        store.create_dir(root, recursive=True)
+        with store.open_output_stream(f"{root}/{uuid.uuid4().hex}{MANIFEST}") as f:
             f.write(json.dumps([n for m in messages if m for n in m.names]).encode())
 
     def abort(self, messages: list) -> None:
