@@ -1,0 +1,23 @@
+"""The fixtures must notice a wrong pick: ranked by the earliest history row instead of the
+latest, every ranked dataset differs from its oracle."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import oracle_harness as harness
+from conftest import SF_SMALL
+from custmaster.operators import population
+from custmaster.plans.oracle import ORACLES
+from custmaster.plans.queries import REGISTRY
+
+RANKED = ("corporate_basic", "corporate_contact", "corporate_risk", "natural_basic", "natural_contact",
+          "natural_relations", "natural_risk")
+
+
+@pytest.mark.parametrize("name", RANKED)
+def test_earliest_row_is_noticed(spark, monkeypatch, name):
+    real = population.latest_per_key
+    monkeypatch.setattr(population, "latest_per_key",
+                        lambda df, keys, order, rank_col=None: real(df, keys, [F.col(o).asc() for o in order], rank_col))
+    got = harness.compare(spark, harness.duck(SF_SMALL), SF_SMALL, name, REGISTRY[name], ORACLES[name])
+    assert not got["values_match"]
