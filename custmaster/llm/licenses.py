@@ -200,7 +200,9 @@ def _sweep(detections: Column) -> Column:
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` with a column ``license_scan``: a struct of n_words, n_base,
     first_word, last_word (places of BASE_PHRASES), base_labels, spans (kept detections:
-    start, end, rule, label, weight), labels and score (the greatest weight)."""
+    start, end, rule, label, weight), labels and score (the greatest weight). A column of that
+    name is replaced."""
+    docs = docs.select(*[c for c in docs.columns if c.lower() != "license_scan"])
     norm, low, det, kept, out = (free_name(docs, f"license_{x}") for x in
                                  ("norm", "low", "found", "kept", "scan"))
     df = docs.withColumn(norm, normalise(text_or_empty(text)))

@@ -8,8 +8,8 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline as pipe
 from custmaster.llm import quality, toxicity
-from test_ngram_join import plain as near_plain
-from test_quality import plain as measure
+from .test_ngram_join import plain as near_plain
+from .test_quality import plain as measure
 
 SF = "/root/testdata/sf0.001"
 
