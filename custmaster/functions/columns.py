@@ -11,22 +11,22 @@ STR = "string"
 
 
 def text(c: Column | str) -> Column:
-    """``CAST(c AS STRING)``."""
+    """The value as text."""
     return (F.col(c) if isinstance(c, str) else c).cast(STR)
 
 
 def null_text() -> Column:
-    """``CAST(NULL AS STRING)``: typed placeholder that aligns union arms."""
+    """A NULL of type text: placeholder that aligns union arms."""
     return F.lit(None).cast(STR)
 
 
 def blank() -> Column:
-    """``''``: placeholder of a profile column that has no source yet."""
+    """Empty text: placeholder of a profile column that has no source yet."""
     return F.lit("")
 
 
 def non_blank(c: Column | str) -> Column:
-    """``c <> '' AND c IS NOT NULL``."""
+    """Neither NULL nor empty."""
     c = F.col(c) if isinstance(c, str) else c
     return (c != F.lit("")) & c.isNotNull()
 
@@ -34,29 +34,27 @@ def non_blank(c: Column | str) -> Column:
 def usable_income(pay_source: Column, income: Column) -> Column:
     """An income declaration is kept when it names a source or an amount.
 
-    ``(source <> '' AND source IS NOT NULL) OR income IS NOT NULL`` -- a blank
-    source passes together with an amount and then stays in the source set.
+    So a blank source passes together with an amount and stays in the source set.
     """
     return non_blank(pay_source) | income.isNotNull()
 
 
 def in_force(end_datetime: Column, as_of: dt.date) -> Column:
-    """``DATE(end) >= as_of OR end IS NULL`` (open-ended policies are in force)."""
+    """Ends on the business date or later, or never."""
     return (F.to_date(end_datetime) >= F.lit(as_of)) | end_datetime.isNull()
 
 
 def birth_digit(birthday: Column) -> Column:
-    """Partition digit from the 4th character of the birthday text.
+    """Partition digit: the birthday text's 4th character if it is a digit.
 
-    ``CASE WHEN SUBSTRING(b, 4, 1) RLIKE '[0-9]' THEN SUBSTRING(b, 4, 1) ELSE '0'``;
-    masked and NULL birthdays give '0'.  Always text (see SURVEY S5).
+    Masked and NULL birthdays give '0'.  Always text (see SURVEY S5).
     """
     d = F.substring(birthday, 4, 1)
     return F.when(d.rlike("[0-9]"), d).otherwise(F.lit("0"))
 
 
 def flag_or_zero(flag: Column) -> Column:
-    """``COALESCE(flag, '0')`` as text (list-membership flags are NULL or '1')."""
+    """The flag as text, '0' where it is NULL (list-membership flags are NULL or '1')."""
     return F.coalesce(text(flag), F.lit("0"))
 
 

@@ -1,2 +1,2 @@
 """Operators: population, income profile, contacts, relations, risk, profiles,
-address, lookups and audit -- each a function from DataFrames to a DataFrame."""
+address and audit -- each a function from DataFrames to a DataFrame."""
