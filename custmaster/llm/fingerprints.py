@@ -108,9 +108,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
     at, follows = _ranges(docs)
     order = Window.partitionBy("range").orderBy("doc_id", "text")
-    placed = (docs.where(F.col("doc_id").isNotNull()).withColumn("range", at)
-              .withColumn("next_text", F.lead("text").over(order))
-              .withColumn("place", F.row_number().over(order)))
+    ranged = docs.where(F.col("doc_id").isNotNull()).withColumn("range", at).where(F.col("range").isNotNull())
+    # both uses of this deal the texts out alike (same columns, same filter): shuffled once
+    placed = ranged.withColumn("next_text", F.lead("text").over(order))
 
     def sketched(df: DataFrame, text: str, out: str) -> DataFrame:
         return (with_word_hashes(df, text, "hashes_").withColumn(out, sketch("hashes_")).drop("hashes_"))
@@ -118,7 +118,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     inner = (sketched(placed, "text", "sketch")
              .withColumn("next_sketch", F.lead("sketch").over(order))
              .where(F.col("next_text").isNotNull()))
-    heads = sketched(placed.where(F.col("place") == 1)
+    # one row a range survives each task's limit, which is planned before the shuffle
+    heads = sketched(ranged.withColumn("place", F.row_number().over(order)).where(F.col("place") == 1)
                      .select(F.col("range").alias("next_range"), F.col("text").alias("next_text")),
                      "next_text", "next_sketch")
     lasts = placed.where(F.col("next_text").isNull()).select("doc_id", "text", "range")
