@@ -53,6 +53,7 @@ BANDS = VALUES // BAND
 TOLERANCE = 1e-7
 STEPS = (16, 32, 64, 128)
 BLOCK = 512
+SALTS = 8
 _CACHE_WORDS = 400_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _CHUNK = 1 << 13
@@ -301,7 +302,10 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
-        large = (both.where("b > a").join(least, "a")
+        # a node with very many neighbours meets its least in SALTS places
+        salt = F.pmod(F.xxhash64("b"), F.lit(SALTS))
+        spread = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+        large = (both.where("b > a").withColumn("salt", salt).join(spread, ["a", "salt"])
                  .select(F.col("b").alias("a"), F.least("m", "a").alias("b")).where("a <> b"))
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select(
@@ -387,3 +391,26 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 def digest(docs: DataFrame) -> DataFrame:
     return near_classes(docs)
+
+
+#: The digest in SQL: every pair that shares a shingle. Only for tables of test size.
+ORACLE_SQL = r"""
+WITH RECURSIVE
+w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS shingle
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+sets AS (SELECT w.doc_id, count(shingle) AS n, coalesce(string_agg(shingle, chr(10) ORDER BY shingle), '') AS shingles
+         FROM w LEFT JOIN s USING (doc_id) GROUP BY w.doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (shingle)
+           WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM shared JOIN sets p ON p.doc_id = x JOIN sets q ON q.doc_id = y
+         WHERE 5 * c >= 4 * (p.n + q.n - c)
+         UNION ALL
+         SELECT p.doc_id, q.doc_id FROM sets p JOIN sets q ON p.n = q.n WHERE p.n = 0 AND p.doc_id <> q.doc_id),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM w UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x),
+class AS (SELECT x AS doc_id, min(y) AS class_id FROM reach GROUP BY x),
+copies AS (SELECT shingles, min(doc_id) AS copy_of FROM sets GROUP BY shingles),
+links AS (SELECT x AS doc_id, count(*) AS n FROM link GROUP BY x)
+SELECT doc_id, class_id, copy_of, coalesce(links.n, 0)::BIGINT AS n_links
+FROM sets JOIN class USING (doc_id) JOIN copies USING (shingles) LEFT JOIN links USING (doc_id)
+"""

@@ -11,10 +11,6 @@ from custmaster.llm import bpe, chat, fingerprints, kneser_ney, licenses, ngram_
 from custmaster.llm.common import table
 
 
-def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.digest(table(spark, sf_dir, "documents"))
-
-
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"),
                       public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -32,14 +28,14 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.digest(table(spark, sf_dir, "documents"))
 
 
-def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.digest(table(spark, sf_dir, "pages"))
-
-
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(table(spark, sf_dir, "pages"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.run(spark, sf_dir)
 
@@ -48,6 +44,10 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.digest(table(spark, sf_dir, "documents"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -66,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_ngram_jaccard": ngram_join.ORACLE_SQL,
     "op5_quality_rules": quality.ORACLE_SQL,
     "op6_warc": warc.ORACLE_SQL,
 }

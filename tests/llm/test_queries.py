@@ -13,7 +13,7 @@ def test_names():
     assert "pipeline" in names
 
 
-@pytest.mark.parametrize("key", ["op5_quality_rules", "op6_warc"])
+@pytest.mark.parametrize("key", ["op4_ngram_jaccard", "op5_quality_rules", "op6_warc"])
 def test_sql_parity(spark, key):
     r = compare(spark, duck(SF), SF, key, entry.queries()[key], entry.oracle_sql()[key])
     assert r["values_match"], r
