@@ -18,8 +18,9 @@ their training counts.
   search these alike.
 * Each block scores its documents from the counts that came back.
 
-So no task holds more of the model than a shard, or more text than a block, and
-a frequent word or bigram is one entry a block, not one row an occurrence.
+So no task holds more of the model than a shard (there are twice as many as
+shuffle partitions), or more text than a block, and a frequent word or bigram is
+one entry a block, not one row an occurrence.
 What is sent grows with the corpus' distinct bigrams by block.
 
 Training texts are those whose ``crc32(doc_id as text) mod 5`` is not 1; a null
@@ -31,6 +32,7 @@ at all every token has probability 1.  ``docs`` must be stable when read again.
 from __future__ import annotations
 
 import io
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -146,10 +148,13 @@ def _block(texts: list[tuple]) -> Block:
 
 
 def _write(root: str, name: str, data: bytes) -> None:
+    """Writes beside the name and moves: a task run again never shows a reader half a file."""
     store, path = filesystem(f"{root}/{name}")
     store.create_dir(path.rpartition("/")[0], recursive=True)
-    with store.open_output_stream(path, compression=None) as f:
+    fresh = f"{path}.{uuid.uuid4().hex}"
+    with store.open_output_stream(fresh, compression=None) as f:
         f.write(data)
+    store.move(fresh, path)
 
 
 def _gather(batches: Iterator[pa.RecordBatch], root: str, shards: int) -> Iterator[pa.RecordBatch]:
