@@ -91,6 +91,8 @@ def run_daily(spark: SparkSession, src: Sources, out_dir: str, params: RunParams
     the last run's ``history_in``, CREATE_DATE is that date, also for ids that
     were absent in between.
     """
+    if history_in and history_in.rstrip("/") == (history_out or "").rstrip("/"):
+        raise ValueError("history_out must differ from history_in: it is written while that is read")
     folder = shared_path(spark, f"run_{params.as_of:%Y%m%d}")
     try:
         pops = populations(spark, src, params, folder)
