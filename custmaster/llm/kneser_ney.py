@@ -40,6 +40,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -75,6 +76,23 @@ def _unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(unpack(data).view("<u8"), dtype=np.uint64)
 
 
+def _kind(values: np.ndarray) -> np.dtype:
+    """The narrowest unsigned type that holds all values."""
+    return np.min_scalar_type(max(int(values.max(initial=0)), 0)).newbyteorder("<")
+
+
+def pack_counts(values: np.ndarray) -> bytes:
+    """Counts up to 64 bits: the bytes of one, then its byte planes, compressed."""
+    kind = _kind(values)
+    planes = np.ascontiguousarray(values.astype(kind).view("u1").reshape(-1, kind.itemsize).T)
+    return bytes([kind.itemsize]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack_counts(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), "u1").reshape(data[0], -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{data[0]}").ravel().astype(np.int64)
+
+
 def _shard_cuts(keys: np.ndarray, shards: int) -> np.ndarray:
     """Where the equal hash ranges of the shards begin in ascending keys (shards + 1 places)."""
     bounds = [(s << 64) // shards for s in range(1, shards)]
@@ -173,7 +191,7 @@ def _gather(batches: Iterator[pa.RecordBatch], root: str, shards: int) -> Iterat
         counts = np.add.reduceat(block.trains[doc[order]].astype(np.int64), begins)
         keys = keys[begins]
         cuts = _shard_cuts(keys, shards)
-        rows = [(s, key, _pack_sorted(keys[b:e]), pack(counts[b:e]))
+        rows = [(s, key, _pack_sorted(keys[b:e]), pack_counts(counts[b:e]))
                 for s, (b, e) in enumerate(zip(cuts[:-1], cuts[1:])) if e > b]
         cols = list(zip(*rows))
         return pa.RecordBatch.from_arrays(
@@ -201,41 +219,48 @@ def _merge(rows: pa.Table, width: int) -> tuple[list, list, np.ndarray, np.ndarr
     """(blocks, each block's keys, distinct keys, summed values, all keys' row, values in key order)."""
     rows = rows.sort_by("block")
     each = [_unpack_sorted(x) for x in rows.column("keys").to_pylist()]
-    values = [unpack(x).reshape(width, -1) for x in rows.column("values").to_pylist()]
+    values = [unpack_counts(x).reshape(width, -1) for x in rows.column("values").to_pylist()]
     keys = np.concatenate(each)
     order = np.argsort(keys, kind="stable")
-    keys, flat = keys[order], np.concatenate(values, axis=1)[:, order].astype(np.int64)
+    keys, flat = keys[order], np.concatenate(values, axis=1)[:, order]
     begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return rows.column("block").to_pylist(), each, keys[begins], np.add.reduceat(flat, begins, axis=1), begins, flat
 
 
-def _store(root: str, name: str, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Stores sorted hashes and their values, and maps them (reads them, where the shared
-    folder is not a mounted file system)."""
+def _store(root: str, name: str, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Stores sorted hashes and their values, each row of these in the narrowest type that holds
+    it, and maps them (reads them, where the shared folder is not a mounted file system)."""
+    kinds = [_kind(row) for row in values]
     _write(root, f"{name}.keys", keys.astype("<u8").tobytes())
-    _write(root, f"{name}.values", np.ascontiguousarray(values.astype("<u4")).tobytes())
+    _write(root, f"{name}.values", bytes(k.itemsize for k in kinds)
+           + b"".join(row.astype(k).tobytes() for k, row in zip(kinds, values)))
     return mapped(root, name, len(values))
 
 
-def mapped(root: str, name: str, width: int) -> tuple[np.ndarray, np.ndarray]:
+def mapped(root: str, name: str, width: int) -> tuple[np.ndarray, list[np.ndarray]]:
     out = []
-    for part, kind in (("keys", "<u8"), ("values", "<u4")):
+    for part in ("keys", "values"):
         store, path = filesystem(f"{root}/{name}.{part}")
         if store.type_name == "local":
             empty = store.get_file_info(path).size == 0
-            out.append(np.zeros(0, kind) if empty else np.memmap(path, kind, "r"))
+            out.append(np.zeros(0, "u1") if empty else np.memmap(path, "u1", "r"))
         else:
             with store.open_input_file(path) as f:
-                out.append(np.frombuffer(f.read(), kind))
-    return out[0], out[1].reshape(width, -1)
+                out.append(np.frombuffer(f.read(), "u1"))
+    keys, data, rows, at = out[0].view("<u8"), out[1], [], width
+    for size in data[:width].tolist():
+        rows.append(data[at:at + size * len(keys)].view(f"<u{size}"))
+        at += size * len(keys)
+    return keys, rows
 
 
-def find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+def find(keys: np.ndarray, values: list[np.ndarray], wanted: np.ndarray) -> np.ndarray:
     """The values of wanted hashes in sorted arrays, 0 where there is none."""
     if not len(keys):
         return np.zeros((len(values), len(wanted)), np.int64)
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, values[:, at], 0).astype(np.int64)
+    there = keys[at] == wanted
+    return np.stack([np.where(there, row[at], 0).astype(np.int64) for row in values])
 
 
 def _bigram_shard(root: str):
@@ -254,7 +279,7 @@ def _bigram_shard(root: str):
         owner[np.searchsorted(begins, first, "right") - 1] = rows_of[first]
         counts, owned = [], []
         for i, wanted in enumerate(each):
-            counts.append(pack(find(*stored, wanted)[0]))
+            counts.append(pack_counts(find(*stored, wanted)[0]))
             owned.append(np.packbits(owner[np.searchsorted(keys, wanted)] == i).tobytes())
         n = len(blocks)
         kinds = [np.count_nonzero(sums[0] == k) for k in (1, 2, 3, 4)]
@@ -276,10 +301,10 @@ def _counts_of(rows: pa.Table, block: Block) -> tuple[np.ndarray, ...]:
     before, after, doc = block.sequence()
     keys, first, at = np.unique(bigram_key(block.hashes[before], block.hashes[after]),
                                 return_index=True, return_inverse=True)
-    each = [unpack(x) for x in rows.column("counts").to_pylist()]
+    each = [unpack_counts(x) for x in rows.column("counts").to_pylist()]
     owned = [np.unpackbits(np.frombuffer(x, "u1"), count=len(c)).astype(bool)
              for x, c in zip(rows.column("owned").to_pylist(), each)]
-    counts, owned = np.concatenate(each).astype(np.int64), np.concatenate(owned)
+    counts, owned = np.concatenate(each), np.concatenate(owned)
     if len(counts) != len(keys):
         raise ValueError("a block's bigrams do not match: the input changed between reads")
     return before, after, doc, at, first, counts, owned
@@ -305,7 +330,7 @@ def _word_sums(root: str, shards: int):
         return pa.table({"shard": pa.array([s for s, _, _ in parts], pa.int32()),
                          "block": pa.array([key] * len(parts), pa.int64()),
                          "keys": pa.array([_pack_sorted(hashes[b:e]) for _, b, e in parts], pa.binary()),
-                         "values": pa.array([pack(values[:, b:e].ravel()) for _, b, e in parts], pa.binary())})
+                         "values": pa.array([pack_counts(values[:, b:e].ravel()) for _, b, e in parts], pa.binary())})
 
     return sums
 
@@ -320,7 +345,7 @@ def _word_shard(root: str):
         totals = [np.count_nonzero(sums[0]), sums[0].sum(), sums[1].sum(),
                   *(np.count_nonzero(sums[1] == k) for k in (1, 2, 3, 4)), np.count_nonzero(sums[1] >= 3)]
         return pa.table({"block": pa.array(blocks, pa.int64()), "shard": pa.array([shard] * n, pa.int32()),
-                         "values": pa.array([pack(find(*stored, w).ravel()) for w in each], pa.binary()),
+                         "values": pa.array([pack_counts(find(*stored, w).ravel()) for w in each], pa.binary()),
                          **{c: pa.array([int(x)] + [0] * (n - 1), pa.int64())
                             for c, x in zip(("v", "n", "cont", "t1", "t2", "t3", "t4", "t3up"), totals)}})
 
@@ -370,8 +395,8 @@ def _scores(root: str, totals: Totals):
         block = Block.load(root, bigrams.column("block")[0].as_py())
         before, after, doc, at, _, counts, _ = _counts_of(bigrams, block)
         words = words.sort_by("shard")
-        merged = np.concatenate([unpack(x).reshape(WORD_VALUES, -1) for x in words.column("values").to_pylist()],
-                                axis=1).astype(np.int64)
+        merged = np.concatenate([unpack_counts(x).reshape(WORD_VALUES, -1) for x in words.column("values").to_pylist()],
+                                axis=1)
         values = np.empty_like(merged)
         values[:, np.argsort(block.hashes, kind="stable")] = merged
         context = values[0].copy()

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from custmaster.llm import kneser_ney as L
@@ -98,3 +99,17 @@ def test_sorted_arrays(tmp_path):
     assert L._unpack_sorted(L._pack_sorted(keys)).tolist() == keys.tolist()
     empty = L._store(str(tmp_path), "words/1", keys[:0], values[:, :0])
     assert L.find(*empty, keys).tolist() == [[0] * 4] * 2
+
+
+def test_counts_past_32_bits(tmp_path):
+    assert L.unpack_counts(L.pack_counts(np.array([0, 2**32, 7]))).tolist() == [0, 2**32, 7]
+    # two blocks with 3 billion of one word each, and a sum that 32 bits would show as 0
+    keys = np.array([5, 2**60], np.uint64)
+    values = np.zeros((L.WORD_VALUES, 2), np.int64)
+    values[0] = 3 * 10**9, 2**31
+    rows = pa.table({"shard": pa.array([0, 0], pa.int32()), "block": pa.array([1, 2], pa.int64()),
+                     "keys": [L._pack_sorted(keys)] * 2, "values": [L.pack_counts(values.ravel())] * 2})
+    for data in L._word_shard(str(tmp_path))(rows).column("values").to_pylist():
+        assert L.unpack_counts(data).reshape(L.WORD_VALUES, -1)[0].tolist() == [6 * 10**9, 2**32]
+    _, stored = L.mapped(str(tmp_path), "words/0", L.WORD_VALUES)
+    assert stored[0].tolist() == [6 * 10**9, 2**32]
