@@ -1,27 +1,32 @@
-"""Bigram language model, interpolated modified Kneser-Ney, counted in Spark.
+"""Language model of any order, interpolated modified Kneser-Ney, counted in Spark.
 
 Tokens are a text's words (runs of characters other than ASCII white space,
 A-Z in lower case) and one end; the first word's context is a begin mark.
-Words are known by 64-bit hashes, bigrams by a hash of both words' hashes.
+Words are known by 64-bit hashes, n-grams by a hash of all words' hashes.
+
+An n-gram of the highest order counts its occurrences in training; a shorter one
+the distinct words before it or, as nothing stands before the begin mark, its
+occurrences where it starts with that.
 
 Texts are read in blocks of bounded size (``gather``).  A block keeps its
-documents as numbers of its own word list in a file of the shared folder, and
-sends its distinct bigrams, sorted and packed by hash range (shard), with
-their training counts.
-
-* A bigram shard merges what all blocks sent into the model's sorted arrays
-  (hashes, counts), which it stores, maps into memory and searches for each
-  block's bigrams; back go the counts, and to one block a bigram the mark that
-  it owns it.
-* Each block adds up, for its words, token counts and, over the bigrams it
-  owns, continuation and follower counts; word shards merge, store, map and
-  search these alike.
-* Each block scores its documents from the counts that came back.
+documents as numbers of its own word list in a file of the shared folder.  Then,
+from the highest order down to single words:
+
+* Each block sends its distinct n-grams, sorted and packed by hash range (shard),
+  with its part of their values: the count; as contexts how much of what follows
+  counts one, two, three or more, and the sum of those counts beyond three.  The parts
+  of shorter n-grams come from the longer ones that the block owns.
+* A shard merges what all blocks sent into the model's sorted arrays (hashes,
+  values), which it stores, maps into memory and searches for each block's
+  n-grams; back go the values, and to one block an n-gram the mark that it owns it.
+* Each block stores the values beside its documents.
+
+At last each block scores its documents from the values that came back.
 
 So no task holds more of the model than a shard (there are twice as many as
-shuffle partitions), or more text than a block, and a frequent word or bigram is
-one entry a block, not one row an occurrence.
-What is sent grows with the corpus' distinct bigrams by block.
+shuffle partitions), or more text than a block, and a frequent n-gram is one entry
+a block, not one row an occurrence.
+What is sent grows with the corpus' distinct n-grams by block.
 
 Training texts are those whose ``crc32(doc_id as text) mod 5`` is not 1; a null
 id counts as the empty text (crc32 0, training).  Null text reads as empty: one
@@ -51,6 +56,7 @@ BLOCK_CHARS = 24 << 20
 ROW_DOCS = 200
 HELD_OUT = 1
 FOLDS = 5
+ORDER = 3  # of the registered query
 BEGIN, END = b"\t", b"\n"  # no word has these
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -59,7 +65,8 @@ def held_out(doc_id: int | None) -> bool:
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % FOLDS == HELD_OUT
 
 
-def bigram_key(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+def ngram_key(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The hash of an n-gram from those of its context and its last word."""
     h = before * _MIX + (word ^ (word >> np.uint64(31)))
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -119,17 +126,25 @@ class Block:
     tokens: np.ndarray
 
     def sequence(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Contexts, tokens (an end after each document) and the document of each."""
+        """Tokens (an end after each document), the document of each and its place in that."""
         n = self.lengths + 1
         ends = np.cumsum(n)
-        after = np.ones(int(ends[-1]), np.int64)
-        inside = np.ones(len(after), bool)
+        tokens = np.ones(int(ends[-1]), np.int64)
+        inside = np.ones(len(tokens), bool)
         inside[ends - 1] = False
-        after[inside] = self.tokens
-        before = np.empty_like(after)
-        before[1:] = after[:-1]
-        before[ends - n] = 0
-        return before, after, np.repeat(np.arange(len(n)), n)
+        tokens[inside] = self.tokens
+        return tokens, np.repeat(np.arange(len(n)), n), np.arange(len(tokens)) - np.repeat(ends - n, n)
+
+    def keys(self, tokens: np.ndarray, place: np.ndarray, order: int) -> np.ndarray:
+        """For each token the hash of the ``order`` words that end with it, the begin mark being one
+        (of no meaning before place ``order`` - 2, where there are not so many)."""
+        keys = words = self.hashes[tokens]
+        for _ in range(order - 1):
+            before = np.empty_like(keys)
+            before[1:] = keys[:-1]
+            before[place == 0] = self.hashes[0]
+            keys = ngram_key(before, words)
+        return keys
 
     def dump(self) -> bytes:
         out = io.BytesIO()
@@ -175,29 +190,66 @@ def _write(root: str, name: str, data: bytes) -> None:
     store.move(fresh, path)
 
 
-def _gather(batches: Iterator[pa.RecordBatch], root: str, shards: int) -> Iterator[pa.RecordBatch]:
+#: what blocks send, and what shards send back; ``totals``: sums for the whole model so far, in few rows
+SENT = "shard int, block bigint, keys binary, values binary, totals array<bigint>"
+BACK = "block bigint, shard int, values binary, owned binary, totals array<bigint>"
+
+
+def _sent(key: int, shards: int, keys: np.ndarray, values: np.ndarray, totals: list[int] | None) -> pa.Table:
+    """Rows of ``SENT`` for ascending keys; one without keys where there are none, so that no block is lost."""
+    cuts = _shard_cuts(keys, shards)
+    parts = [(s, b, e) for s, (b, e) in enumerate(zip(cuts[:-1], cuts[1:])) if e > b] or [(0, 0, 0)]
+    return pa.table({"shard": pa.array([s for s, _, _ in parts], pa.int32()),
+                     "block": pa.array([key] * len(parts), pa.int64()),
+                     "keys": pa.array([_pack_sorted(keys[b:e]) for _, b, e in parts], pa.binary()),
+                     "values": pa.array([pack_counts(values[:, b:e].ravel()) for _, b, e in parts], pa.binary()),
+                     "totals": pa.array([totals] + [None] * (len(parts) - 1), pa.list_(pa.int64()))})
+
+
+def _begins(keys: np.ndarray) -> np.ndarray:
+    """Where each distinct key begins in ascending keys."""
+    return np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1]]))
+
+
+class Ngrams:
+    """A block's distinct n-grams of one order, ascending by hash: ``keys``; ``where``, a token that
+    one ends with; ``at``, for each token that ends one, which; ``before``, for each token, which
+    ends before it (both of no meaning at other tokens)."""
+
+    def __init__(self, block: Block, tokens: np.ndarray, place: np.ndarray, order: int):
+        if order == 1:
+            by_hash = np.argsort(block.hashes)
+            self.keys, self.where = block.hashes[by_hash], None
+            rank = np.empty(len(by_hash), np.int64)
+            rank[by_hash] = np.arange(len(by_hash))
+            self.at, begin = rank[tokens], rank[0]
+        else:
+            ends = np.flatnonzero(place >= order - 2)
+            keys = block.keys(tokens, place, order)[ends]
+            by_hash = np.argsort(keys)
+            keys = keys[by_hash]
+            begins = _begins(keys)
+            self.keys, self.where = keys[begins], ends[by_hash[begins]]
+            self.at, begin = np.zeros(len(tokens), np.int64), 0
+            self.at[ends[by_hash]] = np.repeat(np.arange(len(begins)), np.diff(begins, append=len(keys)))
+        self.before = np.empty_like(self.at)
+        self.before[1:] = self.at[:-1]
+        self.before[place == 0] = begin
+
+
+def _gather(batches: Iterator[pa.RecordBatch], root: str, shards: int, order: int) -> Iterator[pa.RecordBatch]:
     task = TaskContext.get().partitionId() if TaskContext.get() else 0
     texts, size, check, done = [], 0, 0, 0
 
-    def closed() -> pa.RecordBatch:
+    def closed() -> pa.Table:
         block = _block(texts)
         key = task << 39 | (done & 0x7F) << 32 | check
         _write(root, f"blocks/{key}", block.dump())
-        before, after, doc = block.sequence()
-        keys = bigram_key(block.hashes[before], block.hashes[after])
-        order = np.argsort(keys, kind="stable")
-        keys = keys[order]
-        begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        counts = np.add.reduceat(block.trains[doc[order]].astype(np.int64), begins)
-        keys = keys[begins]
-        cuts = _shard_cuts(keys, shards)
-        rows = [(s, key, _pack_sorted(keys[b:e]), pack_counts(counts[b:e]))
-                for s, (b, e) in enumerate(zip(cuts[:-1], cuts[1:])) if e > b]
-        cols = list(zip(*rows))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()),
-             pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.binary())],
-            names=["shard", "block", "keys", "values"])
+        tokens, doc, place = block.sequence()
+        grams = Ngrams(block, tokens, place, order)
+        trained = block.trains[doc] & (place >= order - 2)
+        counts = np.bincount(grams.at[trained], minlength=len(grams.keys))
+        return _sent(key, shards, grams.keys, counts[None], None)
 
     for batch in batches:
         ids, column = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
@@ -207,37 +259,66 @@ def _gather(batches: Iterator[pa.RecordBatch], root: str, shards: int) -> Iterat
             size += len(text)
             check = zlib.crc32(text, check)
             if size >= BLOCK_CHARS:
-                yield closed()
+                yield from closed().to_batches()
                 texts, size, check, done = [], 0, 0, done + 1
     if texts:
-        yield closed()
+        yield from closed().to_batches()
 
 
 # -- shards --------------------------------------------------------------------------------
 
-def _merge(rows: pa.Table, width: int) -> tuple[list, list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(blocks, each block's keys, distinct keys, summed values, all keys' row, values in key order)."""
+#: per n-gram below the highest order: its count (distinct words before it, or occurrences);
+#: as a context what the counts of what follows have beyond 3 in sum, and what follows with a
+#: count of 1, 2, 3 or more; a word has its tokens in training besides
+VALUES, WORD_VALUES = 5, 6
+
+
+def _summed(totals: pa.ChunkedArray, length: int) -> np.ndarray:
+    return np.sum([t for t in totals.to_pylist() if t is not None] or [[0] * length], axis=0, dtype=np.int64)
+
+
+def _merge(rows: pa.Table, width: int):
+    """(blocks, each block's keys, distinct keys, summed values, and in key order all keys' block
+    among these, where each distinct key begins, first values, and each row's place there)."""
     rows = rows.sort_by("block")
     each = [_unpack_sorted(x) for x in rows.column("keys").to_pylist()]
     values = [unpack_counts(x).reshape(width, -1) for x in rows.column("values").to_pylist()]
     keys = np.concatenate(each)
     order = np.argsort(keys, kind="stable")
     keys, flat = keys[order], np.concatenate(values, axis=1)[:, order]
-    begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return rows.column("block").to_pylist(), each, keys[begins], np.add.reduceat(flat, begins, axis=1), begins, flat
+    begins = _begins(keys)
+    sums = np.add.reduceat(flat, begins, axis=1) if len(begins) else flat
+    source = np.repeat(np.arange(len(each)), [len(k) for k in each])[order]
+    return rows.column("block").to_pylist(), each, keys[begins], sums, source, begins, flat[0]
+
 
+class Counts:
+    """Stored counts: a byte each; 255 stands for one of the large, which are found by place."""
 
-def _store(root: str, name: str, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Stores sorted hashes and their values, each row of these in the narrowest type that holds
-    it, and maps them (reads them, where the shared folder is not a mounted file system)."""
-    kinds = [_kind(row) for row in values]
+    def __init__(self, small: np.ndarray, places: np.ndarray, large: np.ndarray):
+        self.small, self.places, self.large = small, places, large
+
+    def __getitem__(self, at: np.ndarray) -> np.ndarray:
+        out = self.small[at].astype(np.int64)
+        big = np.flatnonzero(out == 255)
+        if len(big):
+            out[big] = self.large[np.searchsorted(self.places, at[big])]
+        return out
+
+
+def _store(root: str, name: str, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, list[Counts]]:
+    """Stores sorted hashes and their values, and maps them (reads them, where the shared
+    folder is not a mounted file system)."""
+    large = [np.flatnonzero(row >= 255) for row in values]
     _write(root, f"{name}.keys", keys.astype("<u8").tobytes())
-    _write(root, f"{name}.values", bytes(k.itemsize for k in kinds)
-           + b"".join(row.astype(k).tobytes() for k, row in zip(kinds, values)))
+    _write(root, f"{name}.values", b"".join([
+        np.array([len(x) for x in large], "<u8").tobytes(),
+        *(part.astype("<u8").tobytes() for x, row in zip(large, values) for part in (x, row[x])),
+        *(np.minimum(row, 255).astype("u1").tobytes() for row in values)]))
     return mapped(root, name, len(values))
 
 
-def mapped(root: str, name: str, width: int) -> tuple[np.ndarray, list[np.ndarray]]:
+def mapped(root: str, name: str, width: int) -> tuple[np.ndarray, list[Counts]]:
     out = []
     for part in ("keys", "values"):
         store, path = filesystem(f"{root}/{name}.{part}")
@@ -247,109 +328,100 @@ def mapped(root: str, name: str, width: int) -> tuple[np.ndarray, list[np.ndarra
         else:
             with store.open_input_file(path) as f:
                 out.append(np.frombuffer(f.read(), "u1"))
-    keys, data, rows, at = out[0].view("<u8"), out[1], [], width
-    for size in data[:width].tolist():
-        rows.append(data[at:at + size * len(keys)].view(f"<u{size}"))
-        at += size * len(keys)
+    keys, data = out[0].view("<u8"), out[1]
+    n_large = data[:8 * width].view("<u8").tolist()
+    large = data[8 * width:8 * (width + 2 * sum(n_large))].view("<u8")
+    small = data[8 * (width + 2 * sum(n_large)):].reshape(width, -1)
+    rows, at = [], 0
+    for row, n in zip(small, n_large):
+        rows.append(Counts(row, large[at:at + n], large[at + n:at + 2 * n]))
+        at += 2 * n
     return keys, rows
 
 
-def find(keys: np.ndarray, values: list[np.ndarray], wanted: np.ndarray) -> np.ndarray:
+def find(keys: np.ndarray, values: list[Counts], wanted: np.ndarray) -> np.ndarray:
     """The values of wanted hashes in sorted arrays, 0 where there is none."""
     if not len(keys):
         return np.zeros((len(values), len(wanted)), np.int64)
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
     there = keys[at] == wanted
-    return np.stack([np.where(there, row[at], 0).astype(np.int64) for row in values])
+    return np.stack([np.where(there, row[at], 0) for row in values])
 
 
-def _bigram_shard(root: str):
+def _shard(root: str, order: int, highest: int):
+    width = 1 if order == highest else VALUES if order > 1 else WORD_VALUES
+    length = 4 * (highest - 1) + 8  # counts of counts 1 to 4 by order from 2; then those of words
+
     def merge(rows: pa.Table) -> pa.Table:
         shard = rows.column("shard")[0].as_py()
-        blocks, each, keys, sums, begins, flat = _merge(rows, 1)
-        known = sums[0] > 0
-        stored = _store(root, f"bigrams/{shard}", keys[known], sums[:, known])
-        # the first block that trains on a bigram owns it
-        trains = np.flatnonzero(flat[0] > 0)
-        group = np.searchsorted(begins, trains, "right") - 1
-        first = trains[np.concatenate([[True], group[1:] != group[:-1]])] if len(trains) else trains
-        rows_of = np.concatenate([np.full(len(k), i) for i, k in enumerate(each)])
-        rows_of = rows_of[np.argsort(np.concatenate(each), kind="stable")]
-        owner = np.full(len(keys), -1)
-        owner[np.searchsorted(begins, first, "right") - 1] = rows_of[first]
-        counts, owned = [], []
-        for i, wanted in enumerate(each):
-            counts.append(pack_counts(find(*stored, wanted)[0]))
-            owned.append(np.packbits(owner[np.searchsorted(keys, wanted)] == i).tobytes())
-        n = len(blocks)
+        totals = _summed(rows.column("totals"), length)
+        blocks, each, keys, sums, source, begins, first = _merge(rows, width)
+        known = sums.any(axis=0)
+        stored = _store(root, f"model/{order}/{shard}", keys[known], sums[:, known])
         kinds = [np.count_nonzero(sums[0] == k) for k in (1, 2, 3, 4)]
-        return pa.table({"block": pa.array(blocks, pa.int64()), "shard": pa.array([shard] * n, pa.int32()),
-                         "counts": pa.array(counts, pa.binary()), "owned": pa.array(owned, pa.binary()),
-                         **{f"n{k + 1}": pa.array([x] + [0] * (n - 1), pa.int64()) for k, x in enumerate(kinds)}})
+        values = [find(*stored, wanted) for wanted in each]
+        if order > 1:
+            totals[4 * (order - 2):4 * (order - 1)] += kinds
+            # the first block that counts an n-gram owns it
+            counted = np.flatnonzero(first > 0)
+            group = np.searchsorted(begins, counted, "right") - 1
+            lead = _begins(group)
+            owner = np.full(len(keys), -1)
+            owner[group[lead]] = source[counted[lead]]
+            owned = [np.packbits(owner[np.searchsorted(keys, wanted)] == i).tobytes() for i, wanted in enumerate(each)]
+        else:
+            totals[-8:] += [np.count_nonzero(sums[-1]), sums[-1].sum(), sums[0].sum(), *kinds,
+                            np.count_nonzero(sums[0] >= 3)]
+            owned = [None] * len(each)
+        return pa.table({"block": pa.array(blocks, pa.int64()), "shard": pa.array([shard] * len(blocks), pa.int32()),
+                         "values": pa.array([pack_counts(v.ravel()) for v in values], pa.binary()),
+                         "owned": pa.array(owned, pa.binary()),
+                         "totals": pa.array([totals.tolist()] + [None] * (len(blocks) - 1), pa.list_(pa.int64()))})
 
     return merge
 
 
-#: per word: tokens in training; distinct words before it; distinct words after it that
-#: follow once, twice, more often
-WORD_VALUES = 5
-
+def _returned(rows: pa.Table, width: int, n: int) -> np.ndarray:
+    """The values of a block's n-grams, of which there are n, from all shards."""
+    values = np.concatenate([unpack_counts(x).reshape(width, -1)
+                             for x in rows.sort_by("shard").column("values").to_pylist()], axis=1)
+    if values.shape[1] != n:
+        raise ValueError("a block's n-grams do not match: the input changed between reads")
+    return values
 
-def _counts_of(rows: pa.Table, block: Block) -> tuple[np.ndarray, ...]:
-    """(contexts, tokens, document of each, bigram of each, its first place, counts, owned)."""
-    rows = rows.sort_by("shard")
-    before, after, doc = block.sequence()
-    keys, first, at = np.unique(bigram_key(block.hashes[before], block.hashes[after]),
-                                return_index=True, return_inverse=True)
-    each = [unpack_counts(x) for x in rows.column("counts").to_pylist()]
-    owned = [np.unpackbits(np.frombuffer(x, "u1"), count=len(c)).astype(bool)
-             for x, c in zip(rows.column("owned").to_pylist(), each)]
-    counts, owned = np.concatenate(each), np.concatenate(owned)
-    if len(counts) != len(keys):
-        raise ValueError("a block's bigrams do not match: the input changed between reads")
-    return before, after, doc, at, first, counts, owned
 
+def _parts(root: str, shards: int, order: int, highest: int):
+    """Keeps the values of a block's n-grams of ``order`` + 1; its part of the values of ``order``."""
+    width = 1 if order + 1 == highest else VALUES
 
-def _word_sums(root: str, shards: int):
-    def sums(rows: pa.Table) -> pa.Table:
+    def parts(rows: pa.Table) -> pa.Table:
         key = rows.column("block")[0].as_py()
+        rows = rows.sort_by("shard")
         block = Block.load(root, key)
-        before, after, doc, _, first, counts, owned = _counts_of(rows, block)
-        n = len(block.hashes)
-        values = np.zeros((WORD_VALUES, n), np.int64)
-        values[0] = np.bincount(after[block.trains[doc]], minlength=n)
-        first, counts = first[owned], counts[owned]
-        values[1] = np.bincount(after[first], minlength=n)
+        tokens, doc, place = block.sequence()
+        longer, grams = Ngrams(block, tokens, place, order + 1), Ngrams(block, tokens, place, order)
+        returned = _returned(rows, width, len(longer.keys))
+        _write(root, f"blocks/{key}.{order + 1}", pack_counts(returned.ravel()))
+        owned = np.concatenate([
+            np.unpackbits(np.frombuffer(x, "u1"), count=len(unpack_counts(v)) // width)
+            for x, v in zip(rows.column("owned").to_pylist(), rows.column("values").to_pylist())]).astype(bool)
+        own, counts, n = longer.where[owned], returned[0][owned], len(grams.keys)
+        context = grams.before[own]
+        values = np.zeros((VALUES if order > 1 else WORD_VALUES, n), np.int64)
+        values[0] = np.bincount(grams.at[own], minlength=n)
+        np.add.at(values[1], context, np.maximum(counts - 3, 0))
         for k in (1, 2, 3):
             kind = counts == k if k < 3 else counts >= 3
-            values[1 + k] = np.bincount(before[first[kind]], minlength=n)
-        order = np.argsort(block.hashes, kind="stable")
-        hashes, values = block.hashes[order], values[:, order]
-        cuts = _shard_cuts(hashes, shards)
-        parts = [(s, b, e) for s, (b, e) in enumerate(zip(cuts[:-1], cuts[1:])) if e > b]
-        return pa.table({"shard": pa.array([s for s, _, _ in parts], pa.int32()),
-                         "block": pa.array([key] * len(parts), pa.int64()),
-                         "keys": pa.array([_pack_sorted(hashes[b:e]) for _, b, e in parts], pa.binary()),
-                         "values": pa.array([pack_counts(values[:, b:e].ravel()) for _, b, e in parts], pa.binary())})
-
-    return sums
-
-
-def _word_shard(root: str):
-    def merge(rows: pa.Table) -> pa.Table:
-        shard = rows.column("shard")[0].as_py()
-        blocks, each, keys, sums, _, _ = _merge(rows, WORD_VALUES)
-        known = sums.any(axis=0)
-        stored = _store(root, f"words/{shard}", keys[known], sums[:, known])
-        n = len(blocks)
-        totals = [np.count_nonzero(sums[0]), sums[0].sum(), sums[1].sum(),
-                  *(np.count_nonzero(sums[1] == k) for k in (1, 2, 3, 4)), np.count_nonzero(sums[1] >= 3)]
-        return pa.table({"block": pa.array(blocks, pa.int64()), "shard": pa.array([shard] * n, pa.int32()),
-                         "values": pa.array([pack_counts(find(*stored, w).ravel()) for w in each], pa.binary()),
-                         **{c: pa.array([int(x)] + [0] * (n - 1), pa.int64())
-                            for c, x in zip(("v", "n", "cont", "t1", "t2", "t3", "t4", "t3up"), totals)}})
+            values[1 + k] = np.bincount(context[kind], minlength=n)
+        if order > 1:
+            starts = block.trains[doc] & (place == order - 2)
+            values[0] += np.bincount(grams.at[starts], minlength=n)
+        else:
+            values[-1] = np.bincount(grams.at[block.trains[doc]], minlength=n)
+        totals = _summed(rows.column("totals"), 4 * (highest - 1) + 8).tolist()
+        return _sent(key, shards, grams.keys, values, totals)
 
-    return merge
+    return parts
 
 
 # -- probabilities -------------------------------------------------------------------------
@@ -367,50 +439,63 @@ def discounts(n: list[int]) -> np.ndarray:
 
 @dataclass
 class Totals:
-    """What the shards have in common: distinct words, tokens, distinct bigrams, discounts."""
+    """What the shards have in common: distinct words, tokens, distinct bigrams, discounts by order."""
     v: int
     n: int
     cont: int
     words: list[int]  # words with a continuation count of 1, 2, 3 or more
-    d1: np.ndarray
-    d2: np.ndarray
+    discounts: list[np.ndarray]
+
+    @classmethod
+    def of(cls, sums: list[int]) -> Totals:
+        words = sums[-8:]
+        return cls(words[0], words[1], words[2], [words[3], words[4], words[7]],
+                   [discounts(words[3:7])] + [discounts(sums[i:i + 4]) for i in range(0, len(sums) - 8, 4)])
 
     def unigram(self, cont: np.ndarray) -> np.ndarray:
         """Continuation probability, the rest spread over the vocabulary and one unknown word."""
         if not self.cont:
             return np.ones(len(cont))
-        spare = sum(d * n for d, n in zip(self.d1[1:], self.words))
-        return (np.maximum(cont - self.d1[np.minimum(cont, 3)], 0) + spare / (self.v + 1)) / self.cont
-
-    def bigram(self, count: np.ndarray, context: np.ndarray, follow: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        """``context``: tokens after the context; ``follow``: its follower counts (3 rows)."""
-        spare = self.d2[1] * follow[0] + self.d2[2] * follow[1] + self.d2[3] * follow[2]
-        seen = np.maximum(context, 1)
-        direct = np.maximum(count - self.d2[np.minimum(count, 3)], 0)
-        return np.where(context > 0, (direct + spare * lower) / seen, lower)
-
-
-def _scores(root: str, totals: Totals):
-    def score(words: pa.Table, bigrams: pa.Table) -> pa.Table:
-        block = Block.load(root, bigrams.column("block")[0].as_py())
-        before, after, doc, at, _, counts, _ = _counts_of(bigrams, block)
-        words = words.sort_by("shard")
-        merged = np.concatenate([unpack_counts(x).reshape(WORD_VALUES, -1) for x in words.column("values").to_pylist()],
-                                axis=1)
-        values = np.empty_like(merged)
-        values[:, np.argsort(block.hashes, kind="stable")] = merged
-        context = values[0].copy()
-        context[0], context[1] = values[0][1], 0  # a begin for every end; nothing after an end
-        lower = totals.unigram(values[1])
-        p = totals.bigram(counts[at], context[before], values[2:, before], lower[after])
-        base = np.log10((values[0] + 0.5) / (totals.n + 0.5 * (totals.v + 1)))
+        d = self.discounts[0]
+        spare = sum(d * n for d, n in zip(d[1:], self.words))
+        return (np.maximum(cont - d[np.minimum(cont, 3)], 0) + spare / (self.v + 1)) / self.cont
+
+    def ngram(self, order: int, count: np.ndarray, context: np.ndarray, follow: np.ndarray,
+              lower: np.ndarray) -> np.ndarray:
+        """``context``: sum of counts after the context; ``follow``: its follower counts (3 rows)."""
+        d = self.discounts[order - 1]
+        spare = d[1] * follow[0] + d[2] * follow[1] + d[3] * follow[2]
+        direct = np.maximum(count - d[np.minimum(count, 3)], 0)
+        return np.where(context > 0, (direct + spare * lower) / np.maximum(context, 1), lower)
+
+
+def _scores(root: str, totals: Totals, highest: int):
+    def score(rows: pa.Table) -> pa.Table:
+        key = rows.column("block")[0].as_py()
+        block = Block.load(root, key)
+        tokens, doc, place = block.sequence()
+        grams = Ngrams(block, tokens, place, 1)
+        values = _returned(rows, WORD_VALUES, len(grams.keys))
+        tokens_of = values[-1][grams.at]
+        base = np.log10((tokens_of + 0.5) / (totals.n + 0.5 * (totals.v + 1)))
+        p = totals.unigram(values[0])[grams.at]
+        for order in range(2, highest + 1):
+            longer = Ngrams(block, tokens, place, order)
+            store, path = filesystem(f"{root}/blocks/{key}.{order}")
+            with store.open_input_file(path) as f:
+                counts = unpack_counts(f.read()).reshape(1 if order == highest else VALUES, -1)
+            ends = np.flatnonzero(place >= order - 2)
+            context = values[1:5, grams.before[ends]]
+            seen = context[0] + context[1] + 2 * context[2] + 3 * context[3]
+            p[ends] = totals.ngram(order, counts[0, longer.at[ends]], seen, context[1:], p[ends])
+            grams, values = longer, counts
         n = len(block.ids)
         return pa.table({
             "doc_id": pa.array(block.ids, pa.int64()), "held_out": pa.array(~block.trains),
             "n_tokens": pa.array(block.lengths + 1, pa.int64()),
-            "n_known": pa.array(np.bincount(doc, values[0][after] > 0, n).astype(np.int64)),
+            "n_known": pa.array(np.bincount(doc, tokens_of > 0, n).astype(np.int64)),
             "train_tokens": pa.array([totals.n] * n, pa.int64()),
-            "base_score": pa.array(np.bincount(doc, base[after], n)),
+            "base_score": pa.array(np.bincount(doc, base, n)),
             "score": pa.array(np.bincount(doc, np.log10(p), n))})
 
     return score
@@ -420,31 +505,37 @@ SCHEMA = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, tra
           "base_score double, score double")
 
 
-def score(docs: DataFrame) -> DataFrame:
-    """Trains on the training documents (doc_id, text), stores the model in the shared folder
-    and scores all documents; ``perplexity`` is 10 ** (-score / n_tokens)."""
+def _freed(df: DataFrame, what: str) -> DataFrame:
+    """``materialise``, and what was shuffled for it goes from the disks once it is written."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name)
+    conf.set(name, "true")
+    try:
+        return materialise(df, what, compression="none")
+    finally:
+        conf.set(name, before)
+
+
+def score(docs: DataFrame, order: int = 2) -> DataFrame:
+    """Trains a model of n-grams up to ``order`` (at least 2) on the training documents (doc_id,
+    text), stores it in the shared folder and scores all documents; ``perplexity`` is
+    10 ** (-score / n_tokens)."""
+    if order < 2:
+        raise ValueError("the order is 2 or more")
     spark = docs.sparkSession
     root = shared_path(spark, "kneser-ney")
     shards = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     sent = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        lambda it: _gather(it, root, shards), "shard int, block bigint, keys binary, values binary")
-    back = "block bigint, shard int, "
-    bigrams = materialise(sent.groupBy("shard").applyInArrow(
-        _bigram_shard(root), back + "counts binary, owned binary, n1 bigint, n2 bigint, n3 bigint, n4 bigint"),
-        "bigram-counts", compression="none")
-    n = bigrams.agg(*[F.coalesce(F.sum(f"n{k}"), F.lit(0)) for k in (1, 2, 3, 4)]).first()
-    bigrams = bigrams.select("block", "shard", "counts", "owned")
-    words = materialise(
-        bigrams.groupBy("block").applyInArrow(_word_sums(root, shards), "shard int, block bigint, keys binary, values binary")
-        .groupBy("shard").applyInArrow(
-            _word_shard(root), back + "values binary, v bigint, n bigint, cont bigint, "
-            "t1 bigint, t2 bigint, t3 bigint, t4 bigint, t3up bigint"), "word-counts", compression="none")
-    t = words.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("v", "n", "cont", "t1", "t2", "t3", "t4", "t3up")]).first()
-    totals = Totals(t[0], t[1], t[2], [t[3], t[4], t[7]], discounts(list(t[3:7])), discounts(list(n)))
-    scored = (words.select("block", "shard", "values").groupBy("block").cogroup(bigrams.groupBy("block"))
-              .applyInArrow(_scores(root, totals), SCHEMA))
+        lambda it: _gather(it, root, shards, order), SENT)
+    for k in range(order, 0, -1):
+        back = _freed(sent.groupBy("shard").applyInArrow(_shard(root, k, order), BACK), f"counts-{k}")
+        if k > 1:
+            sent = back.groupBy("block").applyInArrow(_parts(root, shards, k - 1, order), SENT)
+    sums = back.agg(*[F.coalesce(F.sum(F.col("totals")[i]), F.lit(0)) for i in range(4 * (order - 1) + 8)]).first()
+    scored = (back.select("block", "shard", "values").groupBy("block")
+              .applyInArrow(_scores(root, Totals.of(list(sums)), order), SCHEMA))
     return scored.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
 
 
-def digest(docs: DataFrame) -> DataFrame:
-    return score(docs)
+def digest(docs: DataFrame, order: int = 2) -> DataFrame:
+    return score(docs, order)

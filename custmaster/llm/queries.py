@@ -21,7 +21,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kneser_ney.digest(table(spark, sf_dir, "documents"))
+    return kneser_ney.digest(table(spark, sf_dir, "documents"), kneser_ney.ORDER)
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -107,9 +107,64 @@ def test_counts_past_32_bits(tmp_path):
     keys = np.array([5, 2**60], np.uint64)
     values = np.zeros((L.WORD_VALUES, 2), np.int64)
     values[0] = 3 * 10**9, 2**31
+    values[-1] = values[0]
     rows = pa.table({"shard": pa.array([0, 0], pa.int32()), "block": pa.array([1, 2], pa.int64()),
-                     "keys": [L._pack_sorted(keys)] * 2, "values": [L.pack_counts(values.ravel())] * 2})
-    for data in L._word_shard(str(tmp_path))(rows).column("values").to_pylist():
+                     "keys": [L._pack_sorted(keys)] * 2, "values": [L.pack_counts(values.ravel())] * 2,
+                     "totals": pa.array([None, None], pa.list_(pa.int64()))})
+    back = L._shard(str(tmp_path), 1, 2)(rows)
+    for data in back.column("values").to_pylist():
         assert L.unpack_counts(data).reshape(L.WORD_VALUES, -1)[0].tolist() == [6 * 10**9, 2**32]
-    _, stored = L.mapped(str(tmp_path), "words/0", L.WORD_VALUES)
-    assert stored[0].tolist() == [6 * 10**9, 2**32]
+    assert back.column("totals")[0].as_py()[-7] == 6 * 10**9 + 2**32
+    _, stored = L.mapped(str(tmp_path), "model/1/0", L.WORD_VALUES)
+    assert stored[0][np.arange(2)].tolist() == [6 * 10**9, 2**32]
+
+
+def plain_of_order(rows, order):
+    """Scores of (id, text) by a plain model; a text is its words and an end, after one begin."""
+    texts = {i: ["<s>"] + re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + ["</s>"]
+             for i, t in rows}
+    train = [ws for i, ws in texts.items() if zlib.crc32(("" if i is None else str(i)).encode()) % 5 != 1]
+    raw = {k: Counter(tuple(ws[j:j + k]) for ws in train for j in range(len(ws) - k + 1)) for k in range(1, order + 1)}
+    count = {order: raw[order]}
+    for k in range(order - 1, 0, -1):
+        count[k] = Counter(g[1:] for g in raw[k + 1])
+        count[k].update({g: c for g, c in raw[k].items() if k > 1 and g[0] == "<s>"})
+    d = {k: L.discounts([sum(c == m for c in count[k].values()) for m in (1, 2, 3, 4)]) for k in count}
+    after = defaultdict(lambda: [0, 0.0])
+    for k in count:
+        for g, c in count[k].items():
+            after[g[:-1]][0] += c
+            after[g[:-1]][1] += d[k][min(c, 3)]
+    v = len(raw[1]) - 1 if train else 0  # without the begin
+
+    def p(context, w):
+        k = len(context) + 1
+        total, spare = after.get(context, (0, 0))
+        if not total:
+            return p(context[1:], w) if context else 1.0
+        c = count[k][(*context, w)]
+        return (max(c - d[k][min(c, 3)], 0) + spare * (p(context[1:], w) if context else 1 / (v + 1))) / total
+
+    return {i: sum(math.log10(p(tuple(ws[max(0, j - order + 1):j]), ws[j])) for j in range(1, len(ws)))
+            for i, ws in texts.items()}, p, raw[1]
+
+
+@pytest.mark.parametrize("order", [3, 4])
+def test_higher_orders(spark, odd, order):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(3).persist()
+    for table in (docs, odd.dropDuplicates(["doc_id"]).persist()):
+        rows = [(r.doc_id, r.text) for r in table.select("doc_id", "text").collect()]
+        want, p, words = plain_of_order(rows, order)
+        got = {r.doc_id: r for r in L.digest(table, order).collect()}
+        assert {i: r.score for i, r in got.items()} == {i: pytest.approx(x, rel=1e-9) for i, x in want.items()}
+        for context in (("<s>",), ("of", "the"), ("never seen", "the")):
+            assert sum(p(context, w) for w in {*(g[0] for g in words), "<unk>"} - {"<s>"}) == pytest.approx(1)
+
+
+def test_blocks_without_a_trigram(docs_of):
+    rows = L.digest(docs_of([(i, "") for i in range(9)]), 3).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(9)) and all(r.n_tokens == 1 for r in rows)
+
+
+def test_registered_order():
+    assert L.ORDER >= 3
