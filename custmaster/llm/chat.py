@@ -141,7 +141,8 @@ def format_chat(chat: DataFrame, tools: dict = TOOLS) -> DataFrame:
     order_key, order_level, order_kind, json."""
     messages, calls, results = parts(chat)
     ids = ["conv_id", "call_id"]
-    answers = (results.groupBy(*ids).agg(F.min(F.struct("turn", "content")).alias("first"))
+    # a result without turn or conversation answers nothing
+    answers = (results.where("turn IS NOT NULL AND conv_id IS NOT NULL").groupBy(*ids).agg(F.min(F.struct("turn", "content")).alias("first"))
                .select(*ids, F.col("first.turn").alias("answered"), F.col("first.content").alias("answer")))
     order = _order(calls, answers)
     linked = _look_up(calls, answers.select(*ids, "answered").join(order, ids, "full"), ids)

@@ -104,3 +104,11 @@ def test_whole_table(spark):
 def test_native_plan(spark):
     plan = C.run(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_result_without_turn_answers_nothing(spark):
+    rows = rows_of(spark, [(1, 0, "assistant", calls(call("a"), call("b"))), (1, None, "tool", result("a", "no turn")),
+                           (1, 2, "tool", result("a")), (1, None, "tool", result("b"))])
+    got = {(r.kind, r.call_id, r.turn): r.status for r in rows}
+    assert got == {("call", "a", 0): "linked", ("call", "b", 0): "unanswered", ("result", "a", 2): "linked",
+                   ("result", "a", None): "orphan", ("result", "b", None): "orphan"}
