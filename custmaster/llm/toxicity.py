@@ -209,14 +209,16 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> list[Linear]:
-    """Fits the chain on at most TRAIN_ROWS labelled documents."""
+    """Fits the chain on at most TRAIN_ROWS labelled documents; of the rows of one id the one
+    with the least text, whatever their number."""
     rows = (labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL")
             .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
             .agg(F.min("quality").cast("long").alias("quality"), F.max("toxic").cast("long").alias("toxic")))
     sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS)
     one = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # TRAIN_ROWS bounds the broadcast side
-    joined = one.join(F.broadcast(sample), "doc_id").select("text", "doc_id", "quality", "toxic")
+    joined = (one.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "quality", "toxic")
+              .agg(F.min("text").alias("text")).select("text", "doc_id", "quality", "toxic"))
     got = joined.mapInArrow(_sparse, "doc_id bigint, quality bigint, toxic bigint, features binary").toArrow()
     got = got.take(np.argsort(got.column("doc_id").to_numpy(), kind="stable")) if got.num_rows else got
     quality, toxic = got.column("quality").to_numpy(), got.column("toxic").to_numpy()

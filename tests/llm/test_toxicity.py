@@ -69,3 +69,12 @@ def test_same_model_each_time(tables):
     docs, labels = tables
     a, b = L.train(docs, labels), L.train(docs.repartition(7), labels.repartition(3))
     assert all(np.array_equal(x.features, y.features) and np.allclose(x.weights, y.weights) for x, y in zip(a, b))
+
+
+def test_rows_of_one_id_are_fitted_on_once(spark, docs_of, monkeypatch):
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(20)], "doc_id long, quality int, toxic int")
+    docs = docs_of([(i, f"text {i}") for i in range(20)] + [(7, f"later text {k}") for k in range(300)] + [(8, None)])
+    got = []
+    monkeypatch.setattr(L, "fit_chain", lambda ids, features, y: got.append((ids.tolist(), len(features), len(y))))
+    L.train(docs, labels)
+    assert got == [(list(range(20)), 20, 20)]
