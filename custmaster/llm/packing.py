@@ -85,7 +85,8 @@ class _Words(dict):
 class WordIds:
     """Ids of texts by a tokenizer that never merges across white space: each distinct word is
     encoded once while it is in the cache. Plain words are cut by the tokenizer's own pattern
-    and go to its merges directly; any other goes through the whole tokenizer."""
+    and go to its merges directly; any other goes through the whole tokenizer. A text that
+    holds an added token goes through the tokenizer as its file has it."""
 
     def __init__(self, path: str, size: int = CACHE_WORDS):
         import regex
@@ -93,8 +94,11 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.untouched = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         spec = json.loads(self.tokenizer.to_str())
+        # the empty string, which every text holds, for one that is looked for in the normal form
+        self.added = ["" if t["normalized"] else t["content"] for t in spec["added_tokens"]]
         self.cut = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
         self.letters = _byte_letters()
         self.size, self.known, self.parts = size, _Words(self), {}
@@ -114,6 +118,8 @@ class WordIds:
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of a text."""
+        if any(token in text for token in self.added):
+            return np.asarray(self.untouched.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return self.whole(text) if _ODD.search(text) else b"".join(map(self.known.__getitem__, text.split()))
 
 

@@ -94,3 +94,10 @@ def test_cache_bound_keeps_results():
     small = L.WordIds(PATH, size=3)
     text = "many different words, one after the other, and then the same words again"
     assert small.ids(text) == ids_of(text)[:-1].tobytes() and len(small.known) <= 3 and len(small.parts) <= 3
+
+
+def test_added_tokens_in_texts():
+    untouched = Tokenizer.from_file(PATH)
+    for text in ("x <|endoftext|> y", "a<|startoftext|>b", "<|ENDOFTEXT|> é", "<|endoftext", "plain words, only."):
+        want = untouched.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(L.word_ids(PATH).ids(text), "<u4").tolist() == want
