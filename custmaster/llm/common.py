@@ -60,6 +60,22 @@ def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     return (pafs.LocalFileSystem(), uri) if uri.startswith("/") else pafs.FileSystem.from_uri(uri)
 
 
+def store_bytes(uri: str, data: bytes) -> None:
+    """Writes beside the name and moves: a task run again never shows a reader half a file."""
+    store, path = filesystem(uri)
+    store.create_dir(path.rpartition("/")[0], recursive=True)
+    fresh = f"{path}.{uuid.uuid4().hex}"
+    with store.open_output_stream(fresh, compression=None) as f:
+        f.write(data)
+    store.move(fresh, path)
+
+
+def load_bytes(uri: str) -> bytes:
+    store, path = filesystem(uri)
+    with store.open_input_file(path) as f:
+        return f.read()
+
+
 def pack(values: np.ndarray) -> bytes:
     """Unsigned 32-bit numbers, compressed byte plane by byte plane."""
     planes = np.ascontiguousarray(values.astype("<u4").view("u1").reshape(-1, 4).T)

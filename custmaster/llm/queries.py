@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from custmaster.llm import bpe, chat, fingerprints, kneser_ney, licenses, ngram_join, packing, quality, toxicity, warc
+from custmaster.llm import (bpe, centroids, chat, cover_tree, fingerprints, kneser_ney, lattice, licenses, ngram_join, packing,
+                            quality, toxicity, warc)
 from custmaster.llm.common import table
 
 
@@ -52,6 +53,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op13_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.digest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
@@ -63,10 +76,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_licenses": op9_licenses,
     "op10_packing": op10_packing,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_centroids": op12_centroids,
+    "op13_lattice_dedup": op13_lattice_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op4_ngram_jaccard": ngram_join.ORACLE_SQL,
     "op5_quality_rules": quality.ORACLE_SQL,
     "op6_warc": warc.ORACLE_SQL,
+    "op11_hard_negatives": cover_tree.ORACLE_SQL,
+    "op12_centroids": centroids.ORACLE_SQL,
+    "op13_lattice_dedup": lattice.ORACLE_SQL,
 }

@@ -9,11 +9,12 @@ SF = "/root/testdata/sf0.01"
 
 def test_names():
     names = list(entry.queries())
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert "pipeline" in names
 
 
-@pytest.mark.parametrize("key", ["op4_ngram_jaccard", "op5_quality_rules", "op6_warc"])
+@pytest.mark.parametrize("key", ["op4_ngram_jaccard", "op5_quality_rules", "op6_warc", "op11_hard_negatives",
+                                 "op12_centroids", "op13_lattice_dedup"])
 def test_sql_parity(spark, key):
     r = compare(spark, duck(SF), SF, key, entry.queries()[key], entry.oracle_sql()[key])
     assert r["values_match"], r
