@@ -1,0 +1,46 @@
+"""The driver contract also holds where the optional corpus operators are not there."""
+import os
+import shutil
+import subprocess
+import sys
+
+import pytest
+
+from conftest import ROOT
+
+ASK = "import __spark_entry__ as e; print(*sorted(e.queries())); print(*sorted(e.oracle_sql()))"
+
+
+def _copy(tmp_path, *without):
+    skip = shutil.ignore_patterns(".git", "__pycache__", ".pytest_cache", "*.json")
+    root = tmp_path / "copy"
+    shutil.copytree(ROOT, root, ignore=lambda d, names: [
+        *skip(d, names), *(n for n in names if os.path.relpath(os.path.join(d, n), ROOT) in without)])
+    return root
+
+
+def _asked(root):
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", ASK], cwd=root, env=env, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr
+    return [line.split() for line in out.stdout.splitlines()]
+
+
+@pytest.mark.parametrize("without", [
+    ("custmaster/llm", "tests/llm"), ("custmaster/llm", "tests/llm", "corpus_pipeline.py"), ("corpus_pipeline.py",)])
+def test_imports_without(tmp_path, without):
+    from custmaster.plans.queries import REGISTRY
+
+    queries, oracles = _asked(_copy(tmp_path, *without))
+    assert set(REGISTRY) <= set(queries) and set(REGISTRY) <= set(oracles)
+    assert "pipeline" not in queries
+    if "custmaster/llm" in without:
+        assert set(queries) == set(oracles) == set(REGISTRY)
+
+
+def test_nothing_else_imports_the_corpus_operators():
+    for folder, _, names in os.walk(os.path.join(ROOT, "custmaster")):
+        if os.path.basename(folder) != "llm":
+            for name in names:
+                if name.endswith(".py"):
+                    assert "custmaster.llm" not in open(os.path.join(folder, name)).read(), name
