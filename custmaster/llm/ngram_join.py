@@ -20,20 +20,26 @@ Jaccard similarity of their sets is 0.8 or more.
    exact set is sent to its group once, pairs are pruned as before, and the
    survivors' Jaccard similarity is computed exactly.
 
-Buckets and groups of more than ``BLOCK`` members are dealt into blocks, each
-pair of blocks a unit of work: no task sees more than two blocks, no member is
-capped or skipped, and pairs exist only inside a unit, as numbers of a matrix.
-Results are rows of documents: links are counted, not listed.
-
-A text of one to four words has one shingle, all of it.  Null text reads as
-empty; texts without words are copies of each other and linked to nothing
-else.  Rows of one id count as one document; a row without id takes the class
-of a copy that has one, and none otherwise.  Empty tables give empty results.
+Buckets and groups of more than ``BLOCK`` members are dealt into blocks (``blocks``):
+a block is written once and read for each pair of blocks, so what is shuffled grows
+with the members; no task sees more than two blocks, no member is capped or
+skipped, and pairs exist only inside a unit, as numbers of a matrix.  Results are
+rows of documents: links are counted, not listed.
+
+The nodes of buckets, groups and classes are sets, not ids: an id on rows with
+different texts has a class for each of them.
+
+A text of one to four words has one shingle, all of it; very long texts are whole
+sets like any other.  Null text reads as empty; texts without words are copies of
+each other and linked to nothing else.  Repeated rows of an id and text count as
+one document.  A row without id takes the class of a copy that has one, and none
+otherwise.  Ties go to the least id.  Empty tables give empty results; other columns,
+whatever their names, are not read (``keep_one`` returns them).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from fractions import Fraction
 from functools import lru_cache
 from math import comb
@@ -41,10 +47,12 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from custmaster.llm.blocks import compare_units
 from custmaster.llm.common import free_name, materialise
+from custmaster.llm.components import SALTS, components, roots
 
 SHINGLE = 5
 THRESHOLD = Fraction(4, 5)
@@ -53,7 +61,6 @@ BANDS = VALUES // BAND
 TOLERANCE = 1e-7
 STEPS = (16, 32, 64, 128)
 BLOCK = 512
-SALTS = 8
 _CACHE_WORDS = 400_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _CHUNK = 1 << 13
@@ -111,21 +118,26 @@ def signature(values: np.ndarray) -> np.ndarray:
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys, signs, sizes = [], [], []
-        texts = batch.column(1).cast(pa.binary())
+        texts = batch.column(2).cast(pa.binary())
         for i in range(batch.num_rows):
             own = shingles(texts[i].as_py() or b"")
             keys.append(xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63))
             sizes.append(len(own))
             signs.append(signature(own).tobytes() if len(own) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), pa.array(signs, pa.binary())],
-            names=["doc_id", "set_key", "size", "signature"])
+            [batch.column(0), batch.column(1), pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()),
+             pa.array(signs, pa.binary())], names=["doc_id", "text_key", "set_key", "size", "signature"])
+
+
+def text_key() -> Column:
+    """A row's text as a hash: with the id it tells rows of one id apart."""
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, set_key, size, signature) of documents (doc_id, text)."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _sketch_batches, "doc_id bigint, set_key bigint, size int, signature binary")
+    """(doc_id, text_key, set_key, size, signature) of documents (doc_id, text)."""
+    return docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), "text").mapInArrow(
+        _sketch_batches, "doc_id bigint, text_key bigint, set_key bigint, size int, signature binary")
 
 
 # -- Bayesian pruning --------------------------------------------------------------------
@@ -170,222 +182,145 @@ def surviving(left: np.ndarray, right: np.ndarray, same: bool) -> tuple[np.ndarr
 
 # -- units of work -----------------------------------------------------------------------
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows of each unit, of batches sorted by the columns (unit, i, j)."""
-    open_rows: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        key = np.stack([batch.column(c).to_numpy() for c in range(3)], 1)
-        cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-        for b, e in zip([0, *cuts], [*cuts, len(key)]):
-            if e <= b:
-                continue
-            if last is not None and tuple(key[b]) != last:
-                yield pa.Table.from_batches(open_rows)
-                open_rows = []
-            last = tuple(key[b])
-            open_rows.append(batch.slice(b, e - b))
-    if open_rows:
-        yield pa.Table.from_batches(open_rows)
-
-
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The least connected node of each of n nodes."""
-    root = np.arange(n)
-    while len(a):
-        low = np.minimum(root[a], root[b])
-        before = root.copy()
-        np.minimum.at(root, root[a], low)
-        np.minimum.at(root, root[b], low)
-        np.minimum.at(root, a, low)
-        np.minimum.at(root, b, low)
-        root = root[root]
-        if (root == before).all():
-            break
-    while (root[root] != root).any():
-        root = root[root]
-    return root
-
-
-def _unit(rows: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(rows by ascending rep, reps, signatures, row numbers of the unit's two blocks)."""
-    rep = rows.column("rep").to_numpy()
-    if len(rep) > 1:
-        order = np.argsort(rep, kind="stable")
-        order = order[np.concatenate([[True], rep[order][1:] != rep[order][:-1]])]
-        rows, rep = rows.take(order), rep[order]
+def _survivors(left: pa.Table, right: pa.Table | None):
+    """(rows of both blocks, rows of the pairs that survive)."""
+    rows = left if right is None else pa.concat_tables([left, right])
     signs = np.frombuffer(b"".join(rows.column("signature").to_pylist()), "<u2").reshape(-1, VALUES)
-    block, i, j = (rows.column(c).to_numpy() for c in ("block", "i", "j"))
-    return rows, rep, signs, np.flatnonzero(block == i), np.flatnonzero(block == j)
+    n = left.num_rows
+    a, b = surviving(signs[:n], signs[:n] if right is None else signs[n:], right is None)
+    return rows, a, b if right is None else b + n
 
 
-def _survivors(rows: pa.Table):
-    rows, rep, signs, left, right = _unit(rows)
-    same = bool(rows.column("i")[0].as_py() == rows.column("j")[0].as_py())
-    a, b = surviving(signs[left], signs[right], same) if len(left) and len(right) else (np.zeros(0, int),) * 2
-    return rows, rep, left[a], right[b]
+def _bucket_edges(left: pa.Table, right: pa.Table | None) -> pa.Table:
+    """An edge of each member to the least one that the survivors connect it with."""
+    rows, a, b = _survivors(left, right)
+    node = rows.column("node").to_numpy()
+    root = roots(len(node), a, b)
+    moved = np.flatnonzero(root != np.arange(len(node)))
+    return pa.table({"a": node[moved], "b": node[root[moved]]})
 
 
-def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    out_a, out_b = [], []
-    for rows in _runs(batches):
-        _, rep, a, b = _survivors(rows)
-        root = _roots(len(rep), a, b)
-        moved = np.flatnonzero(root != np.arange(len(rep)))
-        out_a.append(rep[moved])
-        out_b.append(rep[root[moved]])
-        if len(out_a) >= 2000:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_a, out_b)], names=["a", "b"])
-            out_a, out_b = [], []
-    if out_a:
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_a, out_b)], names=["a", "b"])
-
-
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rep, links, root) per member of a unit that has links: linked documents, copies counted."""
+def _verified(left: pa.Table, right: pa.Table | None) -> pa.Table | None:
+    """(node, links, root) per member of a unit that has links: linked documents, copies counted."""
     num, den = THRESHOLD.numerator, THRESHOLD.denominator
-    for rows in _runs(batches):
-        rows, rep, a, b = _survivors(rows)
-        if not len(a):
-            continue
-        sets = [np.frombuffer(x, np.uint64) for x in rows.column("shingles").to_pylist()]
-        size = np.array([len(x) for x in sets])
-        ends = np.cumsum(size)
-        vocabulary, place = np.unique(np.concatenate(sets), return_inverse=True)
-        order = np.argsort(a, kind="stable")
-        a, b = a[order], b[order]
-        shared = np.zeros(len(a), np.int64)
-        marked = np.zeros(len(vocabulary), bool)
-        firsts = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
-        for lo, hi in zip(firsts, [*firsts[1:], len(a)]):
-            own = place[ends[a[lo]] - size[a[lo]]:ends[a[lo]]]
-            marked[own] = True
-            for k in range(lo, hi):
-                shared[k] = np.count_nonzero(marked[place[ends[b[k]] - size[b[k]]:ends[b[k]]]])
-            marked[own] = False
-        linked = den * shared >= num * (size[a] + size[b] - shared)
-        a, b = a[linked], b[linked]
-        copies = rows.column("copies").to_numpy()
-        links = np.bincount(a, copies[b], len(rep)) + np.bincount(b, copies[a], len(rep))
-        root = _roots(len(rep), a, b)
-        has = np.flatnonzero(links)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rep[has]), pa.array(links[has].astype(np.int64)), pa.array(rep[root[has]])],
-            names=["rep", "links", "root"])
-
-
-def _in_units(rows: DataFrame, unit: str, members: str) -> DataFrame:
-    """Rows with (unit, i, j, block): units of at most two blocks; ``members``: a unit's rows."""
-    blocks = F.ceil(F.col(members) / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    df = rows.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    return df.select(F.col(unit).alias("unit"), F.least("block", "other").alias("i"),
-                     F.greatest("block", "other").alias("j"), "block",
-                     *[c for c in rows.columns if c not in (unit, members)])
-
-
-def _by_unit(rows: DataFrame, work: Callable, schema: str) -> DataFrame:
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (rows.repartition(parts, "unit", "i", "j").sortWithinPartitions("unit", "i", "j")
-            .mapInArrow(work, schema))
-
-
-# -- components --------------------------------------------------------------------------
-
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component) of the nodes of edges (a, b): the least node connected with each.
-
-    Rounds of large-star and small-star over written tables until nothing changes."""
-    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = materialise(edges, "edges")
-    before = None
-    while True:
-        both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m"))
-        # a node with very many neighbours meets its least in SALTS places
-        salt = F.pmod(F.xxhash64("b"), F.lit(SALTS))
-        spread = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-        large = (both.where("b > a").withColumn("salt", salt).join(spread, ["a", "salt"])
-                 .select(F.col("b").alias("a"), F.least("m", "a").alias("b")).where("a <> b"))
-        down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(down, "a").select(
-            F.explode(F.array(F.struct("a", F.col("m").alias("b")),
-                              F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        edges = materialise(small.select("e.a", "e.b").where("a <> b").distinct(), "edges")
-        after = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if after == before:
-            return edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).unionByName(
-                edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        before = after
+    rows, a, b = _survivors(left, right)
+    if not len(a):
+        return None
+    sets = [np.frombuffer(x, np.uint64) for x in rows.column("shingles").to_pylist()]
+    size = np.array([len(x) for x in sets])
+    ends = np.cumsum(size)
+    vocabulary, place = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(a, kind="stable")
+    a, b = a[order], b[order]
+    shared = np.zeros(len(a), np.int64)
+    marked = np.zeros(len(vocabulary), bool)
+    firsts = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
+    for lo, hi in zip(firsts, [*firsts[1:], len(a)]):
+        own = place[ends[a[lo]] - size[a[lo]]:ends[a[lo]]]
+        marked[own] = True
+        for k in range(lo, hi):
+            shared[k] = np.count_nonzero(marked[place[ends[b[k]] - size[b[k]]:ends[b[k]]]])
+        marked[own] = False
+    linked = den * shared >= num * (size[a] + size[b] - shared)
+    a, b = a[linked], b[linked]
+    node, copies = rows.column("node").to_numpy(), rows.column("copies").to_numpy()
+    links = np.bincount(a, copies[b], len(node)) + np.bincount(b, copies[a], len(node))
+    root = roots(len(node), a, b)
+    has = np.flatnonzero(links)
+    return pa.table({"node": node[has], "links": links[has].astype(np.int64), "root": node[root[has]]})
 
 
 # -- the join ----------------------------------------------------------------------------
 
 def _member_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the exact set and the signature; drops rows of another text than the one meant."""
+    """(node, copies, unit, members) with the signature and the exact set of the text."""
     for batch in batches:
-        keep, sets, signs = [], [], []
-        texts = batch.column(0).cast(pa.binary())
-        keys = batch.column(1).to_pylist()
-        for i in range(batch.num_rows):
-            own = shingles(texts[i].as_py() or b"")
-            if xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63) == keys[i]:
-                keep.append(i)
-                sets.append(own.tobytes())
-                signs.append(signature(own).tobytes())
-        rest = [c.take(pa.array(keep, pa.int64())) for c in batch.columns[2:]]
-        yield pa.RecordBatch.from_arrays([*rest, pa.array(signs, pa.binary()), pa.array(sets, pa.binary())],
-                                         names=["rep", "copies", "component", "members", "signature", "shingles"])
+        sets, signs = [], []
+        for text in batch.column(0).cast(pa.binary()):
+            own = shingles(text.as_py() or b"")
+            sets.append(own.tobytes())
+            signs.append(signature(own).tobytes())
+        yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(signs, pa.binary()), pa.array(sets, pa.binary())],
+                                         names=["node", "copies", "unit", "members", "signature", "shingles"])
 
 
-def near_classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, class_id, copy_of, n_links) per document: class_id is the least id connected
-    with it by links, copy_of the least id with an equal shingle set, n_links the number of
-    other documents it is linked with (copies counted)."""
-    marks = materialise(sketches(docs), "marks")
+def _marked(docs: DataFrame) -> DataFrame:
+    return materialise(sketches(docs), "marks")
+
+
+def _classified(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """(set_key, class, rep, copies, links): a row for each set of a document with an id; ``class`` is
+    the least set_key connected by links, ``rep`` the least id with the set."""
+    row = F.struct("doc_id", "text_key")
     # equal sets have equal sizes and signatures: any row's will do
-    reps = materialise(marks.groupBy("set_key").agg(
-        F.min("doc_id").alias("rep"), F.count_distinct("doc_id").alias("copies"), F.first("size").alias("size"),
-        F.first("signature").alias("signature")).where("rep IS NOT NULL"), "reps")
+    sets = materialise(marks.where("doc_id IS NOT NULL").groupBy("set_key").agg(
+        F.min(row).alias("row"), F.count_distinct("doc_id").alias("copies"), F.first("size").alias("size"),
+        F.first("signature").alias("signature")), "sets")
 
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(
         k, F.substring(F.col("signature"), k * (2 * BAND) + 1, F.lit(2 * BAND))))
-    bands = reps.where("size > 0").select("rep", F.explode(keys).alias("bucket"))
+    bands = sets.where("size > 0").select("set_key", F.explode(keys).alias("bucket"))
     shared = materialise(bands.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1"), "buckets")
     # all three grow with the documents: shuffled at every size, never broadcast
-    hits = bands.join(shared.hint("merge"), "bucket").join(reps.select("rep", "signature").hint("merge"), "rep")
-    edges = _by_unit(_in_units(hits.select("rep", "signature", "bucket", "members"), "bucket", "members"),
-                     _bucket_edges, "a bigint, b bigint")
+    hits = bands.join(shared.hint("merge"), "bucket").join(sets.select("set_key", "signature").hint("merge"), "set_key")
+    edges = compare_units(hits.select(F.col("set_key").alias("node"), "signature", F.col("bucket").alias("unit"), "members"),
+                          BLOCK, _bucket_edges, "a bigint, b bigint")
 
     groups = components(edges)
     sizes = groups.groupBy("component").agg(F.count("*").alias("members"))
-    groups = materialise(groups.join(sizes, "component").join(
-        reps.select(F.col("rep").alias("node"), "set_key", "copies"), "node"), "groups")
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
-    members = texts.join(groups.hint("merge"), "node").select(
-        "text", "set_key", F.col("node").alias("rep"), "copies", "component", "members").mapInArrow(
-        _member_sets, "rep bigint, copies bigint, component bigint, members bigint, signature binary, shingles binary")
-    verified = materialise(_by_unit(_in_units(members, "component", "members"), _verified,
-                                    "rep bigint, links bigint, root bigint"), "links")
-    links = verified.groupBy("rep").agg(F.sum("links").alias("links"))
-    near = components(verified.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-
-    found = (reps.join(links, "rep", "left").join(near, reps["rep"] == near["node"], "left")
-             .select("set_key", "rep", "copies", F.coalesce("links", F.lit(0).cast("long")).alias("links"),
-                     F.coalesce("component", "rep").alias("class_id")))
-    found = materialise(found, "classes")
-    return marks.select("doc_id", "set_key").join(found, "set_key", "left").select(
+    groups = groups.join(sizes, "component").join(sets, groups["node"] == sets["set_key"]).select(
+        "node", F.col("component").alias("unit"), "members", "copies", "row.doc_id", "row.text_key")
+    times = marks.groupBy("doc_id", "text_key").agg(F.count("*").alias("times")).where("times > 1")
+    groups = materialise(groups.join(times, ["doc_id", "text_key"], "left"), "groups")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
+    texts = texts.join(groups.hint("merge"), ["doc_id", "text_key"])
+    # repeated rows of a document meet as partial aggregates
+    texts = texts.where("times IS NULL").unionByName(texts.where("times IS NOT NULL").dropDuplicates(["node"]))
+    members = texts.select("text", "node", "copies", "unit", "members").mapInArrow(
+        _member_sets, "node bigint, copies bigint, unit bigint, members bigint, signature binary, shingles binary")
+    found = compare_units(members, BLOCK, _verified, "node bigint, links bigint, root bigint")
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
+    near = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
+
+    return materialise(sets.select(F.col("set_key").alias("node"), F.col("row.doc_id").alias("rep"), "copies")
+                       .join(links, "node", "left").join(near, "node", "left")
+                       .select(F.col("node").alias("set_key"), F.coalesce("component", "node").alias("class"), "rep", "copies",
+                               F.coalesce("links", F.lit(0).cast("long")).alias("links")), "classes")
+
+
+def near_classes(docs: DataFrame) -> DataFrame:
+    """(doc_id, class_id, copy_of, n_links) per row: class_id is the least id connected with its
+    set by links, copy_of the least id with an equal shingle set, n_links the number of
+    other documents that its set is linked with (copies counted)."""
+    marks = _marked(docs)
+    sets = _classified(docs, marks)
+    sets = sets.join(sets.groupBy("class").agg(F.min("rep").alias("class_id")), "class")
+    # a set may be that of very many rows: they meet it in SALTS places
+    spread = sets.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    rows = marks.select("doc_id", "set_key", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
+    return rows.join(spread, ["set_key", "salt"], "left").select(
         "doc_id", "class_id", F.col("rep").alias("copy_of"),
         F.when(F.col("doc_id").isNull(), F.col("links") + F.col("copies"))
         .otherwise(F.col("links") + F.col("copies") - 1).alias("n_links"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stand for their class: the one with the least id, once. Rows
-    without id stay, one of each text."""
-    name = free_name(docs, "dropped_id")
-    ids = near_classes(docs).where("doc_id <> class_id").select(F.col("doc_id").alias(name)).distinct()
-    kept = docs.join(ids, docs["doc_id"] == F.col(name), "left_anti")
+    """The rows of ``docs`` that stand for their class: of its rows the one with the least id (and
+    least text hash), once.  A text whose set no other row is linked with always stays, also
+    where its id is on other rows.  Rows without id stay, one of each text."""
+    marks = _marked(docs)
+    sets = _classified(docs, marks).select("set_key", "class")
+    spread = sets.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    rows = marks.where("doc_id IS NOT NULL").select(
+        "doc_id", "text_key", "set_key", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
+    rows = rows.join(spread, ["set_key", "salt"]).select("class", F.struct("doc_id", "text_key").alias("row")).distinct()
+    rows = materialise(rows, "class-rows")
+    heads = rows.groupBy("class").agg(F.min("row").alias("head"), F.count("*").alias("rows")).where("rows > 1")
+    spread = heads.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    rest = rows.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS))).join(spread, ["class", "salt"]).where("row <> head")
+    name, text = free_name(docs, "dropped_id"), free_name(docs, "dropped_text")
+    rest = rest.select(F.col("row.doc_id").alias(name), F.col("row.text_key").alias(text))
+    kept = docs.join(rest, (docs["doc_id"] == F.col(name)) & (text_key() == F.col(text)), "left_anti")
     return kept.dropDuplicates(["doc_id", "text"])
 
 

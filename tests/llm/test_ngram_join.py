@@ -7,6 +7,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 
 from custmaster.llm import ngram_join as L
+from custmaster.llm.components import components, roots
 
 
 def plain(rows):
@@ -66,6 +67,29 @@ def test_blocks_of_a_large_group(spark, monkeypatch):
     check(spark, list(enumerate(near_copies(5, 90, 50, 4))))
 
 
+def test_texts_of_one_id_are_apart(docs_of):
+    """A unique text stays, whatever its id's other rows are."""
+    a, b = near_copies(8, 1)[0], near_copies(9, 1)[0]
+    rows = [(3, a), (5, a), (5, b)]
+    assert sorted((r.doc_id, r.text) for r in L.keep_one(docs_of(rows)).collect()) == sorted([(3, a), (5, b)])
+    got = {(r.doc_id, r.class_id, r.copy_of, r.n_links) for r in L.near_classes(docs_of(rows)).collect()}
+    assert got == {(3, 3, 3, 1), (5, 3, 3, 1), (5, 5, 5, 0)}
+
+
+def test_one_of_a_class_whose_ids_tie(docs_of):
+    near = near_copies(4, 6, 200, 3)
+    rows = [(5, t) for t in near] + [(5, " " + near[0]), (6, near[0])] * 2
+    assert len(L.keep_one(docs_of(rows)).collect()) == 1
+
+
+def test_hot_repeated_row(docs_of):
+    near = near_copies(4, 5, 200, 3)
+    rows = [(1, near[0])] * 300 + [(i, t) for i, t in enumerate(near, 2)]
+    got = L.near_classes(docs_of(rows)).collect()
+    assert len(got) == 305 and {(r.class_id, r.n_links) for r in got} == {(1, 5)}
+    assert [r.doc_id for r in L.keep_one(docs_of(rows)).collect()] == [1]
+
+
 def test_odd_rows(odd, empty):
     rows = L.near_classes(odd).collect()
     assert len(rows) == odd.count()
@@ -118,7 +142,7 @@ def test_pruning_keeps_what_the_threshold_keeps():
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=60))
 def test_roots(edges):
     a, b = (np.array([e[k] for e in edges], int) for k in (0, 1))
-    root = L._roots(31, a, b)
+    root = roots(31, a, b)
     label = list(range(31))
     for _ in range(31):
         for x, y in edges:
@@ -129,10 +153,10 @@ def test_roots(edges):
 def test_components(spark):
     rnd = random.Random(3)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100 + rnd.randrange(30), 100 + rnd.randrange(30)) for _ in range(25)]
-    got = {r.node: r.component for r in L.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     label = {n: n for e in edges for n in e}
     for _ in range(60):
         for x, y in edges:
             label[x] = label[y] = min(label[x], label[y])
     assert got == {n: c for n, c in label.items() if any(n in e and e[0] != e[1] for e in edges)}
-    assert L.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
