@@ -21,7 +21,7 @@ from custmaster.sources import Sources
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="custmaster")
-    ap.add_argument("--out", required=True, help="output folder (one sub-folder per dataset)")
+    ap.add_argument("--out", required=True, help="release folder")
     ap.add_argument("--as-of", type=dt.date.fromisoformat, default=None,
                     help="business date; required with --tables (fixtures have their own)")
     g = ap.add_mutually_exclusive_group(required=True)
@@ -33,13 +33,12 @@ def main(argv: list[str] | None = None) -> None:
                     help="a few times the cluster's cores; enough for the largest shuffle")
     ap.add_argument("--with-address", action="store_true", help="registered addresses, address contacts")
     ap.add_argument("--with-insured", action="store_true", help="the natural persons' insured arm")
-    ap.add_argument("--history-in", default=None, help="first-creation dates of the last run")
-    ap.add_argument("--history-out", default=None, help="where to keep this run's")
+    ap.add_argument("--history", default=None, help="folder of the first-creation dates; grows with each run")
+    ap.add_argument("--reuse", action="store_true", help="do not write partitions again that did not change")
+    ap.add_argument("--keep", type=int, default=2, help="versions that stay readable")
     a = ap.parse_args(argv)
     if a.tables and not a.as_of:
         ap.error("--as-of is required with --tables")
-    if a.history_in and not a.history_out:
-        ap.error("--history-in needs --history-out")
 
     spark = build_session(a.master, a.shuffle_partitions)
     if a.tables:
@@ -49,7 +48,7 @@ def main(argv: list[str] | None = None) -> None:
         src = Sources.from_fixtures(spark, a.fixtures)
     params = RunParams(as_of=a.as_of or FIXTURE_AS_OF)
     counts = run_daily(spark, src, a.out, params, a.concurrent_writes, a.with_address, a.with_insured,
-                       a.history_in, a.history_out)
+                       a.history, a.reuse, a.keep)
     for r in counts.collect():
         print(f"{r['dataset']:22s} records={r['records']:>12} distinct_ids={r['distinct_ids']:>12}")
 

@@ -2,11 +2,8 @@
 
 * ``audit_counts`` -- records and distinct ids of a dataset (optionally per
   relation type): the numbers the source notes at the top of every file.
-* ``publish`` -- overwrite a dataset as a table (the commented
-  ``CREATE OR REPLACE TABLE ... AS``), partitioned by ``PTN`` when present.
-* ``first_created`` / ``with_first_created`` -- keep the first-creation date
-  across daily runs, absences included (the source stamps a constant and notes
-  that it should be the date the row was first created).
+* ``publish_roundtrip`` -- publish one dataset (``operators.release``, for the
+  commented ``CREATE OR REPLACE TABLE ... AS``) and read it back.
 """
 
 from __future__ import annotations
@@ -17,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from custmaster.operators.release import Release
 from custmaster.session import checkpoint_dir
 
 
@@ -41,37 +39,6 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def publish(df: DataFrame, path: str | None = None, table: str | None = None,
-            partition_by: Sequence[str] | None = None) -> None:
-    """Replace the dataset at ``path`` (parquet) or as catalog ``table``.
-
-    A path is written beside itself and swapped in by renaming, so a failed
-    write leaves the old dataset as it was.
-    """
-    if partition_by is None:
-        partition_by = ["PTN"] if "PTN" in df.columns else []
-    if partition_by:
-        # one shuffle so that each task writes few partition folders; AQE
-        # splits a hot value (PTN '0' holds every masked or missing birthday)
-        # over several tasks and coalesces small ones
-        df = df.hint("rebalance", *partition_by)
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    if table:
-        w.format("parquet").saveAsTable(table)
-        return
-    fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:12]}"
-    w.parquet(fresh)
-    spark = df.sparkSession
-    fs, new = _files(spark, fresh)
-    old = _files(spark, path)[1]
-    fs.mkdirs(old.getParent())
-    fs.delete(old, True)
-    if not fs.rename(new, old):
-        raise OSError(f"cannot move {fresh} to {path}")
-
-
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder of the cluster."""
     base = checkpoint_dir(spark)
@@ -79,35 +46,9 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def publish_roundtrip(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write the dataset to the shared folder and read it back with its schema.
-
-    Reading back with the written schema keeps a text partition column such
-    as ``PTN`` text (partition discovery would otherwise guess an integer).
-    """
-    path = shared_path(spark, name)
-    publish(df, path=path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
-
-
-def first_created(history: DataFrame | None, current: DataFrame, keys: Sequence[str],
-                  create_col: str = "CREATE_DATE") -> DataFrame:
-    """(keys, create_col): when each key was first seen, after one more run.
-
-    A full outer join of the history with the run's keys: a customer who is
-    absent today stays in it, so one who returns keeps the first date.
-    ``history`` is the result of the run before (None for the first run).
-    """
-    seen = current.groupBy(*keys).agg(F.min(create_col).alias("_now"))
-    if history is None:
-        return seen.withColumnRenamed("_now", create_col)
-    return (history.select(*keys, F.col(create_col).alias("_before")).join(seen, list(keys), "full")
-            .select(*keys, F.least("_before", "_now").alias(create_col)))
-
-
-def with_first_created(current: DataFrame, history: DataFrame, keys: Sequence[str],
-                       create_col: str = "CREATE_DATE") -> DataFrame:
-    """Current rows with the first-creation date of their key."""
-    first = history.select(*keys, F.col(create_col).alias("_first"))
-    j = current.join(first, list(keys), "left")
-    return j.select(*[F.coalesce("_first", create_col).alias(c) if c == create_col else F.col(c)
-                      for c in current.columns])
+    """Publish the dataset alone in a release of the shared folder and read it back."""
+    release = Release(spark, shared_path(spark, name))
+    run = release.begin()
+    run.write(name, df)
+    run.commit()
+    return release.read(name)

@@ -7,11 +7,16 @@ per class read it back.  That cuts the lineage (a lost executor costs a
 re-read of those files, not a re-run of the ranking over the whole party
 history), keeps file statistics for the planner, and lets each dataset read
 only the population columns it uses -- measured faster than an RDD
-``checkpoint()``, whose rows carry no statistics.  Each dataset is then
-written (``publish``) and counted.  The small tables derived from the party
-history that several datasets share (contract-customer pairs, person lookup,
-contact rows) are materialised the same way, once.  All of these tables live
-in one folder of the run, which is removed when the run ends, failed or not.
+``checkpoint()``, whose rows carry no statistics.
+
+The tables derived from the party history that several datasets share are made from
+the rows of the population's customers only (contract-customer pairs, contact rows), or
+of the persons that the link tables name (person lookup), written the same way, all at
+once.  All of these tables live in one folder of the run, which is removed when the
+run ends, failed or not.
+
+The datasets are written as one version of a release (``operators.release``): they
+become visible together when all are there, and counted while they are written.
 """
 
 from __future__ import annotations
@@ -23,13 +28,14 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custmaster.operators.audit import (audit_counts, first_created, publish, remove, shared_path,
-                                        with_first_created)
+from custmaster.operators.audit import remove, shared_path
 from custmaster.operators.contacts import party_contact_rows
+from custmaster.operators.history import History
 from custmaster.operators.income import contract_pairs
+from custmaster.operators.population import for_customers, populations_by_class
 from custmaster.operators.relations import person_lookup
+from custmaster.operators.release import Release
 from custmaster.params import RunParams
-from custmaster.operators.population import populations_by_class
 from custmaster.plans.datasets import CLASSES, DATASETS
 from custmaster.sources import PARTY_COLUMNS, Sources
 
@@ -51,16 +57,24 @@ def populations(spark: SparkSession, src: Sources, params: RunParams, folder: st
             for cls in CLASSES}
 
 
-def shared_party_tables(spark: SparkSession, src: Sources, folder: str) -> Sources:
-    """Materialise the small tables derived from the party history that
-    several datasets use (pairs: 4 datasets, persons: 2, contacts: 2): each is
-    one scan of the history instead of one per dataset."""
+def shared_party_tables(spark: SparkSession, src: Sources, folder: str, members: DataFrame) -> Sources:
+    """Materialise the tables derived from the party history that several datasets use (pairs: 4
+    datasets, persons: 2, contacts: 2), restricted to ``members`` (customer_id, once each) and to
+    the persons that a dataset can ask for: each is one scan of the history instead of one per
+    dataset, and the history's rows of nobody's interest end at that scan's join."""
+    asked = src.insured.select("customer_id").unionByName(
+        src.benef_health.select(F.col("assured_id").alias("customer_id"))).where("customer_id IS NOT NULL").distinct()
+    own = for_customers(src.party.select("contract_no", "customer_id"), members)
+    reach = for_customers(src.party.select("contract_no", "customer_id", "cellular_phone", "email"), members)
+    known = for_customers(src.party.select("contract_no", "customer_id", "birthday", "national_country_code"), asked)
     tables = {
-        "pairs": contract_pairs(src.party),
-        "persons": person_lookup(src.party),
-        "contacts": party_contact_rows(src.party).distinct(),
+        "pairs": contract_pairs(own),
+        "persons": person_lookup(known),
+        "contacts": party_contact_rows(reach).distinct(),
     }
-    return src.with_derived({k: materialise(spark, v, f"{folder}/party_{k}") for k, v in tables.items()})
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        made = {k: pool.submit(materialise, spark, v, f"{folder}/party_{k}") for k, v in tables.items()}
+        return src.with_derived({k: f.result() for k, f in made.items()})
 
 
 def builders(with_address: bool = False, with_insured: bool = False) -> dict[str, tuple[str, Callable]]:
@@ -78,40 +92,36 @@ def builders(with_address: bool = False, with_insured: bool = False) -> dict[str
 
 def run_daily(spark: SparkSession, src: Sources, out_dir: str, params: RunParams,
               concurrent_writes: int = 4, with_address: bool = False, with_insured: bool = False,
-              history_in: str | None = None, history_out: str | None = None) -> DataFrame:
-    """Write every dataset under ``out_dir/<name>`` and return the audit counts
-    (read back from the written tables, so the counts are of what was published).
+              history: str | None = None, reuse: bool = False, keep: int = 2) -> DataFrame:
+    """Publish every dataset as the next version of the release ``out_dir`` and return the audit
+    counts (taken while the datasets were written; ``Release.counts(exact=True)`` reads them).
 
     The eight writes are independent Spark jobs; up to ``concurrent_writes``
     are submitted at once so that the tail stages of one dataset do not leave
-    the cluster idle.  Each dataset is written beside its folder and swapped in,
-    so a failed run leaves yesterday's in place.
+    the cluster idle.  A run that fails anywhere leaves the version before as it is.
 
-    ``history_out`` keeps when each id was first published, per dataset; with
-    the last run's ``history_in``, CREATE_DATE is that date, also for ids that
-    were absent in between.
+    ``history`` keeps when each id was first published, per dataset (``operators.history``):
+    CREATE_DATE is that date, also for ids that were absent in between.  It grows after
+    the version is committed.  ``reuse``: partitions that did not change are not written again.
     """
-    if history_in and history_in.rstrip("/") == (history_out or "").rstrip("/"):
-        raise ValueError("history_out must differ from history_in: it is written while that is read")
+    release = Release(spark, out_dir, keep)
     folder = shared_path(spark, f"run_{params.as_of:%Y%m%d}")
     try:
         pops = populations(spark, src, params, folder)
-        shared = shared_party_tables(spark, src, folder)
+        members = pops["corporate"].select("customer_id").unionByName(pops["natural"].select("customer_id")).distinct()
+        shared = shared_party_tables(spark, src, folder, members)
         built = {name: fn(shared, params, pop=pops[cls])
                  for name, (cls, fn) in builders(with_address, with_insured).items()}
-        if history_out:
-            for name, df in built.items():
-                before = spark.read.parquet(f"{history_in}/{name}") if history_in else None
-                history = materialise(spark, first_created(before, df, ["ID_NO"]), f"{history_out}/{name}")
-                built[name] = with_first_created(df, history, ["ID_NO"])
-        paths = {name: f"{out_dir.rstrip('/')}/{name}" for name in built}
+        first = {name: History(spark, f"{history.rstrip('/')}/{name}") for name in built} if history else {}
+        for name, known in first.items():
+            built[name] = known.with_first_created(built[name])
+        run = release.begin()
         with ThreadPoolExecutor(max_workers=max(1, concurrent_writes)) as pool:
-            for f in [pool.submit(publish, df, paths[name]) for name, df in built.items()]:
+            for f in [pool.submit(run.write, name, df, reuse=reuse) for name, df in built.items()]:
                 f.result()
+        run.commit()
     finally:
         remove(spark, folder)
-    counts = None
-    for name, path in paths.items():
-        c = audit_counts(spark.read.parquet(path), name)
-        counts = c if counts is None else counts.unionByName(c)
-    return counts
+    for name, known in first.items():
+        known.add_segment(release.read(name, run.number))
+    return release.counts()

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame
 
 from custmaster.operators import contacts, profiles, relations, risk
 from custmaster.operators.address import latest_registered_address
-from custmaster.operators.population import active_customer_ids, member_ids, population
+from custmaster.operators.income import contract_customer_bridge
+from custmaster.operators.population import active_customer_ids, member_ids, policies_in_force, population
+from custmaster.operators.recode import MAJOR, MINOR, recoded
 from custmaster.params import CORPORATE_ID_TYPES, NATURAL_ID_TYPES, RunParams
 from custmaster.sources import Sources
 
@@ -22,6 +24,22 @@ def class_population(src: Sources, cls: str, params: RunParams) -> DataFrame:
     return population(src.party, src.policy, src.insured, CLASSES[cls], params)
 
 
+def _industry(src: Sources, df: DataFrame, params: RunParams) -> DataFrame:
+    """The industry columns converted where a configuration table is bound, else the source's codes."""
+    if not src.has("industry_codes"):
+        return df
+    for column, kind in (("INDUSTRY_TYPE1", MAJOR), ("INDUSTRY_TYPE2", MINOR)):
+        df = recoded(df, column, src.industry_codes, kind, params.as_of)
+    return df
+
+
+def _products(src: Sources, pop: DataFrame, ids: DataFrame, params: RunParams) -> DataFrame | None:
+    if not src.has("product_risk"):
+        return None
+    bridge = contract_customer_bridge(src.party, ids, pairs=src.derived("pairs"))
+    return risk.product_ratings(src.product_risk, bridge, policies_in_force(src.policy, params), params)
+
+
 def corporate_basic(src: Sources, params: RunParams,
                     pop: DataFrame | None = None, with_address: bool = False) -> DataFrame:
     ids = None
@@ -29,8 +47,8 @@ def corporate_basic(src: Sources, params: RunParams,
         pop = class_population(src, "corporate", params)
         ids = active_customer_ids(src.policy, src.insured, params)
     addr = latest_registered_address(src.party_address) if with_address else None
-    return profiles.corporate_basic(pop, src.party, src.declarations(), params, addr, ids,
-                                    src.derived("pairs"))
+    return _industry(src, profiles.corporate_basic(pop, src.party, src.declarations(), params, addr, ids,
+                                                   src.derived("pairs")), params)
 
 
 def natural_basic(src: Sources, params: RunParams,
@@ -40,8 +58,8 @@ def natural_basic(src: Sources, params: RunParams,
         pop = class_population(src, "natural", params)
         ids = active_customer_ids(src.policy, src.insured, params)
     addr = latest_registered_address(src.party_address) if with_address else None
-    return profiles.natural_basic(pop, src.party, src.declarations(), params, addr, ids,
-                                  src.derived("pairs"))
+    return _industry(src, profiles.natural_basic(pop, src.party, src.declarations(), params, addr, ids,
+                                                 src.derived("pairs")), params)
 
 
 def corporate_contact(src: Sources, params: RunParams,
@@ -80,16 +98,22 @@ def natural_relations(src: Sources, params: RunParams,
                                        src.derived("persons"))
 
 
+def _risk(src: Sources, params: RunParams, pop: DataFrame | None, cls: str, build) -> DataFrame:
+    # without a written population, the ids alone restrict the products: no second ranking
+    ids = (pop.select("customer_id") if pop is not None
+           else active_customer_ids(src.policy, src.insured, params))
+    pop = pop if pop is not None else class_population(src, cls, params)
+    return build(pop, src.param_lookup, src.country_risk, params, _products(src, pop, ids, params))
+
+
 def corporate_risk(src: Sources, params: RunParams,
                    pop: DataFrame | None = None) -> DataFrame:
-    pop = pop if pop is not None else class_population(src, "corporate", params)
-    return risk.corporate_risk(pop, src.param_lookup, src.country_risk, params)
+    return _risk(src, params, pop, "corporate", risk.corporate_risk)
 
 
 def natural_risk(src: Sources, params: RunParams,
                  pop: DataFrame | None = None) -> DataFrame:
-    pop = pop if pop is not None else class_population(src, "natural", params)
-    return risk.natural_risk(pop, src.param_lookup, src.country_risk, params)
+    return _risk(src, params, pop, "natural", risk.natural_risk)
 
 
 DATASETS = {

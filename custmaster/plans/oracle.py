@@ -145,7 +145,13 @@ def blanks(*names: str) -> dict[str, str]:
 WHO = {"ID_NO": txt("m.customer_id"), "SOURCE": "'INS'"}
 
 
-def basic(cls: str, address: bool = False, source: str = "income") -> str:
+def converted(col: str, kind: str, day: str = DAY) -> str:
+    """A code's target in the configuration on a day, else the code."""
+    return (f"coalesce((SELECT max(k.target_code) FROM industry_codes k WHERE k.code_type = '{kind}' AND k.source_code = {col} "
+            f"AND {at(day)} BETWEEN coalesce(k.valid_from, '-infinity') AND coalesce(k.valid_to, 'infinity')), {col})")
+
+
+def basic(cls: str, address: bool = False, source: str = "income", recode_industry: bool = False) -> str:
     money = {"INVEST_SOURCE": txt("f.pay_source")}
     home = {"REGISTERED_ADDR": txt("r.address")} if address else {}
     name = {"C_FULLNAME": txt("m.customer_name")} | blanks("E_FULLNAME")
@@ -163,6 +169,8 @@ def basic(cls: str, address: bool = False, source: str = "income") -> str:
                 | {"INDUSTRY_TYPE2": txt("m.occu_type2_code"),
                    "INDUSTRY_TITLE": recode("m.risk_jobtitle_code", codes.JOB_TITLES)}
                 | money | {"ANNUAL_INCOME": txt("f.min_year_income")})
+    if recode_industry:
+        spec |= {f"INDUSTRY_TYPE{k}": converted(spec[f"INDUSTRY_TYPE{k}"], str(k)) for k in (1, 2)}
     body = f"SELECT {columns(spec | stamps())}\nFROM member m LEFT JOIN funds f USING (customer_id)"
     if address:
         body += " LEFT JOIN registered r USING (customer_id)"
@@ -204,6 +212,21 @@ def risk(cls: str) -> str:
     return statement(f"SELECT {columns(risk_columns(cls))}\nFROM {rated()}", *members(cls), INDUSTRY)
 
 
+#: each product of a live contract with the newest of its ratings up to the day
+RATED_PRODUCTS = (
+    f"rated AS (SELECT DISTINCT ON (contract_no, product_code) contract_no, product_code, risk_level "
+    f"FROM product_risk SEMI JOIN live USING (contract_no) WHERE valid_from <= {at(DAY)} "
+    "ORDER BY contract_no, product_code, valid_from DESC, risk_level DESC)",
+    "products AS (SELECT customer_id, string_agg(DISTINCT product_code, ',' ORDER BY product_code) AS kinds, "
+    f"max({recode('risk_level', codes.COUNTRY_RISK)}) AS worst FROM rated JOIN holder USING (contract_no) GROUP BY customer_id)")
+
+
+def risk_with_products(cls: str) -> str:
+    spec = risk_columns(cls) | {"PROD_CXL_APC": "coalesce(q.kinds, '')", "PROD_RISK_CXL_APC": "coalesce(q.worst, '')"}
+    return statement(f"SELECT {columns(spec)}\nFROM {rated()} LEFT JOIN products q ON q.customer_id = m.customer_id",
+                     *members(cls), INDUSTRY, HOLDER, *RATED_PRODUCTS)
+
+
 # -- related persons -----------------------------------------------------------------------
 
 FACTS = ("C_FULLNAME", "REPRESNT_POS", "RELATION_CODE", "BIRTHDAY_DATE", "RELATION_ID_NO", "COUNTRY")
@@ -318,6 +341,19 @@ ORACLES: dict[str, str] = DATASETS | {
     "corporate_contact_with_address": contact("corporate", *ADDRESS_CONTACTS["corporate"], *PARTY_CONTACTS),
     "natural_contact_with_address": contact("natural", *ADDRESS_CONTACTS["natural"], *PARTY_CONTACTS),
     "natural_basic_two_sources": basic("natural", source="(FROM income UNION ALL FROM income_extra)"),
+    "corporate_risk_with_products": risk_with_products("corporate"),
+    "natural_risk_with_products": risk_with_products("natural"),
+    "corporate_basic_recoded": basic("corporate", recode_industry=True),
+    "natural_basic_recoded": basic("natural", recode_industry=True),
+    "asof_product_rating": statement(
+        "SELECT c.contract_no, c.end_datetime, r.valid_from AS valid_since, r.product_code, r.risk_level "
+        "FROM policy c ASOF LEFT JOIN (SELECT DISTINCT ON (contract_no, valid_from) contract_no, valid_from, product_code, "
+        "risk_level FROM product_risk WHERE valid_from IS NOT NULL "
+        "ORDER BY contract_no, valid_from, product_code DESC, risk_level DESC) r "
+        "ON c.contract_no = r.contract_no AND c.end_datetime >= r.valid_from"),
+    "recode_industry": statement(
+        f"SELECT contract_no, {converted('occu_type1_code', '1')} AS INDUSTRY_TYPE1, "
+        f"{converted('occu_type2_code', '2')} AS INDUSTRY_TYPE2 FROM party"),
     "scan_party": statement("FROM party"),
     "project_basic": statement(f"SELECT {columns(PROJECTED)} FROM party m"),
     "audit_stamp": statement(f"SELECT {columns({'ID_NO': WHO['ID_NO']} | stamps())} FROM member m", *members("corporate")),
@@ -384,4 +420,7 @@ ORACLES: dict[str, str] = DATASETS | {
     "audit_relation_types_natural": counted("natural_relations", "RELATION_TYPE"),
     "publish_roundtrip": DATASETS["natural_contact"],
     "snapshot_merge": first_created(SNAPSHOTS),
+    "release_reuse": DATASETS["natural_contact"],
+    "release_counts": " UNION ALL ".join(f"(SELECT dataset, records FROM ({counted(n)}))"
+                                         for n in ("corporate_contact", "natural_contact")),
 }

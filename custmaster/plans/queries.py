@@ -17,7 +17,11 @@ from custmaster.functions import codes
 from custmaster.functions.columns import (birth_digit, flag_or_zero, non_blank, stamp, text,
                                           usable_income)
 from custmaster.operators import address, audit, income, population, relations, risk
+from custmaster.operators.asof import as_of_join
 from custmaster.operators.contacts import distinct_contacts
+from custmaster.operators.history import History
+from custmaster.operators.recode import MAJOR, MINOR, recoded
+from custmaster.operators.release import Release
 from custmaster.params import CORPORATE_ID_TYPES, FIXTURE_PARAMS, NATURAL_ID_TYPES, RunParams
 from custmaster.plans import datasets
 from custmaster.sources import Sources
@@ -51,7 +55,35 @@ REGISTRY["natural_relations_with_insured"] = _dataset("natural_relations", with_
 
 
 REGISTRY["natural_basic_two_sources"] = lambda spark, sf_dir: datasets.natural_basic(
-    Sources.from_fixtures(spark, sf_dir, income_extra=True), FIXTURE_PARAMS)
+    Sources.from_fixtures(spark, sf_dir, "income_extra"), FIXTURE_PARAMS)
+
+
+def _with_role(name: str, role: str) -> Query:
+    return lambda spark, sf_dir: datasets.DATASETS[name][1](Sources.from_fixtures(spark, sf_dir, role), FIXTURE_PARAMS)
+
+
+for _name in ("corporate_risk", "natural_risk"):
+    REGISTRY[f"{_name}_with_products"] = _with_role(_name, "product_risk")
+for _name in ("corporate_basic", "natural_basic"):
+    REGISTRY[f"{_name}_recoded"] = _with_role(_name, "industry_codes")
+
+
+@register("asof_product_rating")
+def asof_product_rating(spark, sf_dir):
+    """Every contract with the product rating that was valid when the contract ended."""
+    src = Sources.from_fixtures(spark, sf_dir, "product_risk")
+    return as_of_join(src.policy.select("contract_no", "end_datetime"), src.product_risk, ["contract_no"],
+                      "end_datetime", "valid_from", ["product_code", "risk_level"])
+
+
+@register("recode_industry")
+def recode_industry(spark, sf_dir):
+    src = Sources.from_fixtures(spark, sf_dir, "industry_codes")
+    p = src.party.select("contract_no", F.col("occu_type1_code").alias("INDUSTRY_TYPE1"),
+                         F.col("occu_type2_code").alias("INDUSTRY_TYPE2"))
+    p = recoded(p, "INDUSTRY_TYPE1", src.industry_codes, MAJOR, FIXTURE_PARAMS.as_of)
+    return recoded(p, "INDUSTRY_TYPE2", src.industry_codes, MINOR, FIXTURE_PARAMS.as_of)
+
 REGISTRY["corporate_basic_with_address"] = _dataset("corporate_basic", with_address=True)
 REGISTRY["natural_basic_with_address"] = _dataset("natural_basic", with_address=True)
 REGISTRY["corporate_contact_with_address"] = _dataset("corporate_contact", with_address=True)
@@ -428,12 +460,42 @@ SNAPSHOT_RUNS = tuple(RunParams(as_of=dt.date.fromisoformat(day), create_date=dt
 
 @register("snapshot_merge")
 def snapshot_merge(spark, sf_dir):
+    """Three runs, published one after another; the first-creation history grows with each."""
     src = _src(spark, sf_dir)
-    history = None
+    release = Release(spark, audit.shared_path(spark, "snapshots"))
+    history = History(spark, audit.shared_path(spark, "snapshot-history"))
     for params in SNAPSHOT_RUNS:
-        rows = datasets.natural_risk(src, params)
-        history = audit.first_created(history, rows, ["ID_NO"])
-    return audit.with_first_created(rows, history, ["ID_NO"])
+        run = release.begin()
+        run.write("natural_risk", history.with_first_created(datasets.natural_risk(src, params)))
+        run.commit()
+        history.add_segment(release.read("natural_risk"))
+    return release.read("natural_risk")
+
+
+@register("release_reuse")
+def release_reuse(spark, sf_dir):
+    """Natural contacts published for a day, then as of a day on which other customers are in
+    force: the partitions that did not change come from the first version."""
+    src = _src(spark, sf_dir)
+    release = Release(spark, audit.shared_path(spark, "reuse"))
+    for day in (SNAPSHOT_RUNS[0].as_of, FIXTURE_PARAMS.as_of, FIXTURE_PARAMS.as_of):
+        params = RunParams(as_of=day)
+        run = release.begin()
+        run.write("natural_contact", datasets.natural_contact(src, params), reuse=True)
+        run.commit()
+    return release.read("natural_contact")
+
+
+@register("release_counts")
+def release_counts(spark, sf_dir):
+    """Records of both classes' contacts, counted while they were written (ids: see the tests)."""
+    src = _src(spark, sf_dir)
+    release = Release(spark, audit.shared_path(spark, "counts"))
+    run = release.begin()
+    for name in ("corporate_contact", "natural_contact"):
+        run.write(name, datasets.DATASETS[name][1](src, FIXTURE_PARAMS))
+    run.commit()
+    return release.counts().select("dataset", "records")
 
 
 @register("audit_relation_types_natural")

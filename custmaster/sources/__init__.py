@@ -1,6 +1,6 @@
 """Input tables of the batch.
 
-``Sources`` is a lazy bundle of the eleven source DataFrames under the role
+``Sources`` is a lazy bundle of the source DataFrames under the role
 names used throughout the package (party, policy, insured, ...).  Two ways
 to fill it:
 
@@ -24,9 +24,15 @@ from custmaster.sources import fixtures
 
 ROLES = ("party", "policy", "policy_agent", "insured", "benef_health", "benef_travel",
          "income", "entity_manager", "param_lookup", "country_risk", "party_address",
-         "income_extra")
-# income_extra: optional second source of income declarations (same columns as
-# income); unioned into the declarations when bound.
+         "income_extra", "product_risk", "industry_codes")
+# Optional: a dataset uses them where they are bound.  Their sources have no published
+# columns; these are assumed:
+#   income_extra   as income; unioned into the declarations
+#   product_risk   contract_no, product_code, risk_level, valid_from: the products of a
+#                  contract and how each was rated from when on
+#   industry_codes code_type ('1' major, '2' minor), source_code, target_code, valid_from,
+#                  valid_to (both included, open where null)
+OPTIONAL = ("income_extra", "product_risk", "industry_codes")
 
 
 # The columns of the party history that the datasets use; a real table has more.
@@ -88,11 +94,11 @@ class Sources:
         return inc
 
     @classmethod
-    def from_fixtures(cls, spark: SparkSession, sf_dir: str, income_extra: bool = False) -> "Sources":
-        """The driver's tables; ``income_extra`` binds the second income source as well."""
+    def from_fixtures(cls, spark: SparkSession, sf_dir: str, *optional: str) -> "Sources":
+        """The driver's tables; ``optional`` roles (see ``OPTIONAL``) are bound on request."""
         t = fixtures.DriverTables(spark, sf_dir)
         return cls(spark, {r: (lambda f=f: f(t)) for r, f in fixtures.ADAPTER_FUNCS.items()
-                           if income_extra or r != "income_extra"})
+                           if r in optional or r not in OPTIONAL})
 
     @classmethod
     def from_tables(cls, spark: SparkSession, names: dict[str, str]) -> "Sources":

@@ -83,7 +83,7 @@ ADAPTERS["benef_travel"] = """
 SELECT CASE WHEN l_orderkey % 20 = 3 THEN -1 - l_orderkey ELSE l_orderkey END AS contract_no,
   'B' || CAST(l_partkey AS STRING) AS assured_name,
   CAST(l_linenumber AS STRING) AS relative_to_insured
-FROM lineitem WHERE l_returnflag = 'A' AND l_linenumber <= 2
+FROM lineitem WHERE l_returnflag = 'A'
 """
 
 ADAPTERS["income"] = """
@@ -140,6 +140,34 @@ SELECT o_custkey AS customer_id, CAST(1 + o_orderkey % 3 AS STRING) AS address_k
 FROM orders
 """
 
+ADAPTERS["product_risk"] = """
+SELECT CASE WHEN l_orderkey % 20 = 6 THEN -1 - l_orderkey ELSE l_orderkey END AS contract_no,
+  'PR' || CAST((l_suppkey + l_orderkey) % 3 AS STRING) AS product_code,
+  CASE l_partkey % 6 WHEN 0 THEN '10' WHEN 1 THEN '20' WHEN 2 THEN '25' WHEN 3 THEN '30' WHEN 4 THEN '90' ELSE '40' END
+    AS risk_level,
+  CASE WHEN l_partkey % 29 = 0 THEN NULL ELSE CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) END AS valid_from
+FROM lineitem
+"""
+
+ADAPTERS["industry_codes"] = """
+SELECT '1' AS code_type, c_mktsegment AS source_code, lpad(CAST(length(c_mktsegment) AS STRING), 2, '0') AS target_code,
+  CAST(NULL AS TIMESTAMP) AS valid_from,
+  CASE WHEN c_mktsegment = 'MACHINERY' THEN CAST('2001-05-31' AS TIMESTAMP) ELSE NULL END AS valid_to
+FROM customer WHERE c_mktsegment <> 'FURNITURE' GROUP BY c_mktsegment
+UNION ALL
+SELECT '1', c_mktsegment, '9' || substring(CAST(length(c_mktsegment) AS STRING), 1, 1), CAST('2001-06-01' AS TIMESTAMP),
+  CAST(NULL AS TIMESTAMP)
+FROM customer WHERE c_mktsegment = 'MACHINERY' GROUP BY c_mktsegment
+UNION ALL
+SELECT '1', c_mktsegment, '99', CAST(NULL AS TIMESTAMP), CAST('2001-05-31' AS TIMESTAMP)
+FROM customer WHERE c_mktsegment = 'FURNITURE' GROUP BY c_mktsegment
+UNION ALL
+SELECT '2', c_mktsegment || '-' || CAST(n AS STRING),
+  lpad(CAST(length(c_mktsegment) AS STRING), 2, '0') || lpad(CAST(n AS STRING), 5, '0'), CAST('1990-01-01' AS TIMESTAMP),
+  CAST(NULL AS TIMESTAMP)
+FROM (SELECT c_mktsegment FROM customer GROUP BY c_mktsegment) seg
+JOIN (SELECT DISTINCT n_nationkey AS n FROM nation) numbers ON n BETWEEN 0 AND 24
+"""
 
 def with_adapters(body: str, names: list[str] | None = None) -> str:
     """``WITH`` all (or the named) adapters, then ``body``."""

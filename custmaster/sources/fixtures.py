@@ -136,7 +136,7 @@ def benef_health(t: DriverTables) -> DataFrame:
 
 def benef_travel(t: DriverTables) -> DataFrame:
     li = t.read("lineitem", "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag")
-    return li.filter((F.col("l_returnflag") == "A") & (F.col("l_linenumber") <= 2)).select(
+    return li.filter(F.col("l_returnflag") == "A").select(
         _orphan(F.col("l_orderkey"), 3).alias("contract_no"),
         F.concat(F.lit("B"), _s(F.col("l_partkey"))).alias("assured_name"),
         _s(F.col("l_linenumber")).alias("relative_to_insured"),
@@ -230,6 +230,45 @@ def party_address(t: DriverTables) -> DataFrame:
     )
 
 
+def product_risk(t: DriverTables) -> DataFrame:
+    """Products of a contract, rated several times; some ratings have no date, some dates two ratings."""
+    li = t.read("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
+    pk, ln = F.col("l_partkey"), F.col("l_linenumber")
+    rating = (F.when(pk % 6 == 0, F.lit("10")).when(pk % 6 == 1, F.lit("20")).when(pk % 6 == 2, F.lit("25"))
+              .when(pk % 6 == 3, F.lit("30")).when(pk % 6 == 4, F.lit("90")).otherwise(F.lit("40")))
+    return li.select(
+        _orphan(F.col("l_orderkey"), 6).alias("contract_no"),
+        F.concat(F.lit("PR"), _s((F.col("l_suppkey") + F.col("l_orderkey")) % 3)).alias("product_code"),
+        rating.alias("risk_level"),
+        F.when(pk % 29 == 0, F.lit(None).cast("timestamp_ntz"))
+         .otherwise(F.date_trunc("month", "l_shipdate").cast("timestamp_ntz")).alias("valid_from"))
+
+
+def industry_codes(t: DriverTables) -> DataFrame:
+    """Two-digit major and seven-digit minor codes: some trades have none, some changed theirs."""
+    seg = t.read("customer", "c_mktsegment").distinct()
+    s = F.col("c_mktsegment")
+    none = F.lit(None).cast("timestamp_ntz")
+
+    def day(text: str) -> Column:
+        return F.lit(text).cast("timestamp_ntz")
+
+    def rows(kind: str, source: Column, target: Column, since: Column, until: Column) -> DataFrame:
+        return seg.select(F.lit(kind).alias("code_type"), source.alias("source_code"), target.alias("target_code"),
+                          since.alias("valid_from"), until.alias("valid_to"), s.alias("_seg"))
+
+    size = _s(F.length(s))
+    major = rows("1", s, F.lpad(size, 2, "0"), none, F.when(s == "MACHINERY", day("2001-05-31")))
+    later = rows("1", s, F.concat(F.lit("9"), F.substring(size, 1, 1)), day("2001-06-01"), none).filter(s == "MACHINERY")
+    ended = rows("1", s, F.lit("99"), none, day("2001-05-31")).filter(s == "FURNITURE")
+    n = F.explode(F.sequence(F.lit(0), F.lit(24)))
+    minor = seg.select(s, n.alias("n")).select(
+        F.lit("2").alias("code_type"), F.concat(s, F.lit("-"), _s(F.col("n"))).alias("source_code"),
+        F.concat(F.lpad(_s(F.length(s)), 2, "0"), F.lpad(_s(F.col("n")), 5, "0")).alias("target_code"),
+        day("1990-01-01").alias("valid_from"), none.alias("valid_to"))
+    return (major.filter(s != "FURNITURE").unionByName(later).unionByName(ended).drop("_seg").unionByName(minor))
+
+
 ADAPTER_FUNCS = {
     "party": party,
     "policy": policy,
@@ -243,4 +282,6 @@ ADAPTER_FUNCS = {
     "param_lookup": param_lookup,
     "country_risk": country_risk,
     "party_address": party_address,
+    "product_risk": product_risk,
+    "industry_codes": industry_codes,
 }

@@ -6,8 +6,8 @@ import os
 from pyspark.sql import functions as F
 
 from custmaster.params import FIXTURE_PARAMS, RunParams
-from custmaster.operators.audit import (audit_counts, first_created, publish, publish_roundtrip, shared_path,
-                                        with_first_created)
+from custmaster.operators.audit import audit_counts, publish_roundtrip, shared_path
+from custmaster.operators.release import Release
 from custmaster.plans import batch, datasets
 from custmaster.session import checkpoint_dir
 
@@ -20,15 +20,20 @@ def test_checkpoint_dir_comes_from_session(spark):
         assert d.startswith(("file:" + conf, conf))
 
 
-def test_run_daily_writes_all_datasets(spark, src_small, tmp_path):
+def test_run_daily_publishes_all_datasets(spark, src_small, tmp_path):
     out = str(tmp_path / "out")
     counts = {r["dataset"]: (r["records"], r["distinct_ids"])
               for r in batch.run_daily(spark, src_small, out, FIXTURE_PARAMS).collect()}
     assert set(counts) == set(datasets.DATASETS)
+    release = Release(spark, out)
+    exact = {r.dataset: (r.records, r.distinct_ids) for r in release.counts(exact=True).collect()}
     for name, (_, fn) in datasets.DATASETS.items():
         df = fn(src_small, FIXTURE_PARAMS)
-        assert counts[name] == (df.count(), df.select("ID_NO").distinct().count()), name
-    assert any(p.startswith("PTN=") for p in os.listdir(f"{out}/natural_contact"))
+        back = release.read(name)
+        assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0, name
+        assert counts[name][0] == exact[name][0]
+        assert abs(counts[name][1] - exact[name][1]) <= 0.03 * exact[name][1], name
+    assert len(release.pointer().datasets["natural_contact"].parts) > 1
 
 
 def test_publish_roundtrip_keeps_text_partition(spark, src_small):
@@ -45,46 +50,44 @@ def test_audit_counts_by_type(src_small):
     assert total == rel.count()
 
 
-def test_first_creation_survives_absence(spark):
-    def day(rows):
-        return spark.createDataFrame([(i, v, dt.datetime.fromisoformat(d)) for i, v, d in rows],
-                                     "ID_NO string, V string, CREATE_DATE timestamp_ntz")
-    runs = [day([("1", "a", "2024-01-01"), ("2", "b", "2024-01-01")]),
-            day([("2", "b2", "2024-02-01"), ("3", "c", "2024-02-01")]),       # 1 is away
-            day([("1", "a3", "2024-03-01"), ("3", "c3", "2024-03-01")])]      # and comes back
-    history = None
-    for run in runs:
-        history = first_created(history, run, ["ID_NO"])
-    got = sorted(tuple(r) for r in with_first_created(runs[-1], history, ["ID_NO"]).collect())
-    assert got == [("1", "a3", dt.datetime(2024, 1, 1)), ("3", "c3", dt.datetime(2024, 2, 1))]
-    assert history.count() == 3
-
-
 def test_run_daily_keeps_history_and_cleans_up(spark, src_small, tmp_path):
-    out, h1, h2 = (str(tmp_path / x) for x in ("out", "h1", "h2"))
+    out, h = str(tmp_path / "out"), str(tmp_path / "h")
     first = RunParams(as_of=FIXTURE_PARAMS.as_of, create_date=dt.date(2024, 1, 1))
     second = RunParams(as_of=FIXTURE_PARAMS.as_of, create_date=dt.date(2024, 2, 1))
-    batch.run_daily(spark, src_small, out, first, history_out=h1)
-    batch.run_daily(spark, src_small, out, second, history_in=h1, history_out=h2,
-                    with_address=True, with_insured=True)
-    risk = spark.read.parquet(f"{out}/natural_risk")
-    assert [r[0] for r in risk.select("CREATE_DATE").distinct().collect()] == [dt.datetime(2024, 1, 1)]
-    assert "REGISTERED_ADDR" in spark.read.parquet(f"{out}/natural_basic").columns
-    kinds = {r[0] for r in spark.read.parquet(f"{out}/natural_relations").select("RELATION_TYPE").distinct().collect()}
+    batch.run_daily(spark, src_small, out, first, history=h)
+    batch.run_daily(spark, src_small, out, second, history=h, with_address=True, with_insured=True)
+    release = Release(spark, out)
+    for name in datasets.DATASETS:
+        stamps = [r[0] for r in release.read(name).select("CREATE_DATE").distinct().collect()]
+        assert stamps == [dt.datetime(2024, 1, 1)], name
+        assert len(os.listdir(f"{h}/{name}/segments")) == 1, name
+    assert "REGISTERED_ADDR" in release.read("natural_basic").columns
+    kinds = {r[0] for r in release.read("natural_relations").select("RELATION_TYPE").distinct().collect()}
     assert "4" in kinds
     base = checkpoint_dir(spark).replace("file:", "")
     assert not [x for x in os.listdir(f"{base}/tables") if x.startswith("run_")]
-    assert not [x for x in os.listdir(out) if ".new-" in x]
 
 
-def test_failed_publish_keeps_the_old_dataset(spark, tmp_path):
+def test_second_run_without_changes_writes_no_file(spark, src_small, tmp_path):
+    out = tmp_path / "out"
+    batch.run_daily(spark, src_small, str(out), FIXTURE_PARAMS, reuse=True)
+    files = sorted(str(f) for f in out.glob("versions/**/*.parquet"))
+    batch.run_daily(spark, src_small, str(out), FIXTURE_PARAMS, reuse=True)
+    assert files and sorted(str(f) for f in out.glob("versions/**/*.parquet")) == files
+    assert len(Release(spark, str(out)).versions()) == 2
+
+
+def test_failed_run_leaves_the_version_before(spark, src_small, tmp_path, monkeypatch):
     import pytest
-    path = str(tmp_path / "d")
-    publish(spark.range(3).toDF("v"), path)
-    bad = spark.range(3).select(F.raise_error(F.lit("no")).cast("bigint").alias("v"))
+    out = str(tmp_path / "out")
+    batch.run_daily(spark, src_small, out, FIXTURE_PARAMS)
+    before = Release(spark, out).pointer()
+    cls, good = datasets.DATASETS["natural_risk"]
+    monkeypatch.setitem(datasets.DATASETS, "natural_risk", (cls, lambda *a, **k: good(*a, **k).withColumn(
+        "SOURCE", F.raise_error(F.lit("no")).cast("string"))))
     with pytest.raises(Exception):
-        publish(bad, path)
-    assert spark.read.parquet(path).count() == 3
+        batch.run_daily(spark, src_small, out, RunParams(as_of=dt.date(2001, 3, 1)))
+    assert Release(spark, out).pointer() == before
 
 
 def test_populations_checkpointed(spark, src_small):
