@@ -10,13 +10,17 @@ resemblance, containment and the number of distinct shingles.
 ``with_next`` gives each document the one that follows it by ascending id
 without a global sort: documents are dealt into id ranges of about 64, a window
 inside each range finds the follower, and only the last document of a range
-looks the first of the next range up.  The ranges themselves are ordered in two
-levels, so that no task sees more than a few of them at any size.
+looks the first of the next range up.  Ranges follow the data: one that holds many
+more (clustered ids) is divided further, so that none but the rows of one id
+has more than four times as many.  The ranges themselves are ordered by a range
+partitioning of their first ids and a window inside each part.
 
 Null text reads as empty; two sketches without any hash resemble each other
-fully (1.0), one such and another not at all (0.0).  Rows of one id follow each
-other by text.  A row without id has no place in the order: it comes before the
-first document.
+fully (1.0), one such and another not at all (0.0).  Very long texts are sketched
+whole.  Rows of one id, repeated ones too, follow each other by text.  A row without id
+has no place in the order: it comes before the first document.  An empty table gives an
+empty result, a single document follows itself; other columns, whatever their names, are
+not read.
 """
 
 from __future__ import annotations
@@ -24,13 +28,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from custmaster.llm.common import table, text_or_empty, words
+from custmaster.llm.common import materialise, table, text_or_empty, words
 
 K = 128
 SHINGLE = 5
 _BITS = (1 << 48) - 1
-#: documents of an id range, and ranges of a block of ranges
-RANGE_DOCS, BLOCK_RANGES = 64, 4096
+#: documents of an id range, more or less
+RANGE_DOCS = 64
 
 
 def with_word_hashes(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -84,13 +88,42 @@ def from_text(s: Column) -> Column:
     return F.when(s == "", F.array().cast("array<bigint>")).otherwise(F.split(s, ",").cast("array<bigint>"))
 
 
-def _ranges(docs: DataFrame) -> tuple[Column, DataFrame]:
-    """The id range of a row, and a table (range, next_range); the last is followed by the first."""
+def _split(doc_id: Column, low: Column, width: Column) -> Column:
+    """The least id of the range that an id is in; ranges of ``width`` ids from ``low`` on."""
+    wide = doc_id.cast("decimal(20,0)") - low.cast("decimal(20,0)")
+    return (low.cast("decimal(20,0)") + wide - F.pmod(wide, width.cast("decimal(20,0)"))).cast("bigint")
+
+
+def _ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with the column range (the least id that the row's range can have), and a table
+    (range, next_range); the last is followed by the first.
+
+    Ranges are of equal width at first; one with many more documents than it should have is
+    divided by its own least and greatest id, until none is left."""
+    docs = docs.where(F.col("doc_id").isNotNull())
     n, low, high = docs.agg(F.count("doc_id"), F.min("doc_id"), F.max("doc_id")).first()
-    width = max(1.0, (high - low + 1) * RANGE_DOCS / n) if n else 1.0
-    at = F.floor((F.col("doc_id").cast("double") - float(low or 0)) / F.lit(width)).cast("long")
-    ranges = docs.where(F.col("doc_id").isNotNull()).select(at.alias("range")).distinct()
-    ranges = ranges.withColumn("block", F.floor(F.col("range") / BLOCK_RANGES))
+    span = high - low + 1 if n else 1
+    width = F.lit(str(min(span, -(-span * RANGE_DOCS // n)) if n else 1))
+    at = _split(F.col("doc_id"), F.lit(low or 0).cast("bigint"), width)
+    ids, ranged = docs.select("doc_id").withColumn("range", at), docs.withColumn("range", at)
+    while True:
+        found = materialise(ids.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low"),
+                                                     F.max("doc_id").alias("high")), "ranges")
+        # rows of one id are not divided: they follow each other by text
+        full = found.where((F.col("n") > 4 * RANGE_DOCS) & (F.col("low") < F.col("high")))
+        if full.isEmpty():
+            break
+        span = F.col("high").cast("decimal(20,0)") - F.col("low") + 1
+        full = full.select("range", "low", F.ceil(span * RANGE_DOCS / F.col("n")).cast("decimal(20,0)").alias("width"))
+
+        def divided(df: DataFrame, full: DataFrame = full) -> DataFrame:
+            at = F.coalesce(_split(F.col("doc_id"), F.col("low"), F.col("width")), F.col("range"))
+            return df.join(full, "range", "left").withColumn("range", at).drop("low", "width")
+
+        ids, ranged = divided(ids), divided(ranged)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = materialise(found.select("range").repartitionByRange(parts, "range")
+                         .select("range", F.spark_partition_id().alias("block")), "range-order")
     blocks = ranges.groupBy("block").agg(F.min("range").alias("block_first"))
     order = Window.orderBy("block")
     whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -100,15 +133,14 @@ def _ranges(docs: DataFrame) -> tuple[Column, DataFrame]:
     inside = Window.partitionBy("block").orderBy("range")
     follows = (ranges.join(blocks, "block")
                .select("range", F.coalesce(F.lead("range").over(inside), F.col("after")).alias("next_range")))
-    return at, follows
+    return ranged, follows
 
 
 def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, text, sketch, next_text, next_sketch): every document with its follower."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
-    at, follows = _ranges(docs)
+    ranged, follows = _ranges(docs)
     order = Window.partitionBy("range").orderBy("doc_id", "text")
-    ranged = docs.where(F.col("doc_id").isNotNull()).withColumn("range", at).where(F.col("range").isNotNull())
     # both uses of this deal the texts out alike (same columns, same filter): shuffled once
     placed = ranged.withColumn("next_text", F.lead("text").over(order))
 
@@ -123,7 +155,9 @@ def with_next(docs: DataFrame) -> DataFrame:
                      .select(F.col("range").alias("next_range"), F.col("text").alias("next_text")),
                      "next_text", "next_sketch")
     lasts = placed.where(F.col("next_text").isNull()).select("doc_id", "text", "range")
-    unplaced = docs.where(F.col("doc_id").isNull()).withColumn("next_range", F.lit(0).cast("long"))
+    first = follows.agg(F.min("range").alias("next_range"))
+    unplaced = docs.where(F.col("doc_id").isNull()).withColumn("one", F.lit(1)).join(
+        first.withColumn("one", F.lit(1)), "one").drop("one")
     edges = sketched(lasts.join(follows, "range").select("doc_id", "text", "next_range")
                      .unionByName(unplaced), "text", "sketch")
     edges = edges.join(heads, "next_range", "left").withColumn(

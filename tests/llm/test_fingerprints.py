@@ -60,6 +60,20 @@ def test_sparse_and_far_ids(docs_of):
                    (0, "a b c d e f g"), (1, "q")] + [(10**15 + 7 * i, f"w{i} " * 9) for i in range(200)]), 1e-9, 1e-9)
 
 
+def test_clustered_ids_are_dealt_out(spark):
+    """Ranges follow the data: no task gets many times what it should."""
+    ids = list(range(20_000)) + [10**12] + [10**15 + 2**k for k in range(40)] + [10**9 + i for i in range(3000)]
+    df = spark.createDataFrame([(i, "t") for i in ids], "doc_id long, text string")
+    ranged, follows = L._ranges(df)
+    sizes = [r["count"] for r in ranged.groupBy("range").count().collect()]
+    assert sum(sizes) == len(ids) and max(sizes) <= 4 * L.RANGE_DOCS
+    got = {r.range: r.next_range for r in follows.collect()}
+    order = sorted(got)
+    assert [got[r] for r in order] == order[1:] + order[:1]
+    low = {r.range: r.low for r in ranged.groupBy("range").agg(F.min("doc_id").alias("low")).collect()}
+    assert sorted(low, key=low.get) == order  # ranges are in the order of their ids
+
+
 def test_single_and_empty(docs_of, empty):
     check(docs_of([(5, "only one document here now")]), 1e-9, 1e-9)
     assert L.digest(empty).count() == 0
