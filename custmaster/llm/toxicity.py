@@ -1,9 +1,10 @@
 """Toxicity by a classifier chain.
 
 Categories are predicted one after another (``CATEGORIES``): a document is
-toxic at all; toxic in otherwise sound prose; toxic within junk.  Each is a
+toxic in otherwise sound prose; toxic within junk; toxic at all.  Each is a
 linear (logistic) model over binary text features, and the later ones also see
-the probabilities of the earlier.  While training, those are out-of-fold
+the probabilities of the earlier; the last one, which sees both others, decides
+what is rejected.  While training, those are out-of-fold
 predictions: every labelled row's earlier probability comes from a model that
 has not seen it, so the later models learn from values like those they get at
 prediction.
@@ -19,7 +20,9 @@ the first by a hash of the id): only their features reach the driver.  Scoring
 covers every whole text and is one Arrow pass without a shuffle; the fitted
 weights, a few hundred numbers, travel with the task.
 
-Null text reads as empty: no word, the models' base rate.  Labels that are
+Null text reads as empty: no word, the models' base rate.  Very long texts are read
+whole, repeated rows are scored one by one (equal texts get equal scores), and an
+empty table of documents gives an empty result and models of no document.  Labels that are
 null, or whose document is missing, are left out; several labels of one id
 count as the most toxic and the least sound of them.  Without labels, or with
 one class only, a category's probability is the constant share of its class.
@@ -41,9 +44,9 @@ from custmaster.llm.common import free_name, table
 
 #: category and its label from the labels' columns (quality 0/1, toxic 0/1)
 CATEGORIES = (
-    ("toxic", lambda quality, toxic: toxic == 1),
     ("toxic_prose", lambda quality, toxic: (toxic == 1) & (quality == 1)),
     ("toxic_junk", lambda quality, toxic: (toxic == 1) & (quality == 0)),
+    ("toxic", lambda quality, toxic: toxic == 1),
 )
 NAMES = tuple(c for c, _ in CATEGORIES)
 TRAIN_ROWS = 8_000

@@ -30,14 +30,16 @@ def test_against_plain_versions(spark):
     assert {r.doc_id for r in one.collect()} == set(kept)
     # toxicity: the fitted chain, applied here in plain Python
     models = toxicity.train(one, spark.read.parquet(f"{SF}/labels.parquet"))
-    m = models[0]
-
     def p(t):
-        own = toxicity.text_features(t, toxicity._Words())
-        z = sum(w for f, w in zip(m.features.tolist(), m.weights) if f in own) + m.bias
-        return 1 / (1 + np.exp(-z))
+        own, chain = toxicity.text_features(t, toxicity._Words()), []
+        for m in models:
+            z = sum(w for f, w in zip(m.features.tolist(), m.weights) if f in own) + m.bias
+            z += sum(w * x for w, x in zip(m.weights[len(m.features):], chain))
+            last = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            chain.append(float(toxicity._logit(np.array(last))))
+        return last
 
-    kept = {i: t for i, t in kept.items() if p(t) < m.threshold}
+    kept = {i: t for i, t in kept.items() if p(t) < models[-1].threshold}
     # near copies
     classes = near_plain(sorted(kept.items()))
     kept = {i: t for i, t in kept.items() if classes[i][0] == i}

@@ -24,6 +24,26 @@ def test_held_out_accuracy(tables):
     assert n[1, True] >= 0.8 * (n[1, True] + n.get((1, False), 0))
 
 
+def test_the_chain_decides(tables):
+    """The deciding model sees the others' probabilities; all three, recomputed in plain Python."""
+    docs, labels = tables
+    models = L.train(docs, labels)
+    assert L.NAMES[-1] == "toxic" and [len(m.weights) - len(m.features) for m in models] == [0, 1, 2]
+    assert np.abs(models[-1].weights[-2:]).max() > 0.1
+    rows = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(20)) == 0).select("doc_id", "text").collect()
+    got = {r.doc_id: r for r in L.digest(docs, labels).collect()}
+    words = L._Words()
+    for r in rows:
+        own, chain = L.text_features(r.text or "", words), []
+        for name, m in zip(L.NAMES, models):
+            z = m.bias + sum(w for f, w in zip(m.features.tolist(), m.weights) if f in own)
+            z += sum(w * x for w, x in zip(m.weights[len(m.features):], chain))
+            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            assert abs(got[r.doc_id][f"p_{name}"] - p) < 1e-9
+            chain.append(float(L._logit(np.array(p))))
+        assert got[r.doc_id].rejected == (p >= models[-1].threshold)
+
+
 def test_later_models_see_out_of_fold_probabilities(monkeypatch):
     seen = []
     real = L.Linear
