@@ -4,8 +4,8 @@
 
 * A unit of up to ``block`` members is one call, inside the task that its rows
   were dealt to.
-* A larger one is dealt into blocks.  Each block is written once, as one file of
-  the shared folder, and every pair of blocks is a row of three numbers whose
+* A larger one is dealt into blocks by the same shuffle.  Each block is written once, as
+  one file of the shared folder, and every pair of blocks is a row of three numbers whose
   task reads the two files.  What is shuffled grows with the members (and a row
   a pair of blocks), not with members times blocks; no member is capped or
   skipped, and no task holds more than two blocks.
@@ -18,10 +18,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from custmaster.llm.common import load_bytes, materialise, shared_path, store_bytes
 
@@ -30,23 +32,22 @@ from custmaster.llm.common import load_bytes, materialise, shared_path, store_by
 Comparison = Callable[[pa.Table, pa.Table | None], pa.Table | None]
 
 
-def runs(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[pa.Table]:
-    """The rows of each unit, of batches sorted by the unit."""
+def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each (unit, block), of batches sorted by these two columns."""
     open_rows: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
-        units = batch.column(column)
         if not batch.num_rows:
             continue
-        ends = pc.run_end_encode(units)
-        begin = 0
-        for end, unit in zip(ends.run_ends.to_pylist(), ends.values.to_pylist()):
-            if open_rows and unit != last:
+        unit, block = batch.column("unit").to_numpy(), batch.column("block").to_numpy()
+        cuts = np.flatnonzero((unit[1:] != unit[:-1]) | (block[1:] != block[:-1])) + 1
+        for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(unit)]):
+            key = (unit[begin], block[begin])
+            if open_rows and key != last:
                 yield pa.Table.from_batches(open_rows)
                 open_rows = []
-            last = unit
+            last = key
             open_rows.append(batch.slice(begin, end - begin))
-            begin = end
     if open_rows:
         yield pa.Table.from_batches(open_rows)
 
@@ -65,21 +66,36 @@ def _gathered(tables: Iterator[pa.Table | None], rows: int = 50_000) -> Iterator
         yield from pa.concat_tables(held).combine_chunks().to_batches()
 
 
-def _inside(compare: Comparison):
-    return lambda batches: _gathered(compare(rows, None) for rows in runs(batches))
+MARK = "_unit bigint, _block int, _blocks int"
 
 
-def _write_block(root: str):
-    def write(rows: pa.Table) -> pa.Table:
-        unit, block = rows.column("unit")[0].as_py(), rows.column("block")[0].as_py()
-        sink = pa.BufferOutputStream()
-        members = rows.drop_columns(["block", "blocks"]).combine_chunks()
-        with pa.ipc.new_stream(sink, members.schema) as out:
-            out.write_table(members)
-        store_bytes(f"{root}/{unit}-{block}", sink.getvalue().to_pybytes())
-        return rows.slice(0, 1).select(["unit", "block", "blocks"])
+def _write_block(root: str, rows: pa.Table) -> None:
+    unit, block = rows.column("unit")[0].as_py(), rows.column("block")[0].as_py()
+    sink = pa.BufferOutputStream()
+    members = rows.drop_columns(["block", "blocks"]).combine_chunks()
+    with pa.ipc.new_stream(sink, members.schema) as out:
+        out.write_table(members)
+    store_bytes(f"{root}/{unit}-{block}", sink.getvalue().to_pybytes())
 
-    return write
+
+def _inside(root: str, compare: Comparison, columns: pa.Schema):
+    """The results of whole units; of others, whose blocks it writes, a mark a block."""
+    def results(batches):
+        for rows in runs(batches):
+            if rows.column("blocks")[0].as_py() == 1:
+                found = compare(rows.drop_columns(["block", "blocks"]), None)
+                if found is not None:
+                    n = found.num_rows
+                    yield pa.table([*found.select(columns.names).columns, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()),
+                                    pa.nulls(n, pa.int32())], names=[*columns.names, "_unit", "_block", "_blocks"])
+            else:
+                _write_block(root, rows)
+                one = rows.slice(0, 1)
+                yield pa.table([*(pa.nulls(1, f.type) for f in columns),
+                                *(one.column(c) for c in ("unit", "block", "blocks"))],
+                               names=[*columns.names, "_unit", "_block", "_blocks"])
+
+    return lambda batches: _gathered(results(batches))
 
 
 def _between(root: str, compare: Comparison):
@@ -99,23 +115,25 @@ def _between(root: str, compare: Comparison):
 
 def compare_units(members: DataFrame, block: int, compare: Comparison, schema: str) -> DataFrame:
     """The rows of ``compare`` for all units of ``members``: columns unit (long), members (the
-    unit's rows) and whatever the comparison reads.  Written, so its own input is read once."""
+    unit's rows, or 0 where they are known to be few) and whatever the comparison reads.  Written,
+    so its own input is read once."""
     spark = members.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     payload = [c for c in members.columns if c not in ("unit", "members")]
-    small = (members.where(F.col("members") <= block).select("unit", *payload)
-             .repartition(parts, "unit").sortWithinPartitions("unit").mapInArrow(_inside(compare), schema))
-    out = materialise(small, "within")
-
     root = shared_path(spark, "blocks")
-    blocks = F.ceil(F.col("members") * 2 / block).cast("int")  # half full: hashes deal unevenly
-    large = members.where(F.col("members") > block).withColumn("blocks", blocks)
-    dealt = large.withColumn("block", F.pmod(F.xxhash64(*payload[:1]), F.col("blocks")).cast("int"))
-    written = materialise(dealt.select("unit", "block", "blocks", *payload).groupBy("unit", "block")
-                          .applyInArrow(_write_block(root), "unit bigint, block int, blocks int"), "blocks")
-    there = written.select("unit", "block")
-    pairs = (written.select("unit", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"))
-             .join(there.withColumnRenamed("block", "j"), ["unit", "j"], "left_semi"))
+    columns = to_arrow_schema(StructType.fromDDL(schema))
+    # blocks half full: hashes deal unevenly
+    blocks = F.when(F.col("members") > block, F.ceil(F.col("members") * 2 / block)).otherwise(1).cast("int")
+    dealt = members.withColumn("blocks", blocks).withColumn(
+        "block", F.pmod(F.xxhash64(payload[0]), F.col("blocks")).cast("int"))
+    dealt = dealt.select("unit", "block", "blocks", *payload).repartition(parts, "unit", "block")
+    out = materialise(dealt.sortWithinPartitions("unit", "block").mapInArrow(
+        _inside(root, compare, columns), f"{schema}, {MARK}"), "within")
+
+    marks = out.where("_unit IS NOT NULL").select(F.col("_unit").alias("unit"), F.col("_block").alias("i"), "_blocks")
+    pairs = marks.select("unit", "i", F.explode(F.sequence("i", F.col("_blocks") - 1)).alias("j"))
+    pairs = pairs.join(marks.select("unit", F.col("i").alias("j")), ["unit", "j"], "left_semi")
     between = (pairs.select("unit", "i", "j").repartition(parts, "unit", "i", "j").sortWithinPartitions("unit", "i", "j")
                .mapInArrow(_between(root, compare), schema))
-    return out.unionByName(materialise(between, "between"))
+    found = out.where("_unit IS NULL").drop("_unit", "_block", "_blocks")
+    return found.unionByName(materialise(between, "between"))
