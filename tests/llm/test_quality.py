@@ -16,7 +16,8 @@ def plain(text):
     grams = Counter(zip(w, w[1:], w[2:]))
     covered = {i + j for i in range(len(w) - 2) if grams[w[i], w[i + 1], w[i + 2]] > 1 for j in range(3)}
     return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines),
-            len(lines) - len(set(lines)), len(covered))
+            len(lines) - len(set(lines)), len(covered), max(Counter(w).values(), default=0),
+            len([x for x in lines if re.search(r"[.!?:;…。！？][\"')\]]*[\x20\x09-\x0D]*$", x)]))
 
 
 @given(st.text(alphabet=st.sampled_from("ab \n\té#%| \x1c")))
@@ -61,3 +62,16 @@ def test_ablation_is_what_dropping_a_rule_does(spark):
         without = Q.mask(Q.CURRENT) & ~Q.BIT[r.rule]
         assert rows.where(F.col("rule_bits").bitwiseAND(F.lit(without)) == 0).count() == kept + r.rejected_alone
         assert rows.where(F.col("rule_bits").bitwiseAND(F.lit(Q.BIT[r.rule])) != 0).count() == r.rejected
+
+
+def test_policies_read_the_stored_ledger(spark, monkeypatch, docs_of):
+    """Measured once; a long text is measured whole; several failures are nobody's alone."""
+    long = "word and another one. " * 100_000
+    docs = docs_of([(1, long), (2, "short"), (3, "% " * 60), (4, " ".join(f"w{i}" for i in range(60)))])
+    rows = {r.doc_id: r for r in Q.digest(docs).collect()}
+    assert rows[1].n_words == 400_000 and rows[1].alone_rule == "repeated_words" and rows[1].alone_documents == 1
+    assert rows[2].alone_rule == "too_short" and rows[3].alone_rule is None and rows[3].alone_documents is None
+    assert rows[4].kept and rows[4].kept_v1 and rows[4].kept_v3 and rows[4].rule_bits == 0
+    table = Q.stored(docs)
+    plan = table.where(Q.passes("v1")).select("doc_id")._jdf.queryExecution().executedPlan().toString()
+    assert "Arrow" not in plan and "rule_bits" in plan
