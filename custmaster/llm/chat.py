@@ -22,9 +22,11 @@ message, call and result:
   arguments' keys in order too.
 
 No group is collected: a conversation of any length is rows.  Null roles and
-texts read as empty plain messages; malformed JSON leaves a message plain.
-Repeated rows stay repeated.  Rows without conversation id or turn link to
-nothing.
+texts read as empty plain messages, very long ones are kept whole; malformed JSON leaves a
+message plain.  Repeated rows stay repeated; calls with equal ids are one call for the order,
+at the first one's turn.  Rows without conversation id or turn link to nothing.  Null fields of
+a call or result are not written to its JSON, null values inside its arguments are.  An
+empty table gives an empty result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -84,6 +86,7 @@ def parts(chat: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
                                            F.from_json("text", _CALLS)["tool_calls"]))
     rows = rows.withColumn("result", F.when((F.col("role") == "tool") & F.col("text").startswith("{"),
                                             F.from_json("text", _RESULT)))
+    rows = materialise(rows, "turns")  # parsed once, read by messages, calls and results
     is_result = F.col("result")["tool_call_id"].isNotNull()
     has_calls = F.coalesce(F.size("calls") > 0, F.lit(False))
     messages = rows.where(~has_calls & ~F.coalesce(is_result, F.lit(False))).select("conv_id", "turn", "role", "text")
@@ -176,27 +179,39 @@ def format_chat(chat: DataFrame, tools: dict = TOOLS) -> DataFrame:
 
 
 def with_tool_turns(conversations: DataFrame) -> DataFrame:
-    """A tool conversation from a plain one: each user turn is kept and also asks a tool (which
-    one, and with what arguments, its text's length decides), using the call before it; each
-    assistant turn is the result of the call one turn before."""
-    t, n = F.col("text"), F.length("text")
+    """A tool conversation from a plain one; what exactly happens, texts' lengths decide.
+
+    Each user turn is kept and also asks one or two tools at once, using calls before it, now and
+    then one of its own turn or one that nobody made (errors).  Each assistant turn is the result
+    of the first call of the turn before, at its place or some turns later, when further calls
+    have been made that use it; some results come twice, and some are of calls that were not made."""
+    t, n, turn = F.col("text"), F.length("text"), F.col("turn")
     rows = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
-    limit = (n % 20).alias("limit")
-    asks = (F.when(n % 3 == 0, F.to_json(F.struct(t.alias("query"), limit)))
-            .when(n % 3 == 1, F.to_json(F.struct(F.lit("en").alias("to"), t.alias("text"))))
-            .otherwise(F.to_json(F.struct(  # a number of words as text, where the length says so, is an error
-                F.when(n % 2 == 0, F.lit("25")).alias("words"), t.alias("text")))))
-    name = F.when(n % 3 == 0, "search").when(n % 3 == 1, "translate").otherwise("summarise")
-    call = F.struct(F.concat(F.lit("c"), F.col("turn").cast("string")).alias("id"), name.alias("name"),
-                    F.parse_json(asks).alias("arguments"),
-                    F.when(F.col("turn") > 1, F.array(F.concat(F.lit("c"), (F.col("turn") - 2).cast("string"))))
-                    .otherwise(F.array().cast("array<string>")).alias("after"))
+
+    def call_id(letter: str, back: int) -> Column:
+        return F.concat(F.lit(letter), (turn - back).cast("string"))
+
+    def made(letter: str, kind: Column, after: Column) -> Column:
+        asks = (F.when(kind == 0, F.to_json(F.struct(t.alias("query"), (n % 20).alias("limit"))))
+                .when(kind == 1, F.to_json(F.struct(F.lit("en").alias("to"), t.alias("text"))))
+                .otherwise(F.to_json(F.struct(  # a number of words as text, where the length says so, is an error
+                    F.when(n % 2 == 0, F.lit("25")).alias("words"), t.alias("text")))))
+        name = F.when(kind == 0, "search").when(kind == 1, "translate").otherwise("summarise")
+        return F.struct(call_id(letter, 0).alias("id"), name.alias("name"), F.parse_json(asks).alias("arguments"),
+                        F.array_compact(after).alias("after"))
+
+    one = made("c", n % 3, F.array(F.when(turn > 1, call_id("c", 2)), F.when((turn > 3) & (n % 5 == 0), call_id("c", 4)),
+                                   F.when(n % 11 == 0, F.lit("nobody's"))))
+    two = made("d", (n + 1) % 3, F.array(F.when(turn > 1, call_id("c", 2)), F.when(n % 8 == 1, call_id("c", 0))))
     calls = rows.where("role = 'user'").select(
         "conv_id", "turn", F.lit("assistant").alias("role"),
-        F.to_json(F.struct(F.array(call).alias("tool_calls"))).alias("text"))
-    results = rows.where("role = 'assistant'").select("conv_id", "turn", F.lit("tool").alias("role"), F.to_json(F.struct(
-        F.concat(F.lit("c"), (F.col("turn") - 1).cast("string")).alias("tool_call_id"),
-        F.col("text").alias("content"))).alias("text"))
+        F.to_json(F.struct(F.when(n % 4 == 1, F.array(one, two)).otherwise(F.array(one)).alias("tool_calls"))).alias("text"))
+    arrivals = F.array(F.struct((turn + 2 * (n % 3)).alias("at"), call_id("c", 1).alias("id")),
+                       F.when(n % 7 == 0, F.struct((turn + 1).alias("at"), call_id("c", 1).alias("id"))),
+                       F.when(n % 2 == 0, F.struct(turn.alias("at"), call_id("d", 1).alias("id"))))
+    results = rows.where("role = 'assistant'").select("conv_id", "text", F.explode(F.array_compact(arrivals)).alias("a"))
+    results = results.select("conv_id", F.col("a.at").alias("turn"), F.lit("tool").alias("role"), F.to_json(F.struct(
+        F.col("a.id").alias("tool_call_id"), F.col("text").alias("content"))).alias("text"))
     plain = rows.where("role IS NULL OR role <> 'assistant'")
     return plain.unionByName(calls).unionByName(results)
 

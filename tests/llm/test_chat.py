@@ -81,26 +81,72 @@ def test_odd_rows(spark):
     assert rows_of(spark, []) == []
 
 
+def plain_order(turns):
+    """(conv, id): (key, level) and the ids with references that are no earlier calls, one call after another."""
+    called, answered, uses = {}, {}, {}
+    for conv, turn, role, text in turns:
+        said = json.loads(text) if text.startswith("{") else {}
+        for c in said.get("tool_calls", []) if role == "assistant" else []:
+            k = conv, c["id"]
+            called[k] = min(turn, called.get(k, turn))
+            uses.setdefault(k, set()).update((u, turn) for u in c["after"])
+        if role == "tool" and "tool_call_id" in said:
+            k = conv, said["tool_call_id"]
+            answered[k] = min(turn, answered.get(k, turn))
+    good = {k: {(k[0], u) for u, at in us if called.get((k[0], u), at) < at} for k, us in uses.items()}
+    bad = {k for k, us in uses.items() if any(called.get((k[0], u), at) >= at for u, at in us)}
+    done = {}
+    for k in sorted(called, key=lambda k: called[k]):  # used calls are of earlier turns
+        place = (called[k], 0)
+        for u in good[k]:
+            key, level = done[u]
+            late = answered.get(u, -1) > key
+            place = max(place, (answered[u] if late else key, (0 if late else level) + 1))
+        done[k] = place
+    return done, answered, bad
+
+
 def test_whole_table(spark):
-    table = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
-    got = C.run(spark, "/root/testdata/sf0.001").collect()
-    rows = table.collect()
-    users = [r for r in rows if r.role == "user"]
-    answers = {(r.conv_id, r.turn - 1): r for r in rows if r.role == "assistant"}
-    made = {(r.conv_id, r.turn): r for r in got if r.kind == "call"}
-    assert set(made) == {(r.conv_id, r.turn) for r in users}
-    for u in users:
-        r, n = made[u.conv_id, u.turn], len(u.text)
-        args = json.loads(r.json)["arguments"]
-        assert args[{0: "query", 1: "text", 2: "text"}[n % 3]] == u.text
-        if n % 3 == 2:
-            assert r.errors == ("words is not integer" if n % 2 == 0 else "missing words")
-        assert (r.status == "linked") == ((u.conv_id, u.turn) in answers)
-    assert sum(r.kind == "message" for r in got) == sum(r.role != "assistant" for r in rows)
+    sf = "/root/testdata/sf0.01"
+    turns = [tuple(r) for r in C.with_tool_turns(spark.read.parquet(f"{sf}/conversations.parquet")).collect()]
+    got = C.run(spark, sf).collect()
+    done, answered, bad = plain_order(turns)
+    made = [r for r in got if r.kind == "call"]
+    assert {(r.conv_id, r.call_id): (r.order_key, r.order_level) for r in made} == done
+    assert {(r.conv_id, r.call_id) for r in made if "not earlier" in r.errors} == bad
+    assert {(r.conv_id, r.call_id) for r in made if r.status == "linked"} == set(done) & set(answered)
+    # the order does work here: late results move calls, one behind another, and results too
+    assert sum(r.order_key > r.turn for r in made) > 20 and max(r.order_level for r in made) > 0 and bad
+    results = [r for r in got if r.kind == "result"]
+    for r in results:
+        k = r.conv_id, r.call_id
+        first = k in done and answered[k] == r.turn
+        assert (r.status == "linked") == first
+        assert r.order_key == (max(done[k][0], r.turn) if first else r.turn)
+    assert {r.status for r in results} == {"linked", "orphan"}
+    # in the order a call stands behind the results it uses
+    place = {}
+    for i, r in enumerate(sorted(got, key=lambda r: (r.conv_id, r.order_key, r.order_level, r.order_kind, r.turn))):
+        place.setdefault((r.kind, r.conv_id, r.call_id), i)
+    for r in made:
+        for u in json.loads(r.json)["after"]:
+            if ("result", r.conv_id, u) in place and (r.conv_id, u) in done and done[r.conv_id, u] < done[r.conv_id, r.call_id]:
+                if answered[r.conv_id, u] <= r.order_key and (r.conv_id, r.call_id) not in bad:
+                    assert place["result", r.conv_id, u] < place["call", r.conv_id, r.call_id]
+    asked = {(c, json.loads(x)["tool_calls"][0]["id"]): json.loads(x) for c, _, role, x in turns if role == "assistant"}
+    for r in made:
+        if r.call_id.startswith("c"):
+            assert json.loads(r.json)["arguments"] == asked[r.conv_id, r.call_id]["tool_calls"][0]["arguments"]
     for r in got:
         assert json.dumps(json.loads(r.json), ensure_ascii=False, sort_keys=True, separators=(",", ":")) == r.json
 
 
+def test_clashing_columns(spark):
+    rows = [(1, 0, "assistant", calls(call("a")), 5, "x", 1), (1, 1, "tool", result("a"), 6, "y", 2)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, salt int, call_id string, place int")
+    assert sorted((r.kind, r.status) for r in C.format_chat(df).collect()) == [("call", "linked"), ("result", "linked")]
+
+
 def test_native_plan(spark):
     plan = C.run(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
