@@ -5,7 +5,9 @@ type '5', e-mail as type '6') and takes ``DISTINCT``.  Here it is one scan:
 each row is exploded into its two (type, content) pairs, blanks are
 dropped, and the distinct runs as a partial + final aggregate, so repeated
 history rows of one customer collapse map-side before any shuffle.  The
-result is joined once to the population.
+result is joined once to the population.  The history is restricted to the
+population's customers before that (``ids``, salted): rows of nobody's interest
+end at the scan's join instead of being made distinct.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from custmaster.functions import codes
 from custmaster.functions.columns import birth_digit, non_blank, stamp, text
 from custmaster.operators.address import address_contact_rows
+from custmaster.operators.population import for_customers
 from custmaster.params import RunParams
 
 
@@ -34,11 +37,14 @@ def party_contact_rows(party: DataFrame) -> DataFrame:
 
 def distinct_contacts(party: DataFrame, party_address: DataFrame | None = None,
                       natural: bool = False, business_date: dt.date | None = None,
-                      party_contacts: DataFrame | None = None) -> DataFrame:
+                      party_contacts: DataFrame | None = None, customers: DataFrame | None = None) -> DataFrame:
     """``SELECT DISTINCT ID, CONTACT_TYPE, CONTENT`` over all contact arms.
 
     ``party_contacts`` is an already computed distinct of the party arms (the
-    daily batch materialises it once for both classes)."""
+    daily batch materialises it once for both classes).  ``customers``
+    (customer_id, once each) restricts the history before its contacts are made distinct."""
+    if customers is not None and party_contacts is None:
+        party = for_customers(party.select("contract_no", "customer_id", "cellular_phone", "email"), customers)
     if party_contacts is not None:
         if party_address is None:
             return party_contacts
@@ -56,9 +62,9 @@ def _joined(pop: DataFrame, contacts: DataFrame) -> DataFrame:
 
 def corporate_contact(pop: DataFrame, party: DataFrame, params: RunParams,
                       party_address: DataFrame | None = None,
-                      party_contacts: DataFrame | None = None) -> DataFrame:
+                      party_contacts: DataFrame | None = None, ids: DataFrame | None = None) -> DataFrame:
     j = _joined(pop, distinct_contacts(party, party_address, natural=False,
-                                       party_contacts=party_contacts))
+                                       party_contacts=party_contacts, customers=ids))
     return j.select(
         text("customer_id").alias("ID_NO"),
         F.lit(params.source_tag).alias("SOURCE"),
@@ -73,10 +79,10 @@ def corporate_contact(pop: DataFrame, party: DataFrame, params: RunParams,
 
 def natural_contact(pop: DataFrame, party: DataFrame, params: RunParams,
                     party_address: DataFrame | None = None,
-                    party_contacts: DataFrame | None = None) -> DataFrame:
+                    party_contacts: DataFrame | None = None, ids: DataFrame | None = None) -> DataFrame:
     j = _joined(pop, distinct_contacts(party, party_address, natural=True,
                                        business_date=params.as_of,
-                                       party_contacts=party_contacts))
+                                       party_contacts=party_contacts, customers=ids))
     return j.select(
         text(codes.id_type(F.col("idntfctn_type"))).alias("ID_TYPE"),
         text("customer_id").alias("ID_NO"),

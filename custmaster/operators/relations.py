@@ -69,8 +69,27 @@ def _arm(df: DataFrame, carry: list[str], code: int, c_fullname=None, represnt_p
     ).distinct()
 
 
+def linked(rows: DataFrame, bridge: DataFrame, how: str) -> DataFrame:
+    """Link rows, once each, with the customers of their contract.
+
+    The arms are ``DISTINCT`` on the link columns, so equal rows go before the fan-out (a partial
+    aggregate in each map task).  The join behind it deals both sides out for itself, so that AQE
+    can still split a hot contract."""
+    return rows.distinct().join(bridge, "contract_no", how)
+
+
+def for_contracts(rows: DataFrame, contracts: DataFrame) -> DataFrame:
+    """Rows of the given contracts (contract_no, once each).
+
+    A semi-join whose right side is one column: where it is small enough in bytes Spark broadcasts
+    it and the rows of other contracts never leave their map task; where it is not, both sides are
+    shuffled by contract, as the join behind it needs them anyway."""
+    return rows.join(contracts, "contract_no", "left_semi")
+
+
 def agent_rows(policy_agent: DataFrame, bridge: DataFrame, code: int = codes.REL_AGENT,
                how: str = "inner") -> DataFrame:
+    # no fan-out of other columns here: the arm's own distinct does it
     j = policy_agent.select("contract_no", "agent_id").join(bridge, "contract_no", how)
     return _arm(j, _carry_cols(bridge), code, relation_id=F.col("agent_id"))
 
@@ -79,11 +98,10 @@ def insured_rows(insured: DataFrame, bridge: DataFrame, nationality: DataFrame |
                  code: int = codes.REL_INSURED_CORPORATE, how: str = "inner") -> DataFrame:
     """Insured persons of the customer's contracts; COUNTRY from the insured
     person's own party rows when ``nationality`` is given (corporate form)."""
-    # the arm is DISTINCT on exactly these columns, so duplicates go before the fan-out
     ins = insured.select("contract_no", F.col("customer_id").alias("_rel_id"),
                          F.col("customer_name").alias("_rel_name"),
-                         F.col("birthday").alias("_rel_birthday")).distinct()
-    j = ins.join(bridge, "contract_no", how)
+                         F.col("birthday").alias("_rel_birthday"))
+    j = linked(ins, bridge, how)
     country = None
     if nationality is not None:
         j = j.join(nationality, j["_rel_id"] == nationality["_p_customer_id"], "left")
@@ -96,7 +114,7 @@ def health_beneficiary_rows(benef_health: DataFrame, bridge: DataFrame, person:
                             code: int = codes.REL_BENEFICIARY_CORPORATE, how: str = "inner"
                             ) -> DataFrame:
     b = benef_health.select("contract_no", "assured_id", "assured_name", "relative_to_insured")
-    j = b.join(bridge, "contract_no", how)
+    j = linked(b, bridge, how)
     j = j.join(person, j["assured_id"] == person["_p_customer_id"], "left")
     return _arm(j, _carry_cols(bridge), code, c_fullname=F.col("assured_name"),
                 relation_code=F.col("relative_to_insured"), birthday=F.col("_p_birthday"),
@@ -107,7 +125,7 @@ def travel_beneficiary_rows(benef_travel: DataFrame, bridge: DataFrame,
                             code: int = codes.REL_BENEFICIARY_CORPORATE, how: str = "inner"
                             ) -> DataFrame:
     b = benef_travel.select("contract_no", "assured_name", "relative_to_insured")
-    j = b.join(bridge, "contract_no", how)
+    j = linked(b, bridge, how)
     return _arm(j, _carry_cols(bridge), code, c_fullname=F.col("assured_name"),
                 relation_code=F.col("relative_to_insured"))
 

@@ -33,7 +33,7 @@ from custmaster.operators.contacts import party_contact_rows
 from custmaster.operators.history import History
 from custmaster.operators.income import contract_pairs
 from custmaster.operators.population import for_customers, populations_by_class
-from custmaster.operators.relations import person_lookup
+from custmaster.operators.relations import for_contracts, person_lookup
 from custmaster.operators.release import Release
 from custmaster.params import RunParams
 from custmaster.plans.datasets import CLASSES, DATASETS
@@ -62,6 +62,7 @@ def shared_party_tables(spark: SparkSession, src: Sources, folder: str, members:
     datasets, persons: 2, contacts: 2), restricted to ``members`` (customer_id, once each) and to
     the persons that a dataset can ask for: each is one scan of the history instead of one per
     dataset, and the history's rows of nobody's interest end at that scan's join."""
+    links = ("policy_agent", "insured", "benef_health", "benef_travel", "income", "income_extra", "product_risk")
     asked = src.insured.select("customer_id").unionByName(
         src.benef_health.select(F.col("assured_id").alias("customer_id"))).where("customer_id IS NOT NULL").distinct()
     own = for_customers(src.party.select("contract_no", "customer_id"), members)
@@ -74,7 +75,10 @@ def shared_party_tables(spark: SparkSession, src: Sources, folder: str, members:
     }
     with ThreadPoolExecutor(max_workers=len(tables)) as pool:
         made = {k: pool.submit(materialise, spark, v, f"{folder}/party_{k}") for k, v in tables.items()}
-        return src.with_derived({k: f.result() for k, f in made.items()})
+        derived = {k: f.result() for k, f in made.items()}
+    # link rows of other contracts reach no dataset: every arm is inner on the pairs
+    contracts = materialise(spark, derived["pairs"].select("contract_no").distinct(), f"{folder}/contracts")
+    return src.mapped(links, lambda rows: for_contracts(rows, contracts)).with_derived(derived)
 
 
 def builders(with_address: bool = False, with_insured: bool = False) -> dict[str, tuple[str, Callable]]:

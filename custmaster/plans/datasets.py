@@ -62,20 +62,28 @@ def natural_basic(src: Sources, params: RunParams,
                                                  src.derived("pairs")), params)
 
 
+def _pop_and_ids(src: Sources, pop: DataFrame | None, cls: str, params: RunParams) -> tuple[DataFrame, DataFrame]:
+    """The population, and ids (once each) that hold all of its: without a written population the
+    active ids, which need no second ranking."""
+    if pop is not None:
+        return pop, pop.select("customer_id")
+    return class_population(src, cls, params), active_customer_ids(src.policy, src.insured, params)
+
+
 def corporate_contact(src: Sources, params: RunParams,
                       pop: DataFrame | None = None, with_address: bool = False) -> DataFrame:
-    pop = pop if pop is not None else class_population(src, "corporate", params)
+    pop, ids = _pop_and_ids(src, pop, "corporate", params)
     return contacts.corporate_contact(pop, src.party, params,
                                       src.party_address if with_address else None,
-                                      src.derived("contacts"))
+                                      src.derived("contacts"), ids)
 
 
 def natural_contact(src: Sources, params: RunParams,
                     pop: DataFrame | None = None, with_address: bool = False) -> DataFrame:
-    pop = pop if pop is not None else class_population(src, "natural", params)
+    pop, ids = _pop_and_ids(src, pop, "natural", params)
     return contacts.natural_contact(pop, src.party, params,
                                     src.party_address if with_address else None,
-                                    src.derived("contacts"))
+                                    src.derived("contacts"), ids)
 
 
 def corporate_relations(src: Sources, params: RunParams,
@@ -99,10 +107,7 @@ def natural_relations(src: Sources, params: RunParams,
 
 
 def _risk(src: Sources, params: RunParams, pop: DataFrame | None, cls: str, build) -> DataFrame:
-    # without a written population, the ids alone restrict the products: no second ranking
-    ids = (pop.select("customer_id") if pop is not None
-           else active_customer_ids(src.policy, src.insured, params))
-    pop = pop if pop is not None else class_population(src, cls, params)
+    pop, ids = _pop_and_ids(src, pop, cls, params)
     return build(pop, src.param_lookup, src.country_risk, params, _products(src, pop, ids, params))
 
 

@@ -390,6 +390,7 @@ ORACLES: dict[str, str] = DATASETS | {
                                    reachable(*PARTY_CONTACTS)),
     "latest_party": statement(f"SELECT {IDENTITY} FROM ({newest('natural')})"),
     "population_natural": statement(f"SELECT {IDENTITY} FROM member", *members("natural")),
+    "population_incremental": statement(f"SELECT {IDENTITY} FROM member", *members("natural")),
     "population_corporate": statement(f"SELECT {IDENTITY} FROM member", *members("corporate")),
     "latest_registered_address": statement("FROM registered", REGISTERED),
     "contact_address_arms": statement("FROM reachable SELECT id AS ID, contact_type AS CONTACT_TYPE, content AS CONTENT",

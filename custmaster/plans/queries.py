@@ -22,9 +22,10 @@ from custmaster.operators.contacts import distinct_contacts
 from custmaster.operators.history import History
 from custmaster.operators.recode import MAJOR, MINOR, recoded
 from custmaster.operators.release import Release
+from custmaster.operators.state import LatestParty
 from custmaster.params import CORPORATE_ID_TYPES, FIXTURE_PARAMS, NATURAL_ID_TYPES, RunParams
 from custmaster.plans import datasets
-from custmaster.sources import Sources
+from custmaster.sources import PARTY_COLUMNS, Sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -297,6 +298,23 @@ def contact_address_arms(spark, sf_dir):
                                         business_date=FIXTURE_PARAMS.as_of).distinct()
 
 
+@register("population_incremental")
+def population_incremental(spark, sf_dir):
+    """The natural persons' population from a state of the latest party rows that grew in four steps:
+    the history up to a day, three more days' rows (the last step has all later ones)."""
+    src = _src(spark, sf_dir)
+    cuts = [None, "2001-05-29", "2001-05-30", "2001-05-31", None]
+    state = LatestParty(spark, audit.shared_path(spark, "latest-party"), datasets.CLASSES, PARTY_COLUMNS)
+    time = F.col("change_date_time")
+    for low, high in zip(cuts, cuts[1:]):
+        rows = src.party
+        rows = rows.where(time >= F.lit(low).cast("timestamp_ntz")) if low else rows
+        rows = rows.where((time < F.lit(high).cast("timestamp_ntz")) | (time.isNull() if low is None else F.lit(False))) if high else rows
+        state.add(rows)
+    pop = state.population("natural", src.policy, src.insured, FIXTURE_PARAMS)
+    return pop.select("customer_id", "contract_no", "idntfctn_type", "change_date_time")
+
+
 # --- scalar maps ---------------------------------------------------------------
 
 @register("try_cast_income")

@@ -16,7 +16,7 @@ columns it needs, so scans stay pruned.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,6 +69,14 @@ class Sources:
         out._cache = self._cache
         return out
 
+    def mapped(self, roles: Sequence[str], change: Callable[[DataFrame], DataFrame]) -> "Sources":
+        """A bundle whose tables of the given roles go through ``change``; the others are as they are."""
+        out = Sources(self.spark, dict(self._loaders), self._derived)
+        for role in roles:
+            if self.has(role):
+                out._loaders[role] = lambda role=role: change(getattr(self, role))
+        return out
+
     def __getattr__(self, role: str) -> DataFrame:
         if role.startswith("_") or role not in ROLES:
             raise AttributeError(role)
