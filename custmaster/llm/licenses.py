@@ -2,7 +2,9 @@
 
 A text is lower-cased (A-Z) and read as words, runs of ASCII letters, digits
 and non-ASCII characters; ``norm`` is these words with one space on either
-side of each.  Every signature is a regular expression over ``norm``, gated by
+side of each.  Signatures are of two kinds: what a licence is called (title, identifier,
+address, grant; ``LICENSES``) and what its text and its notices say (``WORDINGS``).  Every
+signature is a regular expression over ``norm``, gated by
 a keyword: a document runs only the expressions whose keyword it contains, and
 only documents that pass one coarse expression are looked at at all.  A
 detection is the interval of words a signature covers.  Detections are swept
@@ -12,8 +14,9 @@ grant sentence, or a family name inside a versioned one, does not count twice.
 
 Everything stays within the document's own row: no shuffle, and a hot source
 costs no more than its share.  Null text reads as empty: no words, no labels.
-Repeated rows each give their own result; other columns of the input are not
-touched.
+Very long texts are scanned whole.  Detections that begin and end alike go by
+priority, then by rule number.  Repeated rows each give their own result, an empty
+table none; other columns of the input are not touched, whatever their names.
 """
 
 from __future__ import annotations
@@ -96,13 +99,13 @@ w3c | w3c software(?: notice and)? licen[cs]e | w3c | w3c | w3 org consortium le
 odbl-1 | open (?:data commons open )?database licen[cs]e | database | odbl 1 0 | opendatacommons org licenses odbl
 odc-by | open data commons attribution licen[cs]e | data commons | odc by 1 0 | opendatacommons org licenses by
 pddl-1 | public domain dedication and licen[cs]e | dedication | pddl 1 0 | opendatacommons org licenses pddl
-cc0-1 | (?:creative commons zero|cc0(?: 1 0)?) | c | cc0 1 0 | creativecommons org publicdomain zero
-cc-by | (?:creative commons attribution|cc by) [1234] [05] | c | cc by [1234] [05] | creativecommons org licenses by
-cc-by-sa | (?:creative commons attribution share ?alike|cc by sa)(?: [1234] [05])? | c | cc by sa [1234] [05] | creativecommons org licenses by sa
-cc-by-nd | (?:creative commons attribution no ?deriv(?:ative)?s?|cc by nd)(?: [1234] [05])? | c | cc by nd [1234] [05] | creativecommons org licenses by nd
-cc-by-nc | (?:creative commons attribution non ?commercial|cc by nc)(?: [1234] [05])? | c | cc by nc [1234] [05] | creativecommons org licenses by nc
-cc-by-nc-sa | (?:creative commons attribution non ?commercial share ?alike|cc by nc sa)(?: [1234] [05])? | c | cc by nc sa [1234] [05] | creativecommons org licenses by nc sa
-cc-by-nc-nd | (?:creative commons attribution non ?commercial no ?deriv(?:ative)?s?|cc by nc nd)(?: [1234] [05])? | c | cc by nc nd [1234] [05] | creativecommons org licenses by nc nd
+cc0-1 | cc0(?: 1 0)?(?: universal)? | cc0 | cc0 1 0 | creativecommons org publicdomain zero
+cc-by | cc by [1234] [05] | cc by | cc by [1234] [05] | creativecommons org licenses by
+cc-by-sa | cc by sa(?: [1234] [05])? | cc by | cc by sa [1234] [05] | creativecommons org licenses by sa
+cc-by-nd | cc by nd(?: [1234] [05])? | cc by | cc by nd [1234] [05] | creativecommons org licenses by nd
+cc-by-nc | cc by nc(?: [1234] [05])? | cc by | cc by nc [1234] [05] | creativecommons org licenses by nc
+cc-by-nc-sa | cc by nc sa(?: [1234] [05])? | cc by | cc by nc sa [1234] [05] | creativecommons org licenses by nc sa
+cc-by-nc-nd | cc by nc nd(?: [1234] [05])? | cc by | cc by nc nd [1234] [05] | creativecommons org licenses by nc nd
 bsl-1.1 | business source licen[cs]e | business | busl 1 1 | mariadb com bsl11
 sspl-1 | server side public licen[cs]e | server side | sspl 1 0 | mongodb com licensing server side
 elastic-2 | elastic licen[cs]e(?: 2 0)? | elastic | elastic 2 0 | elastic co licensing elastic license
@@ -110,6 +113,72 @@ openrail | (?:creativeml |bigscience )?open ?rail(?: m)?(?: licen[cs]e)? | rail
 llama-2 | llama [23] community licen[cs]e | llama | llama2 | ai meta com llama license
 """
 
+#: Signatures of a licence's own wording and of the notices that grant it, written one by one:
+#: label; keyword; expression over words.
+WORDINGS = """
+mit | hereby granted | permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction
+mit | merge publish | to use copy modify merge publish distribute sublicense and or sell copies of the software
+mit | noninfringement | the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement
+mit | permission notice | the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software
+mit-0 | hereby granted | permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so the software is provided
+isc | and or distribute | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice
+isc | tortious action | whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software
+bsd-0 | and or distribute | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted the software is provided
+apache-2 | except in compliance | you may not use this (?:file|work|software) except in compliance with the licen[cs]e
+apache-2 | required by applicable | unless required by applicable law or agreed to in writing software distributed under the licen[cs]e is distributed on an as is basis
+apache-2 | asf under one | licensed to the apache software foundation asf under one or more contributor licen[cs]e agreements
+apache-2 | conditions for use | terms and conditions for use reproduction and distribution
+gpl-2 | at your option | gnu general public licen[cs]e as published by the free software foundation either version 2 of the licen[cs]e or at your option any later version
+gpl-2 | published by the free | gnu general public licen[cs]e version 2(?: only)? as published by the free software foundation
+gpl-2 | june 1991 | gnu general public licen[cs]e version 2 june 1991
+gpl-3 | at your option | gnu general public licen[cs]e as published by the free software foundation either version 3 of the licen[cs]e or at your option any later version
+gpl-3 | june 2007 | gnu general public licen[cs]e version 3 29 june 2007
+gpl | useful but without | this (?:program|library|software) is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability
+gpl | free software you | (?:this program|it|this) is free software you can redistribute it and or modify it under the terms of the gnu general public licen[cs]e
+lgpl-2.1 | at your option | gnu lesser general public licen[cs]e as published by the free software foundation either version 2 1 of the licen[cs]e or at your option any later version
+lgpl-2 | at your option | gnu (?:library|lesser) general public licen[cs]e as published by the free software foundation either version 2 of the licen[cs]e or at your option any later version
+lgpl-3 | at your option | gnu lesser general public licen[cs]e as published by the free software foundation either version 3 of the licen[cs]e or at your option any later version
+agpl-3 | at your option | gnu affero general public licen[cs]e as published by the free software foundation either version 3 of the licen[cs]e or at your option any later version
+agpl-3 | remotely through | interacting with it remotely through a computer network
+agpl-3 | remote network | remote network interaction use with the gnu general public licen[cs]e
+bsd-2 | source and binary | redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met
+bsd-3 | endorse or promote | neither the name of (?:the )?(?:[a-z0-9]+ ){1,12}may be used to endorse or promote products derived from this software without specific prior written permission
+bsd-4 | advertising materials | all advertising materials mentioning features or use of this software must display the following acknowledg?ement
+bsd | and contributors as is | this software is provided by (?:the )?(?:[a-z0-9]+ ){1,8}and contributors as is and any express or implied warranties
+mpl-2 | subject to the terms | this source code form is subject to the terms of the mozilla public licen[cs]e v 2 0
+mpl-2 | was not distributed | if a copy of the mpl was not distributed with this file you can obtain one at
+mpl-1.1 | subject to the mozilla | the contents of this file are subject to the mozilla public licen[cs]e version 1 1
+epl-2 | accompanying materials | this program and the accompanying materials are made available under the terms of the eclipse public licen[cs]e(?: v ?| version )2 0
+epl-1 | accompanying materials | this program and the accompanying materials are made available under the terms of the eclipse public licen[cs]e(?: v ?| version )1 0
+zlib | must not be misrepresented | the origin of this software must not be misrepresented you must not claim that you wrote the original software
+zlib | altered source versions | altered source versions must be plainly marked as such and must not be misrepresented as being the original software
+bsl-1 | machine executable | unless such copies or derivative works are solely in the form of machine executable object code generated by a source language processor
+unlicense | unencumbered | this is free and unencumbered software released into the public domain
+wtfpl | what the fuck | everyone is permitted to copy and distribute verbatim or modified copies of this licen[cs]e document and changing it is allowed as long as the name is changed do what the fuck you want to
+cc0-1 | waive | (?:to the extent possible under law|the person who associated a work with this deed) (?:[a-z0-9]+ ){1,16}waived all copyright and related or neighboring rights
+cc0-1 | commons zero | creative commons zero(?: 1 0)?(?: universal)?
+cc-by | commons attribution | creative commons attribution [1234] [05](?: international)?
+cc-by-sa | commons attribution | creative commons attribution share ?alike(?: [1234] [05])?(?: international)?
+cc-by-nd | commons attribution | creative commons attribution no ?deriv(?:ative)?s?(?: [1234] [05])?(?: international)?
+cc-by-nc | commons attribution | creative commons attribution non ?commercial(?: [1234] [05])?(?: international)?
+cc-by-nc-sa | commons attribution | creative commons attribution non ?commercial share ?alike(?: [1234] [05])?(?: international)?
+cc-by-nc-nd | commons attribution | creative commons attribution non ?commercial no ?deriv(?:ative)?s?(?: [1234] [05])?(?: international)?
+postgresql | documentation for any | permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted
+python-2 | psf hereby grants | psf hereby grants licensee a nonexclusive royalty free world wide licen[cs]e
+openssl | openssl project | this product includes software developed by the openssl project for use in the openssl toolkit
+php-3 | php software | this product includes php software freely available from
+ofl-1.1 | reserved font | no modified version of the font software may use the reserved font name|with reserved font name
+artistic-1 | artistic control | the copyright holder maintains some semblance of artistic control over the development of the package
+eupl-1.2 | licensed under the eupl | licensed under the eupl(?: v(?:ersion )?1 2)?(?: or as soon they will be approved by the european commission subsequent versions of the eupl)?
+ncsa | with the software | to deal with the software without restriction including without limitation the rights to use copy modify merge publish distribute
+sspl-1 | functionality of the program | if you make the functionality of the program or a modified version available to third parties as a service
+bsl-1.1 | change date | effective on the change date or the fourth anniversary of the first publicly available distribution
+elastic-2 | hosted or managed | you may not provide the software to third parties as a hosted or managed service
+proprietary | all rights reserved | all rights reserved (?:unauthori[sz]ed|no part of)(?: [a-z0-9]+){1,8}
+"""
+#: priority and weight of a wording
+WORDING = (2, 0.92)
+
 #: How a signature is told from a licence's line: priority (1 is best), weight of a detection,
 #: the expression and the keyword, from the title t, the identifier i and the address a.
 _FORMS = (
@@ -126,7 +195,9 @@ BASE_WEIGHT = 0.9
 
 #: Every signature and every base phrase contains one of these: a document without any
 #: has no detection (tests/llm/test_licenses.py holds each signature against the list).
-GATE = ("licen", "spdx", "bsd", "gnu ", "cc by", "cc0", "creative", "mozilla", "eclipse", "rail",
+GATE = ("permission", "warrant", "redistribut", "copyright", "distribut", "copies", "software", "tortious", "rights",
+        "hosted or managed", "functionality of the program", "reserved font", "change date", "commons", "network",
+        "licen", "spdx", "bsd", "gnu ", "cc by", "cc0", "creative", "mozilla", "eclipse", "rail",
         "as perl", "no attribution", "wtfpl", "europa", "curl se", "sil org", "w3 org", "mariadb")
 
 
@@ -140,6 +211,10 @@ def rules() -> list[dict]:
             out.append({"rule": len(out), "label": label, "priority": priority, "weight": weight,
                         "keyword": key(keyword, address),
                         "regex": f" (?:{expr(title, ident, address)})(?= )"})
+    for line in WORDINGS.strip().splitlines():
+        label, keyword, expr = (x.strip() for x in line.split(" | ", 2))
+        out.append({"rule": len(out), "label": label, "priority": WORDING[0], "weight": WORDING[1],
+                    "keyword": keyword, "regex": f" (?:{expr})(?= )"})
     return out
 
 

@@ -68,16 +68,77 @@ def test_empty_table(empty):
     assert L.digest(empty).count() == 0
 
 
-def test_gate_lets_every_signature_through():
+def texts_of(regex):
+    """Some texts that an expression covers: each alternative once, optional parts in and out."""
+    import re._constants as c
+    import re._parser as parser
+
+    def walk(items, optional):
+        out = [""]
+        for op, arg in items:
+            if op is c.LITERAL:
+                more = [chr(arg)]
+            elif op is c.IN:
+                first = arg[0]
+                more = [chr(first[1] if first[0] is c.LITERAL else first[1][0])]
+            elif op is c.SUBPATTERN:
+                more = walk(arg[3], optional)
+            elif op is c.BRANCH:
+                more = [t for branch in arg[1] for t in walk(branch, optional)]
+            elif op is c.MAX_REPEAT:
+                low, high, sub = arg
+                more = [t * (max(low, 1) if optional else low) for t in walk(sub, optional)]
+            else:
+                assert op in (c.ASSERT, c.AT), op
+                more = [""]
+            out = [x + y for x in out for y in more]
+        return out
+    return {t for optional in (True, False) for t in walk(parser.parse(regex), optional)}
+
+
+def test_gate_and_keywords_let_every_signature_through():
+    """Checked on texts made from each expression, all alternatives."""
     for r in L.rules():
-        parts = [p for p in re.split(r"[()|?\[\]:\\]", r["regex"])]
-        flat = re.sub(r"\[cs\]", "s", r["regex"]).replace("licens", "licen")
-        assert any(g in flat or g.strip() in flat for g in L.GATE) or any(g in p for g in L.GATE for p in parts), r
-    assert len(L.rules()) > 250
+        assert len(r["keyword"].replace(" ", "")) > 2, r
+        for t in texts_of(r["regex"]):
+            t = f" {t.strip()} "
+            assert re.search(r["regex"], t), (r, t)
+            assert r["keyword"] in t, (r, t)
+            assert any(g in t for g in L.GATE), (r, t)
+    assert len(L.rules()) > 300 and len(L.WORDINGS.strip().splitlines()) > 50
     for phrase in L.BASE_PHRASES.values():
         assert any(g in phrase for g in L.GATE)
 
 
+NOTICES = [
+    ("mit", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+      associated documentation files (the "Software"), to deal in the Software without restriction, including"""),
+    ("gpl-2", """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General
+      Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option)
+      any later version."""),
+    ("bsd-3", """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+      products derived from this software without specific prior written permission."""),
+    ("bsd-2", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("apache-2", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
+    ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("isc", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+      granted, provided that the above copyright notice and this permission notice appear in all copies."""),
+    ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("zlib", "The origin of this software must not be misrepresented; you must not claim that you wrote the original software."),
+    ("lgpl-2.1", """under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either
+      version 2.1 of the License, or (at your option) any later version"""),
+    ("cc-by-sa", "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+]
+
+
+def test_real_notices(spark):
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(NOTICES)], "doc_id long, text string")
+    got = {r[0]: tuple(r)[1:] for r in L.digest(docs).collect()}
+    for i, (label, t) in enumerate(NOTICES):
+        assert got[i] == plain(t), t
+        assert label in got[i][5].split(","), (label, got[i])
+
+
 def test_spans_cover_the_words(spark):
     docs = spark.createDataFrame([(1, "It is licensed under the Apache License, Version 2.0 today")], "doc_id long, text string")
     (r,) = L.scan(docs).collect()
