@@ -21,8 +21,9 @@ The two branches read the documents twice rather than keep a copy, so
 order).  A block's key carries a checksum of its texts: if a re-read ever
 differed, the blocks would fail to match and raise, not mix.
 
-Null text reads as empty and has no ids.  Rows of one id are encoded one by
-one; other columns are not read.
+Null text reads as empty and has no ids.  Very long texts are encoded whole (one may fill
+a block alone).  Rows of one id, repeated ones too, are encoded one by one, equal texts alike;
+an empty table gives an empty result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

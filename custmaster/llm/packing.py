@@ -13,8 +13,10 @@ tier form step groups of equal tokens.
 
 Packing needs no shuffle: each task packs the documents it reads, a bounded
 buffer at a time, and a task run again packs the same rows alike.  Null text
-reads as empty: one piece with the end id alone.  Rows of one id are packed as
-the separate documents they are; other columns are not read.
+reads as empty: one piece with the end id alone.  Very long texts are cut into as many
+windows as they fill.  Rows of one id, repeated ones too, are packed as the separate
+documents they are; remainders of equal length are taken in the order of the rows.  An empty
+table gives no sequence; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -21,7 +21,9 @@ spread over tasks.
 
 Null html reads as an empty payload; a page without id never is the smallest
 unless all its copies lack one; repeated rows of the smallest id are all
-responses; null urls give no target header.
+responses; null urls give no target header.  Payloads are as long as a Spark cell can
+be (2 GB), which the ``sl`` field's 32 bits hold.  An empty table gives archives without
+records, which read as empty; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
