@@ -5,10 +5,16 @@ before it kept.  All but the last return the columns of documents, so that a
 stage's output, written as Parquet, is the next one's input.
 
 1. quality_rules: documents that fail the current policy go.
-2. toxicity: documents at or above the chain's threshold for toxic go; the
+2. toxicity: documents that the chain's last model finds toxic go; the
    models are fitted on the labels of documents that are still there.
 3. ngram_jaccard: one document of each group of near copies stays.
 4. packing: pieces of full training sequences.
+
+Null texts read as empty and go with the short ones (stage 1), as do rows without words.
+Rows without id are kept, one of each text; of repeated rows, and of texts that tie, the one
+with the least id stays (stage 3).  Very long texts go through whole.  Stages keep other columns,
+whatever their names, until the last.  An empty table gives no sequence; without labels nothing
+is toxic.
 """
 
 from __future__ import annotations
