@@ -31,7 +31,9 @@ What is sent grows with the corpus' distinct n-grams by block.
 Training texts are those whose ``crc32(doc_id as text) mod 5`` is not 1; a null
 id counts as the empty text (crc32 0, training).  Null text reads as empty: one
 token, the end.  Rows of one id are scored one by one.  With no training text
-at all every token has probability 1.  ``docs`` must be stable when read again.
+at all every token has probability 1.  Very long texts are scored whole (one may fill a
+block alone); equal texts get equal scores, an empty table an empty result; other columns,
+whatever their names, are not read.  ``docs`` must be stable when read again.
 """
 
 from __future__ import annotations
@@ -52,8 +54,9 @@ from pyspark.sql import functions as F
 
 from custmaster.llm.common import filesystem, materialise, pack, shared_path, unpack
 
-BLOCK_CHARS = 24 << 20
+BLOCK_CHARS = 20 << 20
 ROW_DOCS = 200
+_TOKENS = 1 << 18
 HELD_OUT = 1
 FOLDS = 5
 ORDER = 3  # of the registered query
@@ -95,9 +98,14 @@ def pack_counts(values: np.ndarray) -> bytes:
     return bytes([kind.itemsize]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def unpack_counts(data: bytes) -> np.ndarray:
+def unpack_narrow(data: bytes) -> np.ndarray:
+    """Counts in the type that they are stored in: to be widened before any arithmetic."""
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), "u1").reshape(data[0], -1)
-    return np.ascontiguousarray(planes.T).view(f"<u{data[0]}").ravel().astype(np.int64)
+    return np.ascontiguousarray(planes.T).view(f"<u{data[0]}").ravel()
+
+
+def unpack_counts(data: bytes) -> np.ndarray:
+    return unpack_narrow(data).astype(np.int64)
 
 
 def _shard_cuts(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -129,11 +137,13 @@ class Block:
         """Tokens (an end after each document), the document of each and its place in that."""
         n = self.lengths + 1
         ends = np.cumsum(n)
-        tokens = np.ones(int(ends[-1]), np.int64)
+        tokens = np.ones(int(ends[-1]), np.int32)  # a block has fewer than 2^31 of anything
         inside = np.ones(len(tokens), bool)
         inside[ends - 1] = False
         tokens[inside] = self.tokens
-        return tokens, np.repeat(np.arange(len(n)), n), np.arange(len(tokens)) - np.repeat(ends - n, n)
+        place = np.arange(len(tokens), dtype=np.int32)
+        place -= np.repeat((ends - n).astype(np.int32), n)
+        return tokens, np.repeat(np.arange(len(n), dtype=np.int32), n), place
 
     def keys(self, tokens: np.ndarray, place: np.ndarray, order: int) -> np.ndarray:
         """For each token the hash of the ``order`` words that end with it, the begin mark being one
@@ -158,7 +168,7 @@ class Block:
         store, path = filesystem(f"{root}/blocks/{key}")
         with store.open_input_file(path) as f, np.load(io.BytesIO(f.read())) as z:
             ids = [None if m else int(i) for i, m in zip(z["ids"], z["missing"])]
-            return cls(z["hashes"], ids, z["trains"], z["lengths"], unpack(z["tokens"].tobytes()).astype(np.int64))
+            return cls(z["hashes"], ids, z["trains"], z["lengths"], unpack(z["tokens"].tobytes()).view(np.int32))
 
 
 def _block(texts: list[tuple]) -> Block:
@@ -220,7 +230,7 @@ class Ngrams:
         if order == 1:
             by_hash = np.argsort(block.hashes)
             self.keys, self.where = block.hashes[by_hash], None
-            rank = np.empty(len(by_hash), np.int64)
+            rank = np.empty(len(by_hash), np.int32)
             rank[by_hash] = np.arange(len(by_hash))
             self.at, begin = rank[tokens], rank[0]
         else:
@@ -229,9 +239,9 @@ class Ngrams:
             by_hash = np.argsort(keys)
             keys = keys[by_hash]
             begins = _begins(keys)
-            self.keys, self.where = keys[begins], ends[by_hash[begins]]
-            self.at, begin = np.zeros(len(tokens), np.int64), 0
-            self.at[ends[by_hash]] = np.repeat(np.arange(len(begins)), np.diff(begins, append=len(keys)))
+            self.keys, self.where = keys[begins], ends[by_hash[begins]].astype(np.int32)
+            self.at, begin = np.zeros(len(tokens), np.int32), 0
+            self.at[ends[by_hash]] = np.repeat(np.arange(len(begins), dtype=np.int32), np.diff(begins, append=len(keys)))
         self.before = np.empty_like(self.at)
         self.before[1:] = self.at[:-1]
         self.before[place == 0] = begin
@@ -292,60 +302,99 @@ def _merge(rows: pa.Table, width: int):
     return rows.column("block").to_pylist(), each, keys[begins], sums, source, begins, flat[0]
 
 
-class Counts:
-    """Stored counts: a byte each; 255 stands for one of the large, which are found by place."""
+class Values:
+    """Stored values (``width`` numbers an n-gram): a byte each, the number of one of the shard's
+    most frequent rows of numbers; 255 stands for one of the others, which are found by place."""
 
-    def __init__(self, small: np.ndarray, places: np.ndarray, large: np.ndarray):
-        self.small, self.places, self.large = small, places, large
+    def __init__(self, code: np.ndarray, book: np.ndarray, places: np.ndarray, others: np.ndarray):
+        self.code, self.book, self.places, self.others = code, book, places, others
 
     def __getitem__(self, at: np.ndarray) -> np.ndarray:
-        out = self.small[at].astype(np.int64)
-        big = np.flatnonzero(out == 255)
-        if len(big):
-            out[big] = self.large[np.searchsorted(self.places, at[big])]
+        code = self.code[at]
+        out = self.book[:, code].astype(np.int64)
+        other = np.flatnonzero(code == 255)
+        if len(other):
+            out[:, other] = self.others[:, np.searchsorted(self.places, at[other])]
         return out
 
 
-def _store(root: str, name: str, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, list[Counts]]:
+def _coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(code of each column of ``values``, the columns of codes 0 to 255)."""
+    width, n = values.shape
+    book, code = np.zeros((width, 256), np.int64), np.full(n, 255, np.uint8)
+    if n:
+        # columns of small numbers, as one number each: only they are worth a code
+        small = (values < 1 << 12).all(axis=0)
+        key = np.zeros(n, np.uint64)
+        for row in values[:5]:
+            key = key << np.uint64(12) | np.minimum(row, (1 << 12) - 1).astype(np.uint64)
+        for row in values[5:]:  # of words, which have one number more
+            small &= row < 1 << 4
+            key = key << np.uint64(4) | np.minimum(row, (1 << 4) - 1).astype(np.uint64)
+        kinds, first, which, seen = np.unique(key[small], return_index=True, return_inverse=True, return_counts=True)
+        top = np.argsort(-seen, kind="stable")[:255]
+        book[:, :len(top)] = values[:, np.flatnonzero(small)[first[top]]]
+        place = np.full(len(kinds), 255, np.uint8)
+        place[top] = np.arange(len(top))
+        code[small] = place[which]
+    return code, book
+
+
+_LOW = np.uint64((1 << 48) - 1)
+
+
+def _store(root: str, name: str, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, Values]:
     """Stores sorted hashes and their values, and maps them (reads them, where the shared
-    folder is not a mounted file system)."""
-    large = [np.flatnonzero(row >= 255) for row in values]
-    _write(root, f"{name}.keys", keys.astype("<u8").tobytes())
+    folder is not a mounted file system).  Of a hash its low 48 bits are stored; how many
+    there are of each higher part stands before them."""
+    high, counts = np.unique(keys >> np.uint64(48), return_counts=True)
+    _write(root, f"{name}.keys", b"".join([
+        np.array([len(keys), len(high)], "<u8").tobytes(), high.astype("<u8").tobytes(), counts.astype("<u8").tobytes(),
+        (keys & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), ((keys & _LOW) >> np.uint64(32)).astype("<u2").tobytes()]))
+    code, book = _coded(values)
+    places = np.flatnonzero(code == 255)
+    others = values[:, places]
+    kind = _kind(others)
     _write(root, f"{name}.values", b"".join([
-        np.array([len(x) for x in large], "<u8").tobytes(),
-        *(part.astype("<u8").tobytes() for x, row in zip(large, values) for part in (x, row[x])),
-        *(np.minimum(row, 255).astype("u1").tobytes() for row in values)]))
+        np.array([len(places), kind.itemsize], "<u8").tobytes(), book.astype("<u8").tobytes(),
+        places.astype("<u4" if len(keys) < 1 << 32 else "<u8").tobytes(), code.tobytes(), others.astype(kind).tobytes()]))
     return mapped(root, name, len(values))
 
 
-def mapped(root: str, name: str, width: int) -> tuple[np.ndarray, list[Counts]]:
+def mapped(root: str, name: str, width: int) -> tuple[np.ndarray, Values]:
     out = []
     for part in ("keys", "values"):
         store, path = filesystem(f"{root}/{name}.{part}")
         if store.type_name == "local":
-            empty = store.get_file_info(path).size == 0
-            out.append(np.zeros(0, "u1") if empty else np.memmap(path, "u1", "r"))
+            out.append(np.memmap(path, "u1", "r"))
         else:
             with store.open_input_file(path) as f:
                 out.append(np.frombuffer(f.read(), "u1"))
-    keys, data = out[0].view("<u8"), out[1]
-    n_large = data[:8 * width].view("<u8").tolist()
-    large = data[8 * width:8 * (width + 2 * sum(n_large))].view("<u8")
-    small = data[8 * (width + 2 * sum(n_large)):].reshape(width, -1)
-    rows, at = [], 0
-    for row, n in zip(small, n_large):
-        rows.append(Counts(row, large[at:at + n], large[at + n:at + 2 * n]))
-        at += 2 * n
-    return keys, rows
-
-
-def find(keys: np.ndarray, values: list[Counts], wanted: np.ndarray) -> np.ndarray:
+    data, at = out[0], 16
+    n, high = data[:16].view("<u8").tolist()
+    heads, counts = data[16:16 + 16 * high].view("<u8").reshape(2, -1)
+    at = 16 + 16 * high
+    keys = np.repeat(heads << np.uint64(48), counts.astype(np.int64))
+    keys |= data[at:at + 4 * n].view("<u4")
+    keys |= data[at + 4 * n:at + 6 * n].view("<u2").astype(np.uint64) << np.uint64(32)
+    data = out[1]
+    n_other, size = data[:16].view("<u8").tolist()
+    at = 16 + 8 * 256 * width
+    book = data[16:at].view("<u8").reshape(width, 256)
+    wide = 4 if n < 1 << 32 else 8
+    places = data[at:at + wide * n_other].view(f"<u{wide}")
+    at += wide * n_other
+    code = data[at:at + n]
+    others = data[at + n:at + n + size * width * n_other].view(f"<u{size}").reshape(width, n_other)
+    return keys, Values(code, book, places, others)
+
+
+def find(keys: np.ndarray, values: Values, wanted: np.ndarray) -> np.ndarray:
     """The values of wanted hashes in sorted arrays, 0 where there is none."""
     if not len(keys):
-        return np.zeros((len(values), len(wanted)), np.int64)
+        return np.zeros((len(values.book), len(wanted)), np.int64)
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    there = keys[at] == wanted
-    return np.stack([np.where(there, row[at], 0) for row in values])
+    return np.where(keys[at] == wanted, values[at], 0)
 
 
 def _shard(root: str, order: int, highest: int):
@@ -483,11 +532,14 @@ def _scores(root: str, totals: Totals, highest: int):
             longer = Ngrams(block, tokens, place, order)
             store, path = filesystem(f"{root}/blocks/{key}.{order}")
             with store.open_input_file(path) as f:
-                counts = unpack_counts(f.read()).reshape(1 if order == highest else VALUES, -1)
-            ends = np.flatnonzero(place >= order - 2)
-            context = values[1:5, grams.before[ends]]
-            seen = context[0] + context[1] + 2 * context[2] + 3 * context[3]
-            p[ends] = totals.ngram(order, counts[0, longer.at[ends]], seen, context[1:], p[ends])
+                counts = unpack_narrow(f.read()).reshape(1 if order == highest else VALUES, -1)
+            for at in range(0, len(place), _TOKENS):  # bounds what is held for each token
+                ends = at + np.flatnonzero(place[at:at + _TOKENS] >= order - 2)
+                context = values[1:5, grams.before[ends]].astype(np.int64)
+                seen = context[0] + context[1] + 2 * context[2] + 3 * context[3]
+                count = counts[0, longer.at[ends]].astype(np.int64)
+                p[ends] = totals.ngram(order, count, seen, context[1:], p[ends])
+            longer.keys = longer.where = None  # not needed any more
             grams, values = longer, counts
         n = len(block.ids)
         return pa.table({
