@@ -2,7 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, same_rows
+from custmaster.functions.columns import text
+from custmaster.operators import relations
+from custmaster.plans.queries import REGISTRY
 from custmaster.session import INITIAL_PARTITIONS, size_shuffles
 
 
@@ -34,3 +37,33 @@ def test_shuffles_start_with_partitions_by_input(spark, tmp_path):
         assert spark.conf.get(INITIAL_PARTITIONS) == spark.conf.get("spark.sql.shuffle.partitions")
     finally:
         spark.conf.unset(INITIAL_PARTITIONS)
+
+
+def test_what_the_persons_fan_out_is_not_aggregated_again(spark):
+    for name, key in (("arm_benef_health", "assured_id"), ("arm_insured", "_rel_id")):
+        txt = REGISTRY[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        join = next(line for line in txt.splitlines() if "Join" in line)
+        assert key in join and "Aggregate" not in txt[:txt.index(join)], name
+
+
+def test_arms_with_persons_have_each_row_once(spark):
+    """Equal links of several contracts, nulls, unknown persons, persons with several and with null values."""
+    links = spark.createDataFrame(
+        [(1, 7, "A", "1"), (1, 7, "A", "1"), (2, 7, "A", "1"), (2, 7, "A", None), (1, 8, None, "2"), (3, None, "C", "3"),
+         (4, 9, "D", "4"), (None, 9, "D", "4")], "contract_no long, assured_id long, assured_name string, relative_to_insured string")
+    bridge = spark.createDataFrame([(1, 100), (2, 100), (2, 101), (3, 100), (4, None)], "contract_no long, customer_id long")
+    party = spark.createDataFrame(
+        [(7, "1950", 1), (7, "1950", 1), (7, None, None), (7, "1951", 1), (8, None, None), (None, "1960", 3)],
+        "customer_id long, birthday string, national_country_code int")
+    person = relations.person_lookup(party)
+    p = party.select(F.col("customer_id").alias("pid"), "birthday", "national_country_code")
+    for how in ("inner", "left"):
+        naive = links.join(bridge, "contract_no", how).join(p, F.col("assured_id") == F.col("pid"), "left").select(
+            "customer_id", text("assured_name").alias("C_FULLNAME"), text("relative_to_insured").alias("RELATION_CODE"),
+            text("birthday").alias("BIRTHDAY_DATE"), text("assured_id").alias("RELATION_ID_NO"),
+            text("national_country_code").alias("COUNTRY")).distinct()
+        same_rows(naive, relations.health_beneficiary_rows(links, bridge, person, how=how).select(*naive.columns))
+        insured = links.select("contract_no", F.col("assured_id").alias("customer_id"), F.col("assured_name").alias("customer_name"),
+                               F.col("relative_to_insured").alias("birthday"))
+        naive = naive.withColumn("BIRTHDAY_DATE", F.col("RELATION_CODE")).drop("RELATION_CODE").distinct()
+        same_rows(naive, relations.insured_rows(insured, bridge, person, how=how).select(*naive.columns))
