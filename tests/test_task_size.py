@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, same_rows
 from custmaster.functions.columns import text
-from custmaster.operators import relations
+from custmaster.operators import relations, risk
 from custmaster.plans.queries import REGISTRY
 from custmaster.session import INITIAL_PARTITIONS, size_shuffles
 
@@ -67,3 +67,18 @@ def test_arms_with_persons_have_each_row_once(spark):
                                F.col("relative_to_insured").alias("birthday"))
         naive = naive.withColumn("BIRTHDAY_DATE", F.col("RELATION_CODE")).drop("RELATION_CODE").distinct()
         same_rows(naive, relations.insured_rows(insured, bridge, person, how=how).select(*naive.columns))
+
+
+def test_only_the_given_contracts_ratings_are_copied_to_salts(spark):
+    """The ratings meet the contracts before they are copied for the as-of join."""
+    rows = [(c, p, r, d) for c in (1, 2, None) for p, r, d in (("X", "10", "2001-01-01"), ("X", "20", "2001-05-01"),
+                                                              ("Y", "30", "2002-01-01"), (None, "40", "2001-01-01"), ("Z", "90", None))]
+    ratings = spark.createDataFrame(rows, "contract_no long, product_code string, risk_level string, day string").select(
+        "contract_no", "product_code", "risk_level", F.col("day").cast("timestamp_ntz").alias("valid_from"))
+    contracts = spark.createDataFrame([(1,), (1,), (None,), (5,)], "contract_no long")
+    out = risk.contract_product_ratings(ratings, contracts, F.lit("2001-06-01").cast("timestamp_ntz"))
+    found = sorted((r.contract_no, r.product_code, r.risk_level) for r in out.collect())
+    assert found == [(1, "X", "20"), (1, "Y", None), (1, "Z", None)]
+    txt = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    copies = next(i for i, line in enumerate(txt) if "Generate explode" in line)
+    assert "LeftSemi" in "".join(txt[copies:copies + 12])
