@@ -17,8 +17,8 @@ from the highest order down to single words:
   counts one, two, three or more, and the sum of those counts beyond three.  The parts
   of shorter n-grams come from the longer ones that the block owns.
 * A shard merges what all blocks sent into the model's sorted arrays (hashes,
-  values), which it stores, maps into memory and searches for each block's
-  n-grams; back go the values, and to one block an n-gram the mark that it owns it.
+  values), which it stores, and searches them for each block's n-grams, the stored
+  values mapped into memory; back go the values, and to one block an n-gram the mark that it owns it.
 * Each block stores the values beside its documents.
 
 At last each block scores its documents from the values that came back.
@@ -77,13 +77,19 @@ def ngram_key(before: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def _pack_sorted(keys: np.ndarray) -> bytes:
-    """Ascending 64-bit hashes, as packed differences."""
-    gaps = np.diff(keys, prepend=np.uint64(0)).view("<u4")
-    return pack(gaps)
+    """Ascending 64-bit hashes: the byte planes of their differences, each compressed by itself (the
+    lower ones are random and would spoil the code of the others), after the planes' sizes."""
+    planes = np.diff(keys, prepend=np.uint64(0)).astype("<u8").view("u1").reshape(-1, 8).T
+    parts = [zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(p).tobytes()) for p in planes]
+    return b"".join([np.array([len(p) for p in parts], "<u8").tobytes(), *parts])
 
 
 def _unpack_sorted(data: bytes) -> np.ndarray:
-    return np.cumsum(unpack(data).view("<u8"), dtype=np.uint64)
+    at, planes = 64, []
+    for size in np.frombuffer(data, "<u8", 8).tolist():
+        planes.append(np.frombuffer(zstandard.ZstdDecompressor().decompress(data[at:at + size]), "u1"))
+        at += size
+    return np.cumsum(np.stack(planes, axis=1).view("<u8").ravel(), dtype=np.uint64)
 
 
 def _kind(values: np.ndarray) -> np.dtype:
@@ -303,90 +309,93 @@ def _merge(rows: pa.Table, width: int):
 
 
 class Values:
-    """Stored values (``width`` numbers an n-gram): a byte each, the number of one of the shard's
-    most frequent rows of numbers; 255 stands for one of the others, which are found by place."""
+    """Stored values (``width`` numbers an n-gram): a code of ``bits`` bits each, the number of one of the
+    shard's most frequent rows of numbers; the last stands for one of the others, which are found by place."""
 
-    def __init__(self, code: np.ndarray, book: np.ndarray, places: np.ndarray, others: np.ndarray):
-        self.code, self.book, self.places, self.others = code, book, places, others
+    def __init__(self, bits: int, code: np.ndarray, book: np.ndarray, places: np.ndarray, others: np.ndarray):
+        self.bits, self.code, self.book, self.places, self.others = bits, code, book, places, others
 
     def __getitem__(self, at: np.ndarray) -> np.ndarray:
-        code = self.code[at]
+        a_byte, last = 8 // self.bits, (1 << self.bits) - 1
+        code = self.code[at // a_byte] >> (at % a_byte * self.bits).astype("u1") & np.uint8(last)
         out = self.book[:, code].astype(np.int64)
-        other = np.flatnonzero(code == 255)
+        other = np.flatnonzero(code == last)
         if len(other):
             out[:, other] = self.others[:, np.searchsorted(self.places, at[other])]
         return out
 
 
-def _coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(code of each column of ``values``, the columns of codes 0 to 255)."""
+def _coded(values: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+    """(bits of a code: 2, 4 or 8, which takes the fewest bytes; code of each column of ``values``,
+    the columns of all codes)."""
     width, n = values.shape
-    book, code = np.zeros((width, 256), np.int64), np.full(n, 255, np.uint8)
-    if n:
-        # columns of small numbers, as one number each: only they are worth a code
-        small = (values < 1 << 12).all(axis=0)
-        key = np.zeros(n, np.uint64)
-        for row in values[:5]:
-            key = key << np.uint64(12) | np.minimum(row, (1 << 12) - 1).astype(np.uint64)
-        for row in values[5:]:  # of words, which have one number more
-            small &= row < 1 << 4
-            key = key << np.uint64(4) | np.minimum(row, (1 << 4) - 1).astype(np.uint64)
-        kinds, first, which, seen = np.unique(key[small], return_index=True, return_inverse=True, return_counts=True)
-        top = np.argsort(-seen, kind="stable")[:255]
-        book[:, :len(top)] = values[:, np.flatnonzero(small)[first[top]]]
-        place = np.full(len(kinds), 255, np.uint8)
-        place[top] = np.arange(len(top))
-        code[small] = place[which]
-    return code, book
-
-
-_LOW = np.uint64((1 << 48) - 1)
+    # columns of small numbers, as one number each: only they are worth a code
+    small = (values < 1 << 12).all(axis=0)
+    key = np.zeros(n, np.uint64)
+    for row in values[:5]:
+        key = key << np.uint64(12) | np.minimum(row, (1 << 12) - 1).astype(np.uint64)
+    for row in values[5:]:  # of words, which have one number more
+        small &= row < 1 << 4
+        key = key << np.uint64(4) | np.minimum(row, (1 << 4) - 1).astype(np.uint64)
+    kinds, first, which, seen = np.unique(key[small], return_index=True, return_inverse=True, return_counts=True)
+    top = np.argsort(-seen, kind="stable")[:255]
+    other = _place_kind(n).itemsize + width * _kind(values).itemsize
+    bits = min((2, 4, 8), key=lambda b: n * b / 8 + (n - seen[top[:(1 << b) - 1]].sum()) * other)
+    top = top[:(1 << bits) - 1]
+    book, code = np.zeros((width, 1 << bits), np.int64), np.full(n, (1 << bits) - 1, np.uint8)
+    book[:, :len(top)] = values[:, np.flatnonzero(small)[first[top]]]
+    place = np.full(len(kinds), (1 << bits) - 1, np.uint8)
+    place[top] = np.arange(len(top))
+    code[small] = place[which]
+    return bits, code, book
+
+
+def _place_kind(n: int) -> np.dtype:
+    return np.dtype("<u4" if n < 1 << 32 else "<u8")
 
 
 def _store(root: str, name: str, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, Values]:
-    """Stores sorted hashes and their values, and maps them (reads them, where the shared
-    folder is not a mounted file system).  Of a hash its low 48 bits are stored; how many
-    there are of each higher part stands before them."""
-    high, counts = np.unique(keys >> np.uint64(48), return_counts=True)
-    _write(root, f"{name}.keys", b"".join([
-        np.array([len(keys), len(high)], "<u8").tobytes(), high.astype("<u8").tobytes(), counts.astype("<u8").tobytes(),
-        (keys & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), ((keys & _LOW) >> np.uint64(32)).astype("<u2").tobytes()]))
-    code, book = _coded(values)
-    places = np.flatnonzero(code == 255)
+    """Stores sorted hashes, as packed differences, and their values; the values come back as ``mapped``."""
+    _write(root, f"{name}.keys", _pack_sorted(keys))
+    bits, code, book = _coded(values)
+    n, a_byte = len(keys), 8 // bits
+    places = np.flatnonzero(code == (1 << bits) - 1)
     others = values[:, places]
     kind = _kind(others)
+    codes = np.zeros(-(-n // a_byte), np.uint8)  # codes of a byte from its low bits up
+    for i in range(a_byte):
+        part = code[i::a_byte]
+        codes[:len(part)] |= part << np.uint8(i * bits)
     _write(root, f"{name}.values", b"".join([
-        np.array([len(places), kind.itemsize], "<u8").tobytes(), book.astype("<u8").tobytes(),
-        places.astype("<u4" if len(keys) < 1 << 32 else "<u8").tobytes(), code.tobytes(), others.astype(kind).tobytes()]))
-    return mapped(root, name, len(values))
+        np.array([n, bits, len(places), kind.itemsize], "<u8").tobytes(), book.astype("<u8").tobytes(),
+        places.astype(_place_kind(n)).tobytes(), codes.tobytes(), others.astype(kind).tobytes()]))
+    return keys, _mapped_values(root, name, len(values))
+
+
+def _mapped_values(root: str, name: str, width: int) -> Values:
+    """Stored values, mapped (read, where the shared folder is not a mounted file system)."""
+    store, path = filesystem(f"{root}/{name}.values")
+    if store.type_name == "local":
+        data = np.memmap(path, "u1", "r")
+    else:
+        with store.open_input_file(path) as f:
+            data = np.frombuffer(f.read(), "u1")
+    n, bits, n_other, size = data[:32].view("<u8").tolist()
+    at = 32 + (8 * width << bits)
+    book = data[32:at].view("<u8").reshape(width, 1 << bits)
+    wide = _place_kind(n)
+    places = data[at:at + wide.itemsize * n_other].view(wide)
+    at += wide.itemsize * n_other
+    end = at + -(-n * bits // 8)
+    others = data[end:end + size * width * n_other].view(f"<u{size}").reshape(width, n_other)
+    return Values(bits, data[at:end], book, places, others)
 
 
 def mapped(root: str, name: str, width: int) -> tuple[np.ndarray, Values]:
-    out = []
-    for part in ("keys", "values"):
-        store, path = filesystem(f"{root}/{name}.{part}")
-        if store.type_name == "local":
-            out.append(np.memmap(path, "u1", "r"))
-        else:
-            with store.open_input_file(path) as f:
-                out.append(np.frombuffer(f.read(), "u1"))
-    data, at = out[0], 16
-    n, high = data[:16].view("<u8").tolist()
-    heads, counts = data[16:16 + 16 * high].view("<u8").reshape(2, -1)
-    at = 16 + 16 * high
-    keys = np.repeat(heads << np.uint64(48), counts.astype(np.int64))
-    keys |= data[at:at + 4 * n].view("<u4")
-    keys |= data[at + 4 * n:at + 6 * n].view("<u2").astype(np.uint64) << np.uint64(32)
-    data = out[1]
-    n_other, size = data[:16].view("<u8").tolist()
-    at = 16 + 8 * 256 * width
-    book = data[16:at].view("<u8").reshape(width, 256)
-    wide = 4 if n < 1 << 32 else 8
-    places = data[at:at + wide * n_other].view(f"<u{wide}")
-    at += wide * n_other
-    code = data[at:at + n]
-    others = data[at + n:at + n + size * width * n_other].view(f"<u{size}").reshape(width, n_other)
-    return keys, Values(code, book, places, others)
+    """A stored part of the model: its hashes, and its values mapped into memory."""
+    store, path = filesystem(f"{root}/{name}.keys")
+    with store.open_input_file(path) as f:
+        return _unpack_sorted(f.read()), _mapped_values(root, name, width)
 
 
 def find(keys: np.ndarray, values: Values, wanted: np.ndarray) -> np.ndarray:
