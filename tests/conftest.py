@@ -15,13 +15,27 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from custmaster.session import build_session, checkpoint_dir
 
-    s = build_session("local[8]", 8, app_name="custmaster-tests")
+    # plans show whole paths of scans, however long the folder of temporary files is named
+    s = build_session("local[8]", 8, app_name="custmaster-tests", extra={"spark.sql.maxMetadataStringLength": "1000"})
     # the cluster's spark.checkpoint.dir if configured, else a fresh scratch folder
     checkpoint_dir(s)
     yield s
     s.stop()
 
 
+@pytest.fixture(autouse=True)
+def launchers_partitions():
+    """Registered queries set the session's first number of shuffle partitions: not for the next test."""
+    yield
+    from pyspark.sql import SparkSession
+
+    from custmaster.session import INITIAL_PARTITIONS
+
+    s = SparkSession.getActiveSession()
+    if s is not None:
+        s.conf.unset(INITIAL_PARTITIONS)
+
+
 @pytest.fixture(scope="session")
 def src_small(spark):
     from custmaster.sources import Sources
